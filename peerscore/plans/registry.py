@@ -1,24 +1,512 @@
-"""Registered queries over the test tables: name -> (spark, sf_dir) -> DataFrame."""
+"""Registered queries over the test tables: name -> (spark, sf_dir) -> DataFrame.
+
+Each query reads whole tables (or the scorecard model that Spark derives from
+``lineitem`` and ``part``, FIXTURES.md §3).  Parameters such as the snapshot
+date or the upsert cut-off are features of the operator, not row caps.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from peerscore.plans import scorecard
+from peerscore.functions import clean, scoring
+from peerscore.operators import assemble, audit, extract, project, ranking, reshape, scaling, upsert
+from peerscore.plans import dashboards, scorecard
+from peerscore.schemas import (
+    CREDIT,
+    CREDIT_BUCKETS,
+    GROUP_ID,
+    GROUP_KEYS,
+    GROWTH,
+    PORTFOLIO,
+    RISK_ORDINAL_DEFAULT,
+    RISK_ORDINALS,
+    SNAPSHOT,
+    SUBJECT_ID,
+    SUBJECT_KEYS,
+)
+from peerscore.sources import tables as src
 from peerscore.sources.demo import testdata_model
 
+# --- fixed values: parameters of the registered queries ---
 RANK_DATE = "1998-12-31"
+EMPTY_DATE = "2002-12-31"
+GROUP = 3
+TOP_K = 3
+LISTING_N = 1000
+EVENTS_CUTOFF = "2024-01-16 00:00:00"
+ORDERS_CUTOFF = "1998-01-01 00:00:00"
+REVISED_DATE, REVISION_SOURCE_DATE = "1999-12-31", "2000-12-31"
+# display labels of the credit buckets in a captured credit body
+CREDIT_LABELS = ["AAA", "A1+", "SOV", "Cash Equivalent", "AA", "A and Below", "Unrated and Others"]
+# --- end of fixed values ---
+
+
+def _model(spark, sf_dir):
+    return testdata_model(spark, sf_dir)
+
+
+def _read(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _wide(spark, sf_dir):
+    return assemble.assemble_wide(_model(spark, sf_dir))
+
+
+# ---------- C1 / C2 and ranking operators ----------
+
 def rank_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scorecard.rank_snapshot(testdata_model(spark, sf_dir), RANK_DATE)
+    return scorecard.rank_snapshot(_model(spark, sf_dir), RANK_DATE)
+
+
+def rank_all_snapshots(spark, sf_dir):
+    return scorecard.rank_all_snapshots(_model(spark, sf_dir))
+
+
+def rank_snapshot_sorted(spark, sf_dir):
+    return scorecard.rank_snapshot_sorted(rank_snapshot(spark, sf_dir))
+
+
+def top_k_per_group(spark, sf_dir):
+    return ranking.top_k_per_group(rank_all_snapshots(spark, sf_dir), "group_rank", TOP_K)
+
+
+def rerank_stored(spark, sf_dir):
+    return scorecard.rerank_stored(rank_all_snapshots(spark, sf_dir))
+
+
+def _subject(spark, sf_dir):
+    return _model(spark, sf_dir)["subject"].select(
+        F.col("id").alias(SUBJECT_ID), GROUP_ID, SNAPSHOT, "asset_value", "expense_ratio"
+    )
+
+
+def rank_desc(spark, sf_dir):
+    return ranking.rank_desc(_subject(spark, sf_dir), "asset_value", "asset_value_rank", GROUP_KEYS).drop(
+        "expense_ratio"
+    )
+
+
+def rank_asc(spark, sf_dir):
+    return ranking.rank_asc(_subject(spark, sf_dir), "expense_ratio", "expense_ratio_rank", GROUP_KEYS).drop(
+        "asset_value"
+    )
+
+
+def rank_global(spark, sf_dir):
+    return ranking.rank_global(_subject(spark, sf_dir).drop("expense_ratio"), "asset_value", "global_rank")
+
+
+def composite_score(spark, sf_dir):
+    scored = scorecard.score_terms(_wide(spark, sf_dir))
+    return scored.select(SUBJECT_ID, GROUP_ID, SNAPSHOT, *scorecard.SCORE_TERMS, "total_rank").withColumn(
+        "f_total", F.round("f_total", 6)
+    )
+
+
+# ---------- projections / filters ----------
+
+def snapshot_filter(spark, sf_dir):
+    return project.snapshot_filter(_model(spark, sf_dir)["subject"], RANK_DATE).select(
+        "id", "name", GROUP_ID, "asset_value", SNAPSHOT
+    )
+
+
+def group_filter(spark, sf_dir):
+    return project.group_filter(_model(spark, sf_dir)["subject"], GROUP).select("id", "name", GROUP_ID, SNAPSHOT)
+
+
+def point_lookup(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    latest = m["subject"].groupBy(F.col("id").alias(SUBJECT_ID)).agg(F.max(SNAPSHOT).alias(SNAPSHOT))
+    return project.point_lookup(m["subject_growth"].drop("modified"), latest, SUBJECT_KEYS)
+
+
+def prefix_columns(spark, sf_dir):
+    return project.prefix_columns(_model(spark, sf_dir)["subject_risk"].drop("modified"), "s_risk_",
+                                  keep=SUBJECT_KEYS)
+
+
+def select_family(spark, sf_dir):
+    return project.select_family(_wide(spark, sf_dir), "growth", keep=SUBJECT_KEYS)
+
+
+def nan_to_zero(spark, sf_dir):
+    li = _read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_discount") == 0, F.lit(float("nan"))).otherwise(F.col("l_tax") / F.col("l_discount"))
+        .alias("tax_per_discount"),
+    )
+    return project.nan_to_zero(li).withColumn("tax_per_discount", F.round("tax_per_discount", 6))
+
+
+def groups_without_data(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    return project.groups_without_data(m["group_dim"], m["subject"], EMPTY_DATE).select("id", "first_seen")
+
+
+# ---------- joins ----------
+
+def assemble_subject(spark, sf_dir):
+    return assemble.assemble_subject(_model(spark, sf_dir))
+
+
+def assemble_dimension(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    return assemble.assemble_dimension(assemble.base_frame(m), m["group_dim"])
+
+
+def assemble_group(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    return assemble.assemble_group(assemble.base_frame(m), m)
+
+
+def assemble_wide(spark, sf_dir):
+    return _wide(spark, sf_dir)
+
+
+def coverage_fanout(spark, sf_dir):
+    return assemble.coverage_fanout(_model(spark, sf_dir))
+
+
+def horizon_comparison(spark, sf_dir):
+    return dashboards.horizon_comparison(_model(spark, sf_dir))
+
+
+def unpivot_horizons(spark, sf_dir):
+    pairs = dashboards.growth_pairs(_model(spark, sf_dir))
+    return reshape.unpivot_pairs(pairs, SUBJECT_KEYS, GROWTH)
+
+
+def union_all_branches(spark, sf_dir):
+    pairs = dashboards.growth_pairs(_model(spark, sf_dir))
+    return reshape.union_all_branches(pairs, SUBJECT_KEYS, GROWTH)
+
+
+def merge_partials(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    base = m["subject"].select(F.col("id").alias(SUBJECT_ID), SNAPSHOT, "name")
+    parts = {
+        "growth": m["subject_growth"].select(SUBJECT_ID, SNAPSHOT, "3m", "1y"),
+        "risk": m["subject_risk"].select(SUBJECT_ID, SNAPSHOT, "mean", "alpha"),
+    }
+    return reshape.merge_partials(base, parts, SUBJECT_KEYS, {"3m": 0.0, "1y": 0.0, "mean": 0.0, "alpha": 0.0})
+
+
+# ---------- audits and aggregations ----------
+
+def audit_duplicate_keys(spark, sf_dir):
+    return audit.audit_duplicate_keys(_read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def audit_orphans(spark, sf_dir):
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return audit.audit_orphans(orders, _read(spark, sf_dir, "lineitem"), ["o_orderkey"], ["l_orderkey"])
+
+
+def audit_null_keys(spark, sf_dir):
+    return audit.audit_null_keys(_read(spark, sf_dir, "events"), ["user_id", "event_type"]).select(
+        "event_id", "user_id", "event_type"
+    )
+
+
+def audit_null_features(spark, sf_dir):
+    wide = _wide(spark, sf_dir)
+    cols = [c for c in wide.columns if c.startswith("s_") or c.startswith("g_")]
+    return audit.audit_null_features(wide, cols)
+
+
+def snapshot_counts(spark, sf_dir):
+    return audit.snapshot_counts(_model(spark, sf_dir)["subject"], GROUP_KEYS)
+
+
+def group_min_max(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    df = m["subject_credit"].join(m["subject"].select(F.col("id").alias(SUBJECT_ID), SNAPSHOT, GROUP_ID),
+                                  SUBJECT_KEYS)
+    return scaling.group_min_max(df, ["aaa", "sov", "aa"], GROUP_KEYS)
+
+
+# ---------- scoring functions ----------
+
+def _wide_terms(spark, sf_dir, **cols):
+    return _wide(spark, sf_dir).select(SUBJECT_ID, SNAPSHOT, *[v.alias(k) for k, v in cols.items()])
+
+
+def growth_trend(spark, sf_dir):
+    return _wide_terms(spark, sf_dir, trend_growth=scoring.growth_trend(GROWTH.subject_cols, GROWTH.group_cols))
+
+
+def pct_change_sum(spark, sf_dir):
+    pairs = [(GROWTH.subject_col(h), GROWTH.group_col(h)) for h in GROWTH.columns]
+    return _wide_terms(spark, sf_dir, growth_pct=scoring.pct_change_sum(pairs))
+
+
+def credit_trend(spark, sf_dir):
+    return _wide_terms(spark, sf_dir, credit_rating_trend=scoring.pct_change_sum(CREDIT.pairs))
+
+
+def portfolio_trend(spark, sf_dir):
+    return _wide_terms(spark, sf_dir, portfolio_agg_trend=scoring.pct_change_sum(PORTFOLIO.pairs))
+
+
+def min_max_scale(spark, sf_dir):
+    df = scaling.min_max_scale_cols(_wide(spark, sf_dir), [CREDIT.subject_col("aaa")], 91.0, 100.0, GROUP_KEYS)
+    return df.select(SUBJECT_ID, SNAPSHOT, F.round(f"f_scaled_{CREDIT.subject_col('aaa')}", 6).alias("scaled_aaa"))
+
+
+def tiered_scale(spark, sf_dir):
+    df = scaling.tiered_scale(_wide(spark, sf_dir), scorecard.SCALED_TIERS, GROUP_KEYS)
+    return df.select(SUBJECT_ID, SNAPSHOT, *[F.round(c, 6).alias(c) for c in scorecard.SCALED_COLS])
+
+
+def horizontal_sum(spark, sf_dir):
+    df = scaling.tiered_scale(_wide(spark, sf_dir), scorecard.SCALED_TIERS, GROUP_KEYS)
+    return df.select(SUBJECT_ID, SNAPSHOT, F.round(scoring.horizontal_sum(scorecard.SCALED_COLS), 6).alias("f_total"))
+
+
+def ordinal_encode(spark, sf_dir):
+    return _model(spark, sf_dir)["subject"].select(
+        "id", SNAPSHOT, "risk", scoring.ordinal_encode("risk", RISK_ORDINALS, RISK_ORDINAL_DEFAULT).alias("risk_rank")
+    )
+
+
+# ---------- cleaning functions ----------
+
+def safe_cast(spark, sf_dir):
+    ev = _read(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        clean.safe_cast(F.get_json_object("props", "$.k"), "int").alias("k"),
+        clean.safe_cast("event_type", "int").alias("type_as_int"),
+        clean.safe_cast(F.col("value").cast("string")).alias("value_text"),
+    )
+
+
+def clean_number(spark, sf_dir):
+    s = _model(spark, sf_dir)["subject"]
+    return s.select("id", SNAPSHOT, clean.clean_number(F.format_number("asset_value", 0), "long")
+                    .alias("asset_value"))
+
+
+def parse_rating(spark, sf_dir):
+    s = _model(spark, sf_dir)["subject"]
+    return s.select("id", SNAPSHOT, clean.parse_rating(F.concat(F.col("rating").cast("string"), F.lit(" star")))
+                    .alias("rating"))
+
+
+def url_segment(spark, sf_dir):
+    p = _read(spark, sf_dir, "pages")
+    return p.select("page_id", clean.url_segment("url", 2).alias("host"), clean.url_segment("url", 3).alias("lang"),
+                    clean.url_segment("url", 5).alias("extra"))
+
+
+def absolute_url(spark, sf_dir):
+    links = extract.extract_links(_read(spark, sf_dir, "pages"))
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    return links.join(pages, "page_id").select("page_id", "pos", clean.absolute_url("url", "href").alias("absolute"))
+
+
+def default_missing(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("doc_id")
+    labels = _read(spark, sf_dir, "labels")
+    df = docs.join(labels, "doc_id", "left")
+    return df.select("doc_id", clean.default_missing("quality", 0).alias("quality"),
+                     clean.default_missing("toxic", 0).alias("toxic"))
+
+
+def normalize_name(spark, sf_dir):
+    c = _read(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", clean.normalize_name("text").alias("text"))
+
+
+def normalize_label(spark, sf_dir):
+    s = _read(spark, sf_dir, "part")
+    return s.select("p_partkey", clean.normalize_label(F.concat_ws(" ", "p_type", "p_brand", "p_name"))
+                    .alias("label"))
+
+
+def to_json_text(spark, sf_dir):
+    c = _model(spark, sf_dir)["subject_credit"]
+    held = F.array_compact(F.array(*[F.when(F.col(b) > 0, F.lit(b)) for b in CREDIT_BUCKETS]))
+    return c.select(SUBJECT_ID, SNAPSHOT, clean.to_json_text(held).alias("held"))
+
+
+def compact_array(spark, sf_dir):
+    c = _read(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", F.size(clean.compact_array(F.split("text", "[.]"))).alias("n_sentences"),
+                    F.get(clean.compact_array(F.split("text", "[.]")), 0).alias("first_sentence"))
+
+
+def format_date(spark, sf_dir):
+    s = _model(spark, sf_dir)["subject"]
+    return s.select("id", clean.format_date(SNAPSHOT, "%d-%m-%Y").alias("day_first"),
+                    clean.format_date(SNAPSHOT, "%Y-%m-%d").alias("iso"))
+
+
+def array_get_default(spark, sf_dir):
+    p = _read(spark, sf_dir, "pages")
+    return p.select("page_id", clean.array_get_default(F.split("url", "/"), 4, "0").alias("segment_4"),
+                    clean.array_get_default(F.split("url", "/"), 6, "0").alias("segment_6"))
+
+
+def array_head(spark, sf_dir):
+    p = _read(spark, sf_dir, "pages")
+    hrefs = F.regexp_extract_all("html", F.lit(extract.ANCHOR), 1)
+    return p.select("page_id", clean.array_head(hrefs, 11).alias("first_links"))
+
+
+def listing_limit(spark, sf_dir):
+    s = project.snapshot_filter(_model(spark, sf_dir)["subject"], RANK_DATE)
+    return s.orderBy(F.col("asset_value").desc(), F.col("id")).limit(LISTING_N).select("id", "asset_value")
+
+
+# ---------- extraction ----------
+
+def extract_links(spark, sf_dir):
+    return extract.extract_links(_read(spark, sf_dir, "pages"))
+
+
+def credit_captures(model) -> DataFrame:
+    """Credit bodies as a site would serve them, built from the model's credit tables (labels with
+    a zero value on both sides are left out, so extraction has to default them)."""
+    s = model["subject_credit"]
+    g = model["group_credit"]
+    base = model["subject"].select(F.col("id").alias(SUBJECT_ID), SNAPSHOT, GROUP_ID)
+    df = s.join(base, [SUBJECT_ID, SNAPSHOT]).join(
+        g.select(GROUP_ID, SNAPSHOT, *[F.col(c).alias(f"g_{c}") for c in CREDIT_BUCKETS]), [GROUP_ID, SNAPSHOT]
+    )
+    entries = F.array(*[
+        F.struct(F.lit(lbl).alias("label"), F.col(c).cast("string").alias("s"), F.col(f"g_{c}").cast("string").alias("g"),
+                 ((F.col(c) != 0) | (F.col(f"g_{c}") != 0)).alias("keep"))
+        for lbl, c in zip(CREDIT_LABELS, CREDIT_BUCKETS)
+    ])
+    kept = F.filter(entries, lambda e: e["keep"])
+    body = F.to_json(F.struct(
+        F.transform(kept, lambda e: e["label"]).alias("categories"),
+        F.array(F.struct(F.transform(kept, lambda e: e["s"]).alias("data")),
+                F.struct(F.transform(kept, lambda e: e["g"]).alias("data"))).alias("series"),
+    ))
+    return df.select(F.col(SUBJECT_ID).cast("string").alias(SUBJECT_ID), F.lit("credit").alias("kind"),
+                     F.col(SNAPSHOT).alias("captured_on"), body.alias("body"))
+
+
+def extract_credit(spark, sf_dir):
+    out = extract.extract_credit(credit_captures(_model(spark, sf_dir)))
+    return out.select(F.col(SUBJECT_ID).cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT),
+                      *CREDIT.subject_cols, *CREDIT.group_cols)
+
+
+# ---------- upserts and sources ----------
+
+def upsert_last_wins(spark, sf_dir):
+    ev = _read(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", "value")
+    keys = ["user_id", "event_type"]
+    before = ev.where(F.col("ts") < F.lit(EVENTS_CUTOFF).cast("timestamp_ntz"))
+    batch = ev.where(F.col("ts") >= F.lit(EVENTS_CUTOFF).cast("timestamp_ntz"))
+    target = upsert.dedup_last(before, keys, ["ts", "event_id"])
+    return upsert.upsert(target, batch, keys, ["ts", "event_id"])
+
+
+def upsert_dated(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    g = m["subject_growth"].drop("modified")
+    v1 = project.snapshot_filter(g, REVISED_DATE).withColumn("version", F.lit(1))
+    v2 = project.snapshot_filter(g, REVISION_SOURCE_DATE).withColumn(SNAPSHOT, F.lit(REVISED_DATE).cast("date")) \
+        .withColumn("version", F.lit(2))
+    batch = v1.unionByName(v2)
+    return upsert.upsert(g, batch, SUBJECT_KEYS, ["version"], partition_cols=[SNAPSHOT])
+
+
+def upsert_keep_first(spark, sf_dir):
+    orders = _read(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("custkey"), F.col("o_orderdate").cast("date").alias("first_seen"),
+        F.col("o_orderpriority").alias("last_priority"), F.col("o_totalprice").alias("last_total"),
+        F.col("o_orderkey").alias("last_order"), F.col("o_orderdate").alias("ts"),
+    )
+    cutoff = F.lit(ORDERS_CUTOFF).cast("timestamp_ntz")
+    keys, keep, order = ["custkey"], ["first_seen"], ["ts", "last_order"]
+    cols = ["custkey", "first_seen", "last_priority", "last_total", "last_order"]
+    empty = orders.select(*cols).where(F.lit(False))
+    target = upsert.upsert_keep_first(empty, orders.where(F.col("ts") < cutoff), keys, keep, order)
+    state = upsert.upsert_keep_first(target, orders.where(F.col("ts") >= cutoff), keys, keep, order)
+    cust = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_name", "c_nationkey")
+    nation = _read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return state.join(cust, "custkey", "left").join(nation, "c_nationkey", "left").drop("c_nationkey")
+
+
+def fan_out_record(spark, sf_dir):
+    wide = _wide(spark, sf_dir).withColumnRenamed(SUBJECT_ID, "id")
+    tables = upsert.fan_out_record(wide, ["name", GROUP_ID], order_by=["id"])
+    return tables["group_growth"]
 
 
-def rank_all_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scorecard.rank_all_snapshots(testdata_model(spark, sf_dir))
+def scan_table(spark, sf_dir):
+    return src.scan_table(spark, "orders", path=f"{sf_dir}/orders.parquet",
+                          columns=["o_orderkey", "o_custkey", "o_totalprice"], where=F.col("o_orderstatus") == "F")
 
 
 QUERIES = {
     "rank_snapshot": rank_snapshot,
     "rank_all_snapshots": rank_all_snapshots,
+    "rank_snapshot_sorted": rank_snapshot_sorted,
+    "top_k_per_group": top_k_per_group,
+    "rerank_stored": rerank_stored,
+    "rank_desc": rank_desc,
+    "rank_asc": rank_asc,
+    "rank_global": rank_global,
+    "composite_score": composite_score,
+    "snapshot_filter": snapshot_filter,
+    "group_filter": group_filter,
+    "point_lookup": point_lookup,
+    "prefix_columns": prefix_columns,
+    "select_family": select_family,
+    "nan_to_zero": nan_to_zero,
+    "groups_without_data": groups_without_data,
+    "assemble_subject": assemble_subject,
+    "assemble_dimension": assemble_dimension,
+    "assemble_group": assemble_group,
+    "assemble_wide": assemble_wide,
+    "coverage_fanout": coverage_fanout,
+    "horizon_comparison": horizon_comparison,
+    "unpivot_horizons": unpivot_horizons,
+    "union_all_branches": union_all_branches,
+    "merge_partials": merge_partials,
+    "audit_duplicate_keys": audit_duplicate_keys,
+    "audit_orphans": audit_orphans,
+    "audit_null_keys": audit_null_keys,
+    "audit_null_features": audit_null_features,
+    "snapshot_counts": snapshot_counts,
+    "group_min_max": group_min_max,
+    "growth_trend": growth_trend,
+    "pct_change_sum": pct_change_sum,
+    "credit_trend": credit_trend,
+    "portfolio_trend": portfolio_trend,
+    "min_max_scale": min_max_scale,
+    "tiered_scale": tiered_scale,
+    "horizontal_sum": horizontal_sum,
+    "ordinal_encode": ordinal_encode,
+    "safe_cast": safe_cast,
+    "clean_number": clean_number,
+    "parse_rating": parse_rating,
+    "url_segment": url_segment,
+    "absolute_url": absolute_url,
+    "default_missing": default_missing,
+    "normalize_name": normalize_name,
+    "normalize_label": normalize_label,
+    "to_json_text": to_json_text,
+    "compact_array": compact_array,
+    "format_date": format_date,
+    "array_get_default": array_get_default,
+    "array_head": array_head,
+    "listing_limit": listing_limit,
+    "extract_links": extract_links,
+    "extract_credit": extract_credit,
+    "upsert_last_wins": upsert_last_wins,
+    "upsert_dated": upsert_dated,
+    "upsert_keep_first": upsert_keep_first,
+    "fan_out_record": fan_out_record,
+    "scan_table": scan_table,
 }

@@ -54,14 +54,24 @@ def main():
         if wanted and name not in wanted:
             continue
         t0 = time.time()
-        df = fn(spark, sf_dir)
-        srows = [tuple(r) for r in df.collect()]
-        scols = df.columns
+        try:
+            df = fn(spark, sf_dir)
+            srows = [tuple(r) for r in df.collect()]
+            scols = df.columns
+        except Exception as exc:  # report and go on
+            print(f"{name:32s} SPARK ERROR {str(exc)[:300]}")
+            bad += 1
+            continue
         t1 = time.time()
         if name not in sqls:
             print(f"{name:32s} spark={len(srows):8d} rows  (no oracle)  {t1 - t0:.1f}s")
             continue
-        res = con.execute(sqls[name])
+        try:
+            res = con.execute(sqls[name])
+        except Exception as exc:
+            print(f"{name:32s} ORACLE ERROR {str(exc)[:300]}")
+            bad += 1
+            continue
         ocols = [d[0] for d in res.description]
         orows = res.fetchall()
         ok_cols = sorted(scols) == sorted(ocols)
