@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_MAX_HOT = 10_000
 DEFAULT_BUCKETS = 128
-DEFAULT_ACCURACY = 10_000
+DEFAULT_ACCURACY = 2_000
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ def window_dense_rank(value: Column, group_cols: Sequence[str], descending: bool
     return F.when(value.isNotNull(), F.dense_rank().over(w))
 
 
-def dense_rank_distributed(
+def distributed_rank_table(
     df: DataFrame,
     group_cols: Sequence[str],
     value: str,
@@ -62,14 +62,18 @@ def dense_rank_distributed(
     buckets: int = DEFAULT_BUCKETS,
     accuracy: int = DEFAULT_ACCURACY,
 ) -> DataFrame:
-    """Dense rank of ``value`` inside each group without putting a group in one task."""
+    """(group keys, ``value``, ``out``): the dense rank of every distinct non-NULL value of each group.
+
+    Distinct values are bucketed by per-group approximate quantiles; each
+    (group, bucket) is ranked alone and shifted by the distinct count of the lower
+    buckets, so a hot group is spread over ``buckets`` tasks.
+    """
     keys = list(group_cols)
-    base = df
+    v, bk = "__rk_v", "__rk_b"
+    distinct = df.select(*keys, F.col(value).alias(v)).where(F.col(v).isNotNull()).distinct()
     if not keys:  # global rank: one constant key, still split into buckets
-        base = df.withColumn("__rk_all", F.lit(0))
+        distinct = distinct.withColumn("__rk_all", F.lit(0))
         keys = ["__rk_all"]
-    v, bk = "__rk_v", "__rk_b"
-    distinct = base.select(*keys, F.col(value).alias(v)).where(F.col(v).isNotNull()).distinct()
     fractions = [i / buckets for i in range(1, buckets)]
     bounds = distinct.groupBy(*keys).agg(F.percentile_approx(v, fractions, accuracy).alias("__rk_bd"))
     tagged = distinct.join(bounds, keys).select(
@@ -91,12 +95,30 @@ def dense_rank_distributed(
     )
     asc = F.col("__rk_off") + F.col("__rk_l")
     rank = (F.col("__rk_tot") - asc + F.lit(1)) if descending else asc
-    ranked = local.join(offsets, keys + [bk]).select(
-        *[F.col(k).alias(f"__rk_k_{k}") for k in keys], F.col(v), rank.cast("int").alias(out)
+    return local.join(offsets, keys + [bk]).select(
+        *[k for k in keys if k != "__rk_all"], F.col(v).alias(value), rank.cast("int").alias(out)
     )
-    cond = [base[k] == ranked[f"__rk_k_{k}"] for k in keys] + [base[value] == ranked[v]]
-    joined = base.join(ranked, cond, "left").drop(*[f"__rk_k_{k}" for k in keys], v)
-    return joined.drop("__rk_all") if not group_cols else joined
+
+
+def _join_rank(df: DataFrame, table: DataFrame, group_cols: Sequence[str], value: str, out: str) -> DataFrame:
+    keys = list(group_cols)
+    t = table.select(*[F.col(k).alias(f"__rk_k_{k}") for k in keys], F.col(value).alias("__rk_jv"), out)
+    cond = [df[k] == t[f"__rk_k_{k}"] for k in keys] + [df[value] == t["__rk_jv"]]
+    return df.join(t, cond, "left").drop(*[f"__rk_k_{k}" for k in keys], "__rk_jv")
+
+
+def dense_rank_distributed(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    value: str,
+    out: str,
+    descending: bool = False,
+    buckets: int = DEFAULT_BUCKETS,
+    accuracy: int = DEFAULT_ACCURACY,
+) -> DataFrame:
+    """Dense rank of ``value`` inside each group without putting a group in one task."""
+    table = distributed_rank_table(df, group_cols, value, out, descending, buckets, accuracy)
+    return _join_rank(df, table, group_cols, value, out)
 
 
 def add_dense_ranks(
@@ -106,15 +128,21 @@ def add_dense_ranks(
     strategy: str = "window",
     buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """Add one dense-rank column per spec, partitioned by ``group_cols``."""
+    """Add one dense-rank column per spec, partitioned by ``group_cols``.
+
+    In the distributed shape every rank table is computed from the same input
+    frame and joined back once, so the plan grows linearly with the number of ranks.
+    """
     if strategy == "window" and group_cols:
         return df.withColumns(
             {s.out: window_dense_rank(F.col(s.value), group_cols, s.descending) for s in specs}
         )
     if strategy in ("window", "distributed"):
-        for s in specs:
-            df = dense_rank_distributed(df, group_cols, s.value, s.out, s.descending, buckets)
-        return df
+        tables = [(s, distributed_rank_table(df, group_cols, s.value, s.out, s.descending, buckets)) for s in specs]
+        out = df
+        for s, t in tables:
+            out = _join_rank(out, t, group_cols, s.value, s.out)
+        return out
     raise ValueError(f"unknown rank strategy {strategy!r}")
 
 

@@ -22,6 +22,7 @@ from peerscore.operators.ranking import (
     by_group_size,
 )
 from peerscore.operators.scaling import tiered_scale
+from peerscore.session import checkpoint_dir
 from peerscore.schemas import (
     CREDIT,
     CREDIT_TIERS,
@@ -85,6 +86,11 @@ def rank_terms(scored: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window
 
 
 def _rank(wide: DataFrame, strategy: str) -> DataFrame:
+    if strategy == "distributed":
+        # the frame feeds every rank table: cut its lineage once (reliable checkpoint in the
+        # shared folder) instead of re-running the assembly joins for each of them
+        checkpoint_dir(wide.sparkSession)
+        wide = wide.checkpoint(eager=True)
     return rank_terms(score_terms(wide, GROUP_KEYS, strategy), GROUP_KEYS, strategy)
 
 
