@@ -248,13 +248,13 @@ def extract_credit(captures: DataFrame) -> DataFrame:
         return F.map_from_arrays(F.slice(labels, 1, n), F.transform(F.slice(data, 1, n), lambda v: safe_cast(v)))
 
     df = df.select("subject_id", "captured_on", side(0).alias("s"), side(1).alias("g"),
-                   F.col("j").isNull().alias("bad"))
+                   (F.col("j").isNull() | F.col("j.categories").isNull() | F.col("j.series").isNull()).alias("bad"))
     return df.select(
         "subject_id",
         "captured_on",
         *[F.coalesce(F.try_element_at("s", F.lit(c)), F.lit(0.0)).alias(CREDIT.subject_col(c)) for c in CREDIT.columns],
         *[F.coalesce(F.try_element_at("g", F.lit(c)), F.lit(0.0)).alias(CREDIT.group_col(c)) for c in CREDIT.columns],
-        F.when(F.col("bad"), F.lit("credit body is not JSON")).alias("reason"),
+        F.when(F.col("bad"), F.lit("credit body is not JSON with categories and series")).alias("reason"),
     )
 
 
