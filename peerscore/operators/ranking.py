@@ -130,9 +130,15 @@ def add_dense_ranks(
 ) -> DataFrame:
     """Add one dense-rank column per spec, partitioned by ``group_cols``.
 
+    ``auto`` sizes the groups first and sends hot ones the distributed way.
+
     In the distributed shape every rank table is computed from the same input
     frame and joined back once, so the plan grows linearly with the number of ranks.
     """
+    if strategy == "auto":
+        if not group_cols:
+            return add_dense_ranks(df, specs, group_cols, "distributed", buckets)
+        return by_group_size(df, group_cols, lambda f, how: add_dense_ranks(f, specs, group_cols, how, buckets))
     if strategy == "window" and group_cols:
         return df.withColumns(
             {s.out: window_dense_rank(F.col(s.value), group_cols, s.descending) for s in specs}
@@ -146,12 +152,12 @@ def add_dense_ranks(
     raise ValueError(f"unknown rank strategy {strategy!r}")
 
 
-def rank_desc(df: DataFrame, value: str, out: str, group_cols: Sequence[str], strategy: str = "window") -> DataFrame:
+def rank_desc(df: DataFrame, value: str, out: str, group_cols: Sequence[str], strategy: str = "auto") -> DataFrame:
     """Higher is better: the largest value gets rank 1."""
     return add_dense_ranks(df, [RankSpec(value, out, True)], group_cols, strategy)
 
 
-def rank_asc(df: DataFrame, value: str, out: str, group_cols: Sequence[str], strategy: str = "window") -> DataFrame:
+def rank_asc(df: DataFrame, value: str, out: str, group_cols: Sequence[str], strategy: str = "auto") -> DataFrame:
     """Lower is better: the smallest value gets rank 1."""
     return add_dense_ranks(df, [RankSpec(value, out, False)], group_cols, strategy)
 

@@ -126,7 +126,7 @@ def rank_snapshot_sorted(ranking: DataFrame) -> DataFrame:
     return ranking.orderBy(F.col("total_rank").asc_nulls_last(), SUBJECT_ID)
 
 
-def rerank_stored(ranking: DataFrame, snapshot=None, group_id=None, strategy: str = "window") -> DataFrame:
+def rerank_stored(ranking: DataFrame, snapshot=None, group_id=None, strategy: str = "auto") -> DataFrame:
     """Re-rank stored results by the integer score (W4); optional date and group filters."""
     df = ranking
     if snapshot is not None:
@@ -137,3 +137,26 @@ def rerank_stored(ranking: DataFrame, snapshot=None, group_id=None, strategy: st
         df.drop("group_rank"), [RankSpec("total_rank_int", "group_rank", True)], GROUP_KEYS, strategy
     )
     return out
+
+
+RANKING_KEYS = [SUBJECT_ID, GROUP_ID, SNAPSHOT]
+
+
+def rank_and_store(spark, model: dict[str, DataFrame], path: str, start=None, end=None,
+                   strategy: str = "auto", clock=None) -> DataFrame:
+    """Rank [start, end] and upsert it into the ranking table at ``path``.
+
+    Keyed on (subject, group, snapshot); only the snapshot partitions being
+    ranked are read and rewritten; ``modified`` is stamped on every written row.
+    Returns the stored table.
+    """
+    from peerscore.operators.upsert import upsert, with_audit, write_upsert
+
+    ranked = with_audit(rank_range(model, start, end, strategy), set_added=False, clock=clock)
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    if hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
+        stored = spark.read.parquet(path).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
+        ranked = upsert(stored.select(*ranked.columns), ranked, RANKING_KEYS, partition_cols=[SNAPSHOT])
+    write_upsert(spark, ranked, path, [SNAPSHOT])
+    return spark.read.parquet(path).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))

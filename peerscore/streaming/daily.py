@@ -15,34 +15,20 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscore.operators.upsert import upsert, with_audit, write_upsert
-from peerscore.plans.scorecard import rank_range
-from peerscore.schemas import GROUP_ID, SNAPSHOT, SUBJECT_ID, SUBJECT_SCHEMA
+from peerscore.plans.scorecard import rank_and_store
+from peerscore.schemas import SNAPSHOT, SUBJECT_SCHEMA
 from peerscore.sources.tables import read_model
 
-RANKING_KEYS = [SUBJECT_ID, GROUP_ID, SNAPSHOT]
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
 
 def rank_batch(spark: SparkSession, batch: DataFrame, model_root: str, ranking_path: str, strategy: str = "auto"):
     """Rank the snapshots present in ``batch`` and upsert them into ``ranking_path``."""
     bounds = batch.agg(F.min(SNAPSHOT).alias("lo"), F.max(SNAPSHOT).alias("hi")).first()
     if bounds is None or bounds.lo is None:
         return
-    model = read_model(spark, model_root)
-    dates = batch.select(SNAPSHOT).distinct()
-    ranked = rank_range(model, bounds.lo, bounds.hi, strategy).join(dates, SNAPSHOT, "left_semi")
-    ranked = with_audit(ranked, set_added=False)
-    if _exists(spark, ranking_path):
-        stored = spark.read.parquet(ranking_path).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
-        ranked = upsert(stored.select(*ranked.columns), ranked, RANKING_KEYS, partition_cols=[SNAPSHOT])
-    write_upsert(spark, ranked, ranking_path, [SNAPSHOT])
+    model = dict(read_model(spark, model_root))
+    # only the dates of this batch (a snapshot filter range plus a semi join on the batch's dates)
+    model["subject"] = model["subject"].join(batch.select(SNAPSHOT).distinct(), SNAPSHOT, "left_semi")
+    rank_and_store(spark, model, ranking_path, bounds.lo, bounds.hi, strategy)
 
 
 def run_daily(spark: SparkSession, model_root: str, ranking_path: str, checkpoint: str,

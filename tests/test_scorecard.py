@@ -190,3 +190,15 @@ def test_rerank_stored_uses_integer_score(spark):
     ints = sorted({r.total_rank_int for r in re}, reverse=True)
     for r in re:
         assert r.group_rank == ints.index(r.total_rank_int) + 1
+
+
+def test_rank_and_store_idempotent(spark, tmp_dir):
+    model, _ = make_model(spark, per_group=5, seed=9)
+    path = f"{tmp_dir}/ranking"
+    t1, t2 = dt.datetime(2023, 1, 6, 1, 0), dt.datetime(2023, 1, 7, 1, 0)
+    first = {tuple(r) for r in scorecard.rank_and_store(spark, model, path, D, D, clock=t1)
+             .drop("modified").collect()}
+    again = scorecard.rank_and_store(spark, model, path, D, D, clock=t2)
+    assert {tuple(r) for r in again.drop("modified").collect()} == first
+    assert {r.modified for r in again.collect()} == {t2}
+    assert len(first) == 10
