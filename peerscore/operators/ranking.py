@@ -71,9 +71,8 @@ def distributed_rank_table(
     keys = list(group_cols)
     v, bk = "__rk_v", "__rk_b"
     distinct = df.select(*keys, F.col(value).alias(v)).where(F.col(v).isNotNull()).distinct()
-    if not keys:  # global rank: one constant key, still split into buckets
-        distinct = distinct.withColumn("__rk_all", F.lit(0))
-        keys = ["__rk_all"]
+    if not keys:
+        return _global_rank_table(distinct, value, out, descending, buckets, accuracy)
     fractions = [i / buckets for i in range(1, buckets)]
     bounds = distinct.groupBy(*keys).agg(F.percentile_approx(v, fractions, accuracy).alias("__rk_bd"))
     tagged = distinct.join(bounds, keys).select(
@@ -95,9 +94,28 @@ def distributed_rank_table(
     )
     asc = F.col("__rk_off") + F.col("__rk_l")
     rank = (F.col("__rk_tot") - asc + F.lit(1)) if descending else asc
-    return local.join(offsets, keys + [bk]).select(
-        *[k for k in keys if k != "__rk_all"], F.col(v).alias(value), rank.cast("int").alias(out)
-    )
+    return local.join(offsets, keys + [bk]).select(*keys, F.col(v).alias(value), rank.cast("int").alias(out))
+
+
+def _global_rank_table(distinct: DataFrame, value: str, out: str, descending: bool, buckets: int,
+                       accuracy: int) -> DataFrame:
+    """Global case: the bucket bounds (buckets-1 values) and per-bucket counts (at most
+    ``buckets`` rows) are bounded metadata, so they travel as literals — no join on a
+    constant key and no single-partition window."""
+    v, bk = "__rk_v", "__rk_b"
+    fractions = [i / buckets for i in range(1, buckets)]
+    bounds = distinct.agg(F.percentile_approx(v, fractions, accuracy).alias("b")).first().b or []
+    lit_bounds = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast(f"array<{distinct.schema[v].dataType.simpleString()}>")
+    tagged = distinct.withColumn(bk, F.size(F.filter(lit_bounds, lambda b: b < F.col(v))))
+    counts = {r[0]: r[1] for r in tagged.groupBy(bk).count().collect()}
+    offsets, acc = [], 0
+    for b in range(len(bounds) + 1):
+        offsets.append(acc)
+        acc += counts.get(b, 0)
+    local = tagged.withColumn("__rk_l", F.row_number().over(Window.partitionBy(bk).orderBy(v)))
+    asc = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col(bk) + 1) + F.col("__rk_l")
+    rank = (F.lit(acc) - asc + F.lit(1)) if descending else asc
+    return local.select(F.col(v).alias(value), rank.cast("int").alias(out))
 
 
 def _join_rank(df: DataFrame, table: DataFrame, group_cols: Sequence[str], value: str, out: str) -> DataFrame:

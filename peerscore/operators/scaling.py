@@ -42,7 +42,9 @@ def with_group_min_max(df: DataFrame, cols: Sequence[str], group_cols: Sequence[
         *[F.col(f"max_{c}").alias(f"__max_{c}") for c in cols],
     )
     if not group_cols:
-        return df.join(stats.withColumn("__mm_k", F.lit(0)), F.lit(0) == F.col("__mm_k"), "left").drop("__mm_k")
+        # one row of aggregates: attach it as literals instead of joining on a constant
+        row = stats.first()
+        return df.withColumns({c: F.lit(row[c]) for c in stats.columns})
     return df.join(stats, list(group_cols), "left")
 
 
