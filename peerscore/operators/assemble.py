@@ -9,7 +9,7 @@ size allows, otherwise keeps a shuffled join (with skew splitting).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerscore.operators.project import snapshot_range
@@ -50,16 +50,31 @@ def assemble_subject(model: dict[str, DataFrame], start=None, end=None, base: Da
     return df
 
 
-def assemble_dimension(df: DataFrame, group_dim: DataFrame) -> DataFrame:
-    """Left join of the undated group dimension on group id only (J2): a missing row keeps the subject."""
+def assemble_dimension(df: DataFrame, group_dim: DataFrame, only: Column | None = None) -> DataFrame:
+    """Left join of the undated group dimension on group id only (J2): a missing row keeps the subject.
+
+    ``only`` restricts the dimension to a bounded set of groups (a predicate on
+    ``group_id``); that side is then broadcast — its size is bounded by the set.
+    """
     dim = group_dim.select(F.col("id").alias(GROUP_ID), "category", "category_code")
+    if only is not None:
+        dim = F.broadcast(dim.where(only))
     return df.join(dim, GROUP_ID, "left")
 
 
-def assemble_group(df: DataFrame, model: dict[str, DataFrame], start=None, end=None) -> DataFrame:
-    """Inner joins of the four group feature tables on (group_id, snapshot)."""
+def assemble_group(df: DataFrame, model: dict[str, DataFrame], start=None, end=None,
+                   only: Column | None = None) -> DataFrame:
+    """Inner joins of the four group feature tables on (group_id, snapshot).
+
+    ``only`` restricts the group tables to a bounded set of (group, snapshot)
+    keys, which are then broadcast (used for hot groups, whose rows would
+    otherwise pile up in one partition of a shuffled join).
+    """
     for name, fam in GROUP_FEATURE_TABLES.items():
-        df = df.join(feature_side(_dated(model[name], start, end), fam, "group"), GROUP_KEYS, "inner")
+        side = feature_side(_dated(model[name], start, end), fam, "group")
+        if only is not None:
+            side = F.broadcast(side.where(only))
+        df = df.join(side, GROUP_KEYS, "inner")
     return df
 
 

@@ -205,7 +205,8 @@ def hot_groups(sizes_of: DataFrame, group_cols: Sequence[str], hot_rows: int = D
     return [tuple(r) for r in rows]
 
 
-def _key_match(group_cols: Sequence[str], keys: list[tuple]) -> Column:
+def key_match(group_cols: Sequence[str], keys: list[tuple]) -> Column:
+    """Predicate: the row's group key is one of ``keys`` (a bounded literal set)."""
     if len(group_cols) == 1:
         return F.col(group_cols[0]).isin([k[0] for k in keys])
     return F.struct(*group_cols).isin([F.struct(*[F.lit(x) for x in k]) for k in keys])
@@ -230,7 +231,7 @@ def by_group_size(
         return build(df, "distributed")
     if not hot:
         return build(df, "window")
-    is_hot = _key_match(group_cols, hot)
+    is_hot = key_match(group_cols, hot)
     return build(df.where(~is_hot), "window").unionByName(build(df.where(is_hot), "distributed"))
 
 

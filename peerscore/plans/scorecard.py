@@ -12,14 +12,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscore.functions.scoring import composite_score, growth_trend, horizontal_sum, ordinal_encode, pct_change_sum
-from peerscore.operators.assemble import assemble_wide, base_frame
+from peerscore.operators.assemble import (
+    assemble_dimension,
+    assemble_group,
+    assemble_subject,
+    assemble_wide,
+    base_frame,
+)
 from peerscore.operators.project import nan_to_zero, snapshot_lit
 from peerscore.operators.ranking import (
     DEFAULT_HOT_ROWS,
     DEFAULT_MAX_HOT,
     RankSpec,
     add_dense_ranks,
-    by_group_size,
+    hot_groups,
+    key_match,
 )
 from peerscore.operators.scaling import tiered_scale
 from peerscore.session import checkpoint_dir
@@ -102,12 +109,28 @@ def rank_range(
     hot_rows: int = DEFAULT_HOT_ROWS,
     max_hot: int = DEFAULT_MAX_HOT,
 ) -> DataFrame:
-    """Rank every subject inside its group for every snapshot in [start, end]."""
-    wide = assemble_wide(model, start, end)
-    if strategy == "auto":
-        sizes = base_frame(model, start, end, columns=[GROUP_ID])
-        return by_group_size(wide, GROUP_KEYS, _rank, sizes_of=sizes, hot_rows=hot_rows, max_hot=max_hot)
-    return _rank(wide, strategy)
+    """Rank every subject inside its group for every snapshot in [start, end].
+
+    ``auto`` sizes the (group, snapshot) keys on the base table first.  Ordinary
+    groups take shuffled (adaptive) group joins and the window shape; the rows of
+    hot groups — at most ``max_hot`` keys — join the group tables restricted to
+    those keys by broadcast and are ranked the distributed way.  With more hot
+    keys than that, everything goes the distributed way.
+    """
+    if strategy != "auto":
+        return _rank(assemble_wide(model, start, end), strategy)
+    hot = hot_groups(base_frame(model, start, end, columns=[GROUP_ID]), GROUP_KEYS, hot_rows, max_hot)
+    if hot is None:
+        return _rank(assemble_wide(model, start, end), "distributed")
+    if not hot:
+        return _rank(assemble_wide(model, start, end), "window")
+    is_hot = key_match(GROUP_KEYS, hot)
+    hot_ids = F.col(GROUP_ID).isin(sorted({k[0] for k in hot}))
+    subj = assemble_subject(model, start, end)
+    cold = assemble_group(assemble_dimension(subj.where(~is_hot), model["group_dim"]), model, start, end)
+    warm = assemble_group(assemble_dimension(subj.where(is_hot), model["group_dim"], only=hot_ids),
+                          model, start, end, only=is_hot)
+    return _rank(cold, "window").unionByName(_rank(warm, "distributed"))
 
 
 def rank_snapshot(model: dict[str, DataFrame], snapshot=None, strategy: str = "auto", **kw) -> DataFrame:

@@ -161,6 +161,11 @@ def test_strategies_agree_on_testdata(spark, model):
     w = {tuple(r) for r in scorecard.rank_all_snapshots(model, strategy="window").collect()}
     h = {tuple(r) for r in scorecard.rank_all_snapshots(model, strategy="auto", hot_rows=20).collect()}
     assert w == h
+    # a mix: groups above the median size are hot, the rest ordinary
+    sizes = sorted(r["count"] for r in model["subject"].groupBy("group_id", "snapshot").count().collect())
+    median = sizes[len(sizes) // 2]
+    mixed = {tuple(r) for r in scorecard.rank_all_snapshots(model, strategy="auto", hot_rows=median).collect()}
+    assert mixed == w
 
 
 def test_loop_per_group_equals_partitioned(spark, model):
