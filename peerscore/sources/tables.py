@@ -108,3 +108,58 @@ def read_model(spark: SparkSession, root: str) -> dict[str, DataFrame]:
             df = df.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
         out[name] = df
     return out
+
+
+SUBJECT_SIDE = ["subject", "subject_risk", "subject_growth", "subject_credit", "subject_portfolio"]
+
+
+def _subject_key(name: str) -> str:
+    return "id" if name == "subject" else "subject_id"
+
+
+def write_model_bucketed(spark: SparkSession, model: dict[str, DataFrame], root: str, buckets: int,
+                         database: str = "peerscore_model") -> None:
+    """Store the subject-side tables bucketed on (subject, snapshot) so their joins need no shuffle.
+
+    Each bucket file is sorted by snapshot, so a date filter still skips row groups
+    (the min/max statistics of a sorted column); group-side tables are small and
+    stay partitioned by snapshot.  Table definitions go to the session catalog
+    (a metastore on a cluster); ``read_model_bucketed`` re-registers them if absent.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in MODEL_TABLES:
+        df = model[name]
+        if name in SUBJECT_SIDE:
+            key = _subject_key(name)
+            (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key, SNAPSHOT).sortBy(SNAPSHOT, key)
+             .option("path", f"{root}/{name}").saveAsTable(f"{database}.{name}"))
+        elif SNAPSHOT in df.columns:
+            df.write.mode("overwrite").partitionBy(SNAPSHOT).parquet(f"{root}/{name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+
+
+def read_model_bucketed(spark: SparkSession, root: str, buckets: int,
+                        database: str = "peerscore_model") -> dict[str, DataFrame]:
+    """The model written by ``write_model_bucketed``; subject-side tables come back bucketed."""
+    from peerscore.schemas import table_schema
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    out = {}
+    for name in MODEL_TABLES:
+        if name in SUBJECT_SIDE:
+            if not spark.catalog.tableExists(f"{database}.{name}"):
+                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table_schema(name).fields)
+                key = _subject_key(name)
+                spark.sql(
+                    f"CREATE TABLE {database}.{name} ({cols}) USING parquet "
+                    f"CLUSTERED BY ({key}, {SNAPSHOT}) SORTED BY ({SNAPSHOT}, {key}) INTO {buckets} BUCKETS "
+                    f"LOCATION '{root}/{name}'"
+                )
+            out[name] = spark.table(f"{database}.{name}")
+        else:
+            df = spark.read.parquet(f"{root}/{name}")
+            if SNAPSHOT in df.columns:
+                df = df.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
+            out[name] = df
+    return out

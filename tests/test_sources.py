@@ -60,3 +60,21 @@ def test_entry_contract(spark):
     assert df.columns == ["subject_id", "name", "group_id", "rating", "snapshot", "total_rank", "total_rank_int",
                           "group_rank"]
     assert df.count() > 0
+
+
+def test_bucketed_model_joins_without_shuffle(spark, model, tmp_dir):
+    from peerscore.operators.assemble import assemble_subject
+
+    src.write_model_bucketed(spark, model, f"{tmp_dir}/b", 4, database="pm_test")
+    bucketed = src.read_model_bucketed(spark, f"{tmp_dir}/b", 4, database="pm_test")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = assemble_subject(bucketed)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        got = {tuple(r) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    exp = {tuple(r) for r in assemble_subject(model).select(*df.columns).collect()}
+    assert got == exp
