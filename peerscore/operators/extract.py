@@ -157,7 +157,7 @@ def extract_listing(captures: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def extract_basic(captures: DataFrame) -> DataFrame:
-    """Fund house, risk, risk grade and return grade from the second details list."""
+    """House, risk, risk grade and return grade from the second details list."""
     lists = _extract_all(markup("body"), f'(?is)<ul[^>]*class="[^"]*{DETAILS_LIST_CLASS}[^"]*"[^>]*>(.*?)</ul>', 1)
     items = _extract_all(F.coalesce(F.get(lists, 1), F.lit("")), "(?is)<h4[^>]*>(.*?)</h4>", 1)
     df = captures.where(F.col("kind") == "basic").select("subject_id", "captured_on", items.alias("items"))

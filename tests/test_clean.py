@@ -29,15 +29,15 @@ def test_labels_and_names(spark):
     df = spark.createDataFrame([("A1+",), ("A and Below",), ("Cash Equivalent",), ("x/y",)], "l string")
     assert [r.n for r in df.select(clean.normalize_label("l").alias("n")).collect()] == [
         "a1plus", "a_and_below", "cash_equivalent", "xandy"]
-    df2 = spark.createDataFrame([("  ICICI Pru. -- Fund!! ",)], "s string")
-    assert df2.select(clean.normalize_name("s").alias("n")).first().n == "ICICI Pru Fund"
+    df2 = spark.createDataFrame([("  Acme Asset. -- Co!! ",)], "s string")
+    assert df2.select(clean.normalize_name("s").alias("n")).first().n == "Acme Asset Co"
 
 
 def test_url_functions(spark):
-    df = spark.createDataFrame([("/funds/3389/some-fund", "https://www.example.com:8080/search?q=1")], "p string, u string")
+    df = spark.createDataFrame([("/subjects/3389/some-name", "https://www.example.com:8080/search?q=1")], "p string, u string")
     r = df.select(clean.url_segment("p", 2).alias("id"), clean.url_segment("p", 9).alias("none"),
                   clean.absolute_url("u", "p").alias("abs")).first()
-    assert r.id == "3389" and r.none is None and r.abs == "https://www.example.com:8080/funds/3389/some-fund"
+    assert r.id == "3389" and r.none is None and r.abs == "https://www.example.com:8080/subjects/3389/some-name"
 
 
 def test_arrays(spark):

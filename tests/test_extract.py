@@ -17,27 +17,27 @@ def _body(html, field="tab_html"):
 def listing_html():
     def row(i, name, stars, cat_id, exp, assets):
         img = f'<img src="s.png" alt="{stars} star">' if stars else ""
-        return (f'<tr><td><a href="/funds/{i}/{name.lower()}">{name}</a></td><td>{img}</td><td>x</td><td>y</td>'
-                f'<td><a href="/a/b/c/{cat_id}" data-original-title="Banking and PSU">DT-BNK</a></td>'
+        return (f'<tr><td><a href="/subjects/{i}/{name.lower()}">{name}</a></td><td>{img}</td><td>x</td><td>y</td>'
+                f'<td><a href="/a/b/c/{cat_id}" data-original-title="Short Term">DT-BNK</a></td>'
                 f"<td>z</td><td> {exp} </td><td>w</td><td>{assets}</td></tr>")
-    rows = row(3389, "Alpha Fund", 4, 120, "0.45", "1,234") + row(3390, "Beta Fund", 0, 120, "--", "987")
+    rows = row(3389, "Alpha One", 4, 120, "0.45", "1,234") + row(3390, "Beta Two", 0, 120, "--", "987")
     rows += "<tr><td>broken</td></tr>"
     return f"<table><thead><tr><th>h</th></tr></thead><tbody>{rows}</tbody></table>"
 
 
 BASIC = ('<ul class="investment-details-list"><h4>ignored</h4></ul>'
-         '<ul class="investment-details-list fund"><h4><a href="/h">ICICI Pru. -- AMC!</a></h4><h4>a</h4><h4>b</h4>'
+         '<ul class="investment-details-list wide"><h4><a href="/h">Acme Asset. -- Co!</a></h4><h4>a</h4><h4>b</h4>'
          '<h4>c</h4><h4>Moderately Low</h4><h4>e</h4><h4>f</h4><h4>g</h4><h4> Above Average </h4>'
          '<h4> Average </h4></ul>')
 
 
 def returns_html(blank_middle=False):
-    fund = ["Fund", "a", "b", "c", "1.5", "2.5", "3.5", "4.5", "--", "6.5", "7.5"]
+    subj = ["Subject", "a", "b", "c", "1.5", "2.5", "3.5", "4.5", "--", "6.5", "7.5"]
     if blank_middle:
-        fund.insert(5, " ")
+        subj.insert(5, " ")
     cat = ["Category", "a", "b", "c", "1.0", "2.0", "3.0", "4.0", "5.0", "6.0", "7.0"]
     mk = lambda cells: "<tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"
-    return (f'<table id="return_over_time_table"><tbody>{mk(fund)}{mk(["rank"])}{mk(cat)}</tbody></table>')
+    return (f'<table id="return_over_time_table"><tbody>{mk(subj)}{mk(["rank"])}{mk(cat)}</tbody></table>')
 
 
 PORTFOLIO_HTML = (
@@ -52,7 +52,7 @@ PORTFOLIO_HTML = (
     "</tbody></table></div>")
 
 RISK_HTML = ('<div class="risk-table-view"><table><tbody>'
-             '<tr><td>Fund</td><td>8.1</td><td>1.2</td><td>0.9</td><td>1.1</td><td>-5.28</td><td>-1.75</td></tr>'
+             '<tr><td>Subject</td><td>8.1</td><td>1.2</td><td>0.9</td><td>1.1</td><td>-5.28</td><td>-1.75</td></tr>'
              '<tr><td>rank</td></tr>'
              '<tr><td>Category</td><td>7.0</td><td>1.0</td><td>0.8</td><td>1.0</td><td>0.9</td><td>0.1</td></tr>'
              "</tbody></table></div>")
@@ -75,7 +75,7 @@ def test_listing(spark):
     rows = {r.position: r for r in extract.extract_listing(captures(spark)).collect()}
     a, b, bad = rows[0], rows[1], rows[2]
     assert (a.id, a.name, a.rating, a.category_id, a.category, a.category_code, a.asset_value, a.expense_ratio) == (
-        "3389", "Alpha Fund", 4, "120", "Banking and PSU", "DT-BNK", 1234, 0.45)
+        "3389", "Alpha One", 4, "120", "Short Term", "ST-01", 1234, 0.45)
     assert (b.rating, b.expense_ratio, b.asset_value) == (0, 0.0, 987)
     assert a.reason is None and bad.reason is not None
     assert len(extract.extract_listing(captures(spark), limit=1).collect()) == 1
@@ -83,7 +83,7 @@ def test_listing(spark):
 
 def test_basic(spark):
     r = extract.extract_basic(captures(spark)).first()
-    assert (r.house, r.risk, r.risk_grade, r.return_grade) == ("ICICI Pru AMC", "Moderately Low", "Above Average",
+    assert (r.house, r.risk, r.risk_grade, r.return_grade) == ("Acme Asset Co", "Moderately Low", "Above Average",
                                                                 "Average")
 
 
@@ -129,7 +129,7 @@ def test_records_and_tables(spark):
     recs = {r.id: r for r in rec.collect()}
     assert set(recs) == {3389, 3390}
     a = recs[3389]
-    assert a.group_id == 120 and a.house == "ICICI Pru AMC" and json.loads(a.top_holdings)[0] == "Holding 0"
+    assert a.group_id == 120 and a.house == "Acme Asset Co" and json.loads(a.top_holdings)[0] == "Holding 0"
     kinds = {(r.kind, r.id) for r in rejects.collect()}
     assert ("credit", "3390") in kinds and any(k == "listing" for k, _ in kinds)
     tables = capture_to_tables(captures(spark))
