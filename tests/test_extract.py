@@ -18,7 +18,7 @@ def listing_html():
     def row(i, name, stars, cat_id, exp, assets):
         img = f'<img src="s.png" alt="{stars} star">' if stars else ""
         return (f'<tr><td><a href="/subjects/{i}/{name.lower()}">{name}</a></td><td>{img}</td><td>x</td><td>y</td>'
-                f'<td><a href="/a/b/c/{cat_id}" data-original-title="Short Term">DT-BNK</a></td>'
+                f'<td><a href="/a/b/c/{cat_id}" data-original-title="Short Term">ST-01</a></td>'
                 f"<td>z</td><td> {exp} </td><td>w</td><td>{assets}</td></tr>")
     rows = row(3389, "Alpha One", 4, 120, "0.45", "1,234") + row(3390, "Beta Two", 0, 120, "--", "987")
     rows += "<tr><td>broken</td></tr>"
