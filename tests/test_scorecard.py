@@ -207,3 +207,15 @@ def test_rank_and_store_idempotent(spark, tmp_dir):
     assert {tuple(r) for r in again.drop("modified").collect()} == first
     assert {r.modified for r in again.collect()} == {t2}
     assert len(first) == 10
+
+
+def test_coverage_one_date_history_is_one(spark, model):
+    from peerscore.operators.project import snapshot_filter
+
+    day = "1998-12-31"
+    one = {k: snapshot_filter(v, day) if "snapshot" in v.columns else v for k, v in model.items()}
+    got = assemble.coverage_fanout(one).collect()
+    assert got and all(r.n_rows == 1 for r in got)
+    # with the full history each row fans out over the group's dates squared (growth x risk)
+    full = {r.subject_id: r.n_rows for r in assemble.coverage_fanout(model).where(F.col("snapshot") == day).collect()}
+    assert set(full.values()) == {49}
