@@ -24,13 +24,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder used for reliable checkpoints.
 
-    A cluster names it; only when it is unset (local tests) a scratch folder is
-    created and registered.
+    Order: a checkpoint folder already set on the context, else the one named by
+    ``spark.checkpoint.dir`` (what a cluster configures); only when neither exists
+    (local tests) a scratch folder is created.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="peerscore-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target_partition_bytes: int = 256 << 20, minimum: int = 8) -> int:
+    """A starting ``spark.sql.shuffle.partitions`` for a job that shuffles ``shuffle_bytes``.
+
+    Adaptive execution coalesces small partitions and splits skewed ones at run
+    time, so this only needs to be large enough that no partition spills badly:
+    about one partition per ``target_partition_bytes`` of shuffled data.
+    """
+    return max(minimum, -(-shuffle_bytes // target_partition_bytes))
