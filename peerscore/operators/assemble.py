@@ -78,13 +78,37 @@ def assemble_group(df: DataFrame, model: dict[str, DataFrame], start=None, end=N
     return df
 
 
-def assemble_wide(model: dict[str, DataFrame], start=None, end=None, with_dimension: bool = True) -> DataFrame:
-    """The ten-way assembly (J4): one row per subject and snapshot that has all eight
-    dated feature rows; a subject without a dimension row is kept."""
-    df = assemble_subject(model, start, end)
+def group_side(model: dict[str, DataFrame], start=None, end=None, with_dimension: bool = True,
+               only: Column | None = None) -> DataFrame:
+    """The four group feature tables joined on (group_id, snapshot), plus the dimension (left, on group id).
+
+    All of these are small (one row per group and date), so the dimension is joined
+    here instead of onto the large subject frame: equivalent, because every group
+    table holds exactly one row per key, and the large frame is then shuffled once,
+    on (group_id, snapshot), which is also the partitioning the in-group windows need.
+    """
+    side = None
+    for name, fam in GROUP_FEATURE_TABLES.items():
+        f = feature_side(_dated(model[name], start, end), fam, "group")
+        side = f if side is None else side.join(f, GROUP_KEYS, "inner")
     if with_dimension:
-        df = assemble_dimension(df, model["group_dim"])
-    return assemble_group(df, model, start, end)
+        dim = model["group_dim"].select(F.col("id").alias(GROUP_ID), "category", "category_code")
+        side = side.join(dim, GROUP_ID, "left")
+    if only is not None:
+        side = F.broadcast(side.where(only))
+    return side
+
+
+def assemble_wide(model: dict[str, DataFrame], start=None, end=None, with_dimension: bool = True,
+                  subject: DataFrame | None = None, only: Column | None = None) -> DataFrame:
+    """The ten-way assembly (J4): one row per subject and snapshot that has all eight
+    dated feature rows; a subject without a dimension row is kept.
+
+    ``subject`` replaces the subject-side frame (e.g. a subset of groups); ``only``
+    restricts the group side to a bounded key set and broadcasts it.
+    """
+    df = subject if subject is not None else assemble_subject(model, start, end)
+    return df.join(group_side(model, start, end, with_dimension, only), GROUP_KEYS, "inner")
 
 
 def _key_counts(df: DataFrame, keys: list[str], out: str, rename: dict[str, str] | None = None) -> DataFrame:

@@ -12,13 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscore.functions.scoring import composite_score, growth_trend, horizontal_sum, ordinal_encode, pct_change_sum
-from peerscore.operators.assemble import (
-    assemble_dimension,
-    assemble_group,
-    assemble_subject,
-    assemble_wide,
-    base_frame,
-)
+from peerscore.operators.assemble import assemble_subject, assemble_wide, base_frame
 from peerscore.operators.project import nan_to_zero, snapshot_lit
 from peerscore.operators.ranking import (
     DEFAULT_HOT_ROWS,
@@ -125,11 +119,9 @@ def rank_range(
     if not hot:
         return _rank(assemble_wide(model, start, end), "window")
     is_hot = key_match(GROUP_KEYS, hot)
-    hot_ids = F.col(GROUP_ID).isin(sorted({k[0] for k in hot}))
     subj = assemble_subject(model, start, end)
-    cold = assemble_group(assemble_dimension(subj.where(~is_hot), model["group_dim"]), model, start, end)
-    warm = assemble_group(assemble_dimension(subj.where(is_hot), model["group_dim"], only=hot_ids),
-                          model, start, end, only=is_hot)
+    cold = assemble_wide(model, start, end, subject=subj.where(~is_hot))
+    warm = assemble_wide(model, start, end, subject=subj.where(is_hot), only=is_hot)
     return _rank(cold, "window").unionByName(_rank(warm, "distributed"))
 
 
