@@ -124,17 +124,25 @@ def coverage_fanout(model: dict[str, DataFrame], start=None, end=None) -> DataFr
     The subject tables join on (subject, date) but the two group tables join on
     the group alone, so each subject row fans out over the group's whole history.
     The count is computed as a product of per-key counts — the fan-out itself is
-    never materialised.
+    never materialised.  The per-group factor (dimension rows x group-growth rows
+    x group-risk rows) is one small table; the subject side is summed on its own
+    partitioning first, so a hot group never gathers the large frame in one task.
     """
     base = _dated(model["subject"], start, end).select(F.col("id").alias(SUBJECT_ID), SNAPSHOT, GROUP_ID)
     df = base
     for name in ["subject_risk", "subject_growth", "subject_credit"]:
         df = df.join(_key_counts(_dated(model[name], start, end), SUBJECT_KEYS, f"n_{name}"), SUBJECT_KEYS)
-    df = df.join(_key_counts(model["group_dim"], ["id"], "n_dim", {"id": GROUP_ID}), GROUP_ID)
-    for name in ["group_growth", "group_risk"]:
-        df = df.join(_key_counts(model[name], [GROUP_ID], f"n_{name}"), GROUP_ID)
-    product = (
-        F.col("n_subject_risk") * F.col("n_subject_growth") * F.col("n_subject_credit")
-        * F.col("n_dim") * F.col("n_group_growth") * F.col("n_group_risk")
+    per_subject = df.groupBy(SUBJECT_ID, SNAPSHOT, GROUP_ID).agg(
+        F.sum(F.col("n_subject_risk") * F.col("n_subject_growth") * F.col("n_subject_credit")).alias("n_s")
+    )
+    per_group = (
+        _key_counts(model["group_dim"], ["id"], "n_dim", {"id": GROUP_ID})
+        .join(_key_counts(model["group_growth"], [GROUP_ID], "n_gg"), GROUP_ID)
+        .join(_key_counts(model["group_risk"], [GROUP_ID], "n_gr"), GROUP_ID)
+        .select(GROUP_ID, (F.col("n_dim") * F.col("n_gg") * F.col("n_gr")).alias("n_g"))
+    )
+    return (
+        per_subject.join(per_group, GROUP_ID)
+        .groupBy(SUBJECT_ID, SNAPSHOT)
+        .agg(F.sum(F.col("n_s") * F.col("n_g")).alias("n_rows"))
     )
-    return df.groupBy(SUBJECT_ID, SNAPSHOT).agg(F.sum(product).alias("n_rows"))
