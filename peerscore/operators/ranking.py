@@ -23,6 +23,7 @@ values are not shifted by them.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,6 +54,13 @@ def window_dense_rank(value: Column, group_cols: Sequence[str], descending: bool
     return F.when(value.isNotNull(), F.dense_rank().over(w))
 
 
+def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` with NULL-safe equality (a NULL group is a group, as in a window)."""
+    r = right.select(*[F.col(c).alias(f"__jk_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = [left[k].eqNullSafe(r[f"__jk_{k}"]) for k in keys]
+    return left.join(r, cond, "inner").drop(*[f"__jk_{k}" for k in keys])
+
+
 def distributed_rank_table(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -75,7 +83,7 @@ def distributed_rank_table(
         return _global_rank_table(distinct, value, out, descending, buckets, accuracy)
     fractions = [i / buckets for i in range(1, buckets)]
     bounds = distinct.groupBy(*keys).agg(F.percentile_approx(v, fractions, accuracy).alias("__rk_bd"))
-    tagged = distinct.join(bounds, keys).select(
+    tagged = _join_keys(distinct, bounds, keys).select(
         *keys, v, F.size(F.filter("__rk_bd", lambda b: b < F.col(v))).alias(bk)
     )
     local = tagged.withColumn("__rk_l", F.row_number().over(Window.partitionBy(*keys, bk).orderBy(v)))
@@ -94,7 +102,7 @@ def distributed_rank_table(
     )
     asc = F.col("__rk_off") + F.col("__rk_l")
     rank = (F.col("__rk_tot") - asc + F.lit(1)) if descending else asc
-    return local.join(offsets, keys + [bk]).select(*keys, F.col(v).alias(value), rank.cast("int").alias(out))
+    return _join_keys(local, offsets, keys + [bk]).select(*keys, F.col(v).alias(value), rank.cast("int").alias(out))
 
 
 def _global_rank_table(distinct: DataFrame, value: str, out: str, descending: bool, buckets: int,
@@ -121,7 +129,7 @@ def _global_rank_table(distinct: DataFrame, value: str, out: str, descending: bo
 def _join_rank(df: DataFrame, table: DataFrame, group_cols: Sequence[str], value: str, out: str) -> DataFrame:
     keys = list(group_cols)
     t = table.select(*[F.col(k).alias(f"__rk_k_{k}") for k in keys], F.col(value).alias("__rk_jv"), out)
-    cond = [df[k] == t[f"__rk_k_{k}"] for k in keys] + [df[value] == t["__rk_jv"]]
+    cond = [df[k].eqNullSafe(t[f"__rk_k_{k}"]) for k in keys] + [df[value] == t["__rk_jv"]]
     return df.join(t, cond, "left").drop(*[f"__rk_k_{k}" for k in keys], "__rk_jv")
 
 
@@ -195,7 +203,7 @@ def hot_groups(sizes_of: DataFrame, group_cols: Sequence[str], hot_rows: int = D
     rows = (
         sizes_of.groupBy(*group_cols)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > hot_rows)
+        .where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in group_cols], F.col("__n") > hot_rows))
         .select(*group_cols)
         .limit(max_hot + 1)
         .collect()
@@ -206,10 +214,12 @@ def hot_groups(sizes_of: DataFrame, group_cols: Sequence[str], hot_rows: int = D
 
 
 def key_match(group_cols: Sequence[str], keys: list[tuple]) -> Column:
-    """Predicate: the row's group key is one of ``keys`` (a bounded literal set)."""
+    """Predicate: the row's group key is one of ``keys`` (a bounded literal set); never NULL."""
     if len(group_cols) == 1:
-        return F.col(group_cols[0]).isin([k[0] for k in keys])
-    return F.struct(*group_cols).isin([F.struct(*[F.lit(x) for x in k]) for k in keys])
+        match = F.col(group_cols[0]).isin([k[0] for k in keys])
+    else:
+        match = F.struct(*group_cols).isin([F.struct(*[F.lit(x) for x in k]) for k in keys])
+    return F.coalesce(match, F.lit(False))
 
 
 def by_group_size(

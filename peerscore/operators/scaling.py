@@ -45,7 +45,9 @@ def with_group_min_max(df: DataFrame, cols: Sequence[str], group_cols: Sequence[
         # one row of aggregates: attach it as literals instead of joining on a constant
         row = stats.first()
         return df.withColumns({c: F.lit(row[c]) for c in stats.columns})
-    return df.join(stats, list(group_cols), "left")
+    r = stats.select(*[F.col(c).alias(f"__jk_{c}") if c in group_cols else F.col(c) for c in stats.columns])
+    cond = [df[k].eqNullSafe(r[f"__jk_{k}"]) for k in group_cols]  # a NULL group is a group
+    return df.join(r, cond, "left").drop(*[f"__jk_{k}" for k in group_cols])
 
 
 def min_max_scale_cols(

@@ -85,3 +85,31 @@ def test_top_k(spark):
     ranked = add_dense_ranks(df, [RankSpec("v", "r", True)], ["g"], "window")
     top = top_k_per_group(ranked, "r", 2).collect()
     assert top and all(r.r <= 2 for r in top)
+
+
+def test_null_group_keys_survive_the_split(spark):
+    rows = [(i, None if i % 10 == 0 else i % 2, float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, g int, v double")
+    auto = {r.id: r.r for r in add_dense_ranks(df, [RankSpec("v", "r", True)], ["g"], "auto").collect()}
+    window = {r.id: r.r for r in add_dense_ranks(df, [RankSpec("v", "r", True)], ["g"], "window").collect()}
+    assert len(auto) == 200 and auto == window
+    from peerscore.operators.ranking import by_group_size
+
+    def build(frame, strategy):
+        return add_dense_ranks(frame, [RankSpec("v", "r", True)], ["g"], strategy, buckets=4)
+
+    split = {r.id: r.r for r in by_group_size(df, ["g"], build, hot_rows=50).collect()}
+    assert split == window
+
+
+def test_distributed_ranks_null_group(spark):
+    rows = [(i, None if i % 10 == 0 else i % 2, float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, g int, v double")
+    d = {r.id: r.r for r in add_dense_ranks(df, [RankSpec("v", "r", True)], ["g"], "distributed", 4).collect()}
+    w = {r.id: r.r for r in add_dense_ranks(df, [RankSpec("v", "r", True)], ["g"], "window").collect()}
+    assert d == w
+    from peerscore.operators.scaling import with_group_min_max
+
+    a = {r.id: (r["__min_v"], r["__max_v"]) for r in with_group_min_max(df, ["v"], ["g"], "window").collect()}
+    b = {r.id: (r["__min_v"], r["__max_v"]) for r in with_group_min_max(df, ["v"], ["g"], "distributed").collect()}
+    assert a == b
