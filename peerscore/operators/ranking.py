@@ -178,6 +178,37 @@ def add_dense_ranks(
     raise ValueError(f"unknown rank strategy {strategy!r}")
 
 
+def add_dense_ranks_long(
+    df: DataFrame,
+    specs: Sequence[RankSpec],
+    group_cols: Sequence[str],
+    row_key: str,
+    buckets: int = DEFAULT_BUCKETS,
+) -> DataFrame:
+    """Distributed dense ranks for many numeric columns in one pass.
+
+    The values go to a long (row, rank name, value) form — descending ranks on the
+    negated value — so one set of bucketed rank tables serves every column; the
+    ranks are pivoted back per ``row_key`` (which must be unique and stable, e.g.
+    materialised before a checkpoint).  Values must be free of NaN (see
+    ``nan_to_zero``).
+    """
+    keys = list(group_cols)
+    names = [s.out for s in specs]
+    entries = [
+        F.struct(
+            F.lit(s.out).alias("__rl_n"),
+            (-F.col(s.value).cast("double") if s.descending else F.col(s.value).cast("double")).alias("__rl_v"),
+        )
+        for s in specs
+    ]
+    long = df.select(*keys, row_key, F.inline(F.array(*entries)))
+    table = distributed_rank_table(long, keys + ["__rl_n"], "__rl_v", "__rl_r", False, buckets)
+    ranked = _join_rank(long, table, keys + ["__rl_n"], "__rl_v", "__rl_r")
+    wide = ranked.groupBy(row_key).pivot("__rl_n", names).agg(F.first("__rl_r"))
+    return df.join(wide, row_key, "left")
+
+
 def rank_desc(df: DataFrame, value: str, out: str, group_cols: Sequence[str], strategy: str = "auto") -> DataFrame:
     """Higher is better: the largest value gets rank 1."""
     return add_dense_ranks(df, [RankSpec(value, out, True)], group_cols, strategy)

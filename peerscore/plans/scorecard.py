@@ -19,6 +19,7 @@ from peerscore.operators.ranking import (
     DEFAULT_MAX_HOT,
     RankSpec,
     add_dense_ranks,
+    add_dense_ranks_long,
     hot_groups,
     key_match,
 )
@@ -58,6 +59,7 @@ SCORE_TERMS = [
 ]
 RANKING_COLUMNS = [SUBJECT_ID, "name", GROUP_ID, "rating", SNAPSHOT, "total_rank", "total_rank_int", "group_rank"]
 SCORE_DIGITS = 6
+ROW_ID = "__row_id"
 
 
 def score_terms(wide: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window") -> DataFrame:
@@ -71,7 +73,10 @@ def score_terms(wide: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window"
     })
     df = tiered_scale(df, SCALED_TIERS, group_cols, strategy)
     df = df.withColumn("f_total", horizontal_sum(SCALED_COLS))
-    df = add_dense_ranks(df, RANK_SPECS, group_cols, strategy)
+    if strategy == "distributed" and ROW_ID in df.columns:
+        df = add_dense_ranks_long(df, RANK_SPECS, group_cols, ROW_ID)
+    else:
+        df = add_dense_ranks(df, RANK_SPECS, group_cols, strategy)
     return df.withColumn("total_rank", F.round(composite_score(SCORE_TERMS), SCORE_DIGITS))
 
 
@@ -89,9 +94,10 @@ def rank_terms(scored: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window
 def _rank(wide: DataFrame, strategy: str) -> DataFrame:
     if strategy == "distributed":
         # the frame feeds every rank table: cut its lineage once (reliable checkpoint in the
-        # shared folder) instead of re-running the assembly joins for each of them
+        # shared folder) instead of re-running the assembly joins for each of them; the row
+        # id is stored with it, so it stays the same if a task is re-run
         checkpoint_dir(wide.sparkSession)
-        wide = wide.checkpoint(eager=True)
+        wide = wide.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint(eager=True)
     return rank_terms(score_terms(wide, GROUP_KEYS, strategy), GROUP_KEYS, strategy)
 
 

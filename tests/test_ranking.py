@@ -113,3 +113,14 @@ def test_distributed_ranks_null_group(spark):
     a = {r.id: (r["__min_v"], r["__max_v"]) for r in with_group_min_max(df, ["v"], ["g"], "window").collect()}
     b = {r.id: (r["__min_v"], r["__max_v"]) for r in with_group_min_max(df, ["v"], ["g"], "distributed").collect()}
     assert a == b
+
+
+def test_long_form_ranks_match_window(spark):
+    from peerscore.operators.ranking import add_dense_ranks_long
+
+    rows, df = _data(spark, 1500, seed=8)
+    df = df.withColumn("w", (F.col("v") * 3) % 17).withColumn("n", F.col("id") % 5)
+    specs = [RankSpec("v", "rv", True), RankSpec("w", "rw", False), RankSpec("n", "rn", True)]
+    a = {r.id: (r.rv, r.rw, r.rn) for r in add_dense_ranks(df, specs, ["g"], "window").collect()}
+    b = {r.id: (r.rv, r.rw, r.rn) for r in add_dense_ranks_long(df, specs, ["g"], "id", buckets=4).collect()}
+    assert a == b
