@@ -260,6 +260,14 @@ def _null_counts() -> str:
     )
 
 
+def _family_oracle(fam: str, names, extra: str = "") -> str:
+    s_cols = ", ".join(f"sx.{q(c)} AS {q('s_' + fam + '_' + c)}" for c in names)
+    g_cols = ", ".join(f"gx.{q(c)} AS {q('g_' + fam + '_' + c)}" for c in names)
+    return f"""SELECT sx.subject_id, sx.snapshot, {s_cols}, {g_cols}{extra}
+FROM m_subject_{fam} sx JOIN m_subject s ON s.id = sx.subject_id AND s.snapshot = sx.snapshot
+JOIN m_group_{fam} gx ON gx.group_id = s.group_id AND gx.snapshot = sx.snapshot"""
+
+
 def oracle_sql() -> dict[str, str]:
     rank_where = f"WHERE s.snapshot = DATE '{RANK_DATE}'"
     s_cols = ", ".join(q(f"s_{fam}_{c}") for _, fam, names in S_FAMS for c in names)
@@ -385,6 +393,12 @@ FROM links""",
             f"gc.{c} AS g_credit_{c}" for c in CREDIT) + """
 FROM m_subject_credit sc JOIN m_subject s ON s.id = sc.subject_id AND s.snapshot = sc.snapshot
 JOIN m_group_credit gc ON gc.group_id = s.group_id AND gc.snapshot = sc.snapshot"""),
+        "extract_returns": with_model(_family_oracle("growth", HORIZONS)),
+        "extract_risk": with_model(_family_oracle("risk", RISK)),
+        "extract_portfolio": with_model(_family_oracle("portfolio", PORTFOLIO, extra=", 0 AS n_holdings")),
+        "extract_basic": with_model("""SELECT id AS subject_id, snapshot,
+  trim(regexp_replace(house, '[^0-9a-zA-Z]+', ' ', 'g')) AS house, risk, 'Average' AS risk_grade,
+  'Average' AS return_grade FROM m_subject"""),
         "upsert_last_wins": """SELECT user_id, event_type, ts, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
         "upsert_dated": with_model(f""",

@@ -20,6 +20,7 @@ from peerscore.schemas import (
     GROUP_KEYS,
     GROWTH,
     PORTFOLIO,
+    RISK,
     RISK_ORDINAL_DEFAULT,
     RISK_ORDINALS,
     SNAPSHOT,
@@ -399,6 +400,92 @@ def extract_credit(spark, sf_dir):
                       *CREDIT.subject_cols, *CREDIT.group_cols)
 
 
+def _cell(c) -> F.Column:
+    """A value as a captured cell: 0 shows as the missing mark, as on the pages."""
+    return F.concat(F.lit("<td>"), F.when(F.col(c) == 0, F.lit("--")).otherwise(F.col(c).cast("string")),
+                    F.lit("</td>"))
+
+
+def _row(label: str, cells, blank_after_label: bool = False) -> F.Column:
+    parts = [F.lit(f"<tr><td>{label}</td>" + ("<td> </td>" if blank_after_label else ""))]
+    return F.concat(*parts, *cells, F.lit("</tr>"))
+
+
+def _two_row_family_captures(model, family, table, kind: str, open_markup: str, close_markup: str, pad: int):
+    """Capture bodies of a two-row (subject row 0, group row 2) table rendered from the model."""
+    base = model["subject"].select(F.col("id").alias(SUBJECT_ID), SNAPSHOT, GROUP_ID)
+    s = model[f"subject_{table}"].select(SUBJECT_ID, SNAPSHOT, *[F.col(c).alias(f"s_{c}") for c in family.columns])
+    g = model[f"group_{table}"].select(GROUP_ID, SNAPSHOT, *[F.col(c).alias(f"g_{c}") for c in family.columns])
+    df = s.join(base, [SUBJECT_ID, SNAPSHOT]).join(g, [GROUP_ID, SNAPSHOT])
+    filler = [F.lit(f"<td>x{i}</td>") for i in range(pad)]
+    html = F.concat(
+        F.lit(open_markup + "<tbody>"),
+        _row("Subject", filler + [_cell(f"s_{c}") for c in family.columns], blank_after_label=True),
+        F.lit("<tr><td>Rank</td></tr>"),
+        _row("Group", filler + [_cell(f"g_{c}") for c in family.columns]),
+        F.lit("</tbody>" + close_markup),
+    )
+    return df.select(F.col(SUBJECT_ID).cast("string").alias(SUBJECT_ID), F.lit(kind).alias("kind"),
+                     F.col(SNAPSHOT).alias("captured_on"), F.to_json(F.struct(html.alias("tab_html"))).alias("body"))
+
+
+def _family_result(out, family):
+    return out.select(F.col(SUBJECT_ID).cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT),
+                      *family.subject_cols, *family.group_cols)
+
+
+def extract_returns(spark, sf_dir):
+    caps = _two_row_family_captures(_model(spark, sf_dir), GROWTH, "growth", "returns",
+                                    f'<table class="t" id="{extract.RETURNS_TABLE_ID}">', "</table>",
+                                    extract.RETURNS_FIRST_CELL - 1)
+    return _family_result(extract.extract_returns(caps), GROWTH)
+
+
+def extract_risk(spark, sf_dir):
+    caps = _two_row_family_captures(_model(spark, sf_dir), RISK, "risk", "risk",
+                                    f'<div class="{extract.RISK_DIV_CLASS}"><table>', "</table></div>",
+                                    extract.RISK_FIRST_CELL - 1)
+    return _family_result(extract.extract_risk(caps), RISK)
+
+
+def extract_portfolio(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    base = m["subject"].select(F.col("id").alias(SUBJECT_ID), SNAPSHOT, GROUP_ID)
+    s = m["subject_portfolio"].select(SUBJECT_ID, SNAPSHOT, *[F.col(c).alias(f"s_{c}") for c in PORTFOLIO.columns])
+    g = m["group_portfolio"].select(GROUP_ID, SNAPSHOT, *[F.col(c).alias(f"g_{c}") for c in PORTFOLIO.columns])
+    df = s.join(base, [SUBJECT_ID, SNAPSHOT]).join(g, [GROUP_ID, SNAPSHOT])
+    rows = [F.concat(F.lit(f"<tr><td>{c}</td>"), _cell(f"s_{c}"), _cell(f"g_{c}"), F.lit("</tr>"))
+            for c in PORTFOLIO.columns]
+    html = F.concat(
+        F.lit(f'<table id="{extract.HOLDINGS_TABLE_ID}"><tbody></tbody></table>'
+              f'<div id="{extract.PORTFOLIO_DIV_ID}"><table class="table"><tbody>'),
+        *rows,
+        F.lit("</tbody></table></div>"),
+    )
+    caps = df.select(F.col(SUBJECT_ID).cast("string").alias(SUBJECT_ID), F.lit("portfolio").alias("kind"),
+                     F.col(SNAPSHOT).alias("captured_on"), F.to_json(F.struct(html.alias("tab_html"))).alias("body"))
+    out = extract.extract_portfolio(caps)
+    return _family_result(out, PORTFOLIO).join(
+        out.select(F.col(SUBJECT_ID).cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT),
+                   F.size("top_holdings").alias("n_holdings")), [SUBJECT_ID, SNAPSHOT])
+
+
+def extract_basic(spark, sf_dir):
+    s = _model(spark, sf_dir)["subject"]
+    items = F.concat(
+        F.lit('<ul class="investment-details-list"><h4>first list</h4></ul>'
+              '<ul class="investment-details-list"><h4><a href="/h">'),
+        F.col("house"), F.lit("</a></h4><h4>a</h4><h4>b</h4><h4>c</h4><h4>"), F.col("risk"),
+        F.lit("</h4><h4>e</h4><h4>f</h4><h4>g</h4><h4> "), F.col("risk_grade"), F.lit(" </h4><h4> "),
+        F.col("return_grade"), F.lit(" </h4></ul>"),
+    )
+    caps = s.select(F.col("id").cast("string").alias(SUBJECT_ID), F.lit("basic").alias("kind"),
+                    F.col(SNAPSHOT).alias("captured_on"), F.to_json(F.struct(items.alias("tab_html"))).alias("body"))
+    return extract.extract_basic(caps).select(
+        F.col(SUBJECT_ID).cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT),
+        "house", "risk", "risk_grade", "return_grade")
+
+
 # ---------- upserts and sources ----------
 
 def upsert_last_wins(spark, sf_dir):
@@ -504,6 +591,10 @@ QUERIES = {
     "listing_limit": listing_limit,
     "extract_links": extract_links,
     "extract_credit": extract_credit,
+    "extract_returns": extract_returns,
+    "extract_risk": extract_risk,
+    "extract_portfolio": extract_portfolio,
+    "extract_basic": extract_basic,
     "upsert_last_wins": upsert_last_wins,
     "upsert_dated": upsert_dated,
     "upsert_keep_first": upsert_keep_first,
