@@ -399,6 +399,21 @@ JOIN m_group_credit gc ON gc.group_id = s.group_id AND gc.snapshot = sc.snapshot
         "extract_basic": with_model("""SELECT id AS subject_id, snapshot,
   trim(regexp_replace(house, '[^0-9a-zA-Z]+', ' ', 'g')) AS house, risk, 'Average' AS risk_grade,
   'Average' AS return_grade FROM m_subject"""),
+        "extract_listing": with_model("""SELECT s.id AS subject_id, s.snapshot, s.name, s.rating, s.group_id,
+  d.category, d.category_code, s.asset_value, s.expense_ratio
+FROM m_subject s LEFT JOIN m_group_dim d ON d.id = s.group_id"""),
+        "capture_records": with_model("""SELECT s.id AS subject_id, s.snapshot, s.name, s.group_id,
+  trim(regexp_replace(s.house, '[^0-9a-zA-Z]+', ' ', 'g')) AS house, s.risk,
+  sg."3m" AS s_growth_3m, gg."10y" AS g_growth_10y, sc.aaa AS s_credit_aaa, gc.aa AS g_credit_aa,
+  sp.num_securities AS s_portfolio_num_securities, gr.alpha AS g_risk_alpha, '[]' AS top_holdings
+FROM m_subject s
+JOIN m_subject_growth sg ON sg.subject_id = s.id AND sg.snapshot = s.snapshot
+JOIN m_subject_credit sc ON sc.subject_id = s.id AND sc.snapshot = s.snapshot
+JOIN m_subject_portfolio sp ON sp.subject_id = s.id AND sp.snapshot = s.snapshot
+JOIN m_group_growth gg ON gg.group_id = s.group_id AND gg.snapshot = s.snapshot
+JOIN m_group_credit gc ON gc.group_id = s.group_id AND gc.snapshot = s.snapshot
+JOIN m_group_risk gr ON gr.group_id = s.group_id AND gr.snapshot = s.snapshot"""),
+        "capture_to_tables": with_model("SELECT group_id, " + ", ".join(RISK) + ", snapshot FROM m_group_risk"),
         "upsert_last_wins": """SELECT user_id, event_type, ts, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
         "upsert_dated": with_model(f""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from peerscore.functions import clean, scoring
 from peerscore.operators import assemble, audit, extract, project, ranking, reshape, scaling, upsert
-from peerscore.plans import dashboards, scorecard
+from peerscore.plans import capture, dashboards, scorecard
 from peerscore.schemas import (
     CREDIT,
     CREDIT_BUCKETS,
@@ -448,8 +448,7 @@ def extract_risk(spark, sf_dir):
     return _family_result(extract.extract_risk(caps), RISK)
 
 
-def extract_portfolio(spark, sf_dir):
-    m = _model(spark, sf_dir)
+def _portfolio_captures(m) -> DataFrame:
     base = m["subject"].select(F.col("id").alias(SUBJECT_ID), SNAPSHOT, GROUP_ID)
     s = m["subject_portfolio"].select(SUBJECT_ID, SNAPSHOT, *[F.col(c).alias(f"s_{c}") for c in PORTFOLIO.columns])
     g = m["group_portfolio"].select(GROUP_ID, SNAPSHOT, *[F.col(c).alias(f"g_{c}") for c in PORTFOLIO.columns])
@@ -462,16 +461,19 @@ def extract_portfolio(spark, sf_dir):
         *rows,
         F.lit("</tbody></table></div>"),
     )
-    caps = df.select(F.col(SUBJECT_ID).cast("string").alias(SUBJECT_ID), F.lit("portfolio").alias("kind"),
+    return df.select(F.col(SUBJECT_ID).cast("string").alias(SUBJECT_ID), F.lit("portfolio").alias("kind"),
                      F.col(SNAPSHOT).alias("captured_on"), F.to_json(F.struct(html.alias("tab_html"))).alias("body"))
-    out = extract.extract_portfolio(caps)
+
+
+def extract_portfolio(spark, sf_dir):
+    out = extract.extract_portfolio(_portfolio_captures(_model(spark, sf_dir)))
     return _family_result(out, PORTFOLIO).join(
         out.select(F.col(SUBJECT_ID).cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT),
                    F.size("top_holdings").alias("n_holdings")), [SUBJECT_ID, SNAPSHOT])
 
 
-def extract_basic(spark, sf_dir):
-    s = _model(spark, sf_dir)["subject"]
+def _basic_captures(m) -> DataFrame:
+    s = m["subject"]
     items = F.concat(
         F.lit('<ul class="investment-details-list"><h4>first list</h4></ul>'
               '<ul class="investment-details-list"><h4><a href="/h">'),
@@ -479,13 +481,87 @@ def extract_basic(spark, sf_dir):
         F.lit("</h4><h4>e</h4><h4>f</h4><h4>g</h4><h4> "), F.col("risk_grade"), F.lit(" </h4><h4> "),
         F.col("return_grade"), F.lit(" </h4></ul>"),
     )
-    caps = s.select(F.col("id").cast("string").alias(SUBJECT_ID), F.lit("basic").alias("kind"),
+    return s.select(F.col("id").cast("string").alias(SUBJECT_ID), F.lit("basic").alias("kind"),
                     F.col(SNAPSHOT).alias("captured_on"), F.to_json(F.struct(items.alias("tab_html"))).alias("body"))
-    return extract.extract_basic(caps).select(
+
+
+def extract_basic(spark, sf_dir):
+    return extract.extract_basic(_basic_captures(_model(spark, sf_dir))).select(
         F.col(SUBJECT_ID).cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT),
         "house", "risk", "risk_grade", "return_grade")
 
 
+LISTING_PAGE_ROWS = 25
+
+
+def listing_captures(model) -> DataFrame:
+    """Paginated listing pages rendered from the model: at most ``LISTING_PAGE_ROWS`` rows per page
+    (pages cut by id range), each row in the listing layout the extraction expects."""
+    dim = model["group_dim"].select(F.col("id").alias(GROUP_ID), "category", "category_code")
+    s = model["subject"].join(dim, GROUP_ID, "left")
+    slug = F.regexp_replace(F.lower("name"), " ", "-")
+    img = F.when(F.col("rating") > 0, F.concat(F.lit('<img src="r.png" alt="'), F.col("rating").cast("string"),
+                                                 F.lit(' star">'))).otherwise(F.lit(""))
+    ratio = F.when(F.col("expense_ratio") == 0, F.lit("--")).otherwise(F.col("expense_ratio").cast("string"))
+    row = F.concat(
+        F.lit('<tr><td><a href="/subjects/'), F.col("id").cast("string"), F.lit("/"), slug, F.lit('">'),
+        F.col("name"), F.lit("</a></td><td>"), img, F.lit("</td><td>x</td><td>y</td>"),
+        F.lit('<td><a href="/a/b/c/'), F.col(GROUP_ID).cast("string"), F.lit('" data-original-title="'),
+        F.coalesce(F.col("category"), F.lit("")), F.lit('">'), F.coalesce(F.col("category_code"), F.lit("")),
+        F.lit("</a></td><td>z</td><td> "), ratio, F.lit(" </td><td>w</td><td>"),
+        F.format_number(F.col("asset_value"), 0), F.lit("</td></tr>"),
+    )
+    pages = s.groupBy(SNAPSHOT, F.expr(f"id div {LISTING_PAGE_ROWS}").alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("id"), row.alias("html")))).alias("rows")
+    )
+    html = F.concat(F.lit("<table><thead><tr><th>Name</th></tr></thead><tbody>"),
+                    F.array_join(F.transform("rows", lambda r: r["html"]), ""), F.lit("</tbody></table>"))
+    return pages.select(F.lit("").alias(SUBJECT_ID), F.lit("listing").alias("kind"),
+                        F.col(SNAPSHOT).alias("captured_on"), F.to_json(F.struct(html.alias("html_data"))).alias("body"))
+
+
+def extract_listing(spark, sf_dir):
+    out = extract.extract_listing(listing_captures(_model(spark, sf_dir)))
+    return out.select(
+        F.col("id").cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT), "name", "rating",
+        F.col("category_id").cast("int").alias(GROUP_ID), "category", "category_code",
+        F.col("asset_value").cast("long").alias("asset_value"), "expense_ratio",
+    )
+
+
+def model_captures(model) -> DataFrame:
+    """Every kind of captured body for every subject and snapshot, rendered from the model."""
+    parts = [
+        listing_captures(model),
+        _basic_captures(model),
+        _two_row_family_captures(model, GROWTH, "growth", "returns",
+                                 f'<table class="t" id="{extract.RETURNS_TABLE_ID}">', "</table>",
+                                 extract.RETURNS_FIRST_CELL - 1),
+        _two_row_family_captures(model, RISK, "risk", "risk", f'<div class="{extract.RISK_DIV_CLASS}"><table>',
+                                 "</table></div>", extract.RISK_FIRST_CELL - 1),
+        _portfolio_captures(model),
+        credit_captures(model),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def capture_records(spark, sf_dir):
+    rec, _ = capture.capture_records(model_captures(_model(spark, sf_dir)))
+    return rec.select(
+        F.col("id").alias(SUBJECT_ID), SNAPSHOT, "name", GROUP_ID, "house", "risk",
+        GROWTH.subject_col("3m"), GROWTH.group_col("10y"), CREDIT.subject_col("aaa"), CREDIT.group_col("aa"),
+        PORTFOLIO.subject_col("num_securities"), RISK.group_col("alpha"), "top_holdings",
+    )
+
+
+def capture_to_tables(spark, sf_dir):
+    tables = capture.capture_to_tables(model_captures(_model(spark, sf_dir)))
+    return tables["group_risk"]
+
+
 # ---------- upserts and sources ----------
 
 def upsert_last_wins(spark, sf_dir):
@@ -595,6 +671,9 @@ QUERIES = {
     "extract_risk": extract_risk,
     "extract_portfolio": extract_portfolio,
     "extract_basic": extract_basic,
+    "extract_listing": extract_listing,
+    "capture_records": capture_records,
+    "capture_to_tables": capture_to_tables,
     "upsert_last_wins": upsert_last_wins,
     "upsert_dated": upsert_dated,
     "upsert_keep_first": upsert_keep_first,
