@@ -32,9 +32,16 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_MAX_HOT = 10_000
 DEFAULT_BUCKETS = 128
+MAX_BUCKETS = 65_536
+DEFAULT_BUCKET_ROWS = 1_000_000
 DEFAULT_ACCURACY = 2_000
 
 
+def buckets_for(rows: int, target_rows: int = DEFAULT_BUCKET_ROWS) -> int:
+    """Buckets per group so that one bucket holds about ``target_rows`` values of the largest group."""
+    return int(min(MAX_BUCKETS, max(DEFAULT_BUCKETS, -(-int(rows) // target_rows))))
+
+
 @dataclass(frozen=True)
 class RankSpec:
     """``out`` = dense rank of ``value`` inside the group; 1 = highest if ``descending``."""
@@ -82,6 +89,7 @@ def distributed_rank_table(
     if not keys:
         return _global_rank_table(distinct, value, out, descending, buckets, accuracy)
     fractions = [i / buckets for i in range(1, buckets)]
+    accuracy = max(accuracy, 8 * buckets)
     bounds = distinct.groupBy(*keys).agg(F.percentile_approx(v, fractions, accuracy).alias("__rk_bd"))
     tagged = _join_keys(distinct, bounds, keys).select(
         *keys, v, F.size(F.filter("__rk_bd", lambda b: b < F.col(v))).alias(bk)
@@ -112,7 +120,7 @@ def _global_rank_table(distinct: DataFrame, value: str, out: str, descending: bo
     constant key and no single-partition window."""
     v, bk = "__rk_v", "__rk_b"
     fractions = [i / buckets for i in range(1, buckets)]
-    bounds = distinct.agg(F.percentile_approx(v, fractions, accuracy).alias("b")).first().b or []
+    bounds = distinct.agg(F.percentile_approx(v, fractions, max(accuracy, 8 * buckets)).alias("b")).first().b or []
     lit_bounds = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast(f"array<{distinct.schema[v].dataType.simpleString()}>")
     tagged = distinct.withColumn(bk, F.size(F.filter(lit_bounds, lambda b: b < F.col(v))))
     counts = {r[0]: r[1] for r in tagged.groupBy(bk).count().collect()}
@@ -164,7 +172,9 @@ def add_dense_ranks(
     if strategy == "auto":
         if not group_cols:
             return add_dense_ranks(df, specs, group_cols, "distributed", buckets)
-        return by_group_size(df, group_cols, lambda f, how: add_dense_ranks(f, specs, group_cols, how, buckets))
+        return by_group_size(
+            df, group_cols, lambda f, how, buckets=buckets: add_dense_ranks(f, specs, group_cols, how, buckets)
+        )
     if strategy == "window" and group_cols:
         return df.withColumns(
             {s.out: window_dense_rank(F.col(s.value), group_cols, s.descending) for s in specs}
@@ -225,23 +235,29 @@ def rank_global(df: DataFrame, value: str, out: str, descending: bool = True,
     return dense_rank_distributed(df, [], value, out, descending, buckets)
 
 
-def hot_groups(sizes_of: DataFrame, group_cols: Sequence[str], hot_rows: int = DEFAULT_HOT_ROWS,
-               max_hot: int = DEFAULT_MAX_HOT) -> list[tuple] | None:
-    """Keys of groups with more than ``hot_rows`` rows; ``None`` if there are more than ``max_hot``.
+def hot_groups_sized(sizes_of: DataFrame, group_cols: Sequence[str], hot_rows: int = DEFAULT_HOT_ROWS,
+                     max_hot: int = DEFAULT_MAX_HOT) -> tuple[list[tuple] | None, int]:
+    """(keys of groups with more than ``hot_rows`` rows, size of the largest group).
 
-    One partial aggregation; at most ``max_hot + 1`` small rows reach the driver.
+    The keys are ``None`` if there are more than ``max_hot`` of them.  One partial
+    aggregation; at most ``max_hot + 1`` small rows and one number reach the driver.
     """
+    sizes = sizes_of.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
     rows = (
-        sizes_of.groupBy(*group_cols)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in group_cols], F.col("__n") > hot_rows))
-        .select(*group_cols)
+        sizes.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in group_cols], F.col("__n") > hot_rows))
+        .select(*group_cols, "__n")
         .limit(max_hot + 1)
         .collect()
     )
     if len(rows) > max_hot:
-        return None
-    return [tuple(r) for r in rows]
+        return None, int(sizes.agg(F.max("__n")).first()[0] or 0)
+    return [tuple(r)[:-1] for r in rows], max([r["__n"] for r in rows], default=0)
+
+
+def hot_groups(sizes_of: DataFrame, group_cols: Sequence[str], hot_rows: int = DEFAULT_HOT_ROWS,
+               max_hot: int = DEFAULT_MAX_HOT) -> list[tuple] | None:
+    """Keys of groups with more than ``hot_rows`` rows; ``None`` if there are more than ``max_hot``."""
+    return hot_groups_sized(sizes_of, group_cols, hot_rows, max_hot)[0]
 
 
 def key_match(group_cols: Sequence[str], keys: list[tuple]) -> Column:
@@ -262,18 +278,21 @@ def by_group_size(
     max_hot: int = DEFAULT_MAX_HOT,
 ) -> DataFrame:
     """Run ``build(frame, strategy)`` with ``window`` for ordinary groups and
-    ``distributed`` for hot ones, and union the two results.
+    ``build(frame, "distributed", buckets=...)`` for hot ones (buckets sized from the
+    largest group), and union the two results.
 
     ``sizes_of`` is a cheap frame with the same groups (e.g. the base table) used
     to size them; defaults to ``df``.
     """
-    hot = hot_groups(sizes_of if sizes_of is not None else df, group_cols, hot_rows, max_hot)
+    hot, largest = hot_groups_sized(sizes_of if sizes_of is not None else df, group_cols, hot_rows, max_hot)
     if hot is None:
-        return build(df, "distributed")
+        return build(df, "distributed", buckets=buckets_for(largest))
     if not hot:
         return build(df, "window")
     is_hot = key_match(group_cols, hot)
-    return build(df.where(~is_hot), "window").unionByName(build(df.where(is_hot), "distributed"))
+    return build(df.where(~is_hot), "window").unionByName(
+        build(df.where(is_hot), "distributed", buckets=buckets_for(largest))
+    )
 
 
 def top_k_per_group(df: DataFrame, rank_col: str, k: int) -> DataFrame:

@@ -15,12 +15,14 @@ from peerscore.functions.scoring import composite_score, growth_trend, horizonta
 from peerscore.operators.assemble import assemble_subject, assemble_wide, base_frame
 from peerscore.operators.project import nan_to_zero, snapshot_lit
 from peerscore.operators.ranking import (
+    DEFAULT_BUCKETS,
     DEFAULT_HOT_ROWS,
     DEFAULT_MAX_HOT,
     RankSpec,
     add_dense_ranks,
     add_dense_ranks_long,
-    hot_groups,
+    buckets_for,
+    hot_groups_sized,
     key_match,
 )
 from peerscore.operators.scaling import tiered_scale
@@ -62,7 +64,8 @@ SCORE_DIGITS = 6
 ROW_ID = "__row_id"
 
 
-def score_terms(wide: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window") -> DataFrame:
+def score_terms(wide: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window",
+                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """All twelve peer-relative terms and ``total_rank`` for an assembled wide frame."""
     df = nan_to_zero(wide)
     df = df.withColumns({
@@ -74,31 +77,31 @@ def score_terms(wide: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window"
     df = tiered_scale(df, SCALED_TIERS, group_cols, strategy)
     df = df.withColumn("f_total", horizontal_sum(SCALED_COLS))
     if strategy == "distributed" and ROW_ID in df.columns:
-        df = add_dense_ranks_long(df, RANK_SPECS, group_cols, ROW_ID)
+        df = add_dense_ranks_long(df, RANK_SPECS, group_cols, ROW_ID, buckets)
     else:
-        df = add_dense_ranks(df, RANK_SPECS, group_cols, strategy)
+        df = add_dense_ranks(df, RANK_SPECS, group_cols, strategy, buckets)
     return df.withColumn("total_rank", F.round(composite_score(SCORE_TERMS), SCORE_DIGITS))
 
 
 def rank_terms(scored: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window",
-               descending: bool = True) -> DataFrame:
+               descending: bool = True, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Ranking rows: in-group dense rank of ``total_rank`` (W3; 1 = highest when descending)."""
     out = scored.select(
         SUBJECT_ID, "name", GROUP_ID, "rating", SNAPSHOT, "total_rank",
         F.round("total_rank").cast("int").alias("total_rank_int"),
     )
-    out = add_dense_ranks(out, [RankSpec("total_rank", "group_rank", descending)], group_cols, strategy)
+    out = add_dense_ranks(out, [RankSpec("total_rank", "group_rank", descending)], group_cols, strategy, buckets)
     return out.select(*RANKING_COLUMNS)
 
 
-def _rank(wide: DataFrame, strategy: str) -> DataFrame:
+def _rank(wide: DataFrame, strategy: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     if strategy == "distributed":
         # the frame feeds every rank table: cut its lineage once (reliable checkpoint in the
         # shared folder) instead of re-running the assembly joins for each of them; the row
         # id is stored with it, so it stays the same if a task is re-run
         checkpoint_dir(wide.sparkSession)
         wide = wide.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint(eager=True)
-    return rank_terms(score_terms(wide, GROUP_KEYS, strategy), GROUP_KEYS, strategy)
+    return rank_terms(score_terms(wide, GROUP_KEYS, strategy, buckets), GROUP_KEYS, strategy, buckets=buckets)
 
 
 def rank_range(
@@ -117,18 +120,22 @@ def rank_range(
     those keys by broadcast and are ranked the distributed way.  With more hot
     keys than that, everything goes the distributed way.
     """
+    sizes = base_frame(model, start, end, columns=[GROUP_ID])
+    if strategy == "distributed":
+        largest = sizes.groupBy(*GROUP_KEYS).count().agg(F.max("count")).first()[0] or 0
+        return _rank(assemble_wide(model, start, end), strategy, buckets_for(largest))
     if strategy != "auto":
         return _rank(assemble_wide(model, start, end), strategy)
-    hot = hot_groups(base_frame(model, start, end, columns=[GROUP_ID]), GROUP_KEYS, hot_rows, max_hot)
+    hot, largest = hot_groups_sized(sizes, GROUP_KEYS, hot_rows, max_hot)
     if hot is None:
-        return _rank(assemble_wide(model, start, end), "distributed")
+        return _rank(assemble_wide(model, start, end), "distributed", buckets_for(largest))
     if not hot:
         return _rank(assemble_wide(model, start, end), "window")
     is_hot = key_match(GROUP_KEYS, hot)
     subj = assemble_subject(model, start, end)
     cold = assemble_wide(model, start, end, subject=subj.where(~is_hot))
     warm = assemble_wide(model, start, end, subject=subj.where(is_hot), only=is_hot)
-    return _rank(cold, "window").unionByName(_rank(warm, "distributed"))
+    return _rank(cold, "window").unionByName(_rank(warm, "distributed", buckets_for(largest)))
 
 
 def rank_snapshot(model: dict[str, DataFrame], snapshot=None, strategy: str = "auto", **kw) -> DataFrame:

@@ -70,10 +70,13 @@ def test_hot_group_routing(spark):
     rows, df = _data(spark, 2000)
     hot = hot_groups(df, ["g"], hot_rows=500)
     assert hot == [(0,)]
+    from peerscore.operators.ranking import buckets_for
+
+    assert buckets_for(10) == 128 and buckets_for(10**9) == 1000 and buckets_for(10**12) == 65536
     assert hot_groups(df, ["g"], hot_rows=10, max_hot=2) is None
 
-    def build(frame, strategy):
-        return add_dense_ranks(frame, [RankSpec("v", "r", True)], ["g"], strategy, buckets=8)
+    def build(frame, strategy, buckets=8):
+        return add_dense_ranks(frame, [RankSpec("v", "r", True)], ["g"], strategy, buckets=buckets)
 
     split = {r.id: r.r for r in by_group_size(df, ["g"], build, hot_rows=500).collect()}
     whole = {r.id: r.r for r in build(df, "window").collect()}
@@ -95,8 +98,8 @@ def test_null_group_keys_survive_the_split(spark):
     assert len(auto) == 200 and auto == window
     from peerscore.operators.ranking import by_group_size
 
-    def build(frame, strategy):
-        return add_dense_ranks(frame, [RankSpec("v", "r", True)], ["g"], strategy, buckets=4)
+    def build(frame, strategy, buckets=4):
+        return add_dense_ranks(frame, [RankSpec("v", "r", True)], ["g"], strategy, buckets=buckets)
 
     split = {r.id: r.r for r in by_group_size(df, ["g"], build, hot_rows=50).collect()}
     assert split == window
