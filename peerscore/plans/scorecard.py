@@ -88,7 +88,7 @@ def rank_terms(scored: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window
     """Ranking rows: in-group dense rank of ``total_rank`` (W3; 1 = highest when descending)."""
     out = scored.select(
         SUBJECT_ID, "name", GROUP_ID, "rating", SNAPSHOT, "total_rank",
-        F.round("total_rank").cast("int").alias("total_rank_int"),
+        F.round("total_rank").try_cast("int").alias("total_rank_int"),
     )
     out = add_dense_ranks(out, [RankSpec("total_rank", "group_rank", descending)], group_cols, strategy, buckets)
     return out.select(*RANKING_COLUMNS)

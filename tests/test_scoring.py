@@ -105,3 +105,8 @@ def test_growth_trend_null_propagates(spark):
 def test_wrong_arity_raises():
     with pytest.raises(ValueError):
         growth_trend(["a"], ["b", "c"])
+
+
+def test_pct_change_overflow_is_null_not_failure(spark):
+    df = spark.createDataFrame([(1.0e9, 0.01)], "s double, g double")
+    assert df.select(pct_change_sum([("s", "g")]).alias("p")).first().p is None
