@@ -381,8 +381,9 @@ FROM conversations""",
   strftime(snapshot, '%Y-%m-%d') AS iso FROM m_subject"""),
         "array_get_default": """SELECT page_id, coalesce(string_split(url, '/')[5], '0') AS segment_4,
   coalesce(string_split(url, '/')[7], '0') AS segment_6 FROM pages""",
-        "array_head": f"SELECT page_id, list_slice(regexp_extract_all(html, '{ANCHOR}', 1), 1, 11) AS first_links "
-                      "FROM pages",
+        "array_head": f"""SELECT page_id, array_to_string(list_slice(regexp_extract_all(html, '{ANCHOR}', 1), 1, 11),
+  chr(9)) AS first_links, CAST(len(list_slice(regexp_extract_all(html, '{ANCHOR}', 1), 1, 11)) AS INTEGER) AS n_first
+FROM pages""",
         "listing_limit": with_model(f"""SELECT id, asset_value FROM m_subject WHERE snapshot = DATE '{RANK_DATE}'
 ORDER BY asset_value DESC, id LIMIT {LISTING_N}"""),
         "extract_links": f"""WITH {_links_cte()}

@@ -356,7 +356,8 @@ def array_get_default(spark, sf_dir):
 def array_head(spark, sf_dir):
     p = _read(spark, sf_dir, "pages")
     hrefs = F.regexp_extract_all("html", F.lit(extract.ANCHOR), 1)
-    return p.select("page_id", clean.array_head(hrefs, 11).alias("first_links"))
+    head = clean.array_head(hrefs, 11)
+    return p.select("page_id", F.array_join(head, "\t").alias("first_links"), F.size(head).alias("n_first"))
 
 
 def listing_limit(spark, sf_dir):
