@@ -127,3 +127,23 @@ def test_long_form_ranks_match_window(spark):
     a = {r.id: (r.rv, r.rw, r.rn) for r in add_dense_ranks(df, specs, ["g"], "window").collect()}
     b = {r.id: (r.rv, r.rw, r.rn) for r in add_dense_ranks_long(df, specs, ["g"], "id", buckets=4).collect()}
     assert a == b
+
+
+def test_distributed_rank_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    rows_st = st.lists(st.tuples(st.sampled_from([0, 1, 2, None]),
+                                 st.one_of(st.none(), st.integers(-20, 20).map(float))), min_size=1, max_size=40)
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(rows=rows_st, desc=st.booleans(), buckets=st.sampled_from([2, 3, 8]))
+    def check(rows, desc, buckets):
+        df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id long, g int, v double")
+        exp = py_dense([(g, v) for g, v in rows], desc)
+        got = add_dense_ranks(df, [RankSpec("v", "r", desc)], ["g"], "distributed", buckets=buckets).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert r.r == (None if r.v is None else exp[(r.g, r.v)])
+
+    check()
