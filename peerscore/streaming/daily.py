@@ -5,7 +5,9 @@ snapshot).  A file stream over that folder, triggered with ``availableNow``,
 picks up exactly the files not processed before (progress lives in the stream
 checkpoint); each micro-batch ranks the snapshots it contains against the
 stored model and upserts the result into the ranking table, replacing only those
-snapshot partitions.  Re-running with no new files does nothing.
+snapshot partitions.  Re-running with no new files does nothing, and a batch that
+is re-run after a failure rewrites the same partitions with the same rows (the
+upsert is idempotent), so the sink is effectively exactly-once.
 """
 
 from __future__ import annotations
