@@ -78,3 +78,12 @@ def test_bucketed_model_joins_without_shuffle(spark, model, tmp_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     exp = {tuple(r) for r in assemble_subject(model).select(*df.columns).collect()}
     assert got == exp
+
+
+def test_save_table_overwrite(spark, tmp_dir):
+    path = f"{tmp_dir}/saved"
+    first = spark.createDataFrame([(1, "2023-01-05"), (2, "2023-01-06")], "k int, snapshot string")
+    src.save_table(first, path, partition_cols=["snapshot"])
+    second = spark.createDataFrame([(3, "2023-01-06")], "k int, snapshot string")
+    src.save_table(second, path, partition_cols=["snapshot"])  # plain overwrite replaces the whole table
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [3]
