@@ -31,6 +31,9 @@ def make_shippable() -> None:
         cloudpickle.register_pickle_by_value(sys.modules["peerscore.llm"])
 
 
+make_shippable()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscore.llm import langid, toxicity
-from peerscore.llm.common import make_shippable, remainder, table
-
-make_shippable()
+from peerscore.llm.common import remainder, table
 
 
 def _held(mod: int, held: int):
