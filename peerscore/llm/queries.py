@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscore.llm import langid, toxicity
+from peerscore.llm import bpe, chunkdedup, jaccard, langid, toxicity
 from peerscore.llm.common import remainder, table
 
+#: the tokenizer file of the token queries
+WORD_BPE = "word_bpe_49k.json"
+
 
 def _held(mod: int, held: int):
     return F.coalesce(remainder("doc_id", mod) == held, F.lit(True)).alias("held_out")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunkdedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", F.col("_chunks").alias("n_chunks"), F.col("_cut").alias("n_cut"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(toxicity.learnable(docs), table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2))
@@ -22,6 +31,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", _held(4, 2), F.col("_tox_score").alias("score"), predicted.alias("predicted"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = bpe.read_spec(public_tokenizers.path(WORD_BPE))
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), spec).withColumnRenamed("id", "doc_id")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(langid.learnable(docs))
@@ -29,9 +43,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held(3, 1), F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score"), F.col("_lang_rejected").alias("rejected"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard.link_documents(table(spark, sf_dir, "documents"))
+    return linked.select(F.col("node").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "n_links")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_bpe": op3_bpe,
     "op5_language_id": op5_language_id,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
