@@ -286,9 +286,9 @@ def read_spec(path: str) -> bytes:
 
 
 class WordMemory:
-    """Remembers what ``make(ids)`` gave for each word, for up to ``most`` words."""
+    """Remembers what ``make(word, ids)`` gave for each word, for up to ``most`` words."""
 
-    def __init__(self, tokenizer: WordTokenizer, make: Callable[[list[int]], object], most: int = 400_000) -> None:
+    def __init__(self, tokenizer: WordTokenizer, make: Callable[[str, list[int]], object], most: int = 400_000) -> None:
         self.tokenizer, self.make, self.most = tokenizer, make, most
         self.known: dict[str, object] = {}
 
@@ -299,7 +299,7 @@ class WordMemory:
         new = list(set().union(*texts) - self.known.keys())
         for at in range(0, len(new), 16_384):
             part = new[at : at + 16_384]
-            self.known.update(zip(part, map(self.make, self.tokenizer.encode(part)), strict=True))
+            self.known.update(zip(part, map(self.make, part, self.tokenizer.encode(part)), strict=True))
 
 
 def encode_documents(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -314,7 +314,7 @@ def encode_documents(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_
         tokenizer = load(shared.value)
         labels = tokenizer.labels
 
-        def both(ids: list[int]) -> tuple[bytes, bytes]:
+        def both(_: str, ids: list[int]) -> tuple[bytes, bytes]:
             return b"".join([b"%d " % i for i in ids]), "".join([f"{labels[i]} " for i in ids]).encode("utf-8")
 
         memory = WordMemory(tokenizer, both)

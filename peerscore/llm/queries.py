@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscore.llm import bpe, chunkdedup, jaccard, langid, toxicity
+from peerscore.llm import ann, bpe, chunkdedup, jaccard, langid, mips, packing, toxicity
 from peerscore.llm.common import remainder, table
 
 #: the tokenizer file of the token queries
@@ -36,6 +36,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), spec).withColumnRenamed("id", "doc_id")
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(langid.learnable(docs))
@@ -48,12 +52,24 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select(F.col("node").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "n_links")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = bpe.read_spec(public_tokenizers.path(WORD_BPE))
+    return packing.pack(table(spark, sf_dir, "documents"), spec).withColumnRenamed("id", "doc_id")
+
+
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mips.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_language_id": op5_language_id,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_packing": op9_packing,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
 ORACLE_SQL: dict[str, str] = {}
