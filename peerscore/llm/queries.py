@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscore.llm import ann, bpe, chunkdedup, jaccard, langid, mips, packing, toxicity
+from peerscore.llm import ann, bpe, chunkdedup, jaccard, langid, licenses, mips, packing, tokencounts, toxicity
 from peerscore.llm.common import remainder, table
 
-#: the tokenizer file of the token queries
+#: the tokenizer files of the token queries
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 
 def _held(mod: int, held: int):
@@ -47,6 +48,16 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held(3, 1), F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score"), F.col("_lang_rejected").alias("rejected"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("spans")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_spec(public_tokenizers.path(BYTE_BPE))
+    docs = table(spark, sf_dir, "documents")
+    return tokencounts.attribute_tokens(docs, ranks, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = jaccard.link_documents(table(spark, sf_dir, "documents"))
     return linked.select(F.col("node").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "n_links")
@@ -67,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_language_id": op5_language_id,
+    "op6_license_scan": op6_license_scan,
+    "op7_token_counts": op7_token_counts,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
     "op10_exact_top_k": op10_exact_top_k,
