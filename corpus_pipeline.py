@@ -7,10 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from peerscore.llm import langid, toxicity
+from peerscore.llm import bpe, chunkdedup, jaccard, langid, packing, toxicity
 from peerscore.llm.common import remainder, stage_path, table
+from peerscore.llm.queries import WORD_BPE
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +29,35 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.score(docs, model).where(f"_tox_score < {toxicity.THRESHOLD}").select(*docs.columns)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest id of each group of linked documents, once (rows with a NULL id all stay)."""
+    linked = jaccard.link_documents(docs)
+    kept = linked.where("node = component").select(F.col("node").alias("doc_id")).distinct()
+    once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages that an earlier document holds out of the texts; ``n_chars`` follows the text."""
+    cut = chunkdedup.deduplicate(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cut = cut.withColumn("n_chars", F.when(F.col("_cut") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into training sequences: one row per piece."""
+    spec = bpe.read_spec(public_tokenizers.path(WORD_BPE))
+    return packing.pack(docs, spec).withColumnRenamed("id", "doc_id")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", language_stage),
     ("toxicity", toxicity_stage),
+    ("near-duplicates", near_duplicate_stage),
+    ("substrings", substring_stage),
+    ("packing", packing_stage),
 ]
 
 

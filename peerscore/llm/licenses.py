@@ -155,9 +155,12 @@ _IS_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 def resolve(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
     """Detections that no earlier kept one contains; found in the rules' order of priority."""
     kept: list[tuple[int, int, Rule]] = []
+    cells: dict[int, list[tuple[int, int]]] = {}  # kept intervals by the 256-byte cells they touch
     for start, end, rule in sorted(found, key=lambda f: (f[2].priority, f[0] - f[1], f[0], f[2].label)):
-        if not any(a <= start and end <= b for a, b, _ in kept):
+        if not any(a <= start and end <= b for a, b in cells.get(start >> 8, ())):
             kept.append((start, end, rule))
+            for cell in range(start >> 8, (end >> 8) + 1):
+                cells.setdefault(cell, []).append((start, end))
     return sorted(kept, key=lambda f: (f[0], f[1], f[2].label))
 
 
