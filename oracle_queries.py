@@ -7,12 +7,14 @@ here as text.
 
 from __future__ import annotations
 
+# --- fixed values: declared column names and codes of the test tables ---
 HORIZONS = ["3m", "6m", "1y", "3y", "5y", "7y", "10y"]
 CREDIT = ["aaa", "a1plus", "sov", "cash_equivalent", "aa", "a_and_below", "unrated_and_others"]
 RISK = ["mean", "std_dev", "sharpe", "sortino", "beta", "alpha"]
 PORTFOLIO = ["num_securities", "modified_duration", "average_maturity", "ytm", "avg_cr"]
 FLAG_PAIRS = [("A", "F"), ("A", "O"), ("N", "F"), ("N", "O"), ("R", "F"), ("R", "O")]
 GROUPS = [("ECONOMY", 1), ("LARGE", 2), ("MEDIUM", 3), ("PROMO", 4), ("SMALL", 5), ("STANDARD", 6)]
+# --- end of fixed values ---
 
 
 def q(name: str) -> str:
@@ -151,7 +153,7 @@ def _pct(fam: str, names) -> str:
     for c in names:
         s, g = q(f"s_{fam}_{c}"), q(f"g_{fam}_{c}")
         terms.append(f"CASE WHEN {g} = 0 THEN 0.0 ELSE ({s} - {g}) / {g} * 100.0 END")
-    return f"CAST(trunc(round({' + '.join(terms)}, 6)) AS INTEGER)"
+    return f"CAST(trunc(round({' + '.join(terms)}, 6)) AS BIGINT)"
 
 
 def _scaled(c: str, lo: float, hi: float) -> str:
@@ -163,9 +165,8 @@ def _scaled(c: str, lo: float, hi: float) -> str:
 
 
 def _rank(col: str, desc: bool) -> str:
-    order = "DESC NULLS LAST" if desc else "ASC NULLS LAST"
-    return (f"CASE WHEN {col} IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY group_id, snapshot "
-            f"ORDER BY {col} {order}) AS INTEGER) END")
+    order = "DESC NULLS LAST" if desc else "ASC NULLS FIRST"
+    return f"dense_rank() OVER (PARTITION BY group_id, snapshot ORDER BY {col} {order})"
 
 
 def terms_sql(where: str = "") -> str:
@@ -204,7 +205,7 @@ scored AS (SELECT *,
 def scorecard_sql(where: str = "") -> str:
     return terms_sql(where) + f"""
 SELECT subject_id, name, group_id, rating, snapshot, total_rank,
-  CAST(round(total_rank) AS INTEGER) AS total_rank_int,
+  CAST(round(total_rank) AS BIGINT) AS total_rank_int,
   {_rank('total_rank', True)} AS group_rank
 FROM scored"""
 
@@ -219,13 +220,15 @@ def with_wide(body: str, **kw) -> str:
 
 # --- fixed values: parameters of the registered queries (same as the Spark side) ---
 RANK_DATE = "1998-12-31"
-EMPTY_DATE = "2002-12-31"
+ORDER_DATE = "1998-01-01"
+CLOCK = "2024-03-01 06:00:00"
 GROUP = 3
 TOP_K = 3
 LISTING_N = 1000
 EVENTS_CUTOFF = "2024-01-16 00:00:00"
 REVISED_DATE, REVISION_SOURCE_DATE = "1999-12-31", "2000-12-31"
 ANCHOR = '(?is)<a\\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+HOLDINGS = "".join(f"|holding {k}" for k in range(3, 12))
 # --- end of fixed values ---
 
 H = ", ".join(q(h) for h in HORIZONS)
@@ -268,6 +271,40 @@ FROM m_subject_{fam} sx JOIN m_subject s ON s.id = sx.subject_id AND s.snapshot
 JOIN m_group_{fam} gx ON gx.group_id = s.group_id AND gx.snapshot = sx.snapshot"""
 
 
+def _keyed_rows(dimension: bool = True) -> str:
+    parts = ["SELECT 'subject' AS \"table\", id AS key, snapshot AS day, "
+             "round(CAST(asset_value + rating + length(name) AS DOUBLE), 3) AS total FROM m_subject"]
+    if dimension:
+        parts.append("SELECT 'group_dim', id, first_seen, CAST(length(category) + length(category_code) AS DOUBLE) FROM m_group_dim")
+    for side, key, fams in (("subject", "subject_id", S_FAMS), ("group", "group_id", G_FAMS)):
+        for _, fam, names in fams:
+            total = " + ".join(q(c) for c in names)
+            parts.append(f"SELECT '{side}_{fam}', {key}, snapshot, round({total}, 3) FROM m_{side}_{fam}")
+    body = "\nUNION ALL\n".join(parts)
+    return f"SELECT \"table\", CAST(key AS BIGINT) AS key, day, total FROM (\n{body}) k"
+
+
+def _model_audit() -> str:
+    """Violations when the dimension lacks the groups above GROUP and repeats GROUP."""
+    dim = f"(SELECT * FROM m_group_dim WHERE id = {GROUP} UNION ALL SELECT * FROM m_group_dim WHERE id <= {GROUP})"
+    tables = [("subject", "m_subject", ["id", "snapshot"]), ("group_dim", dim, ["id"])]
+    tables += [(f"subject_{f}", f"m_subject_{f}", ["subject_id", "snapshot"]) for _, f, _ in S_FAMS]
+    tables += [(f"group_{f}", f"m_group_{f}", ["group_id", "snapshot"]) for _, f, _ in G_FAMS]
+    parts = []
+    for name, src, keys in tables:
+        cols, null = ", ".join(keys), " OR ".join(f"{k} IS NULL" for k in keys)
+        parts.append(f"SELECT '{name}' AS \"table\", 'duplicate key' AS rule, count(*) AS violations "
+                     f"FROM (SELECT {cols} FROM {src} t GROUP BY {cols} HAVING count(*) > 1) d")
+        parts.append(f"SELECT '{name}', 'null key', count(*) FROM {src} t WHERE {null}")
+    for _, f, _ in S_FAMS:
+        parts.append(f"SELECT 'subject_{f}', 'orphan of subject', count(*) FROM m_subject_{f} c WHERE NOT EXISTS "
+                     "(SELECT 1 FROM m_subject p WHERE p.id = c.subject_id AND p.snapshot = c.snapshot)")
+    for _, f, _ in G_FAMS:
+        parts.append(f"SELECT 'group_{f}', 'orphan of group_dim', count(*) FROM m_group_{f} c "
+                     f"WHERE NOT EXISTS (SELECT 1 FROM {dim} p WHERE p.id = c.group_id)")
+    return "\nUNION ALL\n".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     rank_where = f"WHERE s.snapshot = DATE '{RANK_DATE}'"
     s_cols = ", ".join(q(f"s_{fam}_{c}") for _, fam, names in S_FAMS for c in names)
@@ -283,18 +320,24 @@ def oracle_sql() -> dict[str, str]:
     return {
         "rank_snapshot": scorecard_sql(rank_where),
         "rank_all_snapshots": scorecard_sql(),
-        "rank_snapshot_sorted": scorecard_sql(rank_where),
+        "rank_snapshot_sorted": f"SELECT *, row_number() OVER (ORDER BY total_rank, subject_id) AS position "
+                                f"FROM ({scorecard_sql(rank_where)}) r",
+        "rank_and_store": scorecard_sql(),
+        "rank_nulls": """SELECT d.doc_id, d.lang, d.n_chars, l.quality * 2 + l.toxic AS grade,
+  dense_rank() OVER (PARTITION BY d.lang ORDER BY l.quality * 2 + l.toxic ASC NULLS FIRST) AS grade_up,
+  dense_rank() OVER (PARTITION BY d.lang ORDER BY l.quality * 2 + l.toxic DESC NULLS LAST) AS grade_down,
+  dense_rank() OVER (PARTITION BY d.lang ORDER BY d.n_chars DESC NULLS LAST) AS longest
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
         "top_k_per_group": f"SELECT * FROM ({scorecard_sql()}) r WHERE group_rank <= {TOP_K}",
         "rerank_stored": f"""SELECT {ranking_cols},
-  CASE WHEN total_rank_int IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY group_id, snapshot
-    ORDER BY total_rank_int DESC NULLS LAST) AS INTEGER) END AS group_rank
+  dense_rank() OVER (PARTITION BY group_id, snapshot ORDER BY total_rank_int DESC NULLS LAST) AS group_rank
 FROM ({scorecard_sql()}) r""",
         "rank_desc": with_model("SELECT id AS subject_id, group_id, snapshot, asset_value, "
                                 f"{_rank('asset_value', True)} AS asset_value_rank FROM m_subject"),
         "rank_asc": with_model("SELECT id AS subject_id, group_id, snapshot, expense_ratio, "
                                f"{_rank('expense_ratio', False)} AS expense_ratio_rank FROM m_subject"),
         "rank_global": with_model("SELECT id AS subject_id, group_id, snapshot, asset_value, "
-                                  "CAST(dense_rank() OVER (ORDER BY asset_value DESC) AS INTEGER) AS global_rank "
+                                  "dense_rank() OVER (ORDER BY asset_value DESC) AS global_rank "
                                   "FROM m_subject"),
         "composite_score": terms_sql() + """
 SELECT subject_id, group_id, snapshot, risk_rank, asset_value_rank, expense_ratio_rank, sharpe_ratio_rank,
@@ -311,8 +354,8 @@ WHERE (subject_id, snapshot) IN (SELECT (id, max(snapshot)) FROM m_subject GROUP
             q(f"{side}_growth_{h}") for side in ("s", "g") for h in HORIZONS) + " FROM wide"),
         "nan_to_zero": """SELECT l_orderkey, l_linenumber,
   round(CASE WHEN l_discount = 0 THEN 0.0 ELSE l_tax / l_discount END, 6) AS tax_per_discount FROM lineitem""",
-        "groups_without_data": with_model(f"""SELECT id, first_seen FROM m_group_dim
-WHERE id NOT IN (SELECT group_id FROM m_subject WHERE snapshot = DATE '{EMPTY_DATE}')"""),
+        "groups_without_data": f"""SELECT c_custkey AS id, c_name FROM customer c WHERE NOT EXISTS (
+  SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND CAST(o.o_orderdate AS DATE) = DATE '{ORDER_DATE}')""",
         "assemble_subject": with_wide(f"SELECT {base_cols}, {s_cols} FROM wide", dim=False, group=False),
         "assemble_dimension": with_wide(f"SELECT {base_cols}, category, category_code FROM wide",
                                         subject=False, group=False),
@@ -327,7 +370,9 @@ JOIN m_group_dim mcd ON md.group_id = mcd.id
 JOIN m_group_growth mcg ON mcd.id = mcg.group_id
 JOIN m_group_risk m ON mcd.id = m.group_id
 GROUP BY md.id, md.snapshot"""),
-        "horizon_comparison": with_model(f"SELECT * FROM ({_horizon_union()}) a"),
+        "horizon_comparison": with_model(f"""SELECT *, row_number() OVER (ORDER BY subject_id, snapshot,
+  list_position({HORIZONS!r}, horizon)) AS position FROM ({_horizon_union()}) a"""),
+        "horizon_snapshot": with_model(f"SELECT * FROM ({_horizon_union()}) a WHERE snapshot = DATE '{RANK_DATE}'"),
         "unpivot_horizons": with_model(f"SELECT * FROM ({_horizon_union()}) a"),
         "union_all_branches": with_model(f"SELECT * FROM ({_horizon_union()}) a"),
         "merge_partials": with_model("""SELECT s.id AS subject_id, s.snapshot, s.name,
@@ -340,7 +385,9 @@ LEFT JOIN m_subject_risk r ON r.subject_id = s.id AND r.snapshot = s.snapshot"""
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
         "audit_orphans": """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
-        "audit_null_keys": "SELECT event_id, user_id, event_type FROM events WHERE user_id IS NULL OR event_type IS NULL",
+        "audit_null_keys": """SELECT d.doc_id, d.lang, l.quality FROM documents d
+LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE d.doc_id IS NULL OR l.quality IS NULL""",
+        "audit_model": with_model(_model_audit()),
         "audit_null_features": with_wide(_null_counts()),
         "snapshot_counts": with_model("SELECT group_id, snapshot, count(*) AS n FROM m_subject GROUP BY group_id, snapshot"),
         "group_min_max": with_model("""SELECT s.group_id, c.snapshot, min(c.aaa) AS min_aaa, max(c.aaa) AS max_aaa,
@@ -396,7 +443,7 @@ FROM m_subject_credit sc JOIN m_subject s ON s.id = sc.subject_id AND s.snapshot
 JOIN m_group_credit gc ON gc.group_id = s.group_id AND gc.snapshot = sc.snapshot"""),
         "extract_returns": with_model(_family_oracle("growth", HORIZONS)),
         "extract_risk": with_model(_family_oracle("risk", RISK)),
-        "extract_portfolio": with_model(_family_oracle("portfolio", PORTFOLIO, extra=", 0 AS n_holdings")),
+        "extract_portfolio": with_model(_family_oracle("portfolio", PORTFOLIO, extra=f", s.house || '|' || s.name || '{HOLDINGS}' AS holdings")),
         "extract_basic": with_model("""SELECT id AS subject_id, snapshot,
   trim(regexp_replace(house, '[^0-9a-zA-Z]+', ' ', 'g')) AS house, risk, 'Average' AS risk_grade,
   'Average' AS return_grade FROM m_subject"""),
@@ -406,7 +453,7 @@ FROM m_subject s LEFT JOIN m_group_dim d ON d.id = s.group_id"""),
         "capture_records": with_model("""SELECT s.id AS subject_id, s.snapshot, s.name, s.group_id,
   trim(regexp_replace(s.house, '[^0-9a-zA-Z]+', ' ', 'g')) AS house, s.risk,
   sg."3m" AS s_growth_3m, gg."10y" AS g_growth_10y, sc.aaa AS s_credit_aaa, gc.aa AS g_credit_aa,
-  sp.num_securities AS s_portfolio_num_securities, gr.alpha AS g_risk_alpha, '[]' AS top_holdings
+  sp.num_securities AS s_portfolio_num_securities, gr.alpha AS g_risk_alpha, 11 AS n_holdings
 FROM m_subject s
 JOIN m_subject_growth sg ON sg.subject_id = s.id AND sg.snapshot = s.snapshot
 JOIN m_subject_credit sc ON sc.subject_id = s.id AND sc.snapshot = s.snapshot
@@ -414,7 +461,13 @@ JOIN m_subject_portfolio sp ON sp.subject_id = s.id AND sp.snapshot = s.snapshot
 JOIN m_group_growth gg ON gg.group_id = s.group_id AND gg.snapshot = s.snapshot
 JOIN m_group_credit gc ON gc.group_id = s.group_id AND gc.snapshot = s.snapshot
 JOIN m_group_risk gr ON gr.group_id = s.group_id AND gr.snapshot = s.snapshot"""),
-        "capture_to_tables": with_model("SELECT group_id, " + ", ".join(RISK) + ", snapshot FROM m_group_risk"),
+        "capture_to_tables": with_model(_keyed_rows()),
+        "capture_and_store": with_model(_keyed_rows()),
+        "listing_head": with_model(f"""SELECT id AS subject_id, snapshot FROM m_subject
+QUALIFY row_number() OVER (PARTITION BY snapshot ORDER BY id) <= {LISTING_N}"""),
+        "table_rows": with_model("""SELECT s.id AS subject_id, s.snapshot, CAST(r.row AS INTEGER) AS row,
+  CAST(r.n_cells AS INTEGER) AS n_cells, r.label
+FROM m_subject s, (VALUES (0, 11, 'Subject'), (1, 1, 'Rank'), (2, 11, 'Group')) r(row, n_cells, label)"""),
         "upsert_last_wins": """SELECT user_id, event_type, ts, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
         "upsert_dated": with_model(f""",
@@ -433,7 +486,12 @@ SELECT f.custkey, f.first_seen, l.last_priority, l.last_total, l.last_order, c.c
 FROM firsts f JOIN lasts l ON l.custkey = f.custkey
 LEFT JOIN customer c ON c.c_custkey = f.custkey
 LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
-        "fan_out_record": with_wide(f"""SELECT group_id, {H}, snapshot FROM m_group_growth
-WHERE (group_id, snapshot) IN (SELECT (group_id, snapshot) FROM wide)"""),
+        "fan_out_record": with_model(_keyed_rows(dimension=False)),
+        "save_table": "SELECT c_custkey, c_name, c_nationkey FROM customer",
+        "with_audit": f"""SELECT o_orderkey, o_custkey, CAST(TIMESTAMP '{CLOCK}' AS DATE) AS snapshot,
+  TIMESTAMP '{CLOCK}' AS modified FROM orders""",
+        "read_json_array": "SELECT s_suppkey, s_name FROM supplier",
+        "append_json_lines": "SELECT event_id, user_id, event_type FROM events",
+        "run_snapshot": with_model(f"SELECT id, snapshot, asset_value FROM m_subject WHERE snapshot = DATE '{REVISED_DATE}'"),
         "scan_table": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
     }

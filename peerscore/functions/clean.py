@@ -9,10 +9,13 @@ from pyspark.sql import types as T
 ColumnOrName = Column | str
 
 # --- fixed values: markers and formats of the captured pages ---
-MISSING_MARK = "--"
 RATING_SUFFIX = " star"
 # Python strftime pattern -> Spark datetime pattern for the two formats in use
 DATE_FORMATS = {"%d-%m-%Y": "dd-MM-yyyy", "%Y-%m-%d": "yyyy-MM-dd"}
+# text that a number is read from
+WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
+NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*(e[+-]?[0-9]+)?|\.[0-9]+(e[+-]?[0-9]+)?|nan|inf|infinity)\s*$"
+INTEGER_TYPES = ("tinyint", "smallint", "int", "long", "bigint")
 # --- end of fixed values ---
 
 
@@ -23,13 +26,19 @@ def _c(x: ColumnOrName) -> Column:
 def safe_cast(x: ColumnOrName, to: str = "double") -> Column:
     """Parse text as a number; the missing mark '--', unparsable text and NULL give 0.
 
-    ``to='int'`` rejects fractional text such as '12.5' (-> 0).  Surrounding
+    Integer types reject fractional text such as '12.5' (-> 0).  Surrounding
     whitespace is ignored; 'nan' parses to NaN (cleared later by ``nan_to_zero``).
+    The text is checked first, since a cast alone also takes suffixes such as '12d'.
     """
-    x = _c(x)
-    parsed = x.cast("string").try_cast(to)
-    zero = F.lit(0).cast(to)
-    return F.when(F.trim(x.cast("string")) == F.lit(MISSING_MARK), zero).otherwise(F.coalesce(parsed, zero))
+    x = _c(x).cast("string")
+    parsed = F.when(x.rlike(WHOLE_NUMBER if to in INTEGER_TYPES else NUMBER), F.trim(x).try_cast(to))
+    return F.coalesce(parsed, F.lit(0).cast(to))
+
+
+def out_of_range(x: ColumnOrName, to: str) -> Column:
+    """True for whole-number text that type ``to`` cannot hold (such a value must not pass as 0)."""
+    x = F.regexp_replace(_c(x).cast("string"), ",", "")
+    return F.coalesce(x.rlike(WHOLE_NUMBER) & F.trim(x).try_cast(to).isNull(), F.lit(False))
 
 
 def clean_number(x: ColumnOrName, to: str = "double") -> Column:

@@ -56,8 +56,8 @@ def pct_change_sum(pairs: Sequence[tuple[ColumnOrName, ColumnOrName]], digits: i
         terms.append(F.when(g == 0, F.lit(0.0)).otherwise((s - g) / g * F.lit(100.0)))
     if not terms:
         raise ValueError("pct_change_sum needs at least one pair")
-    # out of the int range -> NULL (the row drops out of ranking) rather than failing the job in ANSI mode
-    return F.round(reduce(add, terms), digits).try_cast("int")
+    # NaN and what no bigint holds give NULL rather than failing the job in ANSI mode
+    return F.round(reduce(add, terms), digits).try_cast("bigint")
 
 
 def min_max_scale(x: ColumnOrName, lo_of_frame: Column, hi_of_frame: Column, lo: float, hi: float) -> Column:

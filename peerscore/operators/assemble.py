@@ -9,7 +9,7 @@ size allows, otherwise keeps a shuffled join (with skew splitting).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscore.operators.project import snapshot_range
@@ -50,42 +50,28 @@ def assemble_subject(model: dict[str, DataFrame], start=None, end=None, base: Da
     return df
 
 
-def assemble_dimension(df: DataFrame, group_dim: DataFrame, only: Column | None = None) -> DataFrame:
-    """Left join of the undated group dimension on group id only (J2): a missing row keeps the subject.
-
-    ``only`` restricts the dimension to a bounded set of groups (a predicate on
-    ``group_id``); that side is then broadcast — its size is bounded by the set.
-    """
+def assemble_dimension(df: DataFrame, group_dim: DataFrame) -> DataFrame:
+    """Left join of the undated group dimension on group id only (J2): a missing row keeps the subject."""
     dim = group_dim.select(F.col("id").alias(GROUP_ID), "category", "category_code")
-    if only is not None:
-        dim = F.broadcast(dim.where(only))
     return df.join(dim, GROUP_ID, "left")
 
 
-def assemble_group(df: DataFrame, model: dict[str, DataFrame], start=None, end=None,
-                   only: Column | None = None) -> DataFrame:
+def assemble_group(df: DataFrame, model: dict[str, DataFrame], start=None, end=None) -> DataFrame:
     """Inner joins of the four group feature tables on (group_id, snapshot).
 
-    ``only`` restricts the group tables to a bounded set of (group, snapshot)
-    keys, which are then broadcast (used for hot groups, whose rows would
-    otherwise pile up in one partition of a shuffled join).
+    The group tables are joined to each other first, so ``df`` meets one small side
+    in one join, whose skewed partitions adaptive execution can split.
     """
-    for name, fam in GROUP_FEATURE_TABLES.items():
-        side = feature_side(_dated(model[name], start, end), fam, "group")
-        if only is not None:
-            side = F.broadcast(side.where(only))
-        df = df.join(side, GROUP_KEYS, "inner")
-    return df
+    return df.join(group_side(model, start, end, with_dimension=False), GROUP_KEYS, "inner")
 
 
-def group_side(model: dict[str, DataFrame], start=None, end=None, with_dimension: bool = True,
-               only: Column | None = None) -> DataFrame:
+def group_side(model: dict[str, DataFrame], start=None, end=None, with_dimension: bool = True) -> DataFrame:
     """The four group feature tables joined on (group_id, snapshot), plus the dimension (left, on group id).
 
     All of these are small (one row per group and date), so the dimension is joined
     here instead of onto the large subject frame: equivalent, because every group
     table holds exactly one row per key, and the large frame is then shuffled once,
-    on (group_id, snapshot), which is also the partitioning the in-group windows need.
+    on (group_id, snapshot).
     """
     side = None
     for name, fam in GROUP_FEATURE_TABLES.items():
@@ -94,21 +80,14 @@ def group_side(model: dict[str, DataFrame], start=None, end=None, with_dimension
     if with_dimension:
         dim = model["group_dim"].select(F.col("id").alias(GROUP_ID), "category", "category_code")
         side = side.join(dim, GROUP_ID, "left")
-    if only is not None:
-        side = F.broadcast(side.where(only))
     return side
 
 
-def assemble_wide(model: dict[str, DataFrame], start=None, end=None, with_dimension: bool = True,
-                  subject: DataFrame | None = None, only: Column | None = None) -> DataFrame:
+def assemble_wide(model: dict[str, DataFrame], start=None, end=None, with_dimension: bool = True) -> DataFrame:
     """The ten-way assembly (J4): one row per subject and snapshot that has all eight
     dated feature rows; a subject without a dimension row is kept.
-
-    ``subject`` replaces the subject-side frame (e.g. a subset of groups); ``only``
-    restricts the group side to a bounded key set and broadcasts it.
     """
-    df = subject if subject is not None else assemble_subject(model, start, end)
-    return df.join(group_side(model, start, end, with_dimension, only), GROUP_KEYS, "inner")
+    return assemble_subject(model, start, end).join(group_side(model, start, end, with_dimension), GROUP_KEYS, "inner")
 
 
 def _key_counts(df: DataFrame, keys: list[str], out: str, rename: dict[str, str] | None = None) -> DataFrame:

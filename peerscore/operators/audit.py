@@ -6,11 +6,14 @@ as DataFrames.  All are aggregations or anti joins — no row is collected.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerscore.schemas import FOREIGN_KEYS, TABLE_KEYS
+
 
 def audit_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count (map-side combined count)."""
@@ -50,3 +53,26 @@ def audit_null_features(df: DataFrame, cols: Sequence[str], keys: Sequence[str]
 def snapshot_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row count per key, e.g. per (group, snapshot) (A2)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def audit_model(model: dict[str, DataFrame]) -> DataFrame:
+    """The declared keys of the whole model (J7): ``table``, ``rule``, ``violations``.
+
+    One row per table for its primary key (``duplicate key``, ``null key``) and per
+    foreign key (``orphan``); NULL foreign keys refer to nothing and are not orphans.
+    """
+    counts = []
+
+    def count(df: DataFrame, table: str, rule: str) -> None:
+        counts.append(df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(table).alias("table"), F.lit(rule).alias("rule"), "violations"))
+
+    for table, keys in TABLE_KEYS.items():
+        if table in model:
+            rows = model[table].select(*keys)
+            count(audit_duplicate_keys(rows, keys), table, "duplicate key")
+            count(audit_null_keys(rows, keys), table, "null key")
+    for table, (cols, parent, parent_cols) in FOREIGN_KEYS.items():
+        if table in model and parent in model:
+            refers = model[table].select(*cols).dropna()
+            count(audit_orphans(refers, model[parent], cols, parent_cols), table, f"orphan of {parent}")
+    return reduce(DataFrame.unionByName, counts)

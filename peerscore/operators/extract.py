@@ -13,17 +13,19 @@ not claim to parse arbitrary HTML.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerscore.functions.clean import (
+    WHOLE_NUMBER,
     array_get_default,
     array_head,
     clean_number,
     compact_array,
     normalize_label,
     normalize_name,
+    out_of_range,
     parse_rating,
     safe_cast,
     strip_text,
@@ -51,7 +53,10 @@ LISTING_NAME, LISTING_RATING, LISTING_CATEGORY, LISTING_EXPENSE, LISTING_ASSETS
 TR = "(?is)<tr[^>]*>(.*?)</tr>"
 TD = "(?is)<td[^>]*>(.*?)</td>"
 TAG = "<[^>]*>"
-ANCHOR = "(?is)<a\\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>"
+# an attribute's value in double quotes, single quotes or none: three groups, of which one matches
+VALUE = "\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))"
+ANCHOR = f"(?is)<a\\s[^>]*?\\bhref{VALUE}[^>]*>(.*?)</a>"
+INNERMOST_TABLE = "(?is)<table\\b(?:(?!<table\\b).)*?</table\\s*>"
 
 
 def markup(body: Column | str) -> Column:
@@ -79,11 +84,43 @@ def _extract_all(html: Column, pattern: str, idx: int = 1) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), idx)
 
 
+def attribute(fragment: Column, tag: str, name: str) -> Column:
+    """Value of attribute ``name`` of the first ``tag`` that has it, however quoted; '' without one."""
+    pattern = f"(?is)<{tag}\\s[^>]*?\\b{name}{VALUE}"
+    return F.concat(*[_extract(fragment, pattern, g) for g in (1, 2, 3)])
+
+
+def _having(name: str, value: str) -> str:
+    return f"""[^>]*\\b{name}\\s*=\\s*(?:"{value}"|'{value}'|{value}(?=[\\s>]))[^>]*"""
+
+
+def _with_class(name: str) -> str:
+    quoted = lambda q: f"{q}(?:[^{q}]*\\s)?{name}(?:\\s[^{q}]*)?{q}"
+    return f"""[^>]*\\bclass\\s*=\\s*(?:{quoted('"')}|{quoted("'")}|{name}(?=[\\s>]))[^>]*"""
+
+
+def balanced_table(rest: Column) -> Column:
+    """Up to the ``</table>`` that closes the table whose content starts at ``rest``, nested tables included."""
+    parts = F.split(rest, "(?i)</table\\s*>")
+    opened = lambda k: F.aggregate(F.slice(parts, 1, k), F.lit(0), lambda n, p: n + F.regexp_count(p, F.lit("(?i)<table\\b")))
+    # the k-th close ends the table once every nested table before it is closed
+    ends = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda k: opened(k) == k - 1)
+    return F.coalesce(F.array_join(F.slice(parts, 1, F.get(ends, 0)), "</table>"), F.lit(""))
+
+
+def table_where(html: Column, condition: str) -> Column:
+    """Content of the first table whose opening tag fits ``condition``; '' without one."""
+    return balanced_table(_extract(html, f"(?is)<table{condition}>(.*)"))
+
+
 def table_by_id(html: Column, table_id: str) -> Column:
-    return _extract(html, f'(?is)<table[^>]*id="{table_id}"[^>]*>(.*?)</table>')
+    return table_where(html, _having("id", table_id))
 
 
 def tbody(table_html: Column) -> Column:
+    """The rows of a table's body; tables nested in its cells are dropped, to two levels."""
+    for _ in range(2):
+        table_html = F.regexp_replace(table_html, INNERMOST_TABLE, " ")
     body = _extract(table_html, "(?is)<tbody[^>]*>(.*?)</tbody>")
     return F.when(body == "", table_html).otherwise(body)
 
@@ -112,8 +149,10 @@ def _reason(ok: Column, why: str) -> Column:
 
 def extract_links(pages: DataFrame, html_col: str = "html", id_col: str = "page_id") -> DataFrame:
     """Every ``<a href>`` of every page: position, href, anchor text, path segments."""
-    hrefs = _extract_all(F.col(html_col), ANCHOR, 1)
-    texts = _extract_all(F.col(html_col), ANCHOR, 2)
+    quoted, single, bare = (_extract_all(F.col(html_col), ANCHOR, g) for g in (1, 2, 3))
+    joined = lambda a, b: F.concat(a, b)
+    hrefs = F.zip_with(F.zip_with(quoted, single, joined), bare, joined)
+    texts = _extract_all(F.col(html_col), ANCHOR, 4)
     return (
         pages.select(id_col, F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text"))))
         .select(
@@ -127,38 +166,54 @@ def extract_links(pages: DataFrame, html_col: str = "html", id_col: str = "page_
 
 
 def extract_listing(captures: DataFrame, limit: int | None = None) -> DataFrame:
-    """Listing rows -> base columns (X3); ``limit`` keeps the first rows of each listing."""
+    """Listing rows -> base columns (X3); ``limit`` keeps the first rows of each date's whole listing.
+
+    Pages follow each other by the column ``page`` (without one, a date's listing is one page).
+    """
+    page = F.col("page") if "page" in captures.columns else F.lit(0)
+    html = markup("body")
+    first_table = balanced_table(_extract(html, "(?is)<table[^>]*>(.*)"))
     lst = captures.where(F.col("kind") == "listing").select(
-        "captured_on", F.posexplode(row_cells(markup("body"))).alias("position", "cells")
+        "captured_on", page.alias("page"),
+        F.posexplode(row_cells(F.when(first_table == "", html).otherwise(first_table))).alias("position", "cells")
     )
     if limit is not None:
-        lst = lst.where(F.col("position") < limit)
+        w = Window.partitionBy("captured_on").orderBy("page", "position")
+        lst = lst.withColumn("__at", F.row_number().over(w)).where(F.col("__at") <= limit).drop("__at")
     cell = lambda i: F.get(F.col("cells"), i)
-    name_a = _extract(cell(LISTING_NAME), '(?is)<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2)
-    link = _extract(cell(LISTING_NAME), '(?is)<a[^>]*href="([^"]*)"', 1)
-    cat_href = _extract(cell(LISTING_CATEGORY), '(?is)<a[^>]*href="([^"]*)"', 1)
-    alt = _extract(cell(LISTING_RATING), '(?is)<img[^>]*alt="([^"]*)"', 1)
+    name_a = _extract(cell(LISTING_NAME), "(?is)<a\\s[^>]*>(.*?)</a>", 1)
+    link = attribute(cell(LISTING_NAME), "a", "href")
+    cat_href = attribute(cell(LISTING_CATEGORY), "a", "href")
+    alt = attribute(cell(LISTING_RATING), "img", "alt")
+    assets = strip_text(inner_text(F.coalesce(cell(LISTING_ASSETS), F.lit(""))))
     out = lst.select(
         "captured_on",
+        F.col("page"),
         F.col("position").cast("int").alias("position"),
         url_segment(link, 2).alias("id"),
         inner_text(name_a).alias("name"),
         link.alias("link"),
         F.when(alt == "", F.lit(0)).otherwise(parse_rating(alt)).alias("rating"),
         url_segment(cat_href, 4).alias("category_id"),
-        _extract(cell(LISTING_CATEGORY), '(?is)data-original-title="([^"]*)"', 1).alias("category"),
-        inner_text(_extract(cell(LISTING_CATEGORY), "(?is)<a[^>]*>(.*?)</a>", 1)).alias("category_code"),
-        clean_number(strip_text(inner_text(F.coalesce(cell(LISTING_ASSETS), F.lit("")))), "int").alias("asset_value"),
+        attribute(cell(LISTING_CATEGORY), "[a-z0-9]+", "data-original-title").alias("category"),
+        inner_text(_extract(cell(LISTING_CATEGORY), "(?is)<a\\s[^>]*>(.*?)</a>", 1)).alias("category_code"),
+        clean_number(assets, "bigint").alias("asset_value"),
         safe_cast(strip_text(inner_text(F.coalesce(cell(LISTING_EXPENSE), F.lit(""))))).alias("expense_ratio"),
         F.size("cells").alias("n_cells"),
+        out_of_range(assets, "bigint").alias("too_large"),
+    )
+    readable = (F.col("n_cells") > LISTING_ASSETS) & (F.col("link") != "")
+    reason = (
+        F.when(~readable, F.lit("listing row too short or without link"))
+        .when(~F.coalesce(F.col("id").rlike(WHOLE_NUMBER), F.lit(False)), F.lit("link without a subject number"))
+        .when(F.col("too_large"), F.lit("asset value out of range"))
     )
-    ok = (F.col("n_cells") > LISTING_ASSETS) & (F.col("link") != "")
-    return out.withColumn("reason", _reason(ok, "listing row too short or without link")).drop("n_cells")
+    return out.withColumn("reason", reason).drop("n_cells", "too_large")
 
 
 def extract_basic(captures: DataFrame) -> DataFrame:
     """House, risk, risk grade and return grade from the second details list."""
-    lists = _extract_all(markup("body"), f'(?is)<ul[^>]*class="[^"]*{DETAILS_LIST_CLASS}[^"]*"[^>]*>(.*?)</ul>', 1)
+    lists = _extract_all(markup("body"), f"(?is)<ul{_with_class(DETAILS_LIST_CLASS)}>(.*?)</ul>", 1)
     items = _extract_all(F.coalesce(F.get(lists, 1), F.lit("")), "(?is)<h4[^>]*>(.*?)</h4>", 1)
     df = captures.where(F.col("kind") == "basic").select("subject_id", "captured_on", items.alias("items"))
     item = lambda i: F.get(F.col("items"), i)
@@ -200,8 +255,8 @@ def extract_returns(captures: DataFrame) -> DataFrame:
 
 def extract_risk(captures: DataFrame) -> DataFrame:
     """Risk measures: row 0 subject, row 2 group, cells 1..6."""
-    div = _extract(markup("body"), f'(?is)<div[^>]*class="[^"]*{RISK_DIV_CLASS}[^"]*"[^>]*>(.*)')
-    table = _extract(div, "(?is)<table[^>]*>(.*?)</table>")
+    div = _extract(markup("body"), f"(?is)<div{_with_class(RISK_DIV_CLASS)}>(.*)")
+    table = table_where(div, "[^>]*")
     return _two_row_family(captures, "risk", table, RISK, RISK_FIRST_CELL)
 
 
@@ -213,8 +268,8 @@ def extract_portfolio(captures: DataFrame) -> DataFrame:
         F.transform(F.filter(holdings_rows, lambda r: F.size(r) > 0), lambda r: strip_text(inner_text(F.get(r, 0)))),
         HOLDINGS_KEPT,
     )
-    div = _extract(html, f'(?is)<div[^>]*id="{PORTFOLIO_DIV_ID}"[^>]*>(.*)')
-    table = _extract(div, '(?is)<table[^>]*class="(?:[^"]*\\s)?table(?:\\s[^"]*)?"[^>]*>(.*?)</table>')
+    div = _extract(html, f"(?is)<div{_having('id', PORTFOLIO_DIV_ID)}>(.*)")
+    table = table_where(div, _with_class("table"))
     rows = table_rows(table)
     df = captures.where(F.col("kind") == "portfolio").select(
         "subject_id", "captured_on", holdings.alias("top_holdings"), rows.alias("rows")

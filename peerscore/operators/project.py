@@ -91,5 +91,5 @@ def groups_without_data(groups: DataFrame, base: DataFrame, snapshot=None,
                         group_key: str = "id", base_group: str = GROUP_ID) -> DataFrame:
     """Groups of the dimension with no base row at ``snapshot`` (P10); all dates if ``None``."""
     present = base if snapshot is None else snapshot_filter(base, snapshot)
-    present = present.select(F.col(base_group).alias(group_key))
+    present = present.select(F.col(base_group).alias(group_key)).distinct()  # a large group is one row from here on
     return groups.join(present, group_key, "left_anti")

@@ -1,45 +1,34 @@
-"""In-group dense ranks, with a skew-proof strategy for hot groups.
-
-Two physical shapes compute the same ranks:
-
-* ``window`` — ``dense_rank()`` over ``Window.partitionBy(group)``: one exchange
-  shared by every rank on the same keys, one sort per ordering.  A group is
-  processed by one task, so this is the fast path for bounded groups.
-* ``distributed`` — distinct (group, value) pairs are cut into value-range
-  buckets whose bounds come from a per-group ``percentile_approx`` (a partial
-  aggregate); each (group, bucket) is ranked on its own and shifted by the
-  number of distinct values in lower buckets (a table of groups x buckets
-  rows), then joined back on (group, value).  No task ever holds more than a
-  bucket of one group, so a group holding a third of all rows is split.
-
-``auto`` finds the hot groups with one partial aggregation (group sizes, only
-groups above ``hot_rows`` come back to the driver, at most ``max_hot`` of them),
-sends those through ``distributed`` and everything else through ``window``.
-
-NULL values are not ranked: their rank is NULL, and the ranks of the other
-values are not shifted by them.
+"""In-group dense ranks, in one physical shape for every type and group size.
+
+All ranks of a call are computed together:
+
+1. The rows are stored once (reliable checkpoint) with a row id, and the ranked columns go to a long
+   form: (row id, group keys, rank number, value), one typed value column per data type.
+2. The distinct (rank, group, value) triples, reduced before the shuffle, are range-partitioned on
+   exactly that order, so any group, however large, spreads over as many partitions as it needs and
+   equal values never part. They are sorted and numbered inside each partition and stored once.
+3. A value's rank is its number inside its partition and group, plus the counts of the group's
+   earlier partitions (one row per group and partition).
+4. Ranks go back by a join on (rank, group, value) between two stored tables, so adaptive execution
+   splits a value that many rows share, and by the row id.
+
+NULL is a value, as in a window: last of a descending rank, first (rank 1, shifting the others) of an
+ascending one. A NULL group is a group. NaN is the largest number. Ranks are bigint.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from typing import Callable, Sequence
+from operator import and_
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_ROWS = 2_000_000
-DEFAULT_MAX_HOT = 10_000
-DEFAULT_BUCKETS = 128
-MAX_BUCKETS = 65_536
-DEFAULT_BUCKET_ROWS = 1_000_000
-DEFAULT_ACCURACY = 2_000
-
+from peerscore.session import stored
 
-def buckets_for(rows: int, target_rows: int = DEFAULT_BUCKET_ROWS) -> int:
-    """Buckets per group so that one bucket holds about ``target_rows`` values of the largest group."""
-    return int(min(MAX_BUCKETS, max(DEFAULT_BUCKETS, -(-int(rows) // target_rows))))
+_ROW, _NAME, _AT, _PART = "__rk_row", "__rk_name", "__rk_at", "__rk_part"
 
 
 @dataclass(frozen=True)
@@ -51,250 +40,73 @@ class RankSpec:
     descending: bool
 
 
-def _order(c: Column, descending: bool) -> Column:
-    return c.desc_nulls_last() if descending else c.asc_nulls_last()
-
-
-def window_dense_rank(value: Column, group_cols: Sequence[str], descending: bool) -> Column:
-    """Dense rank as a window expression (NULL value -> NULL rank)."""
-    w = Window.partitionBy(*group_cols).orderBy(_order(value, descending))
-    return F.when(value.isNotNull(), F.dense_rank().over(w))
-
-
-def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on ``keys`` with NULL-safe equality (a NULL group is a group, as in a window)."""
-    r = right.select(*[F.col(c).alias(f"__jk_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = [left[k].eqNullSafe(r[f"__jk_{k}"]) for k in keys]
-    return left.join(r, cond, "inner").drop(*[f"__jk_{k}" for k in keys])
-
-
-def distributed_rank_table(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    value: str,
-    out: str,
-    descending: bool = False,
-    buckets: int = DEFAULT_BUCKETS,
-    accuracy: int = DEFAULT_ACCURACY,
-) -> DataFrame:
-    """(group keys, ``value``, ``out``): the dense rank of every distinct non-NULL value of each group.
-
-    Distinct values are bucketed by per-group approximate quantiles; each
-    (group, bucket) is ranked alone and shifted by the distinct count of the lower
-    buckets, so a hot group is spread over ``buckets`` tasks.
-    """
-    keys = list(group_cols)
-    v, bk = "__rk_v", "__rk_b"
-    distinct = df.select(*keys, F.col(value).alias(v)).where(F.col(v).isNotNull()).distinct()
-    if not keys:
-        return _global_rank_table(distinct, value, out, descending, buckets, accuracy)
-    fractions = [i / buckets for i in range(1, buckets)]
-    accuracy = max(accuracy, 8 * buckets)
-    bounds = distinct.groupBy(*keys).agg(F.percentile_approx(v, fractions, accuracy).alias("__rk_bd"))
-    tagged = _join_keys(distinct, bounds, keys).select(
-        *keys, v, F.size(F.filter("__rk_bd", lambda b: b < F.col(v))).alias(bk)
-    )
-    local = tagged.withColumn("__rk_l", F.row_number().over(Window.partitionBy(*keys, bk).orderBy(v)))
-    per_group = Window.partitionBy(*keys)
-    offsets = (
-        tagged.groupBy(*keys, bk)
-        .agg(F.count(F.lit(1)).alias("__rk_n"))
-        .select(
-            *keys,
-            bk,
-            F.coalesce(
-                F.sum("__rk_n").over(per_group.orderBy(bk).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("__rk_off"),
-            F.sum("__rk_n").over(per_group).alias("__rk_tot"),
-        )
-    )
-    asc = F.col("__rk_off") + F.col("__rk_l")
-    rank = (F.col("__rk_tot") - asc + F.lit(1)) if descending else asc
-    return _join_keys(local, offsets, keys + [bk]).select(*keys, F.col(v).alias(value), rank.cast("int").alias(out))
-
-
-def _global_rank_table(distinct: DataFrame, value: str, out: str, descending: bool, buckets: int,
-                       accuracy: int) -> DataFrame:
-    """Global case: the bucket bounds (buckets-1 values) and per-bucket counts (at most
-    ``buckets`` rows) are bounded metadata, so they travel as literals — no join on a
-    constant key and no single-partition window."""
-    v, bk = "__rk_v", "__rk_b"
-    fractions = [i / buckets for i in range(1, buckets)]
-    bounds = distinct.agg(F.percentile_approx(v, fractions, max(accuracy, 8 * buckets)).alias("b")).first().b or []
-    lit_bounds = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast(f"array<{distinct.schema[v].dataType.simpleString()}>")
-    tagged = distinct.withColumn(bk, F.size(F.filter(lit_bounds, lambda b: b < F.col(v))))
-    counts = {r[0]: r[1] for r in tagged.groupBy(bk).count().collect()}
-    offsets, acc = [], 0
-    for b in range(len(bounds) + 1):
-        offsets.append(acc)
-        acc += counts.get(b, 0)
-    local = tagged.withColumn("__rk_l", F.row_number().over(Window.partitionBy(bk).orderBy(v)))
-    asc = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col(bk) + 1) + F.col("__rk_l")
-    rank = (F.lit(acc) - asc + F.lit(1)) if descending else asc
-    return local.select(F.col(v).alias(value), rank.cast("int").alias(out))
-
-
-def _join_rank(df: DataFrame, table: DataFrame, group_cols: Sequence[str], value: str, out: str) -> DataFrame:
-    keys = list(group_cols)
-    t = table.select(*[F.col(k).alias(f"__rk_k_{k}") for k in keys], F.col(value).alias("__rk_jv"), out)
-    cond = [df[k].eqNullSafe(t[f"__rk_k_{k}"]) for k in keys] + [df[value] == t["__rk_jv"]]
-    return df.join(t, cond, "left").drop(*[f"__rk_k_{k}" for k in keys], "__rk_jv")
-
-
-def dense_rank_distributed(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    value: str,
-    out: str,
-    descending: bool = False,
-    buckets: int = DEFAULT_BUCKETS,
-    accuracy: int = DEFAULT_ACCURACY,
-) -> DataFrame:
-    """Dense rank of ``value`` inside each group without putting a group in one task."""
-    table = distributed_rank_table(df, group_cols, value, out, descending, buckets, accuracy)
-    return _join_rank(df, table, group_cols, value, out)
-
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(and_, [left[k].eqNullSafe(right[f"__rt_{k}"]) for k in keys])
 
-def add_dense_ranks(
-    df: DataFrame,
-    specs: Sequence[RankSpec],
-    group_cols: Sequence[str],
-    strategy: str = "window",
-    buckets: int = DEFAULT_BUCKETS,
-) -> DataFrame:
-    """Add one dense-rank column per spec, partitioned by ``group_cols``.
 
-    ``auto`` sizes the groups first and sends hot ones the distributed way.
-
-    In the distributed shape every rank table is computed from the same input
-    frame and joined back once, so the plan grows linearly with the number of ranks.
-    """
-    if strategy == "auto":
-        if not group_cols:
-            return add_dense_ranks(df, specs, group_cols, "distributed", buckets)
-        return by_group_size(
-            df, group_cols, lambda f, how, buckets=buckets: add_dense_ranks(f, specs, group_cols, how, buckets)
-        )
-    if strategy == "window" and group_cols:
-        return df.withColumns(
-            {s.out: window_dense_rank(F.col(s.value), group_cols, s.descending) for s in specs}
-        )
-    if strategy in ("window", "distributed"):
-        tables = [(s, distributed_rank_table(df, group_cols, s.value, s.out, s.descending, buckets)) for s in specs]
-        out = df
-        for s, t in tables:
-            out = _join_rank(out, t, group_cols, s.value, s.out)
-        return out
-    raise ValueError(f"unknown rank strategy {strategy!r}")
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the keys of ``left`` stay."""
+    r = right.select([F.col(c).alias(f"__rt_{c}") if c in keys else F.col(c) for c in right.columns])
+    return left.join(r, _same(left, r, keys), how).drop(*[f"__rt_{k}" for k in keys])
 
 
-def add_dense_ranks_long(
-    df: DataFrame,
-    specs: Sequence[RankSpec],
-    group_cols: Sequence[str],
-    row_key: str,
-    buckets: int = DEFAULT_BUCKETS,
-) -> DataFrame:
-    """Distributed dense ranks for many numeric columns in one pass.
+def dense_rank_table(long: DataFrame, keys: Sequence[str], values: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Ascending and descending dense rank of every distinct (keys, values) row.
 
-    The values go to a long (row, rank name, value) form — descending ranks on the
-    negated value — so one set of bucketed rank tables serves every column; the
-    ranks are pivoted back per ``row_key`` (which must be unique and stable, e.g.
-    materialised before a checkpoint).  Values must be free of NaN (see
-    ``nan_to_zero``).
+    Columns: ``keys``, ``values``, ``__rk_up`` and ``__rk_down``. Rows are ordered by ``values``
+    inside ``keys``, NULL first when ascending.
     """
-    keys = list(group_cols)
-    names = [s.out for s in specs]
-    entries = [
-        F.struct(
-            F.lit(s.out).alias("__rl_n"),
-            (-F.col(s.value).cast("double") if s.descending else F.col(s.value).cast("double")).alias("__rl_v"),
-        )
-        for s in specs
-    ]
-    long = df.select(*keys, row_key, F.inline(F.array(*entries)))
-    table = distributed_rank_table(long, keys + ["__rl_n"], "__rl_v", "__rl_r", False, buckets)
-    ranked = _join_rank(long, table, keys + ["__rl_n"], "__rl_v", "__rl_r")
-    wide = ranked.groupBy(row_key).pivot("__rl_n", names).agg(F.first("__rl_r"))
-    return df.join(wide, row_key, "left")
-
-
-def rank_desc(df: DataFrame, value: str, out: str, group_cols: Sequence[str], strategy: str = "auto") -> DataFrame:
-    """Higher is better: the largest value gets rank 1."""
-    return add_dense_ranks(df, [RankSpec(value, out, True)], group_cols, strategy)
-
-
-def rank_asc(df: DataFrame, value: str, out: str, group_cols: Sequence[str], strategy: str = "auto") -> DataFrame:
-    """Lower is better: the smallest value gets rank 1."""
-    return add_dense_ranks(df, [RankSpec(value, out, False)], group_cols, strategy)
-
-
-def rank_global(df: DataFrame, value: str, out: str, descending: bool = True,
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    keys, values = list(keys), list(values)
+    distinct = long.select(*keys, *values).distinct()
+    order = [F.col(c).asc_nulls_first() for c in keys + values]
+    n = partitions or int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = distinct.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # consecutive numbers inside a partition, with the partition's number in the upper bits
+    placed = stored(placed.withColumn(_AT, F.monotonically_increasing_id()).withColumn(_PART, F.spark_partition_id()))
+    parts = placed.groupBy(*keys, _PART).agg(F.min(_AT).alias("__rk_first"), F.count(F.lit(1)).alias("__rk_n"))
+    group = Window.partitionBy(*keys)
+    before = F.sum("__rk_n").over(group.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumns({"__rk_before": F.coalesce(before, F.lit(0)), "__rk_total": F.sum("__rk_n").over(group)})
+    up = F.col(_AT) - F.col("__rk_first") + F.col("__rk_before") + F.lit(1)
+    ranked = _join_null_safe(placed, parts.drop("__rk_n"), [*keys, _PART])
+    return ranked.select(*keys, *values, up.alias("__rk_up"), (F.col("__rk_total") - up + F.lit(1)).alias("__rk_down"))
+
+
+def add_dense_ranks(df: DataFrame, specs: Sequence[RankSpec], group_cols: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Add one dense-rank column per spec, inside ``group_cols`` (none: over the whole frame)."""
+    rows = stored(df.withColumn(_ROW, F.monotonically_increasing_id()))
+    types = list(dict.fromkeys(df.schema[s.value].dataType.simpleString() for s in specs))
+    value_of = {t: f"__rk_v{i}" for i, t in enumerate(types)}
+
+    def entry(i: int, s: RankSpec) -> Column:
+        own = df.schema[s.value].dataType.simpleString()
+        typed = [(F.col(s.value) if t == own else F.lit(None).cast(t)).alias(c) for t, c in value_of.items()]
+        return F.struct(F.lit(i).alias(_NAME), *typed)
+
+    group = {g: f"__rk_g{i}" for i, g in enumerate(group_cols)}
+    long = rows.select(_ROW, *[F.col(g).alias(a) for g, a in group.items()], F.inline(F.array(*[entry(i, s) for i, s in enumerate(specs)])))
+    keys, values = [_NAME, *group.values()], list(value_of.values())
+    table = stored(dense_rank_table(long, keys, values, partitions))
+    ranked = _join_null_safe(long, table, [*keys, *values])
+    picks = [F.max(F.when(F.col(_NAME) == i, F.col("__rk_down" if s.descending else "__rk_up"))).alias(s.out) for i, s in enumerate(specs)]
+    return rows.join(ranked.groupBy(_ROW).agg(*picks), _ROW).drop(_ROW).select(*df.columns, *[s.out for s in specs])
+
+
+def rank_desc(df: DataFrame, value: str, out: str, group_cols: Sequence[str]) -> DataFrame:
+    """Higher is better: the largest value gets rank 1, NULL the last."""
+    return add_dense_ranks(df, [RankSpec(value, out, True)], group_cols)
+
+
+def rank_asc(df: DataFrame, value: str, out: str, group_cols: Sequence[str]) -> DataFrame:
+    """Lower is better: the smallest value gets rank 1, a NULL comes before it."""
+    return add_dense_ranks(df, [RankSpec(value, out, False)], group_cols)
+
+
+def rank_global(df: DataFrame, value: str, out: str, descending: bool = True) -> DataFrame:
     """Dense rank over the whole frame without an unpartitioned window."""
-    return dense_rank_distributed(df, [], value, out, descending, buckets)
-
-
-def hot_groups_sized(sizes_of: DataFrame, group_cols: Sequence[str], hot_rows: int = DEFAULT_HOT_ROWS,
-                     max_hot: int = DEFAULT_MAX_HOT) -> tuple[list[tuple] | None, int]:
-    """(keys of groups with more than ``hot_rows`` rows, size of the largest group).
-
-    The keys are ``None`` if there are more than ``max_hot`` of them.  One partial
-    aggregation; at most ``max_hot + 1`` small rows and one number reach the driver.
-    """
-    sizes = sizes_of.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
-    rows = (
-        sizes.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in group_cols], F.col("__n") > hot_rows))
-        .select(*group_cols, "__n")
-        .limit(max_hot + 1)
-        .collect()
-    )
-    if len(rows) > max_hot:
-        return None, int(sizes.agg(F.max("__n")).first()[0] or 0)
-    return [tuple(r)[:-1] for r in rows], max([r["__n"] for r in rows], default=0)
-
-
-def hot_groups(sizes_of: DataFrame, group_cols: Sequence[str], hot_rows: int = DEFAULT_HOT_ROWS,
-               max_hot: int = DEFAULT_MAX_HOT) -> list[tuple] | None:
-    """Keys of groups with more than ``hot_rows`` rows; ``None`` if there are more than ``max_hot``."""
-    return hot_groups_sized(sizes_of, group_cols, hot_rows, max_hot)[0]
-
-
-def key_match(group_cols: Sequence[str], keys: list[tuple]) -> Column:
-    """Predicate: the row's group key is one of ``keys`` (a bounded literal set); never NULL."""
-    if len(group_cols) == 1:
-        match = F.col(group_cols[0]).isin([k[0] for k in keys])
-    else:
-        match = F.struct(*group_cols).isin([F.struct(*[F.lit(x) for x in k]) for k in keys])
-    return F.coalesce(match, F.lit(False))
-
-
-def by_group_size(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    build: Callable[[DataFrame, str], DataFrame],
-    sizes_of: DataFrame | None = None,
-    hot_rows: int = DEFAULT_HOT_ROWS,
-    max_hot: int = DEFAULT_MAX_HOT,
-) -> DataFrame:
-    """Run ``build(frame, strategy)`` with ``window`` for ordinary groups and
-    ``build(frame, "distributed", buckets=...)`` for hot ones (buckets sized from the
-    largest group), and union the two results.
-
-    ``sizes_of`` is a cheap frame with the same groups (e.g. the base table) used
-    to size them; defaults to ``df``.
-    """
-    hot, largest = hot_groups_sized(sizes_of if sizes_of is not None else df, group_cols, hot_rows, max_hot)
-    if hot is None:
-        return build(df, "distributed", buckets=buckets_for(largest))
-    if not hot:
-        return build(df, "window")
-    is_hot = key_match(group_cols, hot)
-    return build(df.where(~is_hot), "window").unionByName(
-        build(df.where(is_hot), "distributed", buckets=buckets_for(largest))
-    )
+    return add_dense_ranks(df, [RankSpec(value, out, descending)], [])
 
 
 def top_k_per_group(df: DataFrame, rank_col: str, k: int) -> DataFrame:
-    """Rows whose in-group rank is at most ``k`` (O3)."""
+    """Rows whose in-group rank is at most ``k`` (O3); the rank is a stored column, so this is a plain filter."""
     return df.where(F.col(rank_col) <= k)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscore.functions.scoring import min_max_scale
@@ -20,21 +20,12 @@ def group_min_max(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str])
     return df.groupBy(*group_cols).agg(*aggs)
 
 
-def with_group_min_max(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str],
-                       strategy: str = "window") -> DataFrame:
+def with_group_min_max(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
     """Attach ``__min_<c>`` / ``__max_<c>`` of each group to every row.
 
-    ``window`` reuses the group exchange of the ranks; ``distributed`` aggregates
-    (partial, skew-proof) and joins the per-group row back — the engine decides at
-    run time whether that side is small enough to broadcast.
+    The extremes are combined before the shuffle and joined back, so no task holds a
+    group. A NULL group is a group.
     """
-    if strategy == "window" and group_cols:
-        w = Window.partitionBy(*group_cols)
-        cols_map = {}
-        for c in cols:
-            cols_map[f"__min_{c}"] = F.min(c).over(w)
-            cols_map[f"__max_{c}"] = F.max(c).over(w)
-        return df.withColumns(cols_map)
     stats = group_min_max(df, cols, group_cols)
     stats = stats.select(
         *group_cols,
@@ -46,7 +37,7 @@ def with_group_min_max(df: DataFrame, cols: Sequence[str], group_cols: Sequence[
         row = stats.first()
         return df.withColumns({c: F.lit(row[c]) for c in stats.columns})
     r = stats.select(*[F.col(c).alias(f"__jk_{c}") if c in group_cols else F.col(c) for c in stats.columns])
-    cond = [df[k].eqNullSafe(r[f"__jk_{k}"]) for k in group_cols]  # a NULL group is a group
+    cond = [df[k].eqNullSafe(r[f"__jk_{k}"]) for k in group_cols]
     return df.join(r, cond, "left").drop(*[f"__jk_{k}" for k in group_cols])
 
 
@@ -56,27 +47,25 @@ def min_max_scale_cols(
     lo: float,
     hi: float,
     group_cols: Sequence[str],
-    strategy: str = "window",
     prefix: str = "f_scaled_",
 ) -> DataFrame:
     """Add ``<prefix><c>`` = c rescaled to [lo, hi] inside its group."""
-    df = with_group_min_max(df, cols, group_cols, strategy)
-    df = df.withColumns(
-        {f"{prefix}{c}": min_max_scale(c, F.col(f"__min_{c}"), F.col(f"__max_{c}"), lo, hi) for c in cols}
-    )
-    return df.drop(*[f"__min_{c}" for c in cols], *[f"__max_{c}" for c in cols])
+    return tiered_scale(df, [(cols, (lo, hi))], group_cols, prefix)
 
 
 def tiered_scale(
     df: DataFrame,
     tiers: Sequence[tuple[Sequence[str], tuple[float, float]]],
     group_cols: Sequence[str],
-    strategy: str = "window",
     prefix: str = "f_scaled_",
 ) -> DataFrame:
-    """Min-max scale several column sets, each to its own target range."""
+    """Min-max scale several column sets, each to its own target range.
+
+    ``df`` feeds both the aggregate and the join; pass a stored frame when it is
+    expensive to compute.
+    """
     all_cols = [c for cols, _ in tiers for c in cols]
-    df = with_group_min_max(df, all_cols, group_cols, strategy)
+    df = with_group_min_max(df, all_cols, group_cols)
     scaled = {}
     for cols, (lo, hi) in tiers:
         for c in cols:

@@ -7,8 +7,12 @@ date or the upsert cut-off are features of the operator, not row caps.
 
 from __future__ import annotations
 
+import datetime as _dt
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peerscore.functions import clean, scoring
 from peerscore.operators import assemble, audit, extract, project, ranking, reshape, scaling, upsert
@@ -16,6 +20,7 @@ from peerscore.plans import capture, dashboards, scorecard
 from peerscore.schemas import (
     CREDIT,
     CREDIT_BUCKETS,
+    GROUP_FEATURE_TABLES,
     GROUP_ID,
     GROUP_KEYS,
     GROWTH,
@@ -24,15 +29,19 @@ from peerscore.schemas import (
     RISK_ORDINAL_DEFAULT,
     RISK_ORDINALS,
     SNAPSHOT,
+    SUBJECT_FEATURE_TABLES,
     SUBJECT_ID,
     SUBJECT_KEYS,
+    TABLE_KEYS,
 )
+from peerscore.session import scratch_path, stored
 from peerscore.sources import tables as src
 from peerscore.sources.demo import testdata_model
 
 # --- fixed values: parameters of the registered queries ---
 RANK_DATE = "1998-12-31"
-EMPTY_DATE = "2002-12-31"
+ORDER_DATE = "1998-01-01"
+CLOCK = "2024-03-01 06:00:00"
 GROUP = 3
 TOP_K = 3
 LISTING_N = 1000
@@ -45,7 +54,7 @@ CREDIT_LABELS = ["AAA", "A1+", "SOV", "Cash Equivalent", "AA", "A and Below", "U
 
 
 def _model(spark, sf_dir):
-    return testdata_model(spark, sf_dir)
+    return testdata_model(spark, sf_dir, checkpoint_stats=True)  # lineitem is aggregated once a query
 
 
 def _read(spark, sf_dir, name):
@@ -66,8 +75,15 @@ def rank_all_snapshots(spark, sf_dir):
     return scorecard.rank_all_snapshots(_model(spark, sf_dir))
 
 
+def _positioned(df: DataFrame, *order) -> DataFrame:
+    """``df`` with the position of each row in the given order, so that the order can be compared."""
+    spec = ranking.RankSpec("__order", "position", False)
+    return ranking.add_dense_ranks(df.withColumn("__order", F.struct(*order)), [spec], []).drop("__order")
+
+
 def rank_snapshot_sorted(spark, sf_dir):
-    return scorecard.rank_snapshot_sorted(rank_snapshot(spark, sf_dir))
+    ranked = _positioned(rank_snapshot(spark, sf_dir), F.col("total_rank"), F.col(SUBJECT_ID))
+    return scorecard.rank_snapshot_sorted(ranked)
 
 
 def top_k_per_group(spark, sf_dir):
@@ -100,6 +116,16 @@ def rank_global(spark, sf_dir):
     return ranking.rank_global(_subject(spark, sf_dir).drop("expense_ratio"), "asset_value", "global_rank")
 
 
+def rank_nulls(spark, sf_dir):
+    """Ranks over data with NULL values: the labels of all documents, unlabelled ones included."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    labels = _read(spark, sf_dir, "labels").select("doc_id", F.col("quality") * 2 + F.col("toxic"))
+    df = docs.join(labels.toDF("doc_id", "grade"), "doc_id", "left")
+    specs = [ranking.RankSpec("grade", "grade_up", False), ranking.RankSpec("grade", "grade_down", True),
+             ranking.RankSpec("n_chars", "longest", True)]
+    return ranking.add_dense_ranks(df, specs, ["lang"])
+
+
 def composite_score(spark, sf_dir):
     scored = scorecard.score_terms(_wide(spark, sf_dir))
     return scored.select(SUBJECT_ID, GROUP_ID, SNAPSHOT, *scorecard.SCORE_TERMS, "total_rank").withColumn(
@@ -144,8 +170,11 @@ def nan_to_zero(spark, sf_dir):
 
 
 def groups_without_data(spark, sf_dir):
-    m = _model(spark, sf_dir)
-    return project.groups_without_data(m["group_dim"], m["subject"], EMPTY_DATE).select("id", "first_seen")
+    customers = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name")
+    orders = _read(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias(GROUP_ID), F.col("o_orderdate").cast("date").alias(SNAPSHOT)
+    )
+    return project.groups_without_data(customers, orders, ORDER_DATE)
 
 
 # ---------- joins ----------
@@ -173,7 +202,13 @@ def coverage_fanout(spark, sf_dir):
 
 
 def horizon_comparison(spark, sf_dir):
-    return dashboards.horizon_comparison(_model(spark, sf_dir))
+    long = dashboards.horizon_comparison(_model(spark, sf_dir), ordered=False)
+    position = reshape.domain_position("horizon", GROWTH.columns)
+    return _positioned(long, F.col(SUBJECT_ID), F.col(SNAPSHOT), position).orderBy("position")
+
+
+def horizon_snapshot(spark, sf_dir):
+    return dashboards.horizon_comparison(_model(spark, sf_dir), snapshot=RANK_DATE, ordered=False)
 
 
 def unpivot_horizons(spark, sf_dir):
@@ -208,9 +243,17 @@ def audit_orphans(spark, sf_dir):
 
 
 def audit_null_keys(spark, sf_dir):
-    return audit.audit_null_keys(_read(spark, sf_dir, "events"), ["user_id", "event_type"]).select(
-        "event_id", "user_id", "event_type"
-    )
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "lang")
+    labelled = docs.join(_read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return audit.audit_null_keys(labelled, ["doc_id", "quality"])
+
+
+def audit_model(spark, sf_dir):
+    """The declared keys over a model that lacks one group of its dimension and repeats another."""
+    m = dict(_model(spark, sf_dir))
+    dim = m["group_dim"]
+    m["group_dim"] = project.group_filter(dim, GROUP, "id").unionByName(dim.where(F.col("id") <= GROUP))
+    return audit.audit_model(m)
 
 
 def audit_null_features(spark, sf_dir):
@@ -412,7 +455,16 @@ def _row(label: str, cells, blank_after_label: bool = False) -> F.Column:
     return F.concat(*parts, *cells, F.lit("</tr>"))
 
 
-def _two_row_family_captures(model, family, table, kind: str, open_markup: str, close_markup: str, pad: int):
+def _tag(tag: str, attribute: str, value: str) -> F.Column:
+    """An opening tag as the pages have it: double quotes, single quotes or none, by subject."""
+    forms = [f'<{tag} {attribute}="{value}">', f"<{tag} class=t {attribute} = '{value}'>", f"<{tag} {attribute}={value} >"]
+    return F.element_at(F.array(*[F.lit(x) for x in forms]), (F.pmod(F.col(SUBJECT_ID), F.lit(3)) + 1).cast("int"))
+
+
+NESTED = "<tr><td>Rank</td><td><table><tr><td>7</td></tr></table></td></tr>"
+
+
+def _two_row_family_captures(model, family, table, kind: str, open_markup, close_markup: str, pad: int):
     """Capture bodies of a two-row (subject row 0, group row 2) table rendered from the model."""
     base = model["subject"].select(F.col("id").alias(SUBJECT_ID), SNAPSHOT, GROUP_ID)
     s = model[f"subject_{table}"].select(SUBJECT_ID, SNAPSHOT, *[F.col(c).alias(f"s_{c}") for c in family.columns])
@@ -420,9 +472,9 @@ def _two_row_family_captures(model, family, table, kind: str, open_markup: str,
     df = s.join(base, [SUBJECT_ID, SNAPSHOT]).join(g, [GROUP_ID, SNAPSHOT])
     filler = [F.lit(f"<td>x{i}</td>") for i in range(pad)]
     html = F.concat(
-        F.lit(open_markup + "<tbody>"),
+        open_markup, F.lit("<tbody>"),
         _row("Subject", filler + [_cell(f"s_{c}") for c in family.columns], blank_after_label=True),
-        F.lit("<tr><td>Rank</td></tr>"),
+        F.lit(NESTED),
         _row("Group", filler + [_cell(f"g_{c}") for c in family.columns]),
         F.lit("</tbody>" + close_markup),
     )
@@ -437,14 +489,15 @@ def _family_result(out, family):
 
 def extract_returns(spark, sf_dir):
     caps = _two_row_family_captures(_model(spark, sf_dir), GROWTH, "growth", "returns",
-                                    f'<table class="t" id="{extract.RETURNS_TABLE_ID}">', "</table>",
+                                    _tag("table", "id", extract.RETURNS_TABLE_ID), "</table>",
                                     extract.RETURNS_FIRST_CELL - 1)
     return _family_result(extract.extract_returns(caps), GROWTH)
 
 
 def extract_risk(spark, sf_dir):
     caps = _two_row_family_captures(_model(spark, sf_dir), RISK, "risk", "risk",
-                                    f'<div class="{extract.RISK_DIV_CLASS}"><table>', "</table></div>",
+                                    F.concat(_tag("div", "data-x", "1"), F.lit(f"<p class='x {extract.RISK_DIV_CLASS}'>"),
+                                             F.lit(f"<div class='x {extract.RISK_DIV_CLASS}'><table>")), "</table></div>",
                                     extract.RISK_FIRST_CELL - 1)
     return _family_result(extract.extract_risk(caps), RISK)
 
@@ -456,9 +509,14 @@ def _portfolio_captures(m) -> DataFrame:
     df = s.join(base, [SUBJECT_ID, SNAPSHOT]).join(g, [GROUP_ID, SNAPSHOT])
     rows = [F.concat(F.lit(f"<tr><td>{c}</td>"), _cell(f"s_{c}"), _cell(f"g_{c}"), F.lit("</tr>"))
             for c in PORTFOLIO.columns]
+    held = m["subject"].select(F.col("id").alias(SUBJECT_ID), SNAPSHOT, "name", "house")
+    df = df.join(held, [SUBJECT_ID, SNAPSHOT])
+    more = "".join(f"<tr><td>holding {k}</td><td>{k}</td></tr>" for k in range(3, 14))
     html = F.concat(
-        F.lit(f'<table id="{extract.HOLDINGS_TABLE_ID}"><tbody></tbody></table>'
-              f'<div id="{extract.PORTFOLIO_DIV_ID}"><table class="table"><tbody>'),
+        _tag("table", "id", extract.HOLDINGS_TABLE_ID),
+        F.lit("<tbody><tr><td> "), F.col("house"), F.lit(" </td><td>1</td></tr><tr><td>"), F.col("name"),
+        F.lit(f"</td><td>2</td></tr>{more}</tbody></table>"),
+        _tag("div", "id", extract.PORTFOLIO_DIV_ID), F.lit("<table class='a table b'><tbody>"),
         *rows,
         F.lit("</tbody></table></div>"),
     )
@@ -470,7 +528,7 @@ def extract_portfolio(spark, sf_dir):
     out = extract.extract_portfolio(_portfolio_captures(_model(spark, sf_dir)))
     return _family_result(out, PORTFOLIO).join(
         out.select(F.col(SUBJECT_ID).cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT),
-                   F.size("top_holdings").alias("n_holdings")), [SUBJECT_ID, SNAPSHOT])
+                   F.array_join("top_holdings", "|").alias("holdings")), [SUBJECT_ID, SNAPSHOT])
 
 
 def _basic_captures(m) -> DataFrame:
@@ -505,7 +563,7 @@ def listing_captures(model) -> DataFrame:
                                                  F.lit(' star">'))).otherwise(F.lit(""))
     ratio = F.when(F.col("expense_ratio") == 0, F.lit("--")).otherwise(F.col("expense_ratio").cast("string"))
     row = F.concat(
-        F.lit('<tr><td><a href="/subjects/'), F.col("id").cast("string"), F.lit("/"), slug, F.lit('">'),
+        F.lit("<tr><td><a class=n href='/subjects/"), F.col("id").cast("string"), F.lit("/"), slug, F.lit("'>"),
         F.col("name"), F.lit("</a></td><td>"), img, F.lit("</td><td>x</td><td>y</td>"),
         F.lit('<td><a href="/a/b/c/'), F.col(GROUP_ID).cast("string"), F.lit('" data-original-title="'),
         F.coalesce(F.col("category"), F.lit("")), F.lit('">'), F.coalesce(F.col("category_code"), F.lit("")),
@@ -518,7 +576,8 @@ def listing_captures(model) -> DataFrame:
     html = F.concat(F.lit("<table><thead><tr><th>Name</th></tr></thead><tbody>"),
                     F.array_join(F.transform("rows", lambda r: r["html"]), ""), F.lit("</tbody></table>"))
     return pages.select(F.lit("").alias(SUBJECT_ID), F.lit("listing").alias("kind"),
-                        F.col(SNAPSHOT).alias("captured_on"), F.to_json(F.struct(html.alias("html_data"))).alias("body"))
+                        F.col(SNAPSHOT).alias("captured_on"), F.to_json(F.struct(html.alias("html_data"))).alias("body"),
+                        F.col("page").cast("int").alias("page"))
 
 
 def extract_listing(spark, sf_dir):
@@ -536,17 +595,31 @@ def model_captures(model) -> DataFrame:
         listing_captures(model),
         _basic_captures(model),
         _two_row_family_captures(model, GROWTH, "growth", "returns",
-                                 f'<table class="t" id="{extract.RETURNS_TABLE_ID}">', "</table>",
+                                 _tag("table", "id", extract.RETURNS_TABLE_ID), "</table>",
                                  extract.RETURNS_FIRST_CELL - 1),
-        _two_row_family_captures(model, RISK, "risk", "risk", f'<div class="{extract.RISK_DIV_CLASS}"><table>',
+        _two_row_family_captures(model, RISK, "risk", "risk", F.lit(f'<div class="{extract.RISK_DIV_CLASS}"><table>'),
                                  "</table></div>", extract.RISK_FIRST_CELL - 1),
         _portfolio_captures(model),
         credit_captures(model),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def listing_head(spark, sf_dir):
+    """The first rows of each date's whole listing, over its pages."""
+    out = extract.extract_listing(listing_captures(_model(spark, sf_dir)), limit=LISTING_N)
+    return out.select(F.col("id").cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT))
+
+
+def table_rows(spark, sf_dir):
+    """Cells of every row of the captured returns tables."""
+    caps = _two_row_family_captures(_model(spark, sf_dir), GROWTH, "growth", "returns",
+                                    _tag("table", "id", extract.RETURNS_TABLE_ID), "</table>",
+                                    extract.RETURNS_FIRST_CELL - 1)
+    rows = extract.table_rows(extract.table_by_id(extract.markup("body"), extract.RETURNS_TABLE_ID))
+    return caps.select(F.col(SUBJECT_ID).cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT),
+                       F.posexplode(rows).alias("row", "cells")).select(
+        SUBJECT_ID, SNAPSHOT, "row", F.size("cells").alias("n_cells"), F.get("cells", 0).alias("label"))
 
 
 def capture_records(spark, sf_dir):
@@ -554,13 +627,47 @@ def capture_records(spark, sf_dir):
     return rec.select(
         F.col("id").alias(SUBJECT_ID), SNAPSHOT, "name", GROUP_ID, "house", "risk",
         GROWTH.subject_col("3m"), GROWTH.group_col("10y"), CREDIT.subject_col("aaa"), CREDIT.group_col("aa"),
-        PORTFOLIO.subject_col("num_securities"), RISK.group_col("alpha"), "top_holdings",
+        PORTFOLIO.subject_col("num_securities"), RISK.group_col("alpha"), F.size(F.from_json("top_holdings", "array<string>")).alias("n_holdings"),
     )
 
 
+def keyed_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every row of every model table: table, key, date and the sum of its values."""
+    out = []
+    for name, df in tables.items():
+        if name not in TABLE_KEYS:
+            continue
+        key, dated = TABLE_KEYS[name][0], SNAPSHOT if SNAPSHOT in df.columns else "first_seen"
+        if name == "subject":
+            total = F.col("asset_value") + F.col("rating") + F.length("name")
+        elif name == "group_dim":
+            total = F.length("category") + F.length("category_code")
+        else:
+            family = {**SUBJECT_FEATURE_TABLES, **GROUP_FEATURE_TABLES}[name]
+            total = reduce(lambda a, b: a + b, [F.col(c) for c in family.columns])
+        out.append(df.select(F.lit(name).alias("table"), F.col(key).cast("long").alias("key"), F.col(dated).alias("day"),
+                             F.round(total.cast("double"), 3).alias("total")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def capture_to_tables(spark, sf_dir):
-    tables = capture.capture_to_tables(model_captures(_model(spark, sf_dir)))
-    return tables["group_risk"]
+    return keyed_rows(capture.capture_to_tables(model_captures(_model(spark, sf_dir))))
+
+
+def capture_and_store(spark, sf_dir):
+    """Two overlapping capture runs into storage, then every stored row."""
+    caps = stored(model_captures(_model(spark, sf_dir)))
+    root, clock = scratch_path(spark, "captured"), _dt.datetime.fromisoformat(CLOCK)
+    capture.capture_and_store(spark, caps.where(F.col("captured_on") <= F.lit(RANK_DATE).cast("date")), root, clock=clock)
+    tables = capture.capture_and_store(spark, caps.where(F.col("captured_on") >= F.lit(RANK_DATE).cast("date")), root, clock=clock)
+    return keyed_rows(tables)
+
+
+def rank_and_store(spark, sf_dir):
+    """Two overlapping runs of the job over the stored model, then the stored ranking."""
+    model, path = _model(spark, sf_dir), scratch_path(spark, "ranking")
+    scorecard.rank_and_store(spark, model, path, None, RANK_DATE)
+    return scorecard.rank_and_store(spark, model, path, RANK_DATE, None).drop("modified")
 
 
 # ---------- upserts and sources ----------
@@ -603,8 +710,44 @@ def upsert_keep_first(spark, sf_dir):
 
 def fan_out_record(spark, sf_dir):
     wide = _wide(spark, sf_dir).withColumnRenamed(SUBJECT_ID, "id")
-    tables = upsert.fan_out_record(wide, ["name", GROUP_ID], order_by=["id"])
-    return tables["group_growth"]
+    return keyed_rows(upsert.fan_out_record(wide, ["name", GROUP_ID, "asset_value", "rating"], order_by=["id"]))
+
+
+def save_table(spark, sf_dir):
+    """A table written twice and read back."""
+    path, customers = scratch_path(spark, "saved"), _read(spark, sf_dir, "customer")
+    src.save_table(customers.limit(1), path)
+    src.save_table(customers, path)
+    return src.scan_table(spark, "customer", path=path, columns=["c_custkey", "c_name", "c_nationkey"])
+
+
+def with_audit(spark, sf_dir):
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return upsert.with_audit(orders, clock=_dt.datetime.fromisoformat(CLOCK)).withColumn("modified", F.col("modified").cast("timestamp_ntz"))
+
+
+def read_json_array(spark, sf_dir):
+    """Suppliers of each nation as one JSON array a file, read back with a declared schema."""
+    supplier = _read(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", "s_name")
+    rows = F.to_json(F.collect_list(F.struct("s_suppkey", "s_name")))
+    path = scratch_path(spark, "arrays")
+    supplier.groupBy("s_nationkey").agg(rows.alias("value")).write.partitionBy("s_nationkey").text(path)
+    return src.read_json_array(spark, path, T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType())])).select("s_suppkey", "s_name")
+
+
+def append_json_lines(spark, sf_dir):
+    """Events appended in two parts to the run date's folder, read back."""
+    events = _read(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    root, day = scratch_path(spark, "lines"), src.run_snapshot(RANK_DATE)
+    src.append_json_lines(events.where("event_type = 'click'"), root, day)
+    folder = src.append_json_lines(events.where("event_type <> 'click' or event_type is null"), root, day)
+    return spark.read.schema(events.schema).json(folder)
+
+
+def run_snapshot(spark, sf_dir):
+    """Rows of the run date given as text."""
+    day = src.run_snapshot(REVISED_DATE)
+    return project.snapshot_filter(_model(spark, sf_dir)["subject"], day).select("id", SNAPSHOT, "asset_value")
 
 
 def scan_table(spark, sf_dir):
@@ -618,6 +761,8 @@ QUERIES = {
     "rank_snapshot_sorted": rank_snapshot_sorted,
     "top_k_per_group": top_k_per_group,
     "rerank_stored": rerank_stored,
+    "rank_nulls": rank_nulls,
+    "rank_and_store": rank_and_store,
     "rank_desc": rank_desc,
     "rank_asc": rank_asc,
     "rank_global": rank_global,
@@ -635,12 +780,14 @@ QUERIES = {
     "assemble_wide": assemble_wide,
     "coverage_fanout": coverage_fanout,
     "horizon_comparison": horizon_comparison,
+    "horizon_snapshot": horizon_snapshot,
     "unpivot_horizons": unpivot_horizons,
     "union_all_branches": union_all_branches,
     "merge_partials": merge_partials,
     "audit_duplicate_keys": audit_duplicate_keys,
     "audit_orphans": audit_orphans,
     "audit_null_keys": audit_null_keys,
+    "audit_model": audit_model,
     "audit_null_features": audit_null_features,
     "snapshot_counts": snapshot_counts,
     "group_min_max": group_min_max,
@@ -666,6 +813,8 @@ QUERIES = {
     "array_get_default": array_get_default,
     "array_head": array_head,
     "listing_limit": listing_limit,
+    "listing_head": listing_head,
+    "table_rows": table_rows,
     "extract_links": extract_links,
     "extract_credit": extract_credit,
     "extract_returns": extract_returns,
@@ -675,9 +824,15 @@ QUERIES = {
     "extract_listing": extract_listing,
     "capture_records": capture_records,
     "capture_to_tables": capture_to_tables,
+    "capture_and_store": capture_and_store,
     "upsert_last_wins": upsert_last_wins,
     "upsert_dated": upsert_dated,
     "upsert_keep_first": upsert_keep_first,
     "fan_out_record": fan_out_record,
     "scan_table": scan_table,
+    "save_table": save_table,
+    "with_audit": with_audit,
+    "read_json_array": read_json_array,
+    "append_json_lines": append_json_lines,
+    "run_snapshot": run_snapshot,
 }

@@ -1,9 +1,10 @@
 """Peer-group scorecard: score every subject against its group and rank it.
 
 One declarative plan for all groups (and, for a backfill, all dates): the group
-is a window partition key, never a driver loop.  Every score term is a native
-expression; group minima/maxima and dense ranks share the group exchange
-(``window`` shape) or are split by value range for hot groups (``distributed``).
+is a key of the plan, never a driver loop.  Every score term is a native
+expression; group extremes are combined before the shuffle and dense ranks are
+range-partitioned, so a group of any size spreads over the cluster.  The
+assembled frame and the scored rows are each stored once.
 """
 
 from __future__ import annotations
@@ -12,21 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscore.functions.scoring import composite_score, growth_trend, horizontal_sum, ordinal_encode, pct_change_sum
-from peerscore.operators.assemble import assemble_subject, assemble_wide, base_frame
+from peerscore.operators.assemble import assemble_wide
 from peerscore.operators.project import nan_to_zero, snapshot_lit
-from peerscore.operators.ranking import (
-    DEFAULT_BUCKETS,
-    DEFAULT_HOT_ROWS,
-    DEFAULT_MAX_HOT,
-    RankSpec,
-    add_dense_ranks,
-    add_dense_ranks_long,
-    buckets_for,
-    hot_groups_sized,
-    key_match,
-)
+from peerscore.operators.ranking import RankSpec, add_dense_ranks
 from peerscore.operators.scaling import tiered_scale
-from peerscore.session import checkpoint_dir
+from peerscore.session import stored
 from peerscore.schemas import (
     CREDIT,
     CREDIT_TIERS,
@@ -53,19 +44,18 @@ RANK_SPECS = [
 ]
 SCALED_TIERS = [([CREDIT.subject_col(c) for c in cols], rng) for cols, rng in CREDIT_TIERS]
 SCALED_COLS = [f"f_scaled_{c}" for cols, _ in SCALED_TIERS for c in cols]
-# the twelve terms of the composite score, in summation order
+# --- fixed values: the twelve terms of the composite score, in summation order ---
 SCORE_TERMS = [
     "risk_rank", "asset_value_rank", "expense_ratio_rank", "sharpe_ratio_rank", "alpha_rank",
     "beta_rank", "std_dev_rank", "mean_rank", "trend_growth", "credit_rating_trend",
     "portfolio_agg_trend", "f_total",
 ]
+# --- end of fixed values ---
 RANKING_COLUMNS = [SUBJECT_ID, "name", GROUP_ID, "rating", SNAPSHOT, "total_rank", "total_rank_int", "group_rank"]
 SCORE_DIGITS = 6
-ROW_ID = "__row_id"
 
 
-def score_terms(wide: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window",
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def score_terms(wide: DataFrame, group_cols=GROUP_KEYS) -> DataFrame:
     """All twelve peer-relative terms and ``total_rank`` for an assembled wide frame."""
     df = nan_to_zero(wide)
     df = df.withColumns({
@@ -74,79 +64,36 @@ def score_terms(wide: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window"
         "portfolio_agg_trend": pct_change_sum(PORTFOLIO.pairs),
         "risk_rank": ordinal_encode("risk", RISK_ORDINALS, RISK_ORDINAL_DEFAULT),
     })
-    df = tiered_scale(df, SCALED_TIERS, group_cols, strategy)
+    df = add_dense_ranks(df, RANK_SPECS, group_cols)
+    df = tiered_scale(df, SCALED_TIERS, group_cols)
     df = df.withColumn("f_total", horizontal_sum(SCALED_COLS))
-    if strategy == "distributed" and ROW_ID in df.columns:
-        df = add_dense_ranks_long(df, RANK_SPECS, group_cols, ROW_ID, buckets)
-    else:
-        df = add_dense_ranks(df, RANK_SPECS, group_cols, strategy, buckets)
     return df.withColumn("total_rank", F.round(composite_score(SCORE_TERMS), SCORE_DIGITS))
 
 
-def rank_terms(scored: DataFrame, group_cols=GROUP_KEYS, strategy: str = "window",
-               descending: bool = True, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def rank_terms(scored: DataFrame, group_cols=GROUP_KEYS, descending: bool = True) -> DataFrame:
     """Ranking rows: in-group dense rank of ``total_rank`` (W3; 1 = highest when descending)."""
     out = scored.select(
         SUBJECT_ID, "name", GROUP_ID, "rating", SNAPSHOT, "total_rank",
-        F.round("total_rank").try_cast("int").alias("total_rank_int"),
+        F.round("total_rank").try_cast("bigint").alias("total_rank_int"),
     )
-    out = add_dense_ranks(out, [RankSpec("total_rank", "group_rank", descending)], group_cols, strategy, buckets)
+    out = add_dense_ranks(out, [RankSpec("total_rank", "group_rank", descending)], group_cols)
     return out.select(*RANKING_COLUMNS)
 
 
-def _rank(wide: DataFrame, strategy: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    if strategy == "distributed":
-        # the frame feeds every rank table: cut its lineage once (reliable checkpoint in the
-        # shared folder) instead of re-running the assembly joins for each of them; the row
-        # id is stored with it, so it stays the same if a task is re-run
-        checkpoint_dir(wide.sparkSession)
-        wide = wide.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint(eager=True)
-    return rank_terms(score_terms(wide, GROUP_KEYS, strategy, buckets), GROUP_KEYS, strategy, buckets=buckets)
-
-
-def rank_range(
-    model: dict[str, DataFrame],
-    start=None,
-    end=None,
-    strategy: str = "auto",
-    hot_rows: int = DEFAULT_HOT_ROWS,
-    max_hot: int = DEFAULT_MAX_HOT,
-) -> DataFrame:
-    """Rank every subject inside its group for every snapshot in [start, end].
-
-    ``auto`` sizes the (group, snapshot) keys on the base table first.  Ordinary
-    groups take shuffled (adaptive) group joins and the window shape; the rows of
-    hot groups — at most ``max_hot`` keys — join the group tables restricted to
-    those keys by broadcast and are ranked the distributed way.  With more hot
-    keys than that, everything goes the distributed way.
-    """
-    sizes = base_frame(model, start, end, columns=[GROUP_ID])
-    if strategy == "distributed":
-        largest = sizes.groupBy(*GROUP_KEYS).count().agg(F.max("count")).first()[0] or 0
-        return _rank(assemble_wide(model, start, end), strategy, buckets_for(largest))
-    if strategy != "auto":
-        return _rank(assemble_wide(model, start, end), strategy)
-    hot, largest = hot_groups_sized(sizes, GROUP_KEYS, hot_rows, max_hot)
-    if hot is None:
-        return _rank(assemble_wide(model, start, end), "distributed", buckets_for(largest))
-    if not hot:
-        return _rank(assemble_wide(model, start, end), "window")
-    is_hot = key_match(GROUP_KEYS, hot)
-    subj = assemble_subject(model, start, end)
-    cold = assemble_wide(model, start, end, subject=subj.where(~is_hot))
-    warm = assemble_wide(model, start, end, subject=subj.where(is_hot), only=is_hot)
-    return _rank(cold, "window").unionByName(_rank(warm, "distributed", buckets_for(largest)))
-
-
-def rank_snapshot(model: dict[str, DataFrame], snapshot=None, strategy: str = "auto", **kw) -> DataFrame:
+def rank_range(model: dict[str, DataFrame], start=None, end=None) -> DataFrame:
+    """Rank every subject inside its group for every snapshot in [start, end]."""
+    return rank_terms(score_terms(stored(assemble_wide(model, start, end))))
+
+
+def rank_snapshot(model: dict[str, DataFrame], snapshot=None) -> DataFrame:
     """Rank one snapshot, all groups (C1); ``snapshot=None`` is today."""
     d = snapshot_lit(snapshot)
-    return rank_range(model, d, d, strategy, **kw)
+    return rank_range(model, d, d)
 
 
-def rank_all_snapshots(model: dict[str, DataFrame], strategy: str = "auto", **kw) -> DataFrame:
+def rank_all_snapshots(model: dict[str, DataFrame]) -> DataFrame:
     """Rank the whole history at once (C2), replacing one run per date."""
-    return rank_range(model, None, None, strategy, **kw)
+    return rank_range(model)
 
 
 def rank_snapshot_sorted(ranking: DataFrame) -> DataFrame:
@@ -154,37 +101,33 @@ def rank_snapshot_sorted(ranking: DataFrame) -> DataFrame:
     return ranking.orderBy(F.col("total_rank").asc_nulls_last(), SUBJECT_ID)
 
 
-def rerank_stored(ranking: DataFrame, snapshot=None, group_id=None, strategy: str = "auto") -> DataFrame:
+def rerank_stored(ranking: DataFrame, snapshot=None, group_id=None) -> DataFrame:
     """Re-rank stored results by the integer score (W4); optional date and group filters."""
     df = ranking
     if snapshot is not None:
         df = df.where(F.col(SNAPSHOT) == snapshot_lit(snapshot))
     if group_id is not None:
         df = df.where(F.col(GROUP_ID) == F.lit(group_id).cast(df.schema[GROUP_ID].dataType))
-    out = add_dense_ranks(
-        df.drop("group_rank"), [RankSpec("total_rank_int", "group_rank", True)], GROUP_KEYS, strategy
-    )
-    return out
+    return add_dense_ranks(df.drop("group_rank"), [RankSpec("total_rank_int", "group_rank", True)], GROUP_KEYS)
 
 
 RANKING_KEYS = [SUBJECT_ID, GROUP_ID, SNAPSHOT]
 
 
-def rank_and_store(spark, model: dict[str, DataFrame], path: str, start=None, end=None,
-                   strategy: str = "auto", clock=None) -> DataFrame:
+def rank_and_store(spark, model: dict[str, DataFrame], path: str, start=None, end=None, clock=None) -> DataFrame:
     """Rank [start, end] and upsert it into the ranking table at ``path``.
 
-    Keyed on (subject, group, snapshot); only the snapshot partitions being
-    ranked are read and rewritten; ``modified`` is stamped on every written row.
-    Returns the stored table.
+    Keyed on (subject, group, snapshot). The ranked rows are stored once; only the
+    snapshot partitions of the date range are read and rewritten; ``modified`` is
+    stamped on every written row.  Returns the stored table.
     """
-    from peerscore.operators.upsert import upsert, with_audit, write_upsert
-
-    ranked = with_audit(rank_range(model, start, end, strategy), set_added=False, clock=clock)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    if hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
-        stored = spark.read.parquet(path).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
-        ranked = upsert(stored.select(*ranked.columns), ranked, RANKING_KEYS, partition_cols=[SNAPSHOT])
+    from peerscore.operators.project import snapshot_range
+    from peerscore.operators.upsert import path_exists, upsert, with_audit, write_upsert
+
+    ranked = stored(with_audit(rank_range(model, start, end), set_added=False, clock=clock))
+    if path_exists(spark, path):
+        kept = spark.read.parquet(path).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
+        kept = snapshot_range(kept, start, end).select(*ranked.columns)
+        ranked = upsert(kept, ranked, RANKING_KEYS, partition_cols=[SNAPSHOT])
     write_upsert(spark, ranked, path, [SNAPSHOT])
     return spark.read.parquet(path).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))

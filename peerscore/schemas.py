@@ -130,8 +130,8 @@ RANKING_SCHEMA = T.StructType([
     T.StructField(GROUP_ID, T.IntegerType()),
     T.StructField("rating", T.IntegerType()),
     T.StructField("total_rank", T.DoubleType()),
-    T.StructField("total_rank_int", T.IntegerType()),
-    T.StructField("group_rank", T.IntegerType()),
+    T.StructField("total_rank_int", T.LongType()),
+    T.StructField("group_rank", T.LongType()),
     T.StructField(SNAPSHOT, T.DateType(), False),
     T.StructField("modified", T.TimestampType()),
 ])

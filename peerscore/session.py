@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "peerscore") -> SparkSession:
@@ -18,6 +19,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -27,8 +29,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used for reliable checkpoints.
 
     Order: a checkpoint folder already set on the context, else the one named by
-    ``spark.checkpoint.dir`` (what a cluster configures); only when neither exists
-    (local tests) a scratch folder is created.
+    ``spark.checkpoint.dir`` (what a cluster configures). Only a local master may go
+    without: it gets a scratch folder. Elsewhere a missing setting is an error, since
+    a machine's own folder would not be seen by the other machines.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -36,16 +39,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="peerscore-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
-def shuffle_partitions_for(shuffle_bytes: int, target_partition_bytes: int = 256 << 20, minimum: int = 8) -> int:
-    """A starting ``spark.sql.shuffle.partitions`` for a job that shuffles ``shuffle_bytes``.
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared checkpoint folder: its lineage is cut, so later uses read it.
 
-    Adaptive execution coalesces small partitions and splits skewed ones at run
-    time, so this only needs to be large enough that no partition spills badly:
-    about one partition per ``target_partition_bytes`` of shuffled data.
+    Spark deletes a checkpoint when its frame is no longer used, given
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` (``local_session`` sets it).
     """
-    return max(minimum, -(-shuffle_bytes // target_partition_bytes))
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid4().hex}"

@@ -54,3 +54,16 @@ def test_defaults_and_dates(spark):
     assert (r.s, r.n, r.f, r.iso) == ("", 0.0, "06-01-2023", "2023-01-06")
     r2 = df.select(clean.default_missing(F.lit(None).cast("array<string>"), []).alias("a")).first()
     assert r2.a == []
+
+
+def test_safe_cast_checks_the_text(spark):
+    from peerscore.functions.clean import out_of_range, safe_cast
+
+    rows = ["12d", "5f", "0x1A", "1e3", " 7 ", "-.5", "12.", "1,2", "--", None, "12.5"]
+    df = spark.createDataFrame([(x,) for x in rows], "x string")
+    got = [r[0] for r in df.select(safe_cast("x")).collect()]
+    assert got == [0.0, 0.0, 0.0, 1000.0, 7.0, -0.5, 12.0, 0.0, 0.0, 0.0, 12.5]
+    ints = [r[0] for r in df.select(safe_cast("x", "bigint")).collect()]
+    assert ints == [0, 0, 0, 0, 7, 0, 0, 0, 0, 0, 0]
+    big = spark.createDataFrame([("9,223,372,036,854,775,808",), ("12",), (None,), ("x",)], "x string")
+    assert [r[0] for r in big.select(out_of_range("x", "bigint")).collect()] == [True, False, False, False]

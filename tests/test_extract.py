@@ -136,3 +136,55 @@ def test_records_and_tables(spark):
     gg = tables["group_growth"].collect()
     assert len(gg) == 1 and gg[0].group_id == 120
     assert tables["subject_growth"].count() == 2
+
+
+def test_links_with_every_quoting(spark):
+    html = """<a href='/s/1'>one</a><a class=x href=/u/2>two</a><a id='q' href = "/d/3" >three</a><abbr href="/no">n</abbr>"""
+    got = [(r.href, r.text) for r in extract.extract_links(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()]
+    assert got == [("/s/1", "one"), ("/u/2", "two"), ("/d/3", "three")]
+
+
+def test_tables_with_every_quoting_and_nested_tables(spark):
+    plain = returns_html()
+    nested = plain.replace("<td>a</td>", "<td>a<table><tr><td>9</td></tr></table></td>", 1)
+    variants = [plain, plain.replace('id="return_over_time_table"', "id='return_over_time_table'"),
+                plain.replace('id="return_over_time_table"', "class=c id=return_over_time_table"), nested,
+                "<table id='other'><tr><td>1</td></tr></table>" + nested]
+    rows = [(str(k), "returns", DAY, _body(v)) for k, v in enumerate(variants)]
+    out = extract.extract_returns(spark.createDataFrame(rows, "subject_id string, kind string, captured_on date, body string")).collect()
+    assert len(out) == 5
+    for r in out:
+        assert r.reason is None and [r[GROWTH.subject_col(h)] for h in GROWTH.columns] == [1.5, 2.5, 3.5, 4.5, 0.0, 6.5, 7.5]
+
+
+def test_listing_values_beyond_the_types_are_rejected_not_zeroed(spark):
+    big = listing_html().replace("1,234", "3,000,000,000").replace("987", "99,999,999,999,999,999,999")
+    caps = spark.createDataFrame([("", "listing", DAY, _body(big, "html_data"))], "subject_id string, kind string, captured_on date, body string")
+    a, b, _ = extract.extract_listing(caps).orderBy("position").collect()
+    assert (a.asset_value, a.reason) == (3_000_000_000, None) and b.reason == "asset value out of range"
+
+
+def test_listing_limit_spans_the_pages(spark):
+    rows = [("", "listing", DAY, _body(listing_html(), "html_data"), p) for p in (2, 1)]
+    caps = spark.createDataFrame(rows, "subject_id string, kind string, captured_on date, body string, page int")
+    got = extract.extract_listing(caps, limit=4).collect()
+    assert sorted((r.page, r.position) for r in got) == [(1, 0), (1, 1), (1, 2), (2, 0)]
+
+
+def test_capture_and_store(spark, tmp_dir):
+    from peerscore.plans.capture import REJECT_KEYS, capture_and_store
+    from peerscore.schemas import TABLE_KEYS, table_schema
+
+    root = f"{tmp_dir}/model"
+    first = capture_and_store(spark, captures(spark), root, clock=dt.datetime(2023, 1, 6, 9))
+    kept = {k: sorted(map(str, v.drop("modified").collect())) for k, v in first.items()}
+    assert kept["rejects"] and kept["subject_growth"] and kept["group_dim"]
+    second = capture_and_store(spark, captures(spark), root, clock=dt.datetime(2023, 1, 7, 9))
+    for name, df in second.items():
+        assert sorted(map(str, df.drop("modified").collect())) == kept[name], name
+        keys = TABLE_KEYS.get(name, REJECT_KEYS)
+        assert df.groupBy(*keys).count().where("count > 1").count() == 0
+        if name != "rejects":
+            assert {r.modified for r in df.select("modified").collect()} == {dt.datetime(2023, 1, 7, 9)}
+            declared = {f.name: f.dataType for f in table_schema(name).fields}
+            assert {f.name: f.dataType for f in df.schema.fields} == declared

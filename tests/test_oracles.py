@@ -3,8 +3,9 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+import oracle_queries
 from oracle_check import TABLES, rows_of
+from peerscore.plans import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,11 +18,11 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF)
+    df = registry.QUERIES[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    res = con.execute(entry.oracle_sql()[name])
+    res = con.execute(oracle_queries.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)

@@ -4,8 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
-from peerscore.plans import scorecard
+from peerscore.operators import assemble
+from peerscore.plans import registry, scorecard
 from peerscore.sources.tables import read_model, write_model
 
 SF = "/root/testdata/sf0.001"
@@ -25,27 +25,57 @@ def stored(spark, model):
 
 
 def test_snapshot_filter_reaches_every_table(spark, stored):
-    plan = _plan(scorecard.rank_snapshot(stored, "1998-12-31", strategy="window"))
+    plan = _plan(assemble.assemble_wide(stored, "1998-12-31", "1998-12-31"))
     scans = re.findall(r"FileScan parquet [^\n]*", plan)
     dated = [s for s in scans if "snapshot" in s]
     assert dated and all("PartitionFilters: [isnotnull(snapshot" in s for s in dated)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_cartesian_or_python(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
+    plan = _plan(registry.QUERIES[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan, (name, bad)
 
 
-@pytest.mark.parametrize("name", ["upsert_last_wins", "upsert_keep_first", "audit_duplicate_keys"])
+@pytest.mark.parametrize("name", ["audit_duplicate_keys", "group_min_max", "snapshot_counts"])
 def test_aggregations_combine_map_side(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
+    plan = _plan(registry.QUERIES[name](spark, SF))
     assert re.search(r"partial_(max|min|count)", plan), name
 
 
-def test_windows_share_one_exchange(spark, stored):
-    plan = _plan(scorecard.rank_all_snapshots(stored, strategy="window"))
-    window_exchanges = re.findall(r"Exchange hashpartitioning\(group_id#\d+, snapshot#\d+", plan)
-    assert plan.count("Window [") >= 9
-    assert len(set(window_exchanges)) <= 2  # the wide frame (and at most the small group side)
+def _scans(df, table):
+    return _plan(df).count(f"{table}.parquet")
+
+
+@pytest.mark.parametrize("name", ["rank_all_snapshots", "assemble_wide", "horizon_comparison", "capture_records", "audit_model"])
+def test_a_query_aggregates_lineitem_once(spark, name, monkeypatch):
+    """Every action of the query, not only the last plan, reads ``lineitem`` in one scan."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    scans, checkpoint = [], Classic.checkpoint
+
+    def counted(self, eager=True):
+        scans.append(_scans(self, "lineitem"))
+        return checkpoint(self, eager)
+
+    monkeypatch.setattr(Classic, "checkpoint", counted)
+    df = registry.QUERIES[name](spark, SF)
+    assert sum(scans) + _scans(df, "lineitem") == 1
+
+
+def test_no_window_holds_a_group(spark, stored):
+    """The windows left order one row per group and partition, never the rows of a group."""
+    plan = _plan(scorecard.rank_all_snapshots(stored))
+    assert "Window" not in plan  # ranks come from stored tables
+    assert "SinglePartition" not in plan
+
+
+def test_group_extremes_are_combined_before_the_shuffle(spark):
+    plan = _plan(registry.QUERIES["min_max_scale"](spark, SF))
+    assert "partial_min" in plan and "Window" not in plan
+
+
+def test_base_rows_are_distinct_before_the_anti_join(spark):
+    plan = _plan(registry.QUERIES["groups_without_data"](spark, SF))
+    assert "LeftAnti" in plan and plan.count("HashAggregate") >= 2

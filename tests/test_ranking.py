@@ -1,149 +1,103 @@
-"""Dense ranks: window and distributed shapes agree with a Python oracle, incl. ties, NULLs and hot groups."""
+"""Dense ranks against a plain definition: ties, NULLs, NaN, hot groups and values, every type."""
 
+import math
 import random
+from decimal import Decimal
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from peerscore.operators.ranking import (
-    RankSpec,
-    add_dense_ranks,
-    by_group_size,
-    hot_groups,
-    rank_global,
-    top_k_per_group,
-)
+from peerscore.operators.ranking import RankSpec, add_dense_ranks, rank_asc, rank_desc, rank_global, top_k_per_group
 
 
 def py_dense(rows, desc):
-    """rows: list of (group, value) -> dict (group, value) -> rank; NULL -> None."""
-    out = {}
+    """(group, value) -> rank; NULL is the smallest value, NaN the largest."""
+    key = lambda v: (0, 0) if v is None else (2, 0) if isinstance(v, float) and math.isnan(v) else (1, v)
     groups = {}
     for g, v in rows:
-        if v is not None:
-            groups.setdefault(g, set()).add(v)
-    for g, vals in groups.items():
-        for i, v in enumerate(sorted(vals, reverse=desc), start=1):
-            out[(g, v)] = i
-    return out
-
-
-def _data(spark, n=3000, seed=3):
-    rnd = random.Random(seed)
-    rows = []
-    for i in range(n):
-        g = 0 if rnd.random() < 0.4 else rnd.randint(1, 6)  # group 0 holds ~40% of the rows
-        v = None if rnd.random() < 0.05 else float(rnd.randint(0, 300))  # many ties
-        rows.append((i, g, v))
-    return rows, spark.createDataFrame(rows, "id long, g int, v double")
-
-
-def test_window_and_distributed_match_oracle(spark):
-    rows, df = _data(spark)
-    for desc in (True, False):
-        exp = py_dense([(g, v) for _, g, v in rows], desc)
-        for strategy in ("window", "distributed"):
-            got = add_dense_ranks(df, [RankSpec("v", "r", desc)], ["g"], strategy, buckets=8).collect()
-            assert len(got) == len(rows)
-            for r in got:
-                assert r.r == (None if r.v is None else exp[(r.g, r.v)]), (strategy, desc, r)
-
-
-def test_many_ranks_share_one_frame(spark):
-    rows, df = _data(spark, 500)
-    df = df.withColumn("w", F.col("v") * -1)
-    specs = [RankSpec("v", "rv", True), RankSpec("w", "rw", False), RankSpec("id", "ri", True)]
-    a = {r.id: (r.rv, r.rw, r.ri) for r in add_dense_ranks(df, specs, ["g"], "window").collect()}
-    b = {r.id: (r.rv, r.rw, r.ri) for r in add_dense_ranks(df, specs, ["g"], "distributed", buckets=4).collect()}
-    assert a == b
-
+        groups.setdefault(g, set()).add(key(v))
+    order = {g: {v: i for i, v in enumerate(sorted(vals, reverse=desc), start=1)} for g, vals in groups.items()}
+    return [order[g][key(v)] for g, v in rows]
 
-def test_rank_global(spark):
-    rows, df = _data(spark, 1000)
-    exp = py_dense([(0, v) for _, _, v in rows], True)
-    got = rank_global(df, "v", "r", descending=True, buckets=16).collect()
-    assert len(got) == 1000
-    for r in got:
-        assert r.r == (None if r.v is None else exp[(0, r.v)])
 
+def check(spark, rows, schema, partitions=4):
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], schema)
+    got = {r.id: (r.up, r.down) for r in add_dense_ranks(df, [RankSpec("v", "up", False), RankSpec("v", "down", True)], ["g"], partitions).collect()}
+    up, down = py_dense(rows, False), py_dense(rows, True)
+    assert got == {i: (up[i], down[i]) for i in range(len(rows))}
 
-def test_hot_group_routing(spark):
-    rows, df = _data(spark, 2000)
-    hot = hot_groups(df, ["g"], hot_rows=500)
-    assert hot == [(0,)]
-    from peerscore.operators.ranking import buckets_for
 
-    assert buckets_for(10) == 128 and buckets_for(10**9) == 1000 and buckets_for(10**12) == 65536
-    assert hot_groups(df, ["g"], hot_rows=10, max_hot=2) is None
+def _data(n=3000, seed=3):
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        g = 0 if rnd.random() < 0.5 else rnd.choice([1, 2, 3, None])  # group 0 holds half of the rows
+        v = None if rnd.random() < 0.05 else 0.0 if rnd.random() < 0.3 else float(rnd.randint(0, 900))
+        out.append((g, v))
+    return out
 
-    def build(frame, strategy, buckets=8):
-        return add_dense_ranks(frame, [RankSpec("v", "r", True)], ["g"], strategy, buckets=buckets)
 
-    split = {r.id: r.r for r in by_group_size(df, ["g"], build, hot_rows=500).collect()}
-    whole = {r.id: r.r for r in build(df, "window").collect()}
-    assert split == whole
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_matches_the_definition(spark, partitions):
+    check(spark, _data(), "id long, g int, v double", partitions)
 
 
-def test_top_k(spark):
-    rows, df = _data(spark, 300)
-    ranked = add_dense_ranks(df, [RankSpec("v", "r", True)], ["g"], "window")
-    top = top_k_per_group(ranked, "r", 2).collect()
-    assert top and all(r.r <= 2 for r in top)
+def test_every_type(spark):
+    big = 2**53
+    check(spark, [(1, big + k) for k in range(6)] + [(1, None), (2, -big)], "id long, g int, v long")
+    check(spark, [(1, Decimal("123456789012345678.01")), (1, Decimal("123456789012345678.02")), (1, None)], "id long, g int, v decimal(20,2)")
+    check(spark, [(None, s) for s in ["b", "a", "", None, "B", "a"]], "id long, g int, v string")
+    check(spark, [(1, v) for v in [float("nan"), float("inf"), -0.5, None, float("nan")]], "id long, g int, v double")
 
 
-def test_null_group_keys_survive_the_split(spark):
-    rows = [(i, None if i % 10 == 0 else i % 2, float(i % 7)) for i in range(200)]
-    df = spark.createDataFrame(rows, "id long, g int, v double")
-    auto = {r.id: r.r for r in add_dense_ranks(df, [RankSpec("v", "r", True)], ["g"], "auto").collect()}
-    window = {r.id: r.r for r in add_dense_ranks(df, [RankSpec("v", "r", True)], ["g"], "window").collect()}
-    assert len(auto) == 200 and auto == window
-    from peerscore.operators.ranking import by_group_size
+def test_hot_null_group_and_hot_value(spark):
+    rows = [(None, 0.0 if i % 3 else float(i)) for i in range(600)] + [(7, 1.0)]
+    check(spark, rows, "id long, g int, v double", 8)
 
-    def build(frame, strategy, buckets=4):
-        return add_dense_ranks(frame, [RankSpec("v", "r", True)], ["g"], strategy, buckets=buckets)
 
-    split = {r.id: r.r for r in by_group_size(df, ["g"], build, hot_rows=50).collect()}
-    assert split == window
+def test_ranks_of_different_types_share_one_call(spark):
+    rows = [(i, i % 3, float(i % 17), f"s{i % 11}", i % 5) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g int, v double, s string, n long")
+    specs = [RankSpec("v", "rv", True), RankSpec("s", "rs", False), RankSpec("n", "rn", True)]
+    w = lambda c, d: F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc(c) if d else F.asc(c))).cast("long")
+    want = df.select("id", w("v", True).alias("rv"), w("s", False).alias("rs"), w("n", True).alias("rn"))
+    got = add_dense_ranks(df, specs, ["g"]).select("id", "rv", "rs", "rn")
+    assert got.schema == want.schema or [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
 
 
-def test_distributed_ranks_null_group(spark):
-    rows = [(i, None if i % 10 == 0 else i % 2, float(i % 7)) for i in range(200)]
-    df = spark.createDataFrame(rows, "id long, g int, v double")
-    d = {r.id: r.r for r in add_dense_ranks(df, [RankSpec("v", "r", True)], ["g"], "distributed", 4).collect()}
-    w = {r.id: r.r for r in add_dense_ranks(df, [RankSpec("v", "r", True)], ["g"], "window").collect()}
-    assert d == w
-    from peerscore.operators.scaling import with_group_min_max
+def test_null_takes_rank_one_ascending_and_the_last_descending(spark):
+    df = spark.createDataFrame([(1, None), (2, 0.5), (3, 0.7)], "id long, v double").withColumn("g", F.lit(1))
+    assert {r.id: r.r for r in rank_asc(df, "v", "r", ["g"]).collect()} == {1: 1, 2: 2, 3: 3}
+    assert {r.id: r.r for r in rank_desc(df, "v", "r", ["g"]).collect()} == {1: 3, 2: 2, 3: 1}
 
-    a = {r.id: (r["__min_v"], r["__max_v"]) for r in with_group_min_max(df, ["v"], ["g"], "window").collect()}
-    b = {r.id: (r["__min_v"], r["__max_v"]) for r in with_group_min_max(df, ["v"], ["g"], "distributed").collect()}
-    assert a == b
 
+def test_rank_global(spark):
+    rows = [v for _, v in _data(1000)]
+    df = spark.createDataFrame(list(enumerate(rows)), "id long, v double")
+    exp = py_dense([(0, v) for v in rows], True)
+    assert {r.id: r.r for r in rank_global(df, "v", "r").collect()} == dict(enumerate(exp))
 
-def test_long_form_ranks_match_window(spark):
-    from peerscore.operators.ranking import add_dense_ranks_long
 
-    rows, df = _data(spark, 1500, seed=8)
-    df = df.withColumn("w", (F.col("v") * 3) % 17).withColumn("n", F.col("id") % 5)
-    specs = [RankSpec("v", "rv", True), RankSpec("w", "rw", False), RankSpec("n", "rn", True)]
-    a = {r.id: (r.rv, r.rw, r.rn) for r in add_dense_ranks(df, specs, ["g"], "window").collect()}
-    b = {r.id: (r.rv, r.rw, r.rn) for r in add_dense_ranks_long(df, specs, ["g"], "id", buckets=4).collect()}
-    assert a == b
+def test_empty_frame_and_top_k(spark):
+    df = spark.createDataFrame([], "id long, g int, v double")
+    assert rank_desc(df, "v", "r", ["g"]).count() == 0
+    df = spark.createDataFrame([(i, i % 2, float(i % 9)) for i in range(60)], "id long, g int, v double")
+    top = top_k_per_group(rank_desc(df, "v", "r", ["g"]), "r", 2).collect()
+    assert top and all(r.r <= 2 for r in top)
 
 
-def test_distributed_rank_property(spark):
+def test_rank_property(spark):
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
 
     rows_st = st.lists(st.tuples(st.sampled_from([0, 1, 2, None]),
                                  st.one_of(st.none(), st.integers(-20, 20).map(float))), min_size=1, max_size=40)
 
-    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
-    @given(rows=rows_st, desc=st.booleans(), buckets=st.sampled_from([2, 3, 8]))
-    def check(rows, desc, buckets):
-        df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id long, g int, v double")
-        exp = py_dense([(g, v) for g, v in rows], desc)
-        got = add_dense_ranks(df, [RankSpec("v", "r", desc)], ["g"], "distributed", buckets=buckets).collect()
-        assert len(got) == len(rows)
-        for r in got:
-            assert r.r == (None if r.v is None else exp[(r.g, r.v)])
-
-    check()
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(rows=rows_st, partitions=st.sampled_from([1, 2, 8]))
+    def run(rows, partitions):
+        check(spark, rows, "id long, g int, v double", partitions)
+
+    run()

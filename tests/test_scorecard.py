@@ -51,9 +51,10 @@ def make_model(spark, n_groups=2, per_group=4, seed=1, null_subject=None, snapsh
 
 
 def py_rank(values, desc):
-    uniq = sorted({v for v in values if v is not None}, reverse=desc)
+    key = lambda v: (v is not None, v)  # noqa: E731  NULL is the smallest value
+    uniq = sorted(set(values), key=key, reverse=desc)
     pos = {v: i + 1 for i, v in enumerate(uniq)}
-    return [None if v is None else pos[v] for v in values]
+    return [pos[v] for v in values]
 
 
 def oracle(data, snapshot):
@@ -119,11 +120,10 @@ def oracle(data, snapshot):
     return out
 
 
-@pytest.mark.parametrize("strategy", ["window", "distributed", "auto"])
-def test_golden_snapshot(spark, strategy):
+def test_golden_snapshot(spark):
     model, data = make_model(spark)
     got = {r.subject_id: (r.total_rank, r.group_rank)
-           for r in scorecard.rank_snapshot(model, D, strategy=strategy).collect()}
+           for r in scorecard.rank_snapshot(model, D).collect()}
     exp = oracle(data, D)
     assert got.keys() == exp.keys()
     for k in exp:
@@ -131,12 +131,11 @@ def test_golden_snapshot(spark, strategy):
         assert got[k][1] == exp[k][1]
 
 
-def test_null_feature_is_excluded_and_reported(spark):
+def test_null_feature_ranks_last_and_is_reported(spark):
     model, data = make_model(spark, null_subject=2)
-    got = {r.subject_id: r for r in scorecard.rank_snapshot(model, D, strategy="window").collect()}
-    assert got[2].total_rank is None and got[2].group_rank is None
-    ranks = sorted(r.group_rank for k, r in got.items() if r.group_id == 1 and k != 2)
-    assert ranks == list(range(1, len(ranks) + 1)) or len(set(ranks)) < len(ranks)
+    got = {r.subject_id: r for r in scorecard.rank_snapshot(model, D).collect()}
+    own = {k: r.group_rank for k, r in got.items() if r.group_id == 1}
+    assert got[2].total_rank is None and own[2] == max(own.values()) == len(set(own.values()))
     wide = assemble.assemble_wide(model)
     bad = audit.audit_null_features(wide, GROWTH.subject_cols, keys=["subject_id", "snapshot"]).collect()
     assert [(r.subject_id, r.null_columns) for r in bad] == [(2, [GROWTH.subject_col("3y")])]
@@ -157,39 +156,36 @@ def test_all_snapshots_filtered_equals_one_snapshot(spark, model):
     assert one == allr and len(one) > 0
 
 
-def test_strategies_agree_on_testdata(spark, model):
-    w = {tuple(r) for r in scorecard.rank_all_snapshots(model, strategy="window").collect()}
-    h = {tuple(r) for r in scorecard.rank_all_snapshots(model, strategy="auto", hot_rows=20).collect()}
-    assert w == h
-    # a mix: groups above the median size are hot, the rest ordinary
-    sizes = sorted(r["count"] for r in model["subject"].groupBy("group_id", "snapshot").count().collect())
-    median = sizes[len(sizes) // 2]
-    mixed = {tuple(r) for r in scorecard.rank_all_snapshots(model, strategy="auto", hot_rows=median).collect()}
-    assert mixed == w
-
-
 def test_loop_per_group_equals_partitioned(spark, model):
     day = "1998-12-31"
-    whole = {tuple(r) for r in scorecard.rank_snapshot(model, day, strategy="window").collect()}
+    whole = {tuple(r) for r in scorecard.rank_snapshot(model, day).collect()}
     looped = set()
     for g in range(1, 7):
         m = dict(model)
         m["subject"] = project.group_filter(model["subject"], g)
-        looped |= {tuple(r) for r in scorecard.rank_snapshot(m, day, strategy="window").collect()}
+        looped |= {tuple(r) for r in scorecard.rank_snapshot(m, day).collect()}
     assert whole == looped
 
 
+def test_null_in_a_ranked_only_column(spark):
+    """A NULL expense ratio takes rank 1 (ascending, NULL first) and shifts the others; the subject stays ranked."""
+    model, data = make_model(spark, n_groups=1, per_group=3, seed=2)
+    model["subject"] = model["subject"].withColumn("expense_ratio", F.when(F.col("id") != 2, F.col("expense_ratio")))
+    scored = {r.subject_id: r for r in scorecard.score_terms(assemble.assemble_wide(model)).collect()}
+    assert scored[2].expense_ratio_rank == 1 and scored[1].expense_ratio_rank >= 2
+    assert scored[2].total_rank is not None
+
+
 def test_plan_is_native_and_partitioned(spark, model):
-    df = scorecard.rank_all_snapshots(model, strategy="window")
+    df = scorecard.rank_all_snapshots(model)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert "SinglePartition" not in plan
-    assert "hashpartitioning(group_id" in plan
+    assert "SinglePartition" not in plan and "Window" not in plan
 
 
 def test_rerank_stored_uses_integer_score(spark):
     model, _ = make_model(spark, per_group=6, seed=5)
-    ranked = scorecard.rank_snapshot(model, D, strategy="window")
+    ranked = scorecard.rank_snapshot(model, D)
     re = scorecard.rerank_stored(ranked, D, 1).collect()
     assert {r.group_id for r in re} == {1}
     ints = sorted({r.total_rank_int for r in re}, reverse=True)

@@ -8,18 +8,18 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from peerscore.operators import assemble  # noqa: E402
 from peerscore.plans import dashboards, scorecard  # noqa: E402
-from peerscore.session import local_session  # noqa: E402
+from peerscore.session import local_session, scratch_path  # noqa: E402
 from peerscore.sources.demo import testdata_model  # noqa: E402
 from peerscore.sources.tables import read_model, write_model  # noqa: E402
 
 
 def outline(df) -> str:
-    df.collect()
+    df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
     keep = []
     for line in plan.splitlines():
@@ -34,7 +34,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
-    root = tempfile.mkdtemp(prefix="peerscore-plans-")
+    root = scratch_path(spark, "plans")
     write_model(testdata_model(spark, sf), root)
     model = read_model(spark, root)
     parts = ["# Physical plans of the flagship queries", "",
@@ -48,8 +48,8 @@ def main() -> None:
         parts += [f"## {title}", "", "```", outline(build()), "```", ""]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    parts += ["## rank_all_snapshots (C2), broadcasts disabled (the large-scale shape)", "", "```",
-              outline(scorecard.rank_all_snapshots(model, strategy="window")), "```", ""]
+    parts += ["## assemble_wide (J4), broadcasts disabled (the large-scale shape)", "", "```",
+              outline(assemble.assemble_wide(model)), "```", ""]
     with open("PLANS.md", "w") as f:
         f.write("\n".join(parts))
     spark.stop()
