@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from peerscore.session import stored
 
-_ROW, _NAME, _AT, _PART = "__rk_row", "__rk_name", "__rk_at", "__rk_part"
+ROW_ID = "__rk_row"
+_NAME, _AT, _PART = "__rk_name", "__rk_at", "__rk_part"
 
 
 @dataclass(frozen=True)
@@ -72,24 +73,36 @@ def dense_rank_table(long: DataFrame, keys: Sequence[str], values: Sequence[str]
     return ranked.select(*keys, *values, up.alias("__rk_up"), (F.col("__rk_total") - up + F.lit(1)).alias("__rk_down"))
 
 
-def add_dense_ranks(df: DataFrame, specs: Sequence[RankSpec], group_cols: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Add one dense-rank column per spec, inside ``group_cols`` (none: over the whole frame)."""
-    rows = stored(df.withColumn(_ROW, F.monotonically_increasing_id()))
-    types = list(dict.fromkeys(df.schema[s.value].dataType.simpleString() for s in specs))
+def ranks_by_row(rows: DataFrame, row_id: str, specs: Sequence[RankSpec], group_cols: Sequence[str],
+                 partitions: int | None = None) -> DataFrame:
+    """``row_id`` and one dense-rank column per spec.  ``rows`` is read twice: pass a stored frame."""
+    types = list(dict.fromkeys(rows.schema[s.value].dataType.simpleString() for s in specs))
     value_of = {t: f"__rk_v{i}" for i, t in enumerate(types)}
 
     def entry(i: int, s: RankSpec) -> Column:
-        own = df.schema[s.value].dataType.simpleString()
+        own = rows.schema[s.value].dataType.simpleString()
         typed = [(F.col(s.value) if t == own else F.lit(None).cast(t)).alias(c) for t, c in value_of.items()]
         return F.struct(F.lit(i).alias(_NAME), *typed)
 
     group = {g: f"__rk_g{i}" for i, g in enumerate(group_cols)}
-    long = rows.select(_ROW, *[F.col(g).alias(a) for g, a in group.items()], F.inline(F.array(*[entry(i, s) for i, s in enumerate(specs)])))
+    long = rows.select(row_id, *[F.col(g).alias(a) for g, a in group.items()], F.inline(F.array(*[entry(i, s) for i, s in enumerate(specs)])))
     keys, values = [_NAME, *group.values()], list(value_of.values())
     table = stored(dense_rank_table(long, keys, values, partitions))
     ranked = _join_null_safe(long, table, [*keys, *values])
     picks = [F.max(F.when(F.col(_NAME) == i, F.col("__rk_down" if s.descending else "__rk_up"))).alias(s.out) for i, s in enumerate(specs)]
-    return rows.join(ranked.groupBy(_ROW).agg(*picks), _ROW).drop(_ROW).select(*df.columns, *[s.out for s in specs])
+    return ranked.groupBy(row_id).agg(*picks)
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    """``df`` stored once with a row id that later uses find unchanged."""
+    return stored(df.withColumn(ROW_ID, F.monotonically_increasing_id()))
+
+
+def add_dense_ranks(df: DataFrame, specs: Sequence[RankSpec], group_cols: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Add one dense-rank column per spec, inside ``group_cols`` (none: over the whole frame)."""
+    rows = with_row_id(df)
+    ranks = ranks_by_row(rows, ROW_ID, specs, group_cols, partitions)
+    return rows.join(ranks, ROW_ID).select(*df.columns, *[s.out for s in specs])
 
 
 def rank_desc(df: DataFrame, value: str, out: str, group_cols: Sequence[str]) -> DataFrame:

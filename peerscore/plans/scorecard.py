@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from peerscore.functions.scoring import composite_score, growth_trend, horizontal_sum, ordinal_encode, pct_change_sum
 from peerscore.operators.assemble import assemble_wide
 from peerscore.operators.project import nan_to_zero, snapshot_lit
-from peerscore.operators.ranking import RankSpec, add_dense_ranks
+from peerscore.operators.ranking import ROW_ID, RankSpec, add_dense_ranks, ranks_by_row, with_row_id
 from peerscore.operators.scaling import tiered_scale
 from peerscore.session import stored
 from peerscore.schemas import (
@@ -56,16 +56,16 @@ SCORE_DIGITS = 6
 
 
 def score_terms(wide: DataFrame, group_cols=GROUP_KEYS) -> DataFrame:
-    """All twelve peer-relative terms and ``total_rank`` for an assembled wide frame."""
-    df = nan_to_zero(wide)
-    df = df.withColumns({
+    """All twelve peer-relative terms and ``total_rank`` for an assembled wide frame (stored once here)."""
+    rows = nan_to_zero(with_row_id(wide))
+    df = rows.withColumns({
         "trend_growth": growth_trend(GROWTH.subject_cols, GROWTH.group_cols),
         "credit_rating_trend": pct_change_sum(CREDIT.pairs),
         "portfolio_agg_trend": pct_change_sum(PORTFOLIO.pairs),
         "risk_rank": ordinal_encode("risk", RISK_ORDINALS, RISK_ORDINAL_DEFAULT),
     })
-    df = add_dense_ranks(df, RANK_SPECS, group_cols)
     df = tiered_scale(df, SCALED_TIERS, group_cols)
+    df = df.join(ranks_by_row(rows, ROW_ID, RANK_SPECS, group_cols), ROW_ID).drop(ROW_ID)
     df = df.withColumn("f_total", horizontal_sum(SCALED_COLS))
     return df.withColumn("total_rank", F.round(composite_score(SCORE_TERMS), SCORE_DIGITS))
 
@@ -82,7 +82,7 @@ def rank_terms(scored: DataFrame, group_cols=GROUP_KEYS, descending: bool = True
 
 def rank_range(model: dict[str, DataFrame], start=None, end=None) -> DataFrame:
     """Rank every subject inside its group for every snapshot in [start, end]."""
-    return rank_terms(score_terms(stored(assemble_wide(model, start, end))))
+    return rank_terms(score_terms(assemble_wide(model, start, end)))
 
 
 def rank_snapshot(model: dict[str, DataFrame], snapshot=None) -> DataFrame:

@@ -44,7 +44,7 @@ def main():
     from peerscore.session import local_session
     import __spark_entry__ as e
 
-    spark = local_session()
+    spark = local_session(os.environ.get("CORES", "*"))
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
