@@ -103,6 +103,7 @@ class Automaton:
         self.cut = KeyTable(cut_u * size + cut_v, np.arange(len(merges), dtype=np.int32), _NEVER)
         self._build_trie(spelled)
         self._memo: dict[tuple[int, int], bool] = {}
+        self._seen_key, self._seen = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, bool)
 
     def _build_trie(self, spelled: list[tuple[int, ...] | None]) -> None:
         step: dict[tuple[int, int], int] = {}
@@ -121,6 +122,20 @@ class Automaton:
         self.step = KeyTable(keys, np.fromiter(step.values(), np.int32, len(step)), -1)
         self.trie, self.token = step, np.array(token, np.int32)
 
+    def arcs(self, p: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """:meth:`has_arc` by a table of the arcs met before (one slot a key, the latest stays)."""
+        key = p.astype(np.int64) * self.size + x
+        with np.errstate(over="ignore"):
+            slot = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+        ok = self._seen[slot]
+        new = np.flatnonzero(self._seen_key[slot] != key)
+        if len(new):
+            ok[new] = self.has_arc(p[new], x[new])
+            self._seen_key[slot[new]] = key[new]  # of several keys for a slot the last one stays
+            kept = self._seen_key[slot[new]] == key[new]
+            self._seen[slot[new][kept]] = ok[new][kept]
+        return ok
+
     def has_arc(self, p: np.ndarray, x: np.ndarray) -> np.ndarray:
         """Whether the state that label ``p`` leads to has an arc ``x`` (arrays of labels)."""
         ok = np.ones(len(p), bool)
@@ -179,7 +194,7 @@ class Automaton:
         opening = start == first[word[start]]
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             s, t = start[a:b], label[a:b]
-            ok = opening[a:b] | self.has_arc(last[np.where(opening[a:b], until[a:b], s - 1)].clip(0), t)
+            ok = opening[a:b] | self.arcs(last[np.where(opening[a:b], until[a:b], s - 1)].clip(0), t)
             last[until[a:b][ok]], back[until[a:b][ok]] = t[ok], s[ok]
         # back along the one accepted path of each word
         at, who, step, parts = end - 1, np.arange(len(spelled)), 0, []
@@ -221,7 +236,7 @@ class Automaton:
 
 
 # Latin-1 texts are lower-cased and split here; others by the tokenizers library's own rules.
-_LATIN_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\x09-\x0d \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+_LATIN_WORD = re.compile(r"[a-zªµºß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼½¾]|[^\x09-\x0d \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 _STEPS = ["NFC", "Replace", "Lowercase"]
 
 
@@ -288,7 +303,7 @@ def read_spec(path: str) -> bytes:
 class WordMemory:
     """Remembers what ``make(word, ids)`` gave for each word, for up to ``most`` words."""
 
-    def __init__(self, tokenizer: WordTokenizer, make: Callable[[str, list[int]], object], most: int = 400_000) -> None:
+    def __init__(self, tokenizer: WordTokenizer, make: Callable[[str, list[int]], object], most: int = 600_000) -> None:
         self.tokenizer, self.make, self.most = tokenizer, make, most
         self.known: dict[str, object] = {}
 
@@ -296,12 +311,23 @@ class WordMemory:
         """Encode the words of ``texts`` that are new."""
         if len(self.known) > self.most:
             self.known.clear()
-        new = list(set().union(*texts) - self.known.keys())
-        for at in range(0, len(new), 16_384):
-            part = new[at : at + 16_384]
+        new = list(set().union(*texts).difference(self.known))
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
             self.known.update(zip(part, map(self.make, part, self.tokenizer.encode(part)), strict=True))
 
 
+_MEMORIES: dict[tuple[bytes, str], WordMemory] = {}
+
+
+def kept_memory(spec: bytes, name: str, make: Callable[[str, list[int]], object]) -> WordMemory:
+    """The word memory of this kind that a worker process keeps from task to task."""
+    key = hashlib.sha256(spec).digest(), name
+    if key not in _MEMORIES:
+        _MEMORIES[key] = WordMemory(load(spec), make)
+    return _MEMORIES[key]
+
+
 def encode_documents(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """``id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked for, ``ids`` and ``decoded`` of each row.
 
@@ -317,7 +343,7 @@ def encode_documents(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_
         def both(_: str, ids: list[int]) -> tuple[bytes, bytes]:
             return b"".join([b"%d " % i for i in ids]), "".join([f"{labels[i]} " for i in ids]).encode("utf-8")
 
-        memory = WordMemory(tokenizer, both)
+        memory = kept_memory(shared.value, "decimal", both)
         for b in arrow_rows(batches, 128):
             texts = [tokenizer.words(t) for t in b.column("text").to_pylist()]
             memory.learn(texts)

@@ -13,7 +13,8 @@ they are; repeated rows are packed each. A text longer than a window is cut over
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Collection, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -21,45 +22,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscore.llm.bpe import WordMemory, load
+from peerscore.llm.bpe import kept_memory, load
 from peerscore.llm.common import arrow_rows
 
-BUCKETS = 1 << 16
-SHARD_DOCS = 1024
+BUCKETS = 1 << 18
+SHARD_DOCS = 512
+POSTINGS = 1 << 20
 SHARD_TOKENS = 1 << 23
 K1, B = 1.2, 0.75
-_KEPT_WORDS = 1 << 19
+_PLAIN = bytes(b | 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def _bucket(word: str) -> int:
-    return crc32(word.encode("utf-8")) % BUCKETS
+def lexical_words(text: str | None) -> list[bytes]:
+    """The words of the index: ASCII letters in lower case, digits and all other characters beyond ASCII."""
+    return text.encode("utf-8", "surrogatepass").translate(_PLAIN).split() if text else []
 
 
-def term_statistics(docs: DataFrame, spec: bytes) -> tuple[np.ndarray, float]:
+def _buckets(words: Collection[bytes]) -> np.ndarray:
+    """The bucket of each word."""
+    return np.fromiter(map(crc32, words), np.int64, len(words)) % BUCKETS
+
+
+def term_statistics(docs: DataFrame) -> tuple[np.ndarray, float]:
     """BM25's idf of each word bucket and the mean number of words, over all of ``docs`` (column ``text``)."""
-    shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, known, total = load(shared.value), {}, np.zeros(BUCKETS + 2, np.int64)
+        total = np.zeros(BUCKETS + 2, np.int64)
         for b in arrow_rows(batches):
-            if len(known) > _KEPT_WORDS:
-                known.clear()
-            here: list[int] = []  # each text's distinct buckets
-            for text in b.column("text").to_pylist():
-                words = tokenizer.words(text)
-                distinct = set(words)
-                for w in distinct - known.keys():
-                    known[w] = _bucket(w)
-                here += {known[w] for w in distinct}
-                total[BUCKETS:] += (1, len(words))
-            total[:BUCKETS] += np.bincount(np.array(here, np.int64), minlength=BUCKETS)
+            words = [lexical_words(t) for t in b.column("text").to_pylist()]
+            here = np.concatenate([_buckets(set(w)) for w in words])
+            total[:BUCKETS] += np.bincount(here, minlength=BUCKETS)
+            total[BUCKETS:] += (len(words), sum(map(len, words)))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
 
     counts = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    total = np.zeros(BUCKETS + 2)
-    for r in counts.collect():  # at most BUCKETS + 2 rows
-        total[r["bucket"]] = r["n"]
+    total, found = np.zeros(BUCKETS + 2), counts.toPandas()  # at most BUCKETS + 2 rows
+    total[found["bucket"]] = found["n"]
     n, words = total[BUCKETS:]
     return np.log1p((n - total[:BUCKETS] + 0.5).clip(0.5) / (total[:BUCKETS] + 0.5)), max(1.0, words / max(n, 1))
 
@@ -83,10 +82,12 @@ def neighbour_scores(terms: list[np.ndarray], counts: list[np.ndarray], idf: np.
     p_term, p_doc, p_weight = term[order], doc[order], weight[order]
     lo, hi = np.searchsorted(p_term, term[asked]), np.searchsorted(p_term, term[asked], "right")
     flat = scores.reshape(-1)
-    for a in range(0, len(asked), 2048):  # postings of a bounded number of query words at a time
-        first, size = lo[a : a + 2048], hi[a : a + 2048] - lo[a : a + 2048]
+    total = np.cumsum(hi - lo)
+    bounds = [0, *np.searchsorted(total, np.arange(POSTINGS, int(total[-1]) if len(total) else 0, POSTINGS)).tolist(), len(asked)]
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):  # about POSTINGS postings at a time
+        first, size = lo[a:b], hi[a:b] - lo[a:b]
         at = np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
-        np.add.at(flat, np.repeat(doc[asked[a : a + 2048]], size) * n + p_doc[at], p_weight[at].astype(np.float32))
+        flat += np.bincount(np.repeat(doc[asked[a:b]], size) * n + p_doc[at], p_weight[at], minlength=n * n).astype(np.float32)
     np.fill_diagonal(scores, 0)
     return scores
 
@@ -162,7 +163,7 @@ class _Packer:
 
 
 def pack(
-    docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "text", window: int = 2048, end_id: int = 1, query_terms: int = 16
+    docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "text", window: int = 2048, end_id: int = 1, query_terms: int = 12
 ) -> DataFrame:
     """One row per piece: ``id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``.
 
@@ -170,7 +171,7 @@ def pack(
     documents or ``SHARD_TOKENS`` tokens, so its memory is bounded whatever the ids are.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    idf, mean_words = term_statistics(docs, spec)
+    idf, mean_words = term_statistics(docs)
     shared = docs.sparkSession.sparkContext.broadcast((spec, idf, mean_words))
     shards = max(1, -(-docs.count() // SHARD_DOCS))
     digest = F.xxhash64("id", "text")
@@ -186,7 +187,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spec, idf, mean_words = shared.value
         tokenizer = load(spec)
-        memory = WordMemory(tokenizer, lambda w, ids: (np.array(ids, "<u4").tobytes(), _bucket(w)))
+        memory = kept_memory(spec, "packing", lambda _, ids: np.array(ids, "<u4").tobytes())
         end = np.array([end_id], "<u4").tobytes()
         packer: _Packer | None = None
         block: list[tuple] = []  # id, ids, terms, counts
@@ -202,18 +203,19 @@ def pack(
             tokens = 0
 
         for b in arrow_rows(batches, 128):
-            words = [tokenizer.words(t) for t in b.column("text").to_pylist()]
+            texts = b.column("text").to_pylist()
+            words = [tokenizer.words(t) for t in texts]
             memory.learn(words)
-            for doc_id, shard, ws in zip(b.column("id").to_pylist(), b.column("shard").to_pylist(), words, strict=True):
+            for doc_id, shard, ws, text in zip(b.column("id").to_pylist(), b.column("shard").to_pylist(), words, texts, strict=True):
                 if packer is None or packer.shard != shard:
                     flush()
                     if packer is not None:
                         packer.finish()
                         yield emit(packer.done, b.schema.field("id").type)
                     packer = _Packer(shard, window)
-                pairs = [memory.known[w] for w in ws]
-                ids = b"".join([p[0] for p in pairs]) + end
-                terms, counts = np.unique(np.array([p[1] for p in pairs], np.int64), return_counts=True)
+                ids = b"".join(map(memory.known.__getitem__, ws)) + end
+                tf = Counter(lexical_words(text))
+                terms, counts = _buckets(tf), np.fromiter(tf.values(), np.int64, len(tf))
                 block.append((doc_id, ids, terms, counts))
                 tokens += len(ids) // 4
                 if len(block) >= SHARD_DOCS or tokens >= SHARD_TOKENS:
