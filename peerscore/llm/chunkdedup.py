@@ -8,8 +8,8 @@ and within a document its first occurrence stays. A run of neighbouring repeated
 of the text when it holds at least ``min_words`` words, so short common phrases stay; a wrong cut
 would take several digest collisions side by side in one document.
 
-Nulls and odd rows: a NULL text stays NULL, an empty one empty. Rows with a NULL id neither give nor
-lose chunks. Rows that repeat an id count as the same document and all stay. A text may lose all its
+Nulls and odd rows: a NULL text stays NULL, an empty one empty. Rows with a NULL id neither give
+chunks to others nor lose any to them. Rows that repeat an id count as the same document and all stay. A text may lose all its
 chunks; its row stays with an empty text.
 """
 
