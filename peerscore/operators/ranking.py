@@ -9,8 +9,8 @@ All ranks of a call are computed together:
    equal values never part. They are sorted and numbered inside each partition and stored once.
 3. A value's rank is its number inside its partition and group, plus the counts of the group's
    earlier partitions (one row per group and partition).
-4. Ranks go back by a join on (rank, group, value) between two stored tables, so adaptive execution
-   splits a value that many rows share, and by the row id.
+4. Ranks go back by a join on (rank, group, value) between two shuffled sides, so adaptive execution
+   splits a value that many rows share, and (for several columns) by the row id.
 
 NULL is a value, as in a window: last of a descending rank, first (rank 1, shifting the others) of an
 ascending one. A NULL group is a group. NaN is the largest number. Ranks are bigint.
@@ -87,8 +87,7 @@ def ranks_by_row(rows: DataFrame, row_id: str, specs: Sequence[RankSpec], group_
     group = {g: f"__rk_g{i}" for i, g in enumerate(group_cols)}
     long = rows.select(row_id, *[F.col(g).alias(a) for g, a in group.items()], F.inline(F.array(*[entry(i, s) for i, s in enumerate(specs)])))
     keys, values = [_NAME, *group.values()], list(value_of.values())
-    table = stored(dense_rank_table(long, keys, values, partitions))
-    ranked = _join_null_safe(long, table, [*keys, *values])
+    ranked = _join_null_safe(long, dense_rank_table(long, keys, values, partitions), [*keys, *values])
     picks = [F.max(F.when(F.col(_NAME) == i, F.col("__rk_down" if s.descending else "__rk_up"))).alias(s.out) for i, s in enumerate(specs)]
     return ranked.groupBy(row_id).agg(*picks)
 
@@ -100,6 +99,11 @@ def with_row_id(df: DataFrame) -> DataFrame:
 
 def add_dense_ranks(df: DataFrame, specs: Sequence[RankSpec], group_cols: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Add one dense-rank column per spec, inside ``group_cols`` (none: over the whole frame)."""
+    if len({s.value for s in specs}) == 1:  # one column: its table is joined on the value, without row ids
+        rows, keys, value = stored(df), list(group_cols), specs[0].value
+        table = dense_rank_table(rows.withColumn(_NAME, F.lit(0)), [_NAME, *keys], [value], partitions).drop(_NAME)
+        ranks = [F.col("__rk_down" if s.descending else "__rk_up").alias(s.out) for s in specs]
+        return _join_null_safe(rows, table, [*keys, value]).select(*df.columns, *ranks)
     rows = with_row_id(df)
     ranks = ranks_by_row(rows, ROW_ID, specs, group_cols, partitions)
     return rows.join(ranks, ROW_ID).select(*df.columns, *[s.out for s in specs])

@@ -65,10 +65,11 @@ def test_a_query_aggregates_lineitem_once(spark, name, monkeypatch):
 
 
 def test_no_window_holds_a_group(spark, stored):
-    """The windows left order one row per group and partition, never the rows of a group."""
+    """The windows left add up one row per group and partition, never the rows of a group."""
     plan = _plan(scorecard.rank_all_snapshots(stored))
-    assert "Window" not in plan  # ranks come from stored tables
-    assert "SinglePartition" not in plan
+    windows = re.findall(r"Window \[[^\n]*", plan)
+    assert windows and all("sum(__rk_n" in w for w in windows)
+    assert "SinglePartition" not in plan and "dense_rank" not in plan
 
 
 def test_group_extremes_are_combined_before_the_shuffle(spark):

@@ -180,7 +180,7 @@ def test_plan_is_native_and_partitioned(spark, model):
     df = scorecard.rank_all_snapshots(model)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert "SinglePartition" not in plan and "Window" not in plan
+    assert "SinglePartition" not in plan and "dense_rank" not in plan
 
 
 def test_rerank_stored_uses_integer_score(spark):
