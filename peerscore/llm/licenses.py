@@ -1,7 +1,7 @@
 """License scans with ordered signature rules (operator 6).
 
-Rules are regular expressions over the lower-cased UTF-8 bytes. A rule runs only on texts that hold its
-keyword. Detections are resolved by priority (then length, then place): one whose interval lies
+Rules are regular expressions over the lower-cased UTF-8 bytes. A rule runs only on texts that hold all
+its keywords. Detections are resolved by priority (then length, then place): one whose interval lies
 inside that of a detection already kept is suppressed, so "GNU Lesser General Public License" is not
 also a GPL notice. The base phrases are found besides the rules and are never suppressed.
 
@@ -30,7 +30,7 @@ _W = rb"[0-9a-z\x80-\xff]"
 _GAP = rb"[\x00-\x2f\x3a-\x60\x7b-\x7f]"
 _V = r"(?:,? ?(?:version|ver\.?|v\.?)? ?)"
 
-#: Licence families: label, keyword, name (a regular expression), versions, name on the web (fixed values).
+#: Licence families: label, keywords, name (a regular expression), versions, name on the web (fixed values).
 FAMILIES = [
     ("agpl", "affero", r"(?:gnu )?affero general public licen[sc]e", ("1.0", "3.0"), "agpl"),
     ("lgpl", "lesser general", r"(?:gnu )?lesser general public licen[sc]e", ("2.1", "3.0"), "lgpl"),
@@ -83,7 +83,7 @@ FAMILIES = [
 CC_PARTS = ["by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"]
 CC_WORDS = {"by": "attribution", "sa": "sharealike", "nd": "noderiv(?:ative|s|atives)", "nc": "noncommercial"}
 CC_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
-#: Single rules: label, keyword, regular expression, priority, confidence (fixed values).
+#: Single rules: label, keywords, regular expression, priority, confidence (fixed values).
 SINGLE = [
     ("cc0", "cc0", r"cc0(?: ?1\.0)?(?: universal)?", 20, 0.9),
     ("cc0", "zero", r"creative commons zero", 20, 0.9),
@@ -105,7 +105,7 @@ SINGLE = [
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     pattern: re.Pattern[bytes]
     priority: int
     confidence: float
@@ -115,7 +115,7 @@ def _rule(label: str, keyword: str, pattern: str, priority: int, confidence: flo
     gap = r"[\s*#/]+"  # a blank stands for what separates words, also over commented lines
     spaced = pattern.replace("[- ]+", "~").replace("[- ]", "~").replace(" ?", r"[\s*#/]*").replace(" ", gap).replace("~", r"[-\s]+")
     whole = b"(?<!" + _W + b")(?:" + spaced.encode("latin-1") + b")(?!" + _W + b")"
-    return Rule(label, keyword.encode("ascii"), re.compile(whole, re.DOTALL), priority, confidence)
+    return Rule(label, tuple(keyword.encode("ascii").split()), re.compile(whole, re.DOTALL), priority, confidence)
 
 
 @lru_cache(maxsize=1)
@@ -173,10 +173,12 @@ def scan(text: str | None) -> dict:
     there: dict[bytes, bool] = {}
     found = []
     for rule in rules():
-        ok = there.get(rule.keyword)
-        if ok is None:
-            ok = there[rule.keyword] = rule.keyword in data
-        if ok:
+        for key in rule.keywords:
+            if key not in there:
+                there[key] = key in data
+            if not there[key]:
+                break
+        else:
             found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(data)]
     kept = resolve(found)
     at = np.searchsorted(begins, [p for p, _ in places])

@@ -28,11 +28,12 @@ def test_there_are_hundreds_of_rules_and_keywords_never_hide_a_match():
         "Licensed under CC BY-NC 4.0.", "GNU Lesser General\n# Public License v2.1", "Apache License, Version 2.0", "SPDX-License-Identifier: MPL-2.0",
         "https://creativecommons.org/licenses/by-sa/3.0/", "Released under the MIT License.", "Copyright (c) 2021 X", "placed in the public domain",
     ]
+    samples += [text.replace(" ", "\n * ") for text in samples]
     for text in samples:
         data = text.encode().lower()
         for rule in L.rules():
             if rule.pattern.search(data):
-                assert rule.keyword in data, (rule.label, text)
+                assert all(k in data for k in rule.keywords), (rule.label, text)
 
 
 def test_priority_and_containment():
