@@ -108,7 +108,7 @@ def _train(rows: list[list[int]], y: np.ndarray, size: int, factors: int, epochs
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, terms: int = 1024, min_z: float = 3.5,
+    docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, terms: int = 1024, min_z: float = 4.5,
     min_documents: int = 3, factors: int = 8, epochs: int = 20, min_steps: int = 600, rate: float = 0.1, decay: float = 1e-5,
 ) -> FactorizationMachine:
     """Fit the machine on about ``train_rows`` labelled documents (a fixed hash sample; all if fewer).
