@@ -303,7 +303,7 @@ def read_spec(path: str) -> bytes:
 class WordMemory:
     """Remembers what ``make(word, ids)`` gave for each word, for up to ``most`` words."""
 
-    def __init__(self, tokenizer: WordTokenizer, make: Callable[[str, list[int]], object], most: int = 600_000) -> None:
+    def __init__(self, tokenizer: WordTokenizer, make: Callable[[str, list[int]], object], most: int = 700_000) -> None:
         self.tokenizer, self.make, self.most = tokenizer, make, most
         self.known: dict[str, object] = {}
 

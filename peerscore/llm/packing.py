@@ -75,12 +75,16 @@ def neighbour_scores(terms: list[np.ndarray], counts: list[np.ndarray], idf: np.
     weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / mean_words))
     shared = np.bincount(term, minlength=BUCKETS)[term] > 1  # words of one document lead nowhere
     doc, term, weight = doc[shared], term[shared], weight[shared]
-    order = np.lexsort((term, -idf[term], doc))  # each document's rarest words first
-    place = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
+    local, number = np.unique(term, return_inverse=True)
+    rarity = np.empty(len(local), np.int64)
+    rarity[np.argsort(-idf[local], kind="stable")] = np.arange(len(local))
+    order = np.argsort(doc * len(local) + rarity[number])  # each document's rarest words first
+    place = np.arange(len(order)) - np.searchsorted(doc, doc)
     asked = order[place < query_terms]
-    order = np.argsort(term, kind="stable")
-    p_term, p_doc, p_weight = term[order], doc[order], weight[order]
-    lo, hi = np.searchsorted(p_term, term[asked]), np.searchsorted(p_term, term[asked], "right")
+    order = np.argsort(number, kind="stable")
+    p_doc, p_weight = doc[order], weight[order]
+    hi = np.cumsum(np.bincount(number, minlength=len(local)))
+    lo, hi = np.concatenate(([0], hi[:-1]))[number[asked]], hi[number[asked]]
     flat = scores.reshape(-1)
     total = np.cumsum(hi - lo)
     bounds = [0, *np.searchsorted(total, np.arange(POSTINGS, int(total[-1]) if len(total) else 0, POSTINGS)).tolist(), len(asked)]
@@ -187,7 +191,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spec, idf, mean_words = shared.value
         tokenizer = load(spec)
-        memory = kept_memory(spec, "packing", lambda _, ids: np.array(ids, "<u4").tobytes())
+        memory = kept_memory(spec, "packing", lambda _, ids: b"".join([i.to_bytes(4, "little") for i in ids]))
         end = np.array([end_id], "<u4").tobytes()
         packer: _Packer | None = None
         block: list[tuple] = []  # id, ids, terms, counts
