@@ -28,7 +28,7 @@ BUCKETS = 1 << 18
 THRESHOLD = 0.3
 BATCH = 256
 _WORD = re.compile(r"[^\W\d_]+")
-_KEPT_WORDS = 1 << 19
+_KEPT_WORDS = 1 << 17
 
 
 def term_buckets(word: str) -> tuple[int, ...]:
