@@ -30,8 +30,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of linked documents, once (rows with a NULL id all stay)."""
-    linked = jaccard.link_documents(docs)
+    """Keep the smallest id of each group of linked documents, once (rows with a NULL id all stay).
+
+    Documents link at a Jaccard similarity of 0.8 or more of their five-word shingles.
+    """
+    linked = jaccard.link_documents(docs, words=5, percent=80)
     kept = linked.where("node = component").select(F.col("node").alias("doc_id")).distinct()
     once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return once.select(*docs.columns).unionByName(docs.where("doc_id is null"))

@@ -3,19 +3,21 @@
 The global order of the shingles is their 64-bit hash. It is cut into fragments, and a document's
 set into one segment per fragment:
 
-* *Candidates.* Two sets that reach the threshold differ in fewer shingles than they have fragments
-  (3 to 6 shingles a fragment), so some segment is the same in both. Documents that share a whole
+* *Candidates.* Two sets that reach the threshold differ in about as many shingles as they have
+  fragments at most (the threshold sets their number: 3 to 6 shingles a fragment at 85 percent, 2 to
+  4 at 80), so some segment is the same in both. Documents that share a whole
   segment are tied to the segment's smallest document; connected ties form candidate groups. Sets
-  under ``TINY`` shingles use the first shingles of the order (prefix filter) instead of segments.
+  under ``TINY`` shingles use the first shingles of the order (prefix filter) instead of segments,
+  and sets under 32 fragments use them too if they have no more segments than can differ.
 * *Counts.* In a group, the overlap of each pair is counted fragment by fragment and the partial
   counts are summed per pair. A group beyond ``BLOCK_DOCS`` documents or ``BLOCK_SHINGLES`` shingles
   is cut into blocks and every pair of blocks is a task of its own. Only a spanning forest of the
   links leaves a task, with each document's number of links.
 
-Equal sets are one node from the start. Sets over 64 fragments are tied by 64 of them: a pair just at
-the threshold agrees in each with probability above 0.35, so it is missed with probability below
-1e-11; smaller sets use all fragments, where only an agreement in nothing but (nearly) empty segments
-can hide a pair (below 1e-6 for a pair just at the threshold).
+Equal sets are one node from the start. No pair of sets under 32 fragments (96 shingles at 85 percent,
+68 at 80) is missed. Sets over 64 fragments are tied by 64 of them: a pair just at the threshold agrees
+in each with probability above 0.35, so it is missed with probability below 1e-11; sets between use all
+fragments, where only an agreement in nothing but (nearly) empty segments can hide a pair.
 
 Nulls and odd rows: a NULL text, or one without words, has an empty set and links with nothing. Rows
 with a NULL id get a NULL component and link with nothing. Rows that repeat an id are one node.
@@ -41,6 +43,7 @@ BIN_SHINGLES = 400_000
 FRAGMENT = 4096
 TINY = 32
 MOST_SEGMENTS = 64
+EXACT_LEVEL = 5
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
@@ -69,9 +72,14 @@ def shingle_sets(texts: list[str | None], words: int = 4) -> list[np.ndarray]:
     return out
 
 
-def _level(n: int) -> int:
-    """log2 of the number of fragments of a set of ``n`` shingles: 3 to 6 shingles each."""
-    return max(0, (n // 3).bit_length() - 1)
+def _level(n: int, percent: int) -> int:
+    """log2 of the number of fragments of a set of ``n`` shingles: 3 to 6 shingles each at 85 percent, 2.1 to 4.2 at 80."""
+    return max(0, (n * (100 - percent) * 17 // (9 * percent)).bit_length() - 1)
+
+
+def _least(level: int, percent: int) -> int:
+    """Shingles below which a segment ties nothing: of 3 or more at 85 percent, fewer where fragments hold fewer."""
+    return 1 if level < EXACT_LEVEL else max(1, round((2 if level == EXACT_LEVEL else 3) * 3 * percent / (17 * (100 - percent))))
 
 
 def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
@@ -81,21 +89,25 @@ def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
         return tokens
     found = []
     largest = 100 * n // percent  # the largest partner
+    differ = n * (100 - percent) // percent  # the most shingles that only one set of a linked pair holds
+    prefix = n < TINY * 100 // percent
     with np.errstate(over="ignore"):
-        if n < TINY * 100 // percent:
-            keep = n - -(-percent * n // 100) + 1
-            found.append(mix64(tokens[:keep] + np.uint64(1)))
         if largest >= TINY:
-            for level in {_level(max(n, TINY)), _level(largest)}:
-                fragment = tokens >> np.uint64(64 - level)
+            for level in {_level(max(n, TINY), percent), _level(largest, percent)}:
+                fragment = tokens >> np.uint64(64 - level) if level else np.zeros(n, np.uint64)
                 fragment = fragment[: np.searchsorted(fragment, MOST_SEGMENTS)]
                 starts = np.flatnonzero(np.concatenate(([True], fragment[1:] != fragment[:-1]))) if len(fragment) else fragment
+                # no more segments than can differ: an equal one may be empty
+                prefix |= level < EXACT_LEVEL and len(starts) <= differ
                 if not len(starts):
                     continue
                 size = np.diff(np.append(starts, len(fragment)))
                 whole = np.add.reduceat(mix64(tokens[: len(fragment)]), starts)
                 sig = mix64(whole + size.astype(np.uint64) * _STEP[1] + np.uint64(level) * _STEP[2])
-                found.append(sig[size >= (1 if level < 5 else 2 if level < 6 else 3)])
+                found.append(sig[size >= _least(level, percent)])
+        if prefix:
+            keep = n - -(-percent * n // 100) + 1
+            found.append(mix64(tokens[:keep] + np.uint64(1)))
     return np.unique(np.concatenate(found)) if found else tokens[:0]
 
 

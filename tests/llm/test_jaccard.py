@@ -79,6 +79,44 @@ def test_linked_sets_share_a_signature(n, seed):
         assert len(np.intersect1d(J.signatures(a, 85), J.signatures(b, 85)))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.integers(5, 900), st.sampled_from([80, 85, 90]), st.integers(0, 10**6))
+def test_pairs_just_at_the_threshold_share_a_signature(n, percent, seed):
+    r = np.random.default_rng(seed)
+    a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+    more = np.concatenate((a, r.integers(0, 1 << 63, len(a) * (100 - percent) // percent, dtype=np.uint64) * np.uint64(2) + np.uint64(1)))
+    assert len(np.intersect1d(J.signatures(a, percent), J.signatures(np.unique(more), percent)))
+
+
+def test_small_sets_whose_equal_segments_are_empty():
+    """38 shingles in 3 of 16 fragments, one shingle of each exchanged: no segment that holds something is equal."""
+    low = np.arange(38, dtype=np.uint64) + (np.arange(38, dtype=np.uint64) % np.uint64(3) << np.uint64(60))
+    a = np.sort(low)
+    b = np.sort(np.where(np.arange(38) < 3, low + np.uint64(1000), low))
+    for percent in (80, 85):
+        assert len(np.intersect1d(J.signatures(a, percent), J.signatures(b, percent)))
+
+
+def test_five_words_at_080_equal_brute_force(make_docs, prose):
+    rows = []
+    for k, n in enumerate((12, 30, 42, 60, 90, 200, 400, 900)):
+        text = prose(k, n).split(" ")
+        rows.append((100 * k, " ".join(text)))
+        for j in range(1, 12):  # a passage added, so many that some lie just under 0.8, or scattered edits
+            passage = prose(1000 + 100 * k + j, max(1, n * (14 + j) // 100)).split(" ")
+            rows.append((100 * k + j, " ".join([*text[: n // 3], *passage, *text[n // 3 :]])))
+            rows.append((100 * k + 50 + j, changed(" ".join(text), 100 * k + j, 0.021)))
+    sets = {i: {tuple(t.encode().split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    near = {(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    links = {i: sum(i in pair for pair in near) for i in sets}
+    root = {i: i for i in sets}
+    for _ in sets:
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+    got = J.link_documents(make_docs(rows), words=5, percent=80)
+    assert {tuple(r) for r in got.collect()} == {(i, len(sets[i]), root[i], links[i]) for i in sets}
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(r.randint(0, 60), r.randint(0, 60)) for _ in range(40)] + [(i, i + 1) for i in range(100, 140)] + [(200, k) for k in range(201, 260)]

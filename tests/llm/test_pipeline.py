@@ -53,6 +53,13 @@ def test_decisions_take_effect(spark, staged):
     assert packed.agg({"length": "sum"}).first()[0] == want
 
 
+def test_near_duplicates_link_at_five_words_and_080(spark, make_docs, prose):
+    text, other = prose(1, 200), prose(2, 200)
+    docs = make_docs([(1, text), (2, f"{text} {prose(3, 36)}"), (3, other), (4, f"{other} {prose(4, 60)}")])
+    assert jaccard.link_documents(docs).where("n_links > 0").count() == 0  # op8 links none of them
+    assert {r["doc_id"] for r in P.near_duplicate_stage(spark, docs, SF).collect()} == {1, 3, 4}
+
+
 def test_run_gives_the_last_stage(spark, staged):
     assert sorted(map(tuple, P.run(spark, SF).collect())) == sorted(map(tuple, staged[-1][1].collect()))
 
