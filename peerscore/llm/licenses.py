@@ -38,7 +38,9 @@ FAMILIES = [
     ("gfdl", "free documentation", r"(?:gnu )?free documentation licen[sc]e", ("1.1", "1.2", "1.3"), "fdl"),
     ("gpl", "general public", r"(?:gnu )?general public licen[sc]e", ("1.0", "2.0", "3.0"), "gpl"),
     ("apache", "apache", r"apache (?:software )?licen[sc]e", ("1.0", "1.1", "2.0"), "apache"),
-    ("mit", "mit", r"(?:mit|expat|x11) licen[sc]e", (), "mit"),
+    ("mit", "mit", r"mit licen[sc]e", (), "mit"),
+    ("mit", "expat", r"expat licen[sc]e", (), "expat"),
+    ("mit", "x11", r"x11 licen[sc]e", (), "x11"),
     ("bsd", "bsd", r"bsd(?:[- ](?:style|[0-4][- ]clause))? licen[sc]e", (), "bsd"),
     ("isc", "isc", r"isc licen[sc]e", (), "isc"),
     ("mpl", "mozilla", r"mozilla public licen[sc]e", ("1.0", "1.1", "2.0"), "mpl"),
@@ -93,7 +95,7 @@ SINGLE = [
     ("isc", "permission to use", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose", 10, 0.9),
     ("bsd", "redistribution and use", r"redistribution and use in source and binary forms", 10, 0.95),
     ("zlib", "as-is", r"provided 'as-is', without any express or implied warranty", 15, 0.8),
-    ("warranty", "warranty", r"without (?:any )?warrant(?:y|ies)(?: or conditions)? of any kind", 70, 0.4),
+    ("warranty", "warrant", r"without (?:any )?warrant(?:y|ies)(?: or conditions)? of any kind", 70, 0.4),
     ("copyright", "copyright", r"copyright (?:\(c\)|\xc2\xa9)? ?(?:19|20)[0-9][0-9]", 70, 0.4),
     ("proprietary", "proprietary", r"proprietary and confidential", 40, 0.8),
     ("proprietary", "without permission", r"(?:no part of this|may not be (?:copied|reproduced)).{0,80}without (?:prior |written )*permission", 40, 0.8),

@@ -1,5 +1,7 @@
 import random
 import re
+import re._constants as C
+import re._parser as parser
 
 from peerscore.llm import licenses as L
 
@@ -36,6 +38,37 @@ def test_there_are_hundreds_of_rules_and_keywords_never_hide_a_match():
                 assert all(k in data for k in rule.keywords), (rule.label, text)
 
 
+def alternatives(items):
+    """Samples that hold every alternative and every optional part of a parsed pattern, and leave it out."""
+    out = [b""]
+    for op, arg in items:
+        if op is C.LITERAL:
+            some = [bytes([arg])]
+        elif op is C.IN:
+            some = [bytes([v if o is C.LITERAL else v[0] if o is C.RANGE else 32]) for o, v in arg][:3]
+        elif op is C.BRANCH:
+            some = [x for branch in arg[1] for x in alternatives(branch)]
+        elif op is C.SUBPATTERN:
+            some = alternatives(arg[3])
+        elif op is C.MAX_REPEAT:
+            some = [b""] * (arg[0] == 0) + alternatives(arg[2])
+        else:
+            assert op in (C.ANY, C.ASSERT, C.ASSERT_NOT)
+            some = [b"x" if op is C.ANY else b""]
+        out = [a + b for a in out for b in some][:3000]
+    return out
+
+
+def test_keywords_hide_no_alternative_of_any_rule():
+    for rule in L.rules():
+        samples = [t for t in alternatives(parser.parse(rule.pattern.pattern, rule.pattern.flags)) if rule.pattern.search(t)]
+        assert samples
+        for t in samples:
+            assert all(k in t for k in rule.keywords), (rule.label, t)
+    assert L.scan("WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND")["labels"] == "warranty"
+    assert L.scan("Released under the Expat License")["labels"] == L.scan("X11 License")["labels"] == "mit"
+
+
 def test_priority_and_containment():
     assert L.scan("Licensed under CC BY-NC 4.0.")["labels"] == "cc-by,cc-by-nc-4.0"
     assert L.scan("the GNU Lesser General Public License v2.1")["labels"] == "gpl,lgpl-2.1"
