@@ -1,7 +1,10 @@
 """Lexical retrieval packing (operator 9).
 
-Documents are dealt to shards by a hash. A shard holds an inverted index over hashed words with BM25
-weights; term statistics (document frequencies, mean length) come from all documents. The first
+Documents are dealt to shards so that related ones meet: words vote for topics (:func:`topics`), a
+document belongs to the topic of most of its rarest shared words, and topics fill shards in order; only
+a word that more documents than a shard holds belong to is spread over several. A shard holds an
+inverted index over hashed words with BM25 weights; term statistics (document frequencies, mean
+length) come from all documents. The first
 unused document seeds a window; the unused documents that BM25 ranks next to it, with its rarest
 words as the query, follow until the window is full. A document that does not fit is cut, and its
 rest opens the next window as that window's seed. Windows are full but for a shard's last tokens,
@@ -18,17 +21,20 @@ from collections.abc import Collection, Iterator
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscore.llm.bpe import kept_memory, load
-from peerscore.llm.common import arrow_rows
+from peerscore.llm.common import arrow_rows, mix64, stage_path
 
 BUCKETS = 1 << 18
 SHARD_DOCS = 512
 POSTINGS = 1 << 20
 SHARD_TOKENS = 1 << 23
+KEY_TERMS = 24
+ROUNDS = 3
 K1, B = 1.2, 0.75
 _PLAIN = bytes(b | 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -63,6 +69,145 @@ def term_statistics(docs: DataFrame) -> tuple[np.ndarray, float]:
     return np.log1p((n - total[:BUCKETS] + 0.5).clip(0.5) / (total[:BUCKETS] + 0.5)), max(1.0, words / max(n, 1))
 
 
+def rare_terms(texts: list[str | None], idf: np.ndarray, most: float) -> list[np.ndarray]:
+    """Each text's ``KEY_TERMS`` rarest word buckets, without those rarer than ``most`` (held by one document)."""
+    out = []
+    for t in texts:
+        terms = np.unique(_buckets(set(lexical_words(t))))
+        terms = terms[idf[terms] < most]
+        out.append(terms[np.argsort(-idf[terms], kind="stable")[:KEY_TERMS]].astype(np.int32))
+    return out
+
+
+def _best(doc: np.ndarray, label: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """The label of the largest summed weight of each of ``n`` documents (the smallest one of several; -1 for none)."""
+    pair, at = np.unique(doc * BUCKETS + label, return_inverse=True)
+    total = np.bincount(at, weight, minlength=len(pair)).astype(np.int64)
+    order = np.lexsort((pair, -total, pair // BUCKETS))
+    first = order[np.concatenate(([True], np.diff(pair[order] // BUCKETS) > 0))] if len(order) else order
+    out = np.full(n, -1, np.int64)
+    out[pair[first] // BUCKETS] = pair[first] % BUCKETS
+    return out
+
+
+_ORDER = mix64(np.arange(BUCKETS, dtype=np.uint64)).argsort().argsort()
+
+
+def document_keys(terms: list[np.ndarray], idf: np.ndarray, topic: np.ndarray | None) -> np.ndarray:
+    """Each document's own word: of its terms in the topic that most of their weight has, the first of a fixed order.
+
+    Without topics it is the first of all its terms, so documents with common terms tend to agree. -1: no terms.
+    """
+    doc = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+    term = np.concatenate(terms).astype(np.int64) if len(terms) else np.zeros(0, np.int64)
+    if topic is not None:
+        best = _best(doc, topic[term], np.round(1024 * idf[term]), len(terms))
+        doc, term = doc[own := topic[term] == best[doc]], term[own]
+    order = np.lexsort((_ORDER[term], doc))
+    first = order[np.concatenate(([True], np.diff(doc[order]) > 0))] if len(order) else order
+    out = np.full(len(terms), -1, np.int64)
+    out[doc[first]] = term[first]
+    return out
+
+
+def _term_lists(column: pa.Array) -> list[np.ndarray]:
+    flat, at = column.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *column.value_lengths().to_pylist()])
+    return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def topics(keyed: DataFrame, idf: np.ndarray) -> np.ndarray:
+    """The topic of each word bucket, from the documents' rare terms (column ``terms``) by label propagation.
+
+    In each round every document votes with its topic for its terms, and a term takes the topic of most votes.
+    """
+    topic: np.ndarray | None = None
+    for _ in range(ROUNDS):
+        shared = keyed.sparkSession.sparkContext.broadcast((idf, topic))
+
+        def vote(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            idf, topic = shared.value
+            for b in batches:
+                terms = _term_lists(b.column("terms"))
+                own = document_keys(terms, idf, topic)
+                label = own if topic is None else topic[own]
+                if not sum(map(len, terms)):
+                    continue
+                votes = np.concatenate(terms).astype(np.int64) * BUCKETS + np.repeat(label, [len(t) for t in terms])
+                pair, n = np.unique(votes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n.astype(np.int64))], names=["pair", "n"])
+
+        votes = keyed.select("terms").mapInArrow(vote, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        term, label = F.expr(f"pair div {BUCKETS}").alias("term"), F.pmod("pair", F.lit(BUCKETS))
+        won = votes.groupBy(term).agg(F.max(F.struct("n", (-label).alias("label"))).alias("best"))
+        found = won.select("term", (-F.col("best.label")).alias("label")).toPandas()  # at most BUCKETS rows
+        topic = np.arange(BUCKETS)
+        topic[found["term"]] = found["label"]
+    return topic
+
+
+def shard_places(sizes: np.ndarray, topic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First shard and number of shards of each key (a word bucket; at ``BUCKETS`` the documents without one).
+
+    ``sizes`` has the documents of each key. Keys follow each other by topic; a topic that fits a shard is not cut,
+    nor is a key that fits one, and a larger key has its shards for itself.
+    """
+    first, parts = np.zeros(BUCKETS + 1, np.int64), np.ones(BUCKETS + 1, np.int64)
+    keys = np.flatnonzero(sizes)
+    group = np.append(topic, BUCKETS)[keys]
+    keys = keys[np.argsort(group, kind="stable")]
+    whole = np.bincount(group, sizes[np.sort(keys)], minlength=BUCKETS + 1)
+    shard, used, last = 0, 0, -1
+    for key in keys.tolist():
+        size, g = int(sizes[key]), int(topic[key]) if key < BUCKETS else BUCKETS
+        need = int(whole[g]) if g != last and whole[g] <= SHARD_DOCS else size
+        last = g
+        if used and used + need > SHARD_DOCS:
+            shard, used = shard + 1, 0
+        first[key], parts[key] = shard, max(1, -(-size // SHARD_DOCS))
+        if parts[key] > 1:
+            shard, used = shard + parts[key], 0
+        else:
+            used += size
+    return first, parts
+
+
+def deal(docs: DataFrame, idf: np.ndarray, rows: int) -> DataFrame:
+    """``docs`` (``id``, ``text``; ``rows`` of them) with the ``shard`` of each document."""
+    if rows <= SHARD_DOCS:
+        return docs.withColumn("shard", F.lit(0).cast("long"))
+    context, most = docs.sparkSession.sparkContext, float(np.log1p((rows - 0.5) / 1.5)) - 1e-9
+    weights = context.broadcast(idf)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in arrow_rows(batches):
+            terms = pa.array(rare_terms(b.column("text").to_pylist(), weights.value, most), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text"), terms], names=["id", "text", "terms"])
+
+    path = stage_path(docs.sparkSession, "packing-terms")
+    docs.mapInArrow(describe, f"id {docs.schema['id'].dataType.simpleString()}, text string, terms array<int>").write.parquet(path)
+    keyed = docs.sparkSession.read.parquet(path)
+    topic = topics(keyed, idf)
+    final = context.broadcast((idf, topic))
+
+    @F.pandas_udf("int")
+    def key(terms: pd.Series) -> pd.Series:
+        own = document_keys(terms.tolist(), *final.value)
+        return pd.Series(np.where(own < 0, BUCKETS, own))
+
+    found = keyed.select(key("terms").alias("key")).groupBy("key").count().toPandas()  # at most BUCKETS + 1 rows
+    sizes = np.zeros(BUCKETS + 1, np.int64)
+    sizes[found["key"]] = found["count"]
+    places = context.broadcast((idf, topic, *shard_places(sizes, topic)))
+
+    @F.pandas_udf("long")
+    def shard(terms: pd.Series, digest: pd.Series) -> pd.Series:
+        idf, topic, first, parts = places.value
+        own = document_keys(terms.tolist(), idf, topic)
+        return pd.Series(first[own] + digest.to_numpy() % parts[own])  # own -1 is the last place
+
+    return keyed.select("id", "text", shard("terms", F.xxhash64("id", "text")).alias("shard"))
+
+
 def neighbour_scores(terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, mean_words: float, query_terms: int) -> np.ndarray:
     """BM25 score of every document of a shard (columns) for every document's query (rows)."""
     n = len(terms)
@@ -177,9 +322,8 @@ def pack(
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     idf, mean_words = term_statistics(docs)
     shared = docs.sparkSession.sparkContext.broadcast((spec, idf, mean_words))
-    shards = max(1, -(-docs.count() // SHARD_DOCS))
     digest = F.xxhash64("id", "text")
-    dealt = docs.withColumn("shard", F.pmod(digest, F.lit(shards)))
+    dealt = deal(docs, idf, docs.count())
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "id", digest)
     id_type = docs.schema["id"].dataType
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

@@ -72,6 +72,29 @@ def test_neighbours_follow_their_seed(make_docs, prose):
     assert together >= 40  # random order would give about 10
 
 
+def test_topics_meet_over_many_shards(make_docs, prose, library, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 16)
+    topics = 60
+    rows = [(i, " ".join(f"topic{i % topics}word{j}" for j in range(12)) + " " + prose(i, 30)) for i in range(600)]
+    docs = make_docs(rows)
+    pieces = packing.pack(docs, bpe.read_spec(PATH), window=256).collect()
+    check(rows, pieces, library, 256)
+    shards = defaultdict(list)
+    for i, s in {(r["id"], r["sequence_id"] >> 32) for r in pieces}:
+        shards[i % topics].append(s)
+    assert len({s for x in shards.values() for s in x}) >= 600 // 16
+    assert sum(max(x.count(s) for s in x) for x in shards.values()) >= 0.8 * 600  # dealt at random about 0.18
+
+
+def test_one_large_key_is_spread():
+    sizes = np.zeros(packing.BUCKETS + 1, int)
+    sizes[[3, 8, 9, packing.BUCKETS]] = 5 * packing.SHARD_DOCS, 10, 20, 700
+    topic = np.zeros(packing.BUCKETS, int)
+    topic[[8, 9]] = 1
+    first, parts = packing.shard_places(sizes, topic)
+    assert parts[3] == 5 and first[8] == first[9] >= 5 and first[packing.BUCKETS] > first[8] and parts[packing.BUCKETS] == 2
+
+
 def test_scores_equal_plain_bm25():
     terms = [np.array([1, 2, 3]), np.array([2, 3]), np.array([3, 9]), np.array([], int)]
     counts = [np.array([1, 2, 1]), np.array([3, 1]), np.array([1, 5]), np.array([], int)]
