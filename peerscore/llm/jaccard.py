@@ -16,7 +16,7 @@ set into one segment per fragment:
 
 Equal sets are one node from the start. No pair of sets under 32 fragments (96 shingles at 85 percent,
 68 at 80) is missed. Sets over 64 fragments are tied by 64 of them: a pair just at the threshold agrees
-in each with probability above 0.35, so it is missed with probability below 1e-11; sets between use all
+in each with probability above 0.3, so it is missed with probability below 1e-9; sets between use all
 fragments, where only an agreement in nothing but (nearly) empty segments can hide a pair.
 
 Nulls and odd rows: a NULL text, or one without words, has an empty set and links with nothing. Rows
