@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscore.llm import ann, bpe, chunkdedup, jaccard, langid, licenses, mips, packing, tokencounts, toxicity
+from peerscore.llm import ann, bpe, chunkdedup, jaccard, langid, licenses, mips, novelty, packing, runs, tokencounts, toxicity, whitening
 from peerscore.llm.common import remainder, table
 
 #: the tokenizer files of the token queries
@@ -72,6 +73,42 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mips.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = novelty.scan_documents(docs, novelty.identifier_dictionary(docs))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of_kind = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"] != novelty.NOVEL)
+    return found.select(F.col("id").alias("doc_id"), *(of_kind(k) for k in novelty.KINDS), F.sha2(written(base), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
+def planted_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One text in ten ends in words that repeat periodically; where and how follows from the id (not for a NULL id)."""
+    h, n = crc32(str(doc_id).encode("ascii")), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(table(spark, sf_dir, "documents"), prepare=planted_words)
+    written = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("slow"))))
+    best = found.withColumn("best", longest)
+    return best.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.slow")).alias("period"), F.expr("1000 * best.length div -best.slow").alias("exponent_milli"),
+        F.sha2(written, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
@@ -83,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_whitening": op11_whitening,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
