@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscore.llm.common import arrow_rows
+from peerscore.llm.common import arrow_rows, range_hashes
 
 LONG_WORD = 64
 _NEVER = 1 << 30
@@ -79,6 +79,7 @@ class Automaton:
     def __init__(self, model: dict) -> None:
         vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.word_end = end
         letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], np.int32)
         self.final = np.array([vocab[c + end] for c in letters], np.int32)
@@ -166,13 +167,21 @@ class Automaton:
         return out
 
     def _encode_many(self, spelled: list[bytes]) -> list[list[int]]:
-        data = np.frombuffer(b"".join(spelled), np.uint8)
-        length = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        flat, sizes = self.encode_flat(spelled)
+        ids, cuts = flat.tolist(), np.cumsum(sizes).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+    def encode_flat(self, spelled: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of words of 1 to ``LONG_WORD`` bytes, one after the other, and how many each word has."""
+        return self.encode_bytes(np.frombuffer(b"".join(spelled), np.uint8), np.fromiter(map(len, spelled), np.int64, len(spelled)))
+
+    def encode_bytes(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`encode_flat` of words that lie one after the other in ``data``."""
         end = np.cumsum(length)
         first = end - length
         flat = self.inner[data].astype(np.int64)
         flat[end - 1] = self.final[data[end - 1]]
-        word = np.repeat(np.arange(len(spelled)), length)
+        word = np.repeat(np.arange(len(length)), length)
         # every label that matches at every place
         start, node, depth, found = np.arange(len(flat)), np.zeros(len(flat), np.int64), 0, []
         while len(start):
@@ -197,16 +206,14 @@ class Automaton:
             ok = opening[a:b] | self.arcs(last[np.where(opening[a:b], until[a:b], s - 1)].clip(0), t)
             last[until[a:b][ok]], back[until[a:b][ok]] = t[ok], s[ok]
         # back along the one accepted path of each word
-        at, who, step, parts = end - 1, np.arange(len(spelled)), 0, []
+        at, who, step, parts = end - 1, np.arange(len(length)), 0, []
         while len(at):
             parts.append((who, np.full(len(who), -step), last[at]))
             at, who, step = back[at] - 1, who, step + 1
             more = at >= first[who]
             at, who = at[more], who[more]
         who, step, label = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.lexsort((step, who))
-        ids, cuts = label[order].tolist(), np.cumsum(np.bincount(who, minlength=len(spelled))).tolist()
-        return [ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+        return label[np.lexsort((step, who))], np.bincount(who, minlength=len(length))
 
     def _may_follow(self, p: int, x: int) -> bool:
         ok = self._memo.get((p, x))
@@ -235,6 +242,12 @@ class Automaton:
         return out[::-1]
 
 
+def gathered(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches ``pool[start : start + size]``, one after the other."""
+    end = np.cumsum(size)
+    return pool[np.arange(end[-1] if len(end) else 0) + np.repeat(start - end + size, size)]
+
+
 # Latin-1 texts are lower-cased and split here; others by the tokenizers library's own rules.
 _LATIN_WORD = re.compile(r"[a-zªµºß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼½¾]|[^\x09-\x0d \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 _STEPS = ["NFC", "Replace", "Lowercase"]
@@ -328,6 +341,193 @@ def kept_memory(spec: bytes, name: str, make: Callable[[str, list[int]], object]
     return _MEMORIES[key]
 
 
+class HashMemory:
+    """Ids of byte strings by their 64-bit hash: a growing open-addressing table into a pool of ids."""
+
+    def __init__(self, kind: np.dtype) -> None:
+        self.keys, self.codes = np.full(1 << 16, -1, np.int64), np.zeros(1 << 16, np.int32)
+        self.known, self.used = 0, 0
+        self.pool, self.start, self.size = np.zeros(1 << 16, kind), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
+
+    def nbytes(self) -> int:
+        return sum(a.nbytes for a in (self.keys, self.codes, self.pool, self.start, self.size))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return keys & (len(self.keys) - 1)  # the hashes are mixed well
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key; -1 for those not known."""
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.codes[slot], np.int32(-1))
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
+            there = self.keys[slot[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self.codes[slot[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return out
+
+    def _place(self, keys: np.ndarray, codes: np.ndarray) -> None:
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[left[free]]
+            placed = self.keys[slot] == keys[left]
+            self.codes[slot[placed]] = codes[left[placed]]
+            left, slot = left[~placed], (slot[~placed] + 1) & (len(self.keys) - 1)
+
+    def add(self, keys: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+        """New, distinct keys; their ids lie one after the other in ``flat``."""
+        first, self.known = self.known, self.known + len(keys)
+        if 2 * self.known > len(self.keys):
+            old, codes = self.keys, self.codes
+            bits = (4 * self.known).bit_length()
+            self.keys, self.codes = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+            self._place(old[old >= 0], codes[old >= 0])
+        self._place(keys, np.arange(first, self.known, dtype=np.int32))
+        self.pool = grown(self.pool, self.used + len(flat))
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.start, self.size = grown(self.start, self.known), grown(self.size, self.known)
+        self.start[first : self.known] = self.used + np.cumsum(size) - size
+        self.size[first : self.known] = size
+        self.used += len(flat)
+
+    def ids(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.size[codes].astype(np.int64)
+        return gathered(self.pool, self.start[codes], size), size
+
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: letters (1), digits (2), other ASCII (3), and what the tokenizer's own rules must split (4)
+_CLASS = np.full(256, 4, np.uint8)
+_CLASS[:128] = 3
+_CLASS[ord("0") : ord("9") + 1] = 2
+_CLASS[ord("a") : ord("z") + 1] = 1
+_CLASS[[ord("'"), ord("<"), *range(ord("A"), ord("Z") + 1)]] = 4
+
+
+class ChunkIds:
+    """Encodes texts by what stands between ASCII white space (chunks), whole batches at a time.
+
+    No word, special token or normalisation reaches over white space, so a text's ids are its chunks' ids. Chunks, and
+    the words that they consist of, are known by 64-bit hashes and remembered with their ids until the
+    tables would pass ``most_bytes``. New chunks of lower-case ASCII are split into words by byte
+    classes, others by the tokenizer; new words run through the automaton.
+    """
+
+    def __init__(self, tokenizer: WordTokenizer, most_bytes: int = 180_000_000) -> None:
+        self.tokenizer, self.most_bytes = tokenizer, most_bytes
+        self.type = np.dtype("<u2") if max(tokenizer.labels) < 1 << 16 else np.dtype("<u4")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.chunks, self.words = HashMemory(self.type), HashMemory(self.type)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, how many each text has, and which ids end a chunk."""
+        if self.chunks.nbytes() + self.words.nbytes() > self.most_bytes:
+            self._forget()
+        data = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        data = [d if b"<" in d else d.lower() for d in data]  # special tokens keep their case
+        buf = np.frombuffer(b" " + b" ".join(data) + b" ", np.uint8)
+        blank = _BLANK[buf]
+        start, end = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1, np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+        flat, size = self._ids(self.chunks, buf, start, end, self._new_chunks)
+        text_end = np.cumsum([len(d) + 1 for d in data])  # after each text's last byte in ``buf``
+        total = np.concatenate(([0], np.cumsum(size)))
+        ends = np.zeros(len(flat), bool)
+        ends[total[1:][size > 0] - 1] = True
+        return flat, np.diff(total[np.concatenate(([0], np.searchsorted(start, text_end)))]), ends
+
+    def _ids(self, memory: HashMemory, buf: np.ndarray, start: np.ndarray, end: np.ndarray, learn: Callable) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the byte ranges, one after the other, and how many each has; new ones are learned."""
+        keys = (range_hashes(buf, start, end) >> np.uint64(1)).astype(np.int64)
+        code = memory.get(keys)
+        new = np.flatnonzero(code < 0)
+        if len(new):
+            distinct, first = np.unique(keys[new], return_index=True)
+            memory.add(distinct, *learn(buf, start[new[first]], end[new[first]]))
+            code[new] = memory.get(keys[new])
+        return memory.ids(code)
+
+    def _new_chunks(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = end - start
+        kind = _CLASS[gathered(buf, start, size)]
+        at = np.cumsum(size) - size
+        plain = np.maximum.reduceat(kind, at) < 4
+        out_size = np.zeros(len(start), np.int64)
+        parts, order = [], []
+        if plain.any():
+            rows = np.flatnonzero(plain)
+            here = gathered(buf, start[rows], size[rows])
+            cut = np.zeros(len(here) + 1, bool)
+            cut[[0, *np.cumsum(size[rows]).tolist()]] = True
+            kind = _CLASS[here]
+            cut[1:-1] |= (kind[1:] != kind[:-1]) | (kind[1:] == 2)  # every digit is a word
+            cuts = np.flatnonzero(cut)
+            flat, n = self._ids(self.words, here, cuts[:-1], cuts[1:], self._new_words)
+            total = np.concatenate(([0], np.cumsum(n)))
+            out_size[rows] = np.diff(total[np.searchsorted(cuts, np.concatenate(([0], np.cumsum(size[rows]))))])
+            parts.append(flat)
+            order.append(rows)
+        if not plain.all():
+            rows = np.flatnonzero(~plain)
+            whole = buf.tobytes()
+            words = [self.tokenizer.words(whole[a:b].decode("utf-8", "surrogatepass")) for a, b in zip(start[rows].tolist(), end[rows].tolist(), strict=True)]
+            spelled = [w.encode("utf-8", "replace") for ws in words for w in ws]
+            stop = np.cumsum([0, *map(len, spelled)])
+            flat, n = self._ids(self.words, np.frombuffer(b"".join(spelled), np.uint8), stop[:-1], stop[1:], self._new_words)
+            total = np.concatenate(([0], np.cumsum(n)))
+            out_size[rows] = np.diff(total[np.cumsum([0, *map(len, words)])])
+            parts.append(flat)
+            order.append(rows)
+        # back into the order of the chunks
+        rows, flat = np.concatenate(order), np.concatenate(parts)
+        n = out_size[rows]
+        place = np.empty(len(rows), np.int64)
+        place[rows] = np.cumsum(n) - n
+        return gathered(flat, place, out_size), out_size
+
+    def _new_words(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size, out_size = end - start, np.zeros(len(start), np.int64)
+        odd = (size > LONG_WORD) | (buf[start] == ord("<"))  # "<" may begin a special token
+        parts, rows = [], np.flatnonzero(~odd)
+        for at in range(0, len(rows), 4096):
+            here = rows[at : at + 4096]
+            flat, out_size[here] = self.tokenizer.automaton.encode_bytes(gathered(buf, start[here], size[here]), size[here])
+            parts.append(flat)
+        for k in np.flatnonzero(odd).tolist():
+            ids = self.tokenizer.encode([buf[start[k] : end[k]].tobytes().decode("utf-8", "replace")])[0]
+            out_size[k] = len(ids)
+            parts.append(np.array(ids, np.int64))
+        rows = np.concatenate((rows, np.flatnonzero(odd)))
+        n = out_size[rows]
+        place = np.empty(len(rows), np.int64)
+        place[rows] = np.cumsum(n) - n
+        return gathered(np.concatenate(parts), place, out_size), out_size
+
+
+def grown(array: np.ndarray, need: int) -> np.ndarray:
+    """``array``, or a longer copy of it that has ``need`` places."""
+    if need <= len(array):
+        return array
+    return np.concatenate((array, np.zeros(max(need - len(array), len(array) // 2), array.dtype)))
+
+
+_CHUNKS: dict[bytes, ChunkIds] = {}
+
+
+def kept_chunks(spec: bytes) -> ChunkIds:
+    """The chunk memory that a worker process keeps from task to task."""
+    key = hashlib.sha256(spec).digest()
+    if key not in _CHUNKS:
+        _CHUNKS[key] = ChunkIds(load(spec))
+    return _CHUNKS[key]
+
+
 def encode_documents(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """``id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked for, ``ids`` and ``decoded`` of each row.
 

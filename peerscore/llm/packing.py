@@ -1,6 +1,7 @@
 """Lexical retrieval packing (operator 9).
 
-Documents are dealt to shards so that related ones meet: words vote for topics (:func:`topics`), a
+Texts are read once: they are encoded and stored as token ids and a bit an id that tells where white space
+follows; the lexical words (letters and digits that stand together) are taken from these. Documents are dealt to shards so that related ones meet: words vote for topics (:func:`topics`), a
 document belongs to the topic of most of its rarest shared words, and topics fill shards in order; only
 a word that more documents than a shard holds belong to is spread over several. A shard holds an
 inverted index over hashed words with BM25 weights; term statistics (document frequencies, mean
@@ -16,18 +17,16 @@ they are; repeated rows are packed each. A text longer than a window is cut over
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Collection, Iterator
+from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscore.llm.bpe import kept_memory, load
-from peerscore.llm.common import arrow_rows, mix64, stage_path
+from peerscore.llm.bpe import byte_letters, gathered, kept_chunks, load
+from peerscore.llm.common import arrow_rows, mix64, stage_path, with_fields
 
 BUCKETS = 1 << 18
 SHARD_DOCS = 512
@@ -36,47 +35,113 @@ SHARD_TOKENS = 1 << 23
 KEY_TERMS = 24
 ROUNDS = 3
 K1, B = 1.2, 0.75
-_PLAIN = bytes(b | 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def lexical_words(text: str | None) -> list[bytes]:
-    """The words of the index: ASCII letters in lower case, digits and all other characters beyond ASCII."""
-    return text.encode("utf-8", "surrogatepass").translate(_PLAIN).split() if text else []
+class Lexicon:
+    """Words (letters, digits and all characters beyond ASCII that stand together) of texts given as token ids, in buckets."""
 
+    def __init__(self, spec: bytes) -> None:
+        tokenizer = load(spec)
+        end, size = tokenizer.automaton.word_end, max(tokenizer.labels) + 1
+        byte = {c: b for b, c in enumerate(byte_letters())}
+        self.ends, self.wordly = np.ones(size, bool), np.zeros(size, bool)  # special tokens are pieces of their own
+        for i, label in tokenizer.labels.items():
+            special = i in tokenizer.special.values()
+            self.ends[i] = special or not end or label.endswith(end)
+            first = byte.get(label[:1], 0)
+            self.wordly[i] = not special and (first >= 128 or chr(first).isalnum())
+        self.hash = mix64(np.arange(1, size + 1, dtype=np.uint64))
+
+    def words(self, flat: np.ndarray, size: np.ndarray, chunk_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The text number and the bucket of every word (``size`` ids of each text, one text after the other)."""
+        last = np.flatnonzero(self.ends[flat])  # every text ends with the end of a piece
+        if not len(last):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        first = np.concatenate(([0], last[:-1] + 1))
+        wordly = self.wordly[flat[first]]  # the tokenizer's pieces are letters, or one digit, or other characters
+        opens = np.concatenate(([True], ~wordly[1:] | ~wordly[:-1] | chunk_ends[last[:-1]]))
+        first, last, wordly = first[opens], last[np.append(opens[1:], True)], wordly[opens]
+        with np.errstate(over="ignore"):
+            place = np.arange(len(flat)) - np.repeat(first, last + 1 - first)
+            whole = np.add.reduceat(self.hash[flat] * (2 * place + 1).astype(np.uint64), first)
+        text = np.searchsorted(np.cumsum(size), first[wordly], "right")
+        return text, (mix64(whole[wordly]) % np.uint64(BUCKETS)).astype(np.int64)
+
+    def terms(self, flat: np.ndarray, size: np.ndarray, chunk_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The text number, the bucket and the count of every distinct word of each text, in this order."""
+        text, bucket = self.words(flat, size, chunk_ends)
+        pair, count = np.unique(text * BUCKETS + bucket, return_counts=True)
+        return pair // BUCKETS, pair % BUCKETS, count
+
+
+_LEXICONS: dict[int, Lexicon] = {}
+
+
+def kept_lexicon(spec: bytes) -> Lexicon:
+    """The lexicon of a tokenizer file; each worker process builds it once."""
+    key = crc32(spec)
+    if key not in _LEXICONS:
+        _LEXICONS[key] = Lexicon(spec)
+    return _LEXICONS[key]
+
+
+def _stored_ids(batch: pa.RecordBatch, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of a batch of stored texts, one after the other, how many each text has, and which end a chunk."""
+    data = batch.column("ids").to_pylist()
+    flat, size = np.frombuffer(b"".join(data), kind), np.fromiter(map(len, data), np.int64, len(data)) // kind.itemsize
+    packed = batch.column("ends").to_pylist()
+    first = np.cumsum([0, *map(len, packed)])[:-1] * 8  # each text's bits begin with a byte
+    bits = np.unpackbits(np.frombuffer(b"".join(packed), np.uint8)).view(bool)
+    return flat, size, gathered(bits, first, size)
+
+
+def encode(docs: DataFrame, spec: bytes) -> DataFrame:
+    """``docs`` (``id``, ``text``) stored as ``id``, ``row`` (a number), ``ids`` (as wide as the vocabulary needs) and ``ends`` (a bit an id: ends a chunk)."""
+    shared = docs.sparkSession.sparkContext.broadcast(spec)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = kept_chunks(shared.value)
+        for b in arrow_rows(batches):
+            flat, size, chunk_ends = known.encode(b.column("text").to_pylist())
+            cuts = np.cumsum([0, *size]).tolist()
+            ids = [flat[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+            ends = [np.packbits(chunk_ends[x:y]).tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(ids, pa.binary()), pa.array(ends, pa.binary())], names=["id", "row", "ids", "ends"])
 
-def _buckets(words: Collection[bytes]) -> np.ndarray:
-    """The bucket of each word."""
-    return np.fromiter(map(crc32, words), np.int64, len(words)) % BUCKETS
+    path = stage_path(docs.sparkSession, "packing-ids")
+    rows = docs.select("id", F.monotonically_increasing_id().alias("row"), "text")
+    rows.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, row long, ids binary, ends binary").write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.parquet(path)
 
 
-def term_statistics(docs: DataFrame) -> tuple[np.ndarray, float]:
-    """BM25's idf of each word bucket and the mean number of words, over all of ``docs`` (column ``text``)."""
+def term_statistics(encoded: DataFrame, spec: bytes, kind: np.dtype) -> tuple[np.ndarray, float, int]:
+    """BM25's idf of each word bucket, the mean number of words and the number of texts, over all of ``encoded``."""
+    shared = encoded.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS + 2, np.int64)
+        lexicon, total = kept_lexicon(shared.value), np.zeros(BUCKETS + 2, np.int64)
         for b in arrow_rows(batches):
-            words = [lexical_words(t) for t in b.column("text").to_pylist()]
-            here = np.concatenate([_buckets(set(w)) for w in words])
-            total[:BUCKETS] += np.bincount(here, minlength=BUCKETS)
-            total[BUCKETS:] += (len(words), sum(map(len, words)))
+            _, bucket, count = lexicon.terms(*_stored_ids(b, kind))
+            total[:BUCKETS] += np.bincount(bucket, minlength=BUCKETS)
+            total[BUCKETS:] += (b.num_rows, int(count.sum()))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    total, found = np.zeros(BUCKETS + 2), counts.toPandas()  # at most BUCKETS + 2 rows
-    total[found["bucket"]] = found["n"]
+    counts = encoded.select("ids", "ends").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    total, found = np.zeros(BUCKETS + 2), counts.toArrow()  # at most BUCKETS + 2 rows
+    total[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     n, words = total[BUCKETS:]
-    return np.log1p((n - total[:BUCKETS] + 0.5).clip(0.5) / (total[:BUCKETS] + 0.5)), max(1.0, words / max(n, 1))
+    return np.log1p((n - total[:BUCKETS] + 0.5).clip(0.5) / (total[:BUCKETS] + 0.5)), max(1.0, words / max(n, 1)), int(n)
 
 
-def rare_terms(texts: list[str | None], idf: np.ndarray, most: float) -> list[np.ndarray]:
+def rare_terms(text: np.ndarray, bucket: np.ndarray, texts: int, idf: np.ndarray, most: float) -> list[np.ndarray]:
     """Each text's ``KEY_TERMS`` rarest word buckets, without those rarer than ``most`` (held by one document)."""
-    out = []
-    for t in texts:
-        terms = np.unique(_buckets(set(lexical_words(t))))
-        terms = terms[idf[terms] < most]
-        out.append(terms[np.argsort(-idf[terms], kind="stable")[:KEY_TERMS]].astype(np.int32))
-    return out
+    some = idf[bucket] < most
+    text, bucket = text[some], bucket[some]
+    order = np.lexsort((bucket, -idf[bucket], text))
+    text, bucket = text[order], bucket[order].astype(np.int32)
+    first = np.searchsorted(text, np.arange(texts + 1))
+    return [bucket[a : min(b, a + KEY_TERMS)] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
 def _best(doc: np.ndarray, label: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
@@ -171,41 +236,48 @@ def shard_places(sizes: np.ndarray, topic: np.ndarray) -> tuple[np.ndarray, np.n
     return first, parts
 
 
-def deal(docs: DataFrame, idf: np.ndarray, rows: int) -> DataFrame:
-    """``docs`` (``id``, ``text``; ``rows`` of them) with the ``shard`` of each document."""
-    if rows <= SHARD_DOCS:
-        return docs.withColumn("shard", F.lit(0).cast("long"))
-    context, most = docs.sparkSession.sparkContext, float(np.log1p((rows - 0.5) / 1.5)) - 1e-9
-    weights = context.broadcast(idf)
+def deal(encoded: DataFrame, spec: bytes, kind: np.dtype, idf: np.ndarray, rows: int) -> DataFrame:
+    """``encoded`` (``rows`` texts) with the ``shard`` of each text.
+
+    The rare terms are stored by themselves for the topics; the last pass takes them from the ids again, so that the ids are
+    not stored twice.
+    """
+    context, most = encoded.sparkSession.sparkContext, float(np.log1p((rows - 0.5) / 1.5)) - 1e-9
+    weights = context.broadcast((spec, idf))
+
+    def rare(batch: pa.RecordBatch) -> list[np.ndarray]:
+        spec, idf = weights.value
+        text, bucket, _ = kept_lexicon(spec).terms(*_stored_ids(batch, kind))
+        return rare_terms(text, bucket, batch.num_rows, idf, most)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in arrow_rows(batches):
-            terms = pa.array(rare_terms(b.column("text").to_pylist(), weights.value, most), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text"), terms], names=["id", "text", "terms"])
+            yield pa.RecordBatch.from_arrays([pa.array(rare(b), pa.list_(pa.int32()))], names=["terms"])
 
-    path = stage_path(docs.sparkSession, "packing-terms")
-    docs.mapInArrow(describe, f"id {docs.schema['id'].dataType.simpleString()}, text string, terms array<int>").write.parquet(path)
-    keyed = docs.sparkSession.read.parquet(path)
+    path = stage_path(encoded.sparkSession, "packing-terms")
+    encoded.select("ids", "ends").mapInArrow(describe, "terms array<int>").write.parquet(path)
+    keyed = encoded.sparkSession.read.parquet(path)
     topic = topics(keyed, idf)
     final = context.broadcast((idf, topic))
 
-    @F.pandas_udf("int")
-    def key(terms: pd.Series) -> pd.Series:
-        own = document_keys(terms.tolist(), *final.value)
-        return pd.Series(np.where(own < 0, BUCKETS, own))
+    def count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key, n = np.unique(document_keys(_term_lists(b.column("terms")), *final.value), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
-    found = keyed.select(key("terms").alias("key")).groupBy("key").count().toPandas()  # at most BUCKETS + 1 rows
+    found = keyed.mapInArrow(count_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS + 1 rows
     sizes = np.zeros(BUCKETS + 1, np.int64)
-    sizes[found["key"]] = found["count"]
-    places = context.broadcast((idf, topic, *shard_places(sizes, topic)))
+    sizes[found.column("key").to_numpy()] = found.column("n").to_numpy()  # the key -1 is the last place
+    places = context.broadcast((topic, *shard_places(sizes, topic)))
 
-    @F.pandas_udf("long")
-    def shard(terms: pd.Series, digest: pd.Series) -> pd.Series:
-        idf, topic, first, parts = places.value
-        own = document_keys(terms.tolist(), idf, topic)
-        return pd.Series(first[own] + digest.to_numpy() % parts[own])  # own -1 is the last place
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        topic, first, parts = places.value
+        for b in arrow_rows(batches):
+            own = document_keys(rare(b), weights.value[1], topic)
+            spread = mix64(b.column("row").to_numpy().astype(np.uint64)) % parts[own].astype(np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first[own] + spread.astype(np.int64))], names=[*b.schema.names, "shard"])
 
-    return keyed.select("id", "text", shard("terms", F.xxhash64("id", "text")).alias("shard"))
+    return encoded.mapInArrow(place, with_fields(encoded, shard="long"))
 
 
 def neighbour_scores(terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, mean_words: float, query_terms: int) -> np.ndarray:
@@ -320,11 +392,12 @@ def pack(
     documents or ``SHARD_TOKENS`` tokens, so its memory is bounded whatever the ids are.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    idf, mean_words = term_statistics(docs)
+    kind = kept_chunks(spec).type
+    encoded = encode(docs, spec)
+    idf, mean_words, rows = term_statistics(encoded, spec, kind)
     shared = docs.sparkSession.sparkContext.broadcast((spec, idf, mean_words))
-    digest = F.xxhash64("id", "text")
-    dealt = deal(docs, idf, docs.count())
-    dealt = dealt.repartition("shard").sortWithinPartitions("shard", "id", digest)
+    dealt = deal(encoded, spec, kind, idf, rows)
+    dealt = dealt.repartition("shard").sortWithinPartitions("shard", "id", F.crc32("ids"))
     id_type = docs.schema["id"].dataType
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -334,9 +407,8 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spec, idf, mean_words = shared.value
-        tokenizer = load(spec)
-        memory = kept_memory(spec, "packing", lambda _, ids: b"".join([i.to_bytes(4, "little") for i in ids]))
-        end = np.array([end_id], "<u4").tobytes()
+        lexicon = kept_lexicon(spec)
+        end = np.array([end_id], "<u4")
         packer: _Packer | None = None
         block: list[tuple] = []  # id, ids, terms, counts
         tokens = 0
@@ -350,21 +422,19 @@ def pack(
             block.clear()
             tokens = 0
 
-        for b in arrow_rows(batches, 128):
-            texts = b.column("text").to_pylist()
-            words = [tokenizer.words(t) for t in texts]
-            memory.learn(words)
-            for doc_id, shard, ws, text in zip(b.column("id").to_pylist(), b.column("shard").to_pylist(), words, texts, strict=True):
+        for b in arrow_rows(batches):
+            flat, size, chunk_ends = _stored_ids(b, kind)
+            text, bucket, count = lexicon.terms(flat, size, chunk_ends)
+            first, cuts = np.searchsorted(text, np.arange(len(size) + 1)), np.cumsum([0, *size])
+            for k, (doc_id, shard) in enumerate(zip(b.column("id").to_pylist(), b.column("shard").to_pylist(), strict=True)):
                 if packer is None or packer.shard != shard:
                     flush()
                     if packer is not None:
                         packer.finish()
                         yield emit(packer.done, b.schema.field("id").type)
                     packer = _Packer(shard, window)
-                ids = b"".join(map(memory.known.__getitem__, ws)) + end
-                tf = Counter(lexical_words(text))
-                terms, counts = _buckets(tf), np.fromiter(tf.values(), np.int64, len(tf))
-                block.append((doc_id, ids, terms, counts))
+                ids = np.concatenate((flat[cuts[k] : cuts[k + 1]].astype("<u4"), end)).tobytes()
+                block.append((doc_id, ids, bucket[first[k] : first[k + 1]], count[first[k] : first[k + 1]]))
                 tokens += len(ids) // 4
                 if len(block) >= SHARD_DOCS or tokens >= SHARD_TOKENS:
                     flush()

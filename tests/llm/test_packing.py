@@ -1,5 +1,6 @@
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -110,10 +111,42 @@ def test_scores_equal_plain_bm25():
             assert np.isclose(got[q, d], want, rtol=1e-5)
 
 
+def encoded(docs):
+    spec = bpe.read_spec(PATH)
+    return packing.encode(docs.selectExpr("doc_id as id", "text"), spec), spec, bpe.kept_chunks(spec).type
+
+
 def test_statistics_cover_all_documents(make_docs, prose):
     rows = [(i, f"common {prose(i, 5)}") for i in range(40)]
-    idf, mean = packing.term_statistics(make_docs(rows))
-    assert mean == 6 and np.isclose(idf[packing._buckets([b"common"])[0]], np.log1p(0.5 / 40.5))
+    frame, spec, kind = encoded(make_docs(rows))
+    idf, mean, n = packing.term_statistics(frame, spec, kind)
+    _, bucket, _ = packing.Lexicon(spec).terms(*bpe.ChunkIds(bpe.load(spec)).encode(["common"]))
+    assert (mean, n) == (6, 40) and np.isclose(idf[bucket[0]], np.log1p(0.5 / 40.5))
+
+
+def test_ids_and_term_counts_come_from_one_split(make_docs, prose, library):
+    spec = bpe.read_spec(PATH)
+    texts = [prose(k, 40) + " The the THE, end-of-line a1b2 A1 b2\n" + prose(k % 3, 20) for k in range(30)] + ["", None, "<|endoftext|>x <|endoftext|>", "é\u4e2d\u6587 " * 5, "... !"]
+    flat, size, chunk_ends = bpe.ChunkIds(bpe.load(spec)).encode(texts)
+    text, bucket, count = packing.Lexicon(spec).terms(flat, size, chunk_ends)
+    cuts, names = np.cumsum([0, *size]), {}
+    for k, t in enumerate(texts):
+        assert flat[cuts[k] : cuts[k + 1]].tolist() == library.encode(t or "", add_special_tokens=False).ids
+        words = Counter(re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").replace("<|endoftext|>", " ").lower()))
+        mine = dict(zip(bucket[text == k].tolist(), count[text == k].tolist(), strict=True))
+        assert sorted(mine.values()) == sorted(words.values())
+        for w in words:  # a word has the same bucket in every text
+            here = {b for b, n in mine.items() if n == words[w]}
+            names[w] = names.get(w, here) & here
+    assert all(names.values()) and sum(len(v) == 1 for v in names.values()) > 20
+
+
+def test_a_row_repeated_very_often_is_spread(make_docs, prose, monkeypatch, library):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 16)
+    rows = [(7, prose(1, 40))] * 200 + [(100 + i, prose(i, 40)) for i in range(200)]
+    pieces = packing.pack(make_docs(rows), bpe.read_spec(PATH), window=256).collect()
+    shards = Counter(r["sequence_id"] >> 32 for r in pieces if r["id"] == 7 and r["start"] == 0)
+    assert sum(shards.values()) == 200 and max(shards.values()) <= 40
 
 
 def test_empty_table(make_docs):
