@@ -96,52 +96,78 @@ def _stored_ids(batch: pa.RecordBatch, kind: np.dtype) -> tuple[np.ndarray, np.n
 
 
 def encode(docs: DataFrame, spec: bytes) -> DataFrame:
-    """``docs`` (``id``, ``text``) stored as ``id``, ``row`` (a number), ``ids`` (as wide as the vocabulary needs) and ``ends`` (a bit an id: ends a chunk)."""
+    """``docs`` (``id``, ``text``) stored as token ids, in one pass over the texts.
+
+    ``row`` is a number, ``ids`` has the ids (as wide as the vocabulary needs), ``ends`` a bit an id (ends a chunk) and
+    ``buckets`` the text's distinct word buckets. Each task adds a row without ``row`` whose ``buckets`` and ``ids`` are its
+    document frequencies; at ``BUCKETS`` are its texts, at ``BUCKETS + 1`` its words.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(spec)
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, row long, ids binary, ends binary, buckets binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = kept_chunks(shared.value)
+        known, lexicon = kept_chunks(shared.value), kept_lexicon(shared.value)
+        total, schema = np.zeros(BUCKETS + 2, np.int64), None
         for b in arrow_rows(batches):
             flat, size, chunk_ends = known.encode(b.column("text").to_pylist())
+            text, bucket, count = lexicon.terms(flat, size, chunk_ends)
+            total[:BUCKETS] += np.bincount(bucket, minlength=BUCKETS)
+            total[BUCKETS:] += (b.num_rows, int(count.sum()))
             cuts = np.cumsum([0, *size]).tolist()
             ids = [flat[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
             ends = [np.packbits(chunk_ends[x:y]).tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(ids, pa.binary()), pa.array(ends, pa.binary())], names=["id", "row", "ids", "ends"])
+            first, bucket = np.searchsorted(text, np.arange(b.num_rows + 1)).tolist(), bucket.astype("<i4")
+            terms = [bucket[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)]
+            out = pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), *(pa.array(c, pa.binary()) for c in (ids, ends, terms))], names=["id", "row", "ids", "ends", "buckets"])
+            schema = out.schema
+            yield out
+        if schema is not None:
+            at = np.flatnonzero(total)
+            own = [[None], [None], [total[at].astype("<i8").tobytes()], [b""], [at.astype("<i4").tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(own, schema, strict=True)], schema=schema)
 
     path = stage_path(docs.sparkSession, "packing-ids")
     rows = docs.select("id", F.monotonically_increasing_id().alias("row"), "text")
-    rows.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, row long, ids binary, ends binary").write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
-def term_statistics(encoded: DataFrame, spec: bytes, kind: np.dtype) -> tuple[np.ndarray, float, int]:
+def term_statistics(encoded: DataFrame) -> tuple[np.ndarray, float, int]:
     """BM25's idf of each word bucket, the mean number of words and the number of texts, over all of ``encoded``."""
-    shared = encoded.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, total = kept_lexicon(shared.value), np.zeros(BUCKETS + 2, np.int64)
-        for b in arrow_rows(batches):
-            _, bucket, count = lexicon.terms(*_stored_ids(b, kind))
-            total[:BUCKETS] += np.bincount(bucket, minlength=BUCKETS)
-            total[BUCKETS:] += (b.num_rows, int(count.sum()))
+        total = np.zeros(BUCKETS + 2, np.int64)
+        for b in batches:
+            for at, n in zip(b.column("buckets").to_pylist(), b.column("ids").to_pylist(), strict=True):
+                total[np.frombuffer(at, "<i4")] += np.frombuffer(n, "<i8")
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
 
-    counts = encoded.select("ids", "ends").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    parts = encoded.where("row is null").select("buckets", "ids")
+    counts = parts.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     total, found = np.zeros(BUCKETS + 2), counts.toArrow()  # at most BUCKETS + 2 rows
     total[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     n, words = total[BUCKETS:]
     return np.log1p((n - total[:BUCKETS] + 0.5).clip(0.5) / (total[:BUCKETS] + 0.5)), max(1.0, words / max(n, 1)), int(n)
 
 
-def rare_terms(text: np.ndarray, bucket: np.ndarray, texts: int, idf: np.ndarray, most: float) -> list[np.ndarray]:
-    """Each text's ``KEY_TERMS`` rarest word buckets, without those rarer than ``most`` (held by one document)."""
-    some = idf[bucket] < most
-    text, bucket = text[some], bucket[some]
-    order = np.lexsort((bucket, -idf[bucket], text))
-    text, bucket = text[order], bucket[order].astype(np.int32)
-    first = np.searchsorted(text, np.arange(texts + 1))
-    return [bucket[a : min(b, a + KEY_TERMS)] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+def rarity_order(idf: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each bucket when the rarest come first (those rarer than ``most``, held by one document, last), and the inverse."""
+    order = np.argsort(np.where(idf < most, -idf, 1.0), kind="stable")
+    place = np.empty(BUCKETS, np.int64)
+    place[order] = np.arange(BUCKETS)
+    return place, order
+
+
+def rare_terms(buckets: list[bytes], place: np.ndarray, order: np.ndarray, useful: int) -> list[np.ndarray]:
+    """Each text's ``KEY_TERMS`` rarest word buckets, of the first ``useful`` ones in order."""
+    bucket = np.frombuffer(b"".join(buckets), "<i4")
+    text = np.repeat(np.arange(len(buckets)), np.fromiter(map(len, buckets), np.int64, len(buckets)) // 4)
+    rank = place[bucket]
+    key = np.sort((text * BUCKETS + rank)[rank < useful])
+    first = np.searchsorted(key, np.arange(len(buckets) + 1) * BUCKETS).tolist()
+    terms = order[key % BUCKETS].astype(np.int32)
+    return [terms[a : min(b, a + KEY_TERMS)] for a, b in zip(first[:-1], first[1:], strict=True)]
 
 
 def _best(doc: np.ndarray, label: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
@@ -203,10 +229,10 @@ def topics(keyed: DataFrame, idf: np.ndarray) -> np.ndarray:
 
         votes = keyed.select("terms").mapInArrow(vote, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
         term, label = F.expr(f"pair div {BUCKETS}").alias("term"), F.pmod("pair", F.lit(BUCKETS))
-        won = votes.groupBy(term).agg(F.max(F.struct("n", (-label).alias("label"))).alias("best"))
-        found = won.select("term", (-F.col("best.label")).alias("label")).toPandas()  # at most BUCKETS rows
+        best = F.max(F.col("n") * BUCKETS + (BUCKETS - 1 - label))  # most votes, then the smallest label, in one number
+        found = votes.groupBy(term).agg(best.alias("best")).toArrow()  # at most BUCKETS rows
         topic = np.arange(BUCKETS)
-        topic[found["term"]] = found["label"]
+        topic[found.column("term").to_numpy()] = BUCKETS - 1 - found.column("best").to_numpy() % BUCKETS
     return topic
 
 
@@ -236,26 +262,22 @@ def shard_places(sizes: np.ndarray, topic: np.ndarray) -> tuple[np.ndarray, np.n
     return first, parts
 
 
-def deal(encoded: DataFrame, spec: bytes, kind: np.dtype, idf: np.ndarray, rows: int) -> DataFrame:
+def deal(encoded: DataFrame, idf: np.ndarray, rows: int) -> DataFrame:
     """``encoded`` (``rows`` texts) with the ``shard`` of each text.
 
-    The rare terms are stored by themselves for the topics; the last pass takes them from the ids again, so that the ids are
-    not stored twice.
+    The rare terms are stored by themselves for the topics; the last pass finds them again, so that the ids are not
+    stored twice.
     """
     context, most = encoded.sparkSession.sparkContext, float(np.log1p((rows - 0.5) / 1.5)) - 1e-9
-    weights = context.broadcast((spec, idf))
-
-    def rare(batch: pa.RecordBatch) -> list[np.ndarray]:
-        spec, idf = weights.value
-        text, bucket, _ = kept_lexicon(spec).terms(*_stored_ids(batch, kind))
-        return rare_terms(text, bucket, batch.num_rows, idf, most)
+    rarity = context.broadcast((*rarity_order(idf, most), int((idf < most).sum())))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in arrow_rows(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(rare(b), pa.list_(pa.int32()))], names=["terms"])
+        for b in arrow_rows(batches, 1024):
+            terms = rare_terms(b.column("buckets").to_pylist(), *rarity.value)
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.int32()))], names=["terms"])
 
     path = stage_path(encoded.sparkSession, "packing-terms")
-    encoded.select("ids", "ends").mapInArrow(describe, "terms array<int>").write.parquet(path)
+    encoded.select("buckets").mapInArrow(describe, "terms array<int>").write.parquet(path)
     keyed = encoded.sparkSession.read.parquet(path)
     topic = topics(keyed, idf)
     final = context.broadcast((idf, topic))
@@ -268,16 +290,17 @@ def deal(encoded: DataFrame, spec: bytes, kind: np.dtype, idf: np.ndarray, rows:
     found = keyed.mapInArrow(count_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS + 1 rows
     sizes = np.zeros(BUCKETS + 1, np.int64)
     sizes[found.column("key").to_numpy()] = found.column("n").to_numpy()  # the key -1 is the last place
-    places = context.broadcast((topic, *shard_places(sizes, topic)))
+    places = context.broadcast(shard_places(sizes, topic))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        topic, first, parts = places.value
-        for b in arrow_rows(batches):
-            own = document_keys(rare(b), weights.value[1], topic)
+        first, parts = places.value
+        for b in arrow_rows(batches, 1024):
+            own = document_keys(rare_terms(b.column("buckets").to_pylist(), *rarity.value), *final.value)
             spread = mix64(b.column("row").to_numpy().astype(np.uint64)) % parts[own].astype(np.uint64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first[own] + spread.astype(np.int64))], names=[*b.schema.names, "shard"])
+            kept = [b.column(c) for c in ("id", "ids", "ends")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(first[own] + spread.astype(np.int64))], names=["id", "ids", "ends", "shard"])
 
-    return encoded.mapInArrow(place, with_fields(encoded, shard="long"))
+    return encoded.mapInArrow(place, with_fields(encoded.select("id", "ids", "ends"), shard="long"))
 
 
 def neighbour_scores(terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, mean_words: float, query_terms: int) -> np.ndarray:
@@ -393,10 +416,11 @@ def pack(
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = kept_chunks(spec).type
-    encoded = encode(docs, spec)
-    idf, mean_words, rows = term_statistics(encoded, spec, kind)
+    stored = encode(docs, spec)
+    idf, mean_words, rows = term_statistics(stored)
+    encoded = stored.where("row is not null")
     shared = docs.sparkSession.sparkContext.broadcast((spec, idf, mean_words))
-    dealt = deal(encoded, spec, kind, idf, rows)
+    dealt = deal(encoded, idf, rows)
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "id", F.crc32("ids"))
     id_type = docs.schema["id"].dataType
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

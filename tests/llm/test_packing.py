@@ -113,13 +113,13 @@ def test_scores_equal_plain_bm25():
 
 def encoded(docs):
     spec = bpe.read_spec(PATH)
-    return packing.encode(docs.selectExpr("doc_id as id", "text"), spec), spec, bpe.kept_chunks(spec).type
+    return packing.encode(docs.selectExpr("doc_id as id", "text"), spec), spec
 
 
 def test_statistics_cover_all_documents(make_docs, prose):
     rows = [(i, f"common {prose(i, 5)}") for i in range(40)]
-    frame, spec, kind = encoded(make_docs(rows))
-    idf, mean, n = packing.term_statistics(frame, spec, kind)
+    frame, spec = encoded(make_docs(rows))
+    idf, mean, n = packing.term_statistics(frame)
     _, bucket, _ = packing.Lexicon(spec).terms(*bpe.ChunkIds(bpe.load(spec)).encode(["common"]))
     assert (mean, n) == (6, 40) and np.isclose(idf[bucket[0]], np.log1p(0.5 / 40.5))
 
@@ -141,6 +141,17 @@ def test_ids_and_term_counts_come_from_one_split(make_docs, prose, library):
     assert all(names.values()) and sum(len(v) == 1 for v in names.values()) > 20
 
 
+def test_rare_terms_are_the_rarest_shared_ones():
+    r = np.random.default_rng(2)
+    idf = r.integers(1, 40, packing.BUCKETS) / 4.0
+    texts = [np.sort(r.choice(packing.BUCKETS, n, replace=False)) for n in (0, 3, 200, 500)]
+    place, order = packing.rarity_order(idf, 9.0)
+    got = packing.rare_terms([t.astype("<i4").tobytes() for t in texts], place, order, int((idf < 9.0).sum()))
+    for t, g in zip(texts, got, strict=True):
+        shared = [int(x) for x in t if idf[x] < 9.0]
+        assert g.tolist() == sorted(shared, key=lambda x: (-idf[x], x))[: packing.KEY_TERMS]
+
+
 def test_a_row_repeated_very_often_is_spread(make_docs, prose, monkeypatch, library):
     monkeypatch.setattr(packing, "SHARD_DOCS", 16)
     rows = [(7, prose(1, 40))] * 200 + [(100 + i, prose(i, 40)) for i in range(200)]
