@@ -5,7 +5,8 @@ has certain zero bits, so chunk ends move with the content and an insertion chan
 around it. Ends lie after white space (inside runs of ``LONG_WORD`` bytes without any, at any
 character). Chunks are compared by a 64-bit digest; the document with the smallest id keeps a chunk,
 and within a document its first occurrence stays. A run of neighbouring repeated chunks is cut out
-of the text when it holds at least ``min_words`` words, so short common phrases stay; a wrong cut
+of the text when it holds at least ``min_words`` words (in text without spaces as many times ``LONG_WORD`` bytes), so
+short common phrases stay; a wrong cut
 would take several digest collisions side by side in one document.
 
 Nulls and odd rows: a NULL text stays NULL, an empty one empty. Rows with a NULL id neither give
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscore.llm.common import arrow_rows, saved, with_fields
+from peerscore.llm.common import arrow_rows, saved, with_fields, without
 
 MIN_CHUNK, MAX_CHUNK = 16, 256
 LONG_WORD = 48
@@ -80,6 +81,12 @@ def chunk_digests(data: bytes) -> tuple[list[int], list[int]]:
     return ends, digests
 
 
+def worth_cutting(passage: bytes, min_words: int) -> bool:
+    """At least ``min_words`` words; a word counts once for every ``LONG_WORD`` bytes begun, as scripts without spaces have long ones."""
+    words = passage.split()
+    return len(words) >= min_words or sum(-(-len(w) // LONG_WORD) for w in words) >= min_words
+
+
 def cut_repeats(data: bytes, elsewhere: set[int], min_words: int) -> tuple[bytes, int, int]:
     """The text without its repeated runs; how many chunks it has, and how many were cut."""
     ends, digests = chunk_digests(data)
@@ -89,7 +96,7 @@ def cut_repeats(data: bytes, elsewhere: set[int], min_words: int) -> tuple[bytes
         run = k
         while run < len(ends) and (digests[run] in elsewhere or digests[run] in seen):
             run += 1
-        if run > k and len(data[start : ends[run - 1]].split()) >= min_words:
+        if run > k and worth_cutting(data[start : ends[run - 1]], min_words):
             cut += run - k
         else:
             run = max(run, k + 1)
@@ -117,14 +124,16 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with repeated passages cut out of the text, and ``_chunks`` and ``_cut`` (chunk counts) added.
 
     One shuffle counts the digests (owner: smallest id), one finds the documents that repeat them;
-    both carry only (digest, id) rows, each digest once a document.
+    both carry only (digest, id) rows, each digest once a document. Columns ``_chunks``, ``_cut`` and ``_repeats`` of
+    ``docs`` are replaced.
     """
+    docs = without(docs, "_chunks", "_cut", "_repeats")
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     chunks = rows.mapInArrow(_digest_rows, f"digest long, id {id_type}")
     owners = chunks.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last")).where("owner < last")
     owners = saved(owners.select("digest", "owner"))
-    repeats = chunks.join(owners, "digest").where("id > owner").groupBy("id").agg(F.collect_list("digest").alias("_repeats"))
+    repeats = chunks.join(owners, "digest").where("id > owner").groupBy("id").agg(F.collect_set("digest").alias("_repeats"))
     joined = docs.join(repeats.withColumnRenamed("id", id_col), id_col, "left").select(*docs.columns, "_repeats")
     at_text = docs.columns.index(text_col)
 

@@ -49,6 +49,11 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns that an operator adds under these names (in any case)."""
+    return df.select(*(df[f"`{c}`"] for c in df.columns if c.lower() not in names))
+
+
 def with_fields(df: DataFrame, **fields: str) -> T.StructType:
     """The schema of ``df`` with named fields added."""
     return T.StructType([*df.schema.fields, *(T.StructField(k, T._parse_datatype_string(v)) for k, v in fields.items())])

@@ -154,6 +154,7 @@ def _link(part: pd.DataFrame, sides: tuple[int, int], percent: int) -> list[tupl
     sets = [np.frombuffer(t, np.uint64) for t in part["tokens"]]
     side, node = part["side"].to_numpy(), part["node"].to_numpy()
     weight, n = part["weight"].to_numpy().astype(np.float64), part["n"].to_numpy().astype(np.float64)
+    names, node = np.unique(node, return_inverse=True)  # numbers in the ids' order, whatever their type
     at_a = np.flatnonzero(side == sides[0])
     at_b = at_a if sides[0] == sides[1] else np.flatnonzero(side == sides[1])
     if not len(at_a) or not len(at_b):
@@ -162,8 +163,8 @@ def _link(part: pd.DataFrame, sides: tuple[int, int], percent: int) -> list[tupl
     common = _overlaps(pick(at_a), None if at_a is at_b else pick(at_b)).astype(np.float64)
     linked = (100 * common >= percent * (n[at_a][:, None] + n[at_b][None, :] - common)) & (node[at_a][:, None] != node[at_b][None, :])
     root_a, root_b = _forest(linked, node[at_a], node[at_b])
-    out = [(node[at_a], root_a, linked @ weight[at_b])]
-    return out if at_a is at_b else [*out, (node[at_b], root_b, weight[at_a] @ linked)]
+    out = [(names[node[at_a]], names[root_a], linked @ weight[at_b])]
+    return out if at_a is at_b else [*out, (names[node[at_b]], names[root_b], weight[at_a] @ linked)]
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85) -> DataFrame:

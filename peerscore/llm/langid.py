@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscore.llm.common import arrow_rows, bounded_sample, remainder, with_fields
+from peerscore.llm.common import arrow_rows, bounded_sample, remainder, with_fields, without
 
 DIMS = 4096
 UND = "und"
@@ -162,12 +162,18 @@ def fit(
 
 
 def identify(docs: DataFrame, model: CentroidModel) -> DataFrame:
-    """``docs`` with ``_lang_pred``, ``_lang_score`` (cosine, 0 to 1) and ``_lang_rejected`` added; only ``text`` is read."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """``docs`` with ``_lang_pred``, ``_lang_score`` (cosine, 0 to 1) and ``_lang_rejected`` added; only ``text`` is read.
+
+    Columns of ``docs`` with these names are replaced.
+    """
+    docs = without(docs, "_lang_pred", "_lang_score", "_lang_rejected")
+    plain = (model.languages, model.idf, model.centroids, model.owner, model.reject)  # no class of this package is broadcast
+    shared = docs.sparkSession.sparkContext.broadcast(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = CentroidModel(*shared.value)
         for b in arrow_rows(batches):
-            names, score, rejected = shared.value.predict(b.column(b.schema.get_field_index("text")).to_pylist())
+            names, score, rejected = known.predict(b.column(b.schema.get_field_index("text")).to_pylist())
             extra = [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays([*b.columns, *extra], names=[*b.schema.names, "_lang_pred", "_lang_score", "_lang_rejected"])
 

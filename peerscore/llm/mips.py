@@ -99,10 +99,12 @@ def top_inner_products(
     )
     rotation = rotations(rows)
     length = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    longest = rows.select("vec_id", "vector").orderBy(length.desc(), "vec_id").limit(SEEDS).collect()
+    longest = rows.select("vec_id", "vector").orderBy(length.desc(), "vec_id").limit(SEEDS).select("vec_id").distinct()
+    # a repeated id counts with its smallest vector here as in the blocks, so all rows of these ids are read
+    own = rows.join(F.broadcast(longest), "vec_id", "left_semi").groupBy("vec_id", F.size("vector").alias("dim")).agg(F.min("vector").alias("vector"))
     seeds: dict[int, dict] = {}
-    for r in longest:
-        seeds.setdefault(len(r["vector"]), {}).setdefault(r["vec_id"], r["vector"])
+    for r in own.collect():  # at most SEEDS ids
+        seeds.setdefault(r["dim"], {})[r["vec_id"]] = r["vector"]
     shared = vectors.sparkSession.sparkContext.broadcast((rotation, seeds))
 
     def best(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray) -> pd.DataFrame:

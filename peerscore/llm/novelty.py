@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscore.llm.common import arrow_rows
@@ -61,6 +61,7 @@ SHORT, TAIL_SHARE = 64, 0.5
 LEVEL = 9
 #: partial word counts are passed on to Spark when a task holds so many words
 HELD_WORDS = 200_000
+PARTS = 16
 _LETTERS = re.compile("(?:[^A-Za-z]*[A-Za-z]){3}")
 _IDENTIFIER = re.compile(r"[^\W\d]\w{2,}")
 
@@ -82,7 +83,8 @@ def identifiers(text: str | None) -> list[str]:
 def identifier_dictionary(docs: DataFrame, text_col: str = "text", words: int = 4096) -> bytes:
     """The ``words`` most frequent identifiers (letters, digits, ``_``; 3 characters or more) of all texts, the most frequent last.
 
-    Counted over all rows: in the tasks first, then by Spark. At most ``words`` rows reach the driver.
+    Counted over all rows: in the tasks first, then by Spark. Each of ``PARTS`` parts of the words gives its ``words`` best, so
+    at most ``PARTS * words`` rows reach the driver.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +103,8 @@ def identifier_dictionary(docs: DataFrame, text_col: str = "text", words: int =
             yield out()
 
     counts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    best = counts.orderBy(F.desc("n"), "word").limit(words).collect()
+    part = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(PARTS))).orderBy(F.desc("n"), "word")
+    best = counts.withColumn("place", F.row_number().over(part)).where(F.col("place") <= words).orderBy(F.desc("n"), "word").limit(words).collect()
     return " ".join(r["word"] for r in reversed(best)).encode("utf-8")
 
 

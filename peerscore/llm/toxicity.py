@@ -3,7 +3,9 @@
 A text's terms are its distinct lower-case words and their first four and five letters, hashed into
 ``BUCKETS`` buckets. The machine scores ``w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j``: the last
 sum lets a pair of terms weigh more, or less, than its two terms alone. Only buckets whose presence
-goes with the label (a two-proportion z-score over the training rows) get weights.
+goes with the label (a two-proportion z-score over the training rows) get weights, and buckets of
+pairs that go with it more than their two terms do alone: every pair of the ``frequent`` most frequent
+buckets is tested by its co-occurrences, so a term that is harmless by itself gets a factor.
 
 Nulls and odd rows: a NULL or empty text has no terms and gets the score of ``w0`` alone. Rows with a
 NULL id or a NULL label are never learned from; of several labels of one document the highest
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscore.llm.common import arrow_rows, bounded_sample, remainder, with_fields
+from peerscore.llm.common import arrow_rows, bounded_sample, remainder, with_fields, without
 
 BUCKETS = 1 << 18
 THRESHOLD = 0.3
@@ -107,17 +109,44 @@ def _train(rows: list[list[int]], y: np.ndarray, size: int, factors: int, epochs
     return w0, w, v
 
 
+def paired_terms(rows: list[list[int]], positive: np.ndarray, tested: dict[int, int], pair_z: float, most: int) -> list[int]:
+    """Buckets (values of ``tested``, whose keys are their numbers in ``rows``) of pairs that go with the label by more than their terms do."""
+    at = {k: j for j, k in enumerate(tested)}
+    x = np.zeros((len(rows), len(at)), np.float32)
+    for r, on in enumerate(rows):
+        x[r, [at[k] for k in on if k in at]] = 1
+    n_pos, n_neg = int(positive.sum()), int((~positive).sum())
+    if not n_pos or not n_neg:
+        return []
+    pos, neg = x[positive].T @ x[positive], x[~positive].T @ x[~positive]  # the diagonals are the terms alone
+    share = (pos + neg) / (n_pos + n_neg)
+    spread = np.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_neg))
+    z = np.abs(pos / n_pos - neg / n_neg) / np.maximum(spread, 1e-9)
+    alone = np.diag(z)
+    gain = np.where((pos + neg >= 10) & (z >= pair_z), z - np.maximum(alone[:, None], alone[None, :]), 0)
+    out: dict[int, None] = {}
+    buckets = list(tested.values())
+    order = np.argsort(-np.triu(gain, 1), axis=None, kind="stable")
+    for flat in order[: most * most].tolist():
+        i, j = divmod(flat, len(buckets))
+        if gain[i, j] < pair_z / 2 or j <= i or len(out) >= most:
+            break
+        out |= {buckets[i]: None, buckets[j]: None}
+    return list(out)[:most]
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, terms: int = 1024, min_z: float = 4.5,
-    min_documents: int = 3, factors: int = 8, epochs: int = 20, min_steps: int = 600, rate: float = 0.1, decay: float = 1e-5,
+    min_documents: int = 3, frequent: int = 512, pair_terms: int = 128, pair_z: float = 8.0, factors: int = 8, epochs: int = 20, min_steps: int = 600, rate: float = 0.1, decay: float = 1e-5,
 ) -> FactorizationMachine:
     """Fit the machine on about ``train_rows`` labelled documents (a fixed hash sample; all if fewer).
 
     Training runs over ``epochs``, and over more if those are fewer than ``min_steps`` mini-batches.
 
     The sample of ``labels`` is broadcast (its size is bounded by ``train_rows``), so the texts are
-    not shuffled. Buckets are counted in Spark; the ``terms`` buckets of the largest z-scores stay.
-    What reaches the driver is bounded by ``terms`` and ``train_rows``.
+    not shuffled. Buckets are counted in Spark; the ``terms`` buckets of the largest z-scores stay, and
+    up to ``pair_terms`` buckets of the pairs whose joint z-score is at least ``pair_z`` and exceeds its
+    terms' own by half as much. What reaches the driver is bounded by ``terms``, ``frequent`` and ``train_rows``.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
     sample = known.where(bounded_sample("doc_id", known.count(), train_rows)).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
@@ -132,7 +161,10 @@ def fit(
     spread = F.sqrt(share * (1 - share) * F.lit(1 / n_pos + 1 / n_neg))
     z = F.abs(F.col("pos") / n_pos - F.col("neg") / n_neg) / F.greatest(spread, F.lit(1e-9))
     best = counts.select("bucket", z.alias("z"), (F.col("pos") + F.col("neg")).alias("n")).where((F.col("z") >= min_z) & (F.col("n") >= min_documents)).orderBy(F.desc("z"), "bucket").limit(terms)
-    slot = {r["bucket"]: k for k, r in enumerate(best.collect())}
+    own = [r["bucket"] for r in best.collect()]
+    common = counts.where((F.col("pos") + F.col("neg")).between(min_documents, 0.6 * (n_pos + n_neg))).orderBy(F.desc(F.col("pos") + F.col("neg")), "bucket").limit(frequent)
+    tested = [r["bucket"] for r in common.collect()]
+    slot = {b: k for k, b in enumerate(dict.fromkeys(own + tested))}
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, tuple[int, ...]] = {}
@@ -141,18 +173,25 @@ def fit(
             yield pa.RecordBatch.from_arrays([b.column("_toxic"), pa.array(on, pa.list_(pa.int32()))], names=["toxic", "slots"])
 
     rows = sorted((list(r["slots"]), bool(r["toxic"])) for r in learn.mapInArrow(featured, "toxic boolean, slots array<int>").toLocalIterator())
+    if not rows:  # labels, but none of a document
+        return FactorizationMachine({}, float(np.log((n_pos + 0.5) / (n_neg + 0.5))), np.zeros(0), np.zeros((0, factors)))
     y = np.array([t for _, t in rows], float)
+    chosen = own + [b for b in paired_terms([s for s, _ in rows], y > 0, {slot[b]: b for b in tested}, pair_z, pair_terms) if b not in set(own)]
+    renamed = {slot[b]: k for k, b in enumerate(chosen)}
+    rows = [(sorted(renamed[k] for k in s if k in renamed), t) for s, t in rows]
+    slot = {b: k for k, b in enumerate(chosen)}
     epochs = max(epochs, -(-min_steps // -(-len(rows) // BATCH)))
     w0, w, v = _train([s for s, _ in rows], y, len(slot), factors, epochs, rate, decay)
     return FactorizationMachine(slot, float(w0), w, v)
 
 
 def score(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
-    """``docs`` with ``_tox_score`` (0 to 1) added; only ``text`` is read."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """``docs`` with ``_tox_score`` (0 to 1) added (a column of that name is replaced); only ``text`` is read."""
+    docs = without(docs, "_tox_score")
+    shared = docs.sparkSession.sparkContext.broadcast((model.slot, model.w0, model.w, model.v))  # no class of this package
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fm, seen = shared.value, {}
+        fm, seen = FactorizationMachine(*shared.value), {}
         for b in arrow_rows(batches):
             got = [fm.score(slots_of(t, fm.slot, seen)) for t in b.column(b.schema.get_field_index("text")).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.float64())], names=[*b.schema.names, "_tox_score"])

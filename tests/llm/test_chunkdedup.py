@@ -98,3 +98,11 @@ def test_random_bytes_round_trip():
     for _ in range(200):
         text = "".join(r.choice("ab c\n日é") for _ in range(r.randint(0, 400)))
         assert C.cut_repeats(text.encode(), set(), 10**9)[0].decode() == text
+
+
+def test_a_repeated_passage_without_spaces_is_cut(spark, make_docs):
+    r = random.Random(4)
+    passage = "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(1500))
+    own = ["".join(chr(0x4E00 + r.randrange(3000)) for _ in range(400)) for _ in range(2)]
+    got = {x["doc_id"]: x for x in C.deduplicate(make_docs([(1, own[0] + passage), (2, own[1] + passage), (3, passage)])).collect()}
+    assert got[1]["_cut"] == 0 and len(got[2]["text"]) < 400 + 200 and len(got[3]["text"]) < 200

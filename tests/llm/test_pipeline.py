@@ -1,5 +1,6 @@
 import os
 import re
+import subprocess
 import sys
 
 import public_tokenizers
@@ -60,13 +61,67 @@ def test_near_duplicates_link_at_five_words_and_080(spark, make_docs, prose):
     assert {r["doc_id"] for r in P.near_duplicate_stage(spark, docs, SF).collect()} == {1, 3, 4}
 
 
+@pytest.fixture()
+def odd_docs(spark, prose):
+    """Documents with extra columns that operators use as names, NULL ids and ids that repeat with the same or another text."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long, _tox_score string, _lang_rejected string, _cut int, _repeats int, row string, name string, id long"
+    real = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").limit(120).collect()]
+    text, other = prose(1, 150), prose(2, 150)
+    rows = real + [(9001, text, "en", "s", 1), (9001, other, "en", "s", 1), (9001, other, "en", "s", 1), (9002, f"{other} more", "en", "s", 1), (None, prose(3, 60), "en", "s", 1)]
+    return spark.createDataFrame([(*r, "t", "l", 7, 8, "r", "n", 5) for r in rows], kind).repartition(3)
+
+
+def test_extra_columns_are_kept_by_every_stage(spark, odd_docs, tmp_path):
+    docs = odd_docs
+    for k, (_, stage) in enumerate(P.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{k}")
+        kept = spark.read.parquet(f"{tmp_path}/{k}")
+        if k < len(P.STAGES) - 1:
+            assert kept.columns == odd_docs.columns
+            extra = kept.select("_tox_score", "_lang_rejected", "_cut", "_repeats", "row", "name", "id").distinct().collect()
+            assert [tuple(r) for r in extra] == [("t", "l", 7, 8, "r", "n", 5)]
+            assert kept.where("doc_id is null").count() == 1
+        docs = kept
+    assert docs.count() > 0
+
+
+def test_a_repeated_id_loses_no_unlinked_text(spark, odd_docs, prose):
+    own = odd_docs.where("doc_id > 9000")
+    texts = sorted((r["doc_id"], r["text"]) for r in P.near_duplicate_stage(spark, own, SF).collect())
+    assert (9001, prose(1, 150)) in texts and len(texts) == 2  # of the other text and its near copy one stays
+
+
+def test_every_stage_takes_an_empty_table(spark, odd_docs):
+    none = odd_docs.where("doc_id = -1")
+    for _, stage in P.STAGES:
+        assert stage(spark, none, SF).count() == 0
+
+
+def test_queries_run_from_another_folder(tmp_path):
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+import __spark_entry__ as entry
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", "{tmp_path}/ckpt").getOrCreate()
+queries = entry.queries()
+for name in ("op2_toxicity", "op5_language_id", "op9_packing", "op11_whitening", "op12_secret_scan", "op13_periodic_runs", "pipeline"):
+    assert queries[name](spark, {SF!r}).count() > 0, name
+print("all ran")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "all ran" in done.stdout, done.stderr[-3000:]
+
+
 def test_run_gives_the_last_stage(spark, staged):
     assert sorted(map(tuple, P.run(spark, SF).collect())) == sorted(map(tuple, staged[-1][1].collect()))
 
 
 def test_registered_queries(spark):
     assert sorted(queries.QUERIES, key=lambda n: int(re.match(r"op(\d+)_", n)[1])) == list(queries.QUERIES)
-    assert len(queries.QUERIES) == 10
+    assert len(queries.QUERIES) == 13
     got = queries.op2_toxicity(spark, SF)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"]
     assert got.where(f"(score >= {toxicity.THRESHOLD}) <> (predicted = 1)").count() == 0

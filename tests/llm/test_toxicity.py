@@ -29,6 +29,33 @@ def test_learns_the_pair_on_held_out_rows(spark, make_docs, prose):
     assert np.abs(model.v).max() > 0.05
 
 
+def test_learns_a_pair_without_single_effects(spark, make_docs, prose):
+    """Toxic: exactly one of two words; neither word goes with the label by itself."""
+    r, docs, labels = np.random.default_rng(3), [], []
+    for i in range(3000):
+        a, b = bool(r.integers(0, 2)), bool(r.integers(0, 2))
+        words = prose(i, 12).split(" ")
+        words[3], words[8] = ("scoundrels" if a else "window"), ("gardeners" if b else "table")
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(a == b)))
+    table, marks = make_docs(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = X.fit(X.learnable(table), marks.where("crc32(cast(doc_id as string)) % 4 <> 2"))
+    import zlib
+
+    got = {x["doc_id"]: x["_tox_score"] for x in X.score(table, model).collect()}
+    held = [i for i in got if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert np.mean([(got[i] >= 0.5) == bool(labels[i][2]) for i in held]) >= 0.98
+
+
+def test_paired_terms_equal_the_plain_count():
+    r = np.random.default_rng(5)
+    rows = [sorted(np.flatnonzero(r.random(12) < 0.4).tolist()) for _ in range(1500)]
+    positive = np.array([(0 in x) == (1 in x) for x in rows])
+    tested = {k: 100 + k for k in range(12)}
+    assert set(X.paired_terms(rows, positive, tested, 8.0, 128)) == {100, 101}
+    assert X.paired_terms(rows, r.random(1500) < 0.5, tested, 8.0, 128) == []
+
+
 def test_margin_equals_the_pairwise_sum():
     r = np.random.default_rng(2)
     fm = X.FactorizationMachine({}, 0.3, r.normal(size=6), r.normal(size=(6, 3)))

@@ -102,6 +102,21 @@ def test_products_are_exact(make_vectors, monkeypatch, slab, seeds, per_block):
     assert got == {q: w for q, w in brute_products(rows, 20, 20).items() if w}
 
 
+def test_ids_that_carry_several_vectors_count_once(make_vectors, monkeypatch):
+    monkeypatch.setattr(mips, "SEEDS", 64)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(100)]
+    rows += [(i, (3 * rng.normal(size=6) + 4).tolist()) for i in range(60)]  # longer ones for the same ids
+    table = make_vectors(rows)
+    rows = [(i, min(v for k, v in rows if k == i)) for i in range(100)]  # the smallest vector counts
+    got = collect(mips.top_inner_products(table, F.col("vec_id") % 20 == 0))
+    assert got == brute_products(rows, 20, 20) and all(len(w) == 20 for w in got.values())
+    near = collect(ann.nearest_neighbours(table, F.col("vec_id") % 10 == 0))
+    want = brute_distance(rows, 10, 10)
+    assert {q: len(w) for q, w in near.items()} == {q: len(w) for q, w in want.items()}
+    assert sum(i in dict(want[q]) for q, w in near.items() for i, _ in w) >= 0.95 * sum(map(len, want.values()))
+
+
 def test_slabs_are_pruned():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(4000, 8)) * np.geomspace(100, 0.01, 4000)[:, None]
