@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscore.llm import bpe, chunkdedup, jaccard, langid, packing, toxicity
@@ -16,37 +16,57 @@ from peerscore.llm.common import remainder, stage_path, table
 from peerscore.llm.queries import WORD_BPE
 
 
+def carried(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``docs`` besides whole rows (``row``), so that no column an operator adds can clash with one of theirs."""
+    return docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), *columns)
+
+
+def restored(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` from carried rows, some of them changed."""
+    return rows.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose language is rejected (no letters, or far from every centroid)."""
     model = langid.fit(langid.learnable(docs))
-    return langid.identify(docs, model).where("not _lang_rejected").select(*docs.columns)
+    return restored(langid.identify(carried(docs, "text"), model).where("not _lang_rejected"), docs)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that score at least the toxicity threshold."""
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
     model = toxicity.fit(toxicity.learnable(docs), labels)
-    return toxicity.score(docs, model).where(f"_tox_score < {toxicity.THRESHOLD}").select(*docs.columns)
+    return restored(toxicity.score(carried(docs, "text"), model).where(f"_tox_score < {toxicity.THRESHOLD}"), docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of linked documents, once (rows with a NULL id all stay).
+    """Keep one row of each group of linked documents, that of the smallest id (rows with a NULL id all stay).
 
-    Documents link at a Jaccard similarity of 0.8 or more of their five-word shingles.
+    Documents link at a Jaccard similarity of 0.8 or more of their five-word shingles. Rows that repeat an id with the
+    same text are one document; an id with several texts is several documents, named by id and text.
     """
-    linked = jaccard.link_documents(docs, words=5, percent=80)
-    kept = linked.where("node = component").select(F.col("node").alias("doc_id")).distinct()
-    once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    several = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(digest).alias("least"), F.max(digest).alias("most"))
+    several = several.where("least <> most").select(F.col("doc_id").alias("shared"))
+    rows = carried(docs.where("doc_id is not null"), "doc_id", "text")
+    rows = rows.join(several, rows["doc_id"] == several["shared"], "left")
+    number = F.when(F.col("doc_id") < 0, F.col("doc_id").cast("string")).otherwise(F.lpad(F.col("doc_id").cast("string"), 19, "0"))  # sorts as the ids do
+    name = F.when(F.col("shared").isNull(), number).otherwise(F.concat_ws(":", number, digest))
+    rows = rows.select("row", name.alias("name"), "text")
+    linked = jaccard.link_documents(rows, id_col="name", words=5, percent=80)
+    kept = linked.where("node = component").select(F.col("node").alias("name")).distinct()
+    once = rows.join(kept, "name", "left_semi").dropDuplicates(["name"])
+    return restored(once, docs).unionByName(docs.where("doc_id is null"))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages that an earlier document holds out of the texts; ``n_chars`` follows the text."""
-    cut = chunkdedup.deduplicate(docs)
+    cut = chunkdedup.deduplicate(carried(docs, "doc_id", "text"))
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("_cut") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+        changed["n_chars"] = F.when(F.col("_cut") > 0, F.length("text").cast(kind)).otherwise(F.col("row").getField("n_chars"))
+    return restored(cut, docs, **changed)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
