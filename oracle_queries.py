@@ -328,6 +328,8 @@ def oracle_sql() -> dict[str, str]:
   dense_rank() OVER (PARTITION BY d.lang ORDER BY l.quality * 2 + l.toxic DESC NULLS LAST) AS grade_down,
   dense_rank() OVER (PARTITION BY d.lang ORDER BY d.n_chars DESC NULLS LAST) AS longest
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+        "top_k_values": f"""SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice FROM lineitem
+            QUALIFY dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC) <= {TOP_K}""",
         "top_k_per_group": f"SELECT * FROM ({scorecard_sql()}) r WHERE group_rank <= {TOP_K}",
         "rerank_stored": f"""SELECT {ranking_cols},
   dense_rank() OVER (PARTITION BY group_id, snapshot ORDER BY total_rank_int DESC NULLS LAST) AS group_rank
@@ -463,6 +465,7 @@ JOIN m_group_credit gc ON gc.group_id = s.group_id AND gc.snapshot = s.snapshot
 JOIN m_group_risk gr ON gr.group_id = s.group_id AND gr.snapshot = s.snapshot"""),
         "capture_to_tables": with_model(_keyed_rows()),
         "capture_and_store": with_model(_keyed_rows()),
+        "capture_partial_batches": with_model(_keyed_rows()),
         "listing_head": with_model(f"""SELECT id AS subject_id, snapshot FROM m_subject
 QUALIFY row_number() OVER (PARTITION BY snapshot ORDER BY id) <= {LISTING_N}"""),
         "table_rows": with_model("""SELECT s.id AS subject_id, s.snapshot, CAST(r.row AS INTEGER) AS row,

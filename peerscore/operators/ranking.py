@@ -124,6 +124,26 @@ def rank_global(df: DataFrame, value: str, out: str, descending: bool = True) ->
     return add_dense_ranks(df, [RankSpec(value, out, descending)], [])
 
 
+def top_k_values(df: DataFrame, value: str, k: int, group_cols: Sequence[str], descending: bool = True, salts: int = 32) -> DataFrame:
+    """Rows that hold one of the ``k`` best distinct values of their group, ties included, without ranking the others (O3).
+
+    Two bounded selections: inside (group, salt) the rows beyond the ``k`` best values are dropped, before the
+    exchange too (the filter on the rank becomes a group limit there), so of each group at most ``k``
+    values a salt and input partition are shuffled, and no task holds a group.  The ``k``-th value of what is left of
+    a group is its limit; the rows that reach it are found by a join with these limits, one row a
+    group.  NULL values rank last, as in :func:`rank_desc`, or first (:func:`rank_asc`); NULL groups are groups.
+    """
+    keys = list(group_cols)
+    best = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    few = df.select(*keys, value).withColumn("__tk_salt", salt)
+    few = few.withColumn("__tk_rank", F.dense_rank().over(Window.partitionBy(*keys, "__tk_salt").orderBy(best)))
+    few = few.where(F.col("__tk_rank") <= k).select(*keys, value).distinct()
+    few = few.withColumn("__tk_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(best))).where(F.col("__tk_rank") <= k)
+    limits = few.select(*keys, value)  # at most k rows a group
+    return _join_null_safe(df, limits, [*keys, value]).select(*df.columns)
+
+
 def top_k_per_group(df: DataFrame, rank_col: str, k: int) -> DataFrame:
     """Rows whose in-group rank is at most ``k`` (O3); the rank is a stored column, so this is a plain filter."""
     return df.where(F.col(rank_col) <= k)

@@ -221,6 +221,12 @@ def union_all_branches(spark, sf_dir):
     return reshape.union_all_branches(pairs, SUBJECT_KEYS, GROWTH)
 
 
+def top_k_values(spark, sf_dir):
+    """Lines with one of the best prices of their return flag, whole ties included (O3)."""
+    lines = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    return ranking.top_k_values(lines, "l_extendedprice", TOP_K, ["l_returnflag"])
+
+
 def merge_partials(spark, sf_dir):
     m = _model(spark, sf_dir)
     base = m["subject"].select(F.col("id").alias(SUBJECT_ID), SNAPSHOT, "name")
@@ -663,6 +669,19 @@ def capture_and_store(spark, sf_dir):
     return keyed_rows(tables)
 
 
+#: kinds of pages that arrive together, details before their listing
+ARRIVALS = [("risk", "portfolio"), ("listing", "basic"), ("credit", "returns")]
+
+
+def capture_partial_batches(spark, sf_dir):
+    """The same pages as one batch would bring, in three batches that each lack kinds, then every stored row."""
+    caps = stored(model_captures(_model(spark, sf_dir)))
+    root, clock = scratch_path(spark, "captured"), _dt.datetime.fromisoformat(CLOCK)
+    for kinds in ARRIVALS:
+        tables = capture.capture_and_store(spark, caps.where(F.col("kind").isin(*kinds)), root, clock=clock)
+    return keyed_rows(tables)
+
+
 def rank_and_store(spark, sf_dir):
     """Two overlapping runs of the job over the stored model, then the stored ranking."""
     model, path = _model(spark, sf_dir), scratch_path(spark, "ranking")
@@ -760,6 +779,7 @@ QUERIES = {
     "rank_all_snapshots": rank_all_snapshots,
     "rank_snapshot_sorted": rank_snapshot_sorted,
     "top_k_per_group": top_k_per_group,
+    "top_k_values": top_k_values,
     "rerank_stored": rerank_stored,
     "rank_nulls": rank_nulls,
     "rank_and_store": rank_and_store,
@@ -825,6 +845,7 @@ QUERIES = {
     "capture_records": capture_records,
     "capture_to_tables": capture_to_tables,
     "capture_and_store": capture_and_store,
+    "capture_partial_batches": capture_partial_batches,
     "upsert_last_wins": upsert_last_wins,
     "upsert_dated": upsert_dated,
     "upsert_keep_first": upsert_keep_first,

@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from peerscore.operators import extract
 from peerscore.plans.capture import capture_records, capture_to_tables
 from peerscore.schemas import CREDIT, GROWTH, PORTFOLIO, RISK
@@ -188,3 +190,27 @@ def test_capture_and_store(spark, tmp_dir):
             assert {r.modified for r in df.select("modified").collect()} == {dt.datetime(2023, 1, 7, 9)}
             declared = {f.name: f.dataType for f in table_schema(name).fields}
             assert {f.name: f.dataType for f in df.schema.fields} == declared
+
+
+def test_kinds_in_six_batches_give_the_tables_of_one(spark, tmp_dir):
+    from peerscore.plans.capture import capture_and_store
+
+    whole = captures(spark)
+    clock = dt.datetime(2023, 1, 6, 9)
+    want = capture_and_store(spark, whole, f"{tmp_dir}/one", clock=clock)
+    for kind in ("risk", "credit", "basic", "portfolio", "listing", "returns"):
+        got = capture_and_store(spark, whole.where(F.col("kind") == kind), f"{tmp_dir}/six", clock=clock)
+    for name, df in want.items():
+        assert sorted(map(str, got[name].collect())) == sorted(map(str, df.collect())), name
+
+
+def test_a_part_that_a_batch_lacks_leaves_the_stored_values(spark, tmp_dir):
+    from peerscore.plans.capture import capture_and_store
+
+    whole, root = captures(spark), f"{tmp_dir}/model"
+    first = {k: sorted(map(str, v.drop("modified").collect())) for k, v in capture_and_store(spark, whole, root).items()}
+    assert first["subject_risk"] and first["group_risk"]
+    later = capture_and_store(spark, whole.where("kind <> 'risk'"), root)
+    assert {k: sorted(map(str, v.drop("modified").collect())) for k, v in later.items()} == first
+    alone = capture_and_store(spark, whole.where("kind = 'risk'"), root)
+    assert {k: sorted(map(str, v.drop("modified").collect())) for k, v in alone.items()} == first

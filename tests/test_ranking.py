@@ -101,3 +101,45 @@ def test_rank_property(spark):
         check(spark, rows, "id long, g int, v double", partitions)
 
     run()
+
+
+def test_top_k_values_equal_a_plain_dense_rank(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from peerscore.operators.ranking import top_k_values
+
+    r = random.Random(8)
+    rows = [(k, r.choice(["a"] * 6 + ["b", None]), r.choice([None, *range(40)])) for k in range(3000)]
+    df = spark.createDataFrame([(k, g, None if v is None else float(v)) for k, g, v in rows], "id long, g string, v double").repartition(5)
+    for down in (True, False):
+        order = F.desc_nulls_last("v") if down else F.asc_nulls_first("v")
+        want = df.withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(order))).where("r <= 4").select("id")
+        got = top_k_values(df, "v", 4, ["g"], descending=down, salts=3)
+        assert got.columns == df.columns
+        assert sorted(x.id for x in got.collect()) == sorted(x.id for x in want.collect())
+
+
+def test_top_k_values_shuffle_only_the_best_of_a_hot_group(spark):
+    """Of 60,000 rows of one group, at most k values (and the next one) a salt and input partition are shuffled."""
+    from peerscore.operators.ranking import top_k_values
+
+    df = spark.range(60_000, numPartitions=4).selectExpr("id", "'hot' as g", "cast((id * 7919) % 60000 as double) as v")
+    best = top_k_values(df, "v", 5, ["g"], salts=8)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan
+    assert sorted(r.v for r in best.collect()) == [59995.0, 59996.0, 59997.0, 59998.0, 59999.0]
+    metrics = best._jdf.queryExecution().executedPlan()
+    written = []
+
+    def walk(node):
+        node = node.executedPlan() if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else node
+        if hasattr(node, "plan") and "QueryStage" in node.getClass().getSimpleName():
+            node = node.plan()
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec" and "__tk_salt" in node.toString().split("\n")[0]:
+            written.append(node.metrics().apply("shuffleRecordsWritten").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(metrics)
+    assert written and max(written) <= (5 + 1) * 8 * 4  # a group limit passes the row that opens rank k + 1
