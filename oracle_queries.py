@@ -323,6 +323,15 @@ def oracle_sql() -> dict[str, str]:
         "rank_snapshot_sorted": f"SELECT *, row_number() OVER (ORDER BY total_rank, subject_id) AS position "
                                 f"FROM ({scorecard_sql(rank_where)}) r",
         "rank_and_store": scorecard_sql(),
+        "rank_changes": scorecard_sql(),
+        "upsert_changed": """SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS o_year, o_orderstatus, o_orderpriority,
+  CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus IN ('O', 'P') THEN 1 ELSE 0 END AS changed
+FROM orders WHERE o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT'""",
+        "merge_extremes": """WITH l AS (SELECT l_suppkey, l_returnflag, l_quantity,
+  CASE WHEN l_linenumber = 1 THEN l_extendedprice * 0.5 ELSE l_extendedprice END AS p FROM lineitem)
+SELECT l_suppkey, l_returnflag, count(*) AS n, min(p) AS min_l_extendedprice, max(p) AS max_l_extendedprice,
+  min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity FROM l GROUP BY l_suppkey, l_returnflag""",
         "rank_nulls": """SELECT d.doc_id, d.lang, d.n_chars, l.quality * 2 + l.toxic AS grade,
   dense_rank() OVER (PARTITION BY d.lang ORDER BY l.quality * 2 + l.toxic ASC NULLS FIRST) AS grade_up,
   dense_rank() OVER (PARTITION BY d.lang ORDER BY l.quality * 2 + l.toxic DESC NULLS LAST) AS grade_down,

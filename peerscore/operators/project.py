@@ -79,12 +79,11 @@ def starts_with_columns(columns: Sequence[str], prefix: str) -> list[str]:
 
 def nan_to_zero(df: DataFrame) -> DataFrame:
     """NaN -> 0 in float/double columns (P6); NULL, integers and decimals untouched."""
-    targets = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    targets = [f for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     if not targets:
         return df
-    return df.withColumns(
-        {c: F.when(F.isnan(F.col(c)), F.lit(0.0).cast(df.schema[c].dataType)).otherwise(F.col(c)) for c in targets}
-    )
+    zero = {t: F.lit(0.0).cast(t) for t in {f.dataType for f in targets}}
+    return df.withColumns({f.name: F.when(F.isnan(f.name), zero[f.dataType]).otherwise(F.col(f.name)) for f in targets})
 
 
 def groups_without_data(groups: DataFrame, base: DataFrame, snapshot=None,

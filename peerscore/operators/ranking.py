@@ -42,7 +42,9 @@ class RankSpec:
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(and_, [left[k].eqNullSafe(right[f"__rt_{k}"]) for k in keys])
+    never_null = (_NAME, _PART)  # plain equality joins on one expression a key instead of two
+    pairs = [(k, left[k], right[f"__rt_{k}"]) for k in keys]
+    return reduce(and_, [a == b if k in never_null else a.eqNullSafe(b) for k, a, b in pairs])
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerscore.functions import clean, scoring
-from peerscore.operators import assemble, audit, extract, project, ranking, reshape, scaling, upsert
-from peerscore.plans import capture, dashboards, scorecard
+from peerscore.operators import assemble, audit, changes, extract, project, ranking, reshape, scaling, upsert
+from peerscore.plans import capture, dashboards, incremental, scorecard
 from peerscore.schemas import (
     CREDIT,
     CREDIT_BUCKETS,
@@ -689,8 +689,45 @@ def rank_and_store(spark, sf_dir):
     return scorecard.rank_and_store(spark, model, path, RANK_DATE, None).drop("modified")
 
 
+def rank_changes(spark, sf_dir):
+    """A ranking that lacks one group's risk features of one date, brought up to date once they arrive."""
+    full, path = _model(spark, sf_dir), scratch_path(spark, "ranking-changes")
+    of_group = project.group_filter(project.snapshot_filter(full["subject"], RANK_DATE), GROUP)
+    late = of_group.select(F.col("id").alias(SUBJECT_ID), SNAPSHOT)
+    first = {**full, "subject_risk": full["subject_risk"].join(late, SUBJECT_KEYS, "left_anti")}
+    incremental.rank_changes_and_store(spark, first, path)
+    return incremental.rank_changes_and_store(spark, full, path, {"subject_risk": late}).drop("modified")
+
+
 # ---------- upserts and sources ----------
 
+def upsert_changed(spark, sf_dir):
+    """All orders but the partial ones are stored; then all urgent ones come again, the open ones with another total.
+
+    Each stored row says whether the second batch changed it."""
+    path, keys, year = scratch_path(spark, "orders-changed"), ["o_orderkey", "o_year"], F.year(F.col("o_orderdate").cast("date"))
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", year.alias("o_year"), "o_orderstatus", "o_orderpriority", "o_totalprice")
+    changes.upsert_changed(spark, path, orders.where("o_orderstatus <> 'P'"), keys, partition_cols=["o_year"])
+    total = F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    again = orders.where("o_orderpriority = '1-URGENT'").withColumn("o_totalprice", total)
+    hit = changes.upsert_changed(spark, path, again, keys, partition_cols=["o_year"]).select("o_orderkey", F.lit(1).alias("changed"))
+    rows = changes.read_bucketed(spark, path, orders).drop(changes.BUCKET).join(hit, "o_orderkey", "left")
+    return rows.withColumn("changed", F.coalesce("changed", F.lit(0)))
+
+
+def merge_extremes(spark, sf_dir):
+    """Extremes of lines by supplier and return flag, after first lines got cheaper and lines from the fifth on arrived."""
+    keys, cols = ["l_suppkey", "l_returnflag"], ["l_extendedprice", "l_quantity"]
+    lines = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *keys, *cols)
+    before, late = lines.where("l_linenumber < 5"), lines.where("l_linenumber >= 5")
+    removed = before.where("l_linenumber = 1")
+    cheaper = removed.withColumn("l_extendedprice", F.col("l_extendedprice") * 0.5)
+    current = before.where("l_linenumber > 1").unionByName(cheaper).unionByName(late)
+    state = changes.extremes_state(before, cols, keys)
+    return changes.merge_extremes(state, cheaper.unionByName(late), removed, current, cols, keys)
+
+
+
 def upsert_last_wins(spark, sf_dir):
     ev = _read(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", "value")
     keys = ["user_id", "event_type"]
@@ -783,6 +820,7 @@ QUERIES = {
     "rerank_stored": rerank_stored,
     "rank_nulls": rank_nulls,
     "rank_and_store": rank_and_store,
+    "rank_changes": rank_changes,
     "rank_desc": rank_desc,
     "rank_asc": rank_asc,
     "rank_global": rank_global,
@@ -846,6 +884,8 @@ QUERIES = {
     "capture_to_tables": capture_to_tables,
     "capture_and_store": capture_and_store,
     "capture_partial_batches": capture_partial_batches,
+    "upsert_changed": upsert_changed,
+    "merge_extremes": merge_extremes,
     "upsert_last_wins": upsert_last_wins,
     "upsert_dated": upsert_dated,
     "upsert_keep_first": upsert_keep_first,

@@ -56,15 +56,21 @@ SCORE_DIGITS = 6
 
 
 def score_terms(wide: DataFrame, group_cols=GROUP_KEYS) -> DataFrame:
-    """All twelve peer-relative terms and ``total_rank`` for an assembled wide frame (stored once here)."""
-    rows = nan_to_zero(with_row_id(wide))
-    df = rows.withColumns({
+    """Keys, labels, all twelve peer-relative terms and ``total_rank`` for an assembled wide frame.
+
+    The four terms of a row by itself are computed before the frame is stored, so that of the wide frame
+    only the ranked and scaled columns are stored and carried through the joins.
+    """
+    own = {
         "trend_growth": growth_trend(GROWTH.subject_cols, GROWTH.group_cols),
         "credit_rating_trend": pct_change_sum(CREDIT.pairs),
         "portfolio_agg_trend": pct_change_sum(PORTFOLIO.pairs),
         "risk_rank": ordinal_encode("risk", RISK_ORDINALS, RISK_ORDINAL_DEFAULT),
-    })
-    df = tiered_scale(df, SCALED_TIERS, group_cols)
+    }
+    peer = [s.value for s in RANK_SPECS] + [c for cols, _ in SCALED_TIERS for c in cols]
+    keep = dict.fromkeys([SUBJECT_ID, "name", GROUP_ID, "rating", SNAPSHOT, *group_cols, *peer])
+    rows = with_row_id(nan_to_zero(wide).select(*keep, *[c.alias(n) for n, c in own.items()]))
+    df = tiered_scale(rows, SCALED_TIERS, group_cols)
     df = df.join(ranks_by_row(rows, ROW_ID, RANK_SPECS, group_cols), ROW_ID).drop(ROW_ID)
     df = df.withColumn("f_total", horizontal_sum(SCALED_COLS))
     return df.withColumn("total_rank", F.round(composite_score(SCORE_TERMS), SCORE_DIGITS))
