@@ -503,6 +503,8 @@ LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
         "with_audit": f"""SELECT o_orderkey, o_custkey, CAST(TIMESTAMP '{CLOCK}' AS DATE) AS snapshot,
   TIMESTAMP '{CLOCK}' AS modified FROM orders""",
         "read_json_array": "SELECT s_suppkey, s_name FROM supplier",
+        "scan_json_array": """SELECT o_orderkey, o_custkey, '}"{ \\' || o_orderpriority AS mark, o_totalprice, o_orderstatus FROM orders""",
+        "scan_equal_depth": "SELECT event_id, user_id, event_type FROM events",
         "append_json_lines": "SELECT event_id, user_id, event_type FROM events",
         "run_snapshot": with_model(f"SELECT id, snapshot, asset_value FROM m_subject WHERE snapshot = DATE '{REVISED_DATE}'"),
         "scan_table": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",

@@ -35,6 +35,7 @@ from peerscore.schemas import (
     TABLE_KEYS,
 )
 from peerscore.session import scratch_path, stored
+from peerscore.sources import json_arrays, splits
 from peerscore.sources import tables as src
 from peerscore.sources.demo import testdata_model
 
@@ -45,6 +46,8 @@ CLOCK = "2024-03-01 06:00:00"
 GROUP = 3
 TOP_K = 3
 LISTING_N = 1000
+SCAN_PARTS = 8
+JSON_BATCH = 50000
 EVENTS_CUTOFF = "2024-01-16 00:00:00"
 ORDERS_CUTOFF = "1998-01-01 00:00:00"
 REVISED_DATE, REVISION_SOURCE_DATE = "1999-12-31", "2000-12-31"
@@ -791,6 +794,20 @@ def read_json_array(spark, sf_dir):
     return src.read_json_array(spark, path, T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType())])).select("s_suppkey", "s_name")
 
 
+def scan_json_array(spark, sf_dir):
+    """Orders as JSON arrays of bounded key ranges, each file read by one task a split (S8); customers are nested objects."""
+    orders = _read(spark, sf_dir, "orders")
+    more = F.struct(F.concat(F.lit('}"{ \\'), "o_orderpriority").alias("mark"))
+    row = F.to_json(F.struct("o_orderkey", F.struct("o_custkey", more.alias("more")).alias("customer"), "o_totalprice", "o_orderstatus"))
+    text = F.concat(F.lit("["), F.array_join(F.collect_list("row"), ",\n"), F.lit("]"))
+    path = scratch_path(spark, "array")
+    batches = orders.select(F.expr(f"o_orderkey div {JSON_BATCH}").alias("batch"), row.alias("row")).groupBy("batch").agg(text.alias("value"))
+    batches.write.partitionBy("batch").text(path)
+    schema = "o_orderkey long, customer struct<o_custkey: long, more: struct<mark: string>>, o_totalprice double, o_orderstatus string"
+    back = json_arrays.scan_json_array(spark, path, T.StructType.fromDDL(schema))
+    return back.select("o_orderkey", "customer.o_custkey", F.col("customer.more.mark").alias("mark"), "o_totalprice", "o_orderstatus")
+
+
 def append_json_lines(spark, sf_dir):
     """Events appended in two parts to the run date's folder, read back."""
     events = _read(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
@@ -806,6 +823,13 @@ def run_snapshot(spark, sf_dir):
     return project.snapshot_filter(_model(spark, sf_dir)["subject"], day).select("id", SNAPSHOT, "asset_value")
 
 
+def scan_equal_depth(spark, sf_dir):
+    """Events scanned by equal-depth predicates on the user, hot users split by the event's number."""
+    events = _read(spark, sf_dir, "events")
+    cuts = splits.equal_depth_predicates(events, "user_id", SCAN_PARTS, tie="event_id")
+    return src.scan_table(spark, "events", path=f"{sf_dir}/events.parquet", predicates=cuts, columns=["event_id", "user_id", "event_type"])
+
+
 def scan_table(spark, sf_dir):
     return src.scan_table(spark, "orders", path=f"{sf_dir}/orders.parquet",
                           columns=["o_orderkey", "o_custkey", "o_totalprice"], where=F.col("o_orderstatus") == "F")
@@ -891,9 +915,11 @@ QUERIES = {
     "upsert_keep_first": upsert_keep_first,
     "fan_out_record": fan_out_record,
     "scan_table": scan_table,
+    "scan_equal_depth": scan_equal_depth,
     "save_table": save_table,
     "with_audit": with_audit,
     "read_json_array": read_json_array,
+    "scan_json_array": scan_json_array,
     "append_json_lines": append_json_lines,
     "run_snapshot": run_snapshot,
 }

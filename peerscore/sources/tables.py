@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerscore.schemas import MODEL_TABLES, SNAPSHOT
+from peerscore.sources.splits import scan_by_predicates
 
 
 def scan_table(
@@ -25,6 +26,7 @@ def scan_table(
     upper_bound=None,
     num_partitions: int | None = None,
     schema: T.StructType | None = None,
+    predicates: Sequence[str] | None = None,
 ) -> DataFrame:
     """Read a table.
 
@@ -32,9 +34,14 @@ def scan_table(
     ``table`` through the connection options in ``jdbc`` (url, driver, user,
     password passed by the caller) and, given ``partition_column`` with bounds
     and ``num_partitions``, splits the read into parallel range queries.
+    ``predicates`` (see ``splits.equal_depth_predicates``) split the read instead:
+    one query, or one filtered scan, for each of them.
     ``columns`` and ``where`` are pushed to the source by the optimizer.
     """
-    if fmt == "jdbc":
+    if fmt == "jdbc" and predicates:
+        settings = dict(jdbc or {})
+        df = spark.read.jdbc(settings.pop("url"), table, predicates=list(predicates), properties=settings)
+    elif fmt == "jdbc":
         reader = spark.read.format("jdbc").options(**(jdbc or {})).option("dbtable", table)
         if partition_column is not None:
             reader = (
@@ -49,6 +56,8 @@ def scan_table(
         if schema is not None:
             reader = reader.schema(schema)
         df = reader.load(path or table)
+        if predicates:
+            df = scan_by_predicates(df, predicates)
     if where is not None:
         df = df.where(where)
     if columns is not None:
@@ -69,7 +78,10 @@ def save_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "ov
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A file holding one JSON array of records (S8), read with a declared schema."""
+    """Files holding one JSON array of records each (S8), read with a declared schema, one task a file.
+
+    ``json_arrays.scan_json_array`` reads large files by one task a split.
+    """
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
