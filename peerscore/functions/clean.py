@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,7 +95,10 @@ def to_json_text(x: ColumnOrName) -> Column:
 
 def strip_text(x: ColumnOrName) -> Column:
     """Trim whitespace including non-breaking spaces at both ends."""
-    return F.regexp_replace(_c(x), "^[\\s\\u00a0]+|[\\s\\u00a0]+$", "")
+    x = _c(x)
+    # before a last line separator that is no such whitespace, as "$" has it, only the expression trims
+    odd = reduce(or_, [F.endswith(x, F.lit(c)) for c in "\u0085\u2028\u2029"])
+    return F.when(odd, F.regexp_replace(x, "^[\\s\\u00a0]+|[\\s\\u00a0]+$", "")).otherwise(F.btrim(x, F.lit(" \t\n\u000b\f\r\u00a0")))
 
 
 def compact_array(arr: ColumnOrName) -> Column:

@@ -50,13 +50,33 @@ HOUSE_ITEM, RISK_ITEM, RISK_GRADE_ITEM, RETURN_GRADE_ITEM = 0, 4, 8, 9
 LISTING_NAME, LISTING_RATING, LISTING_CATEGORY, LISTING_EXPENSE, LISTING_ASSETS = 0, 1, 4, 6, 8
 # --- end of fixed values ---
 
-TR = "(?is)<tr[^>]*>(.*?)</tr>"
-TD = "(?is)<td[^>]*>(.*?)</td>"
+
+
+def _until(stop: str) -> str:
+    """Text up to the first tag whose name fits ``stop``, in runs between tags instead of character by character."""
+    return f"[^<]*(?:<(?!{stop})[^<]*)*+"
+
+
+TR = f"(?is)<tr[^>]*>({_until('/tr>')})</tr>"
+TD = f"(?is)<td[^>]*>({_until('/td>')})</td>"
+TBODY = f"(?is)<tbody[^>]*>({_until('/tbody>')})</tbody>"
 TAG = "<[^>]*>"
 # an attribute's value in double quotes, single quotes or none: three groups, of which one matches
 VALUE = "\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))"
 ANCHOR = f"(?is)<a\\s[^>]*?\\bhref{VALUE}[^>]*>(.*?)</a>"
-INNERMOST_TABLE = "(?is)<table\\b(?:(?!<table\\b).)*?</table\\s*>"
+# the same in one group, which the kind of quote before it decides
+ONE_VALUE = "\\s*=\\s*(?:\"(?=[^\"]*\")|'(?=[^']*')|(?=[^\\s\"'>]))((?<=\")[^\"]*|(?<=')[^']*|(?<=[=\\s])[^\\s\"'>]+)"
+INNERMOST_TABLE = f"(?is)<table\\b{_until('table\\b|/table\\s*>')}</table\\s*>"
+# content of a table whose nested tables have no tables in them
+SHALLOW_TABLE = f"(?is)^([^<]*(?:(?:{INNERMOST_TABLE[5:]}|<(?!table\\b|/table\\s*>))[^<]*)*+)</table\\s*>"
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once a row, however often ``use`` names it.
+
+    A column expression is copied to each place that names it; the variable of a lambda is not.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def markup(body: Column | str) -> Column:
@@ -73,7 +93,12 @@ def unescape(x: Column) -> Column:
 
 def inner_text(x: Column) -> Column:
     """Text of a markup fragment: tags removed, entities decoded (not trimmed)."""
-    return unescape(F.regexp_replace(x, TAG, ""))
+    return once(x, _plain)
+
+
+def _plain(x: Column) -> Column:
+    bare = F.regexp_replace(x, TAG, "")
+    return F.when(F.contains(x, F.lit("&")), unescape(bare)).when(F.contains(x, F.lit("<")), bare).otherwise(x)
 
 
 def _extract(html: Column, pattern: str, idx: int = 1) -> Column:
@@ -86,8 +111,7 @@ def _extract_all(html: Column, pattern: str, idx: int = 1) -> Column:
 
 def attribute(fragment: Column, tag: str, name: str) -> Column:
     """Value of attribute ``name`` of the first ``tag`` that has it, however quoted; '' without one."""
-    pattern = f"(?is)<{tag}\\s[^>]*?\\b{name}{VALUE}"
-    return F.concat(*[_extract(fragment, pattern, g) for g in (1, 2, 3)])
+    return _extract(fragment, f"(?is)<{tag}\\s[^>]*?\\b{name}{ONE_VALUE}")
 
 
 def _having(name: str, value: str) -> str:
@@ -101,11 +125,17 @@ def _with_class(name: str) -> str:
 
 def balanced_table(rest: Column) -> Column:
     """Up to the ``</table>`` that closes the table whose content starts at ``rest``, nested tables included."""
-    parts = F.split(rest, "(?i)</table\\s*>")
-    opened = lambda k: F.aggregate(F.slice(parts, 1, k), F.lit(0), lambda n, p: n + F.regexp_count(p, F.lit("(?i)<table\\b")))
-    # the k-th close ends the table once every nested table before it is closed
-    ends = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda k: opened(k) == k - 1)
-    return F.coalesce(F.array_join(F.slice(parts, 1, F.get(ends, 0)), "</table>"), F.lit(""))
+    def step(at: Column, part: Column) -> Column:
+        n, opened = at["n"] + 1, at["opened"] + F.regexp_count(part, F.lit("(?i)<table\\b"))
+        # the n-th close ends the table once every nested table before it is closed
+        end = F.when((at["end"] == 0) & (opened == n - 1), n).otherwise(at["end"])
+        return F.struct(n.alias("n"), opened.alias("opened"), end.alias("end"))
+
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("opened"), F.lit(0).alias("end"))
+    content = lambda parts: F.array_join(F.slice(parts, 1, F.aggregate(parts, start, step, lambda at: at["end"])), "</table>")
+    deep = lambda html: once(F.split(html, "(?i)</table\\s*>"), content)
+    shallow = lambda html: _extract(html, SHALLOW_TABLE)
+    return F.coalesce(once(rest, lambda html: once(shallow(html), lambda t: F.when(t != "", t).otherwise(deep(html)))), F.lit(""))
 
 
 def table_where(html: Column, condition: str) -> Column:
@@ -121,8 +151,8 @@ def tbody(table_html: Column) -> Column:
     """The rows of a table's body; tables nested in its cells are dropped, to two levels."""
     for _ in range(2):
         table_html = F.regexp_replace(table_html, INNERMOST_TABLE, " ")
-    body = _extract(table_html, "(?is)<tbody[^>]*>(.*?)</tbody>")
-    return F.when(body == "", table_html).otherwise(body)
+    body = lambda html: _extract(html, TBODY)
+    return once(table_html, lambda html: once(body(html), lambda b: F.when(b == "", html).otherwise(b)))
 
 
 def row_cells(table_html: Column) -> Column:
@@ -135,7 +165,7 @@ def table_rows(table_html: Column) -> Column:
 
     As in the captured tables, a blank cell is dropped, so the cells after it shift left.
     """
-    return F.transform(row_cells(table_html), lambda cells: compact_array(F.transform(cells, inner_text)))
+    return F.transform(row_cells(table_html), lambda cells: compact_array(F.transform(cells, _plain)))
 
 
 def _cells(rows: Column, row: int, first: int, n: int, cast: str = "double") -> list[Column]:
@@ -171,11 +201,11 @@ def extract_listing(captures: DataFrame, limit: int | None = None) -> DataFrame:
     Pages follow each other by the column ``page`` (without one, a date's listing is one page).
     """
     page = F.col("page") if "page" in captures.columns else F.lit(0)
-    html = markup("body")
-    first_table = balanced_table(_extract(html, "(?is)<table[^>]*>(.*)"))
+    first_table = lambda html: balanced_table(_extract(html, "(?is)<table[^>]*>(.*)"))
+    table = once(markup("body"), lambda html: once(first_table(html), lambda t: F.when(t == "", html).otherwise(t)))
     lst = captures.where(F.col("kind") == "listing").select(
         "captured_on", page.alias("page"),
-        F.posexplode(row_cells(F.when(first_table == "", html).otherwise(first_table))).alias("position", "cells")
+        F.posexplode(row_cells(table)).alias("position", "cells")
     )
     if limit is not None:
         w = Window.partitionBy("captured_on").orderBy("page", "position")
@@ -262,7 +292,7 @@ def extract_risk(captures: DataFrame) -> DataFrame:
 
 def extract_portfolio(captures: DataFrame) -> DataFrame:
     """Top holdings (first 11 first-cell texts) and five aggregates, subject cell 1, group cell 2."""
-    html = markup("body")
+    html = F.col("html")
     holdings_rows = row_cells(table_by_id(html, HOLDINGS_TABLE_ID))
     holdings = array_head(
         F.transform(F.filter(holdings_rows, lambda r: F.size(r) > 0), lambda r: strip_text(inner_text(F.get(r, 0)))),
@@ -271,7 +301,8 @@ def extract_portfolio(captures: DataFrame) -> DataFrame:
     div = _extract(html, f"(?is)<div{_having('id', PORTFOLIO_DIV_ID)}>(.*)")
     table = table_where(div, _with_class("table"))
     rows = table_rows(table)
-    df = captures.where(F.col("kind") == "portfolio").select(
+    pages = captures.where(F.col("kind") == "portfolio").select("subject_id", "captured_on", markup("body").alias("html"))
+    df = pages.select(
         "subject_id", "captured_on", holdings.alias("top_holdings"), rows.alias("rows")
     )
     s, g = [], []

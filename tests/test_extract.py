@@ -214,3 +214,24 @@ def test_a_part_that_a_batch_lacks_leaves_the_stored_values(spark, tmp_dir):
     assert {k: sorted(map(str, v.drop("modified").collect())) for k, v in later.items()} == first
     alone = capture_and_store(spark, whole.where("kind = 'risk'"), root)
     assert {k: sorted(map(str, v.drop("modified").collect())) for k, v in alone.items()} == first
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_page_is_read_once_however_often_its_table_is_named(spark):
+    caps = captures(spark)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 100_000)
+    for df in (extract.extract_returns(caps), extract.extract_risk(caps), extract.extract_portfolio(caps), extract.extract_listing(caps)):
+        assert _optimized(df).count("get_json_object(") == 2  # the two fields that may hold the markup
+
+
+def test_nested_tables_of_any_depth_and_length(spark):
+    long = "<table><tr><td>" + "9" * 200_000 + "</td></tr></table>"
+    deep = "<table><tr><td>a<TABLE><tr><td>b</td></tr></TABLE ></td></tr></table>"
+    for inner in (long, deep, long + deep):
+        page = returns_html().replace("<td>a</td>", f"<td>a{inner}</td>", 1) + "<table><tr><td>1</td></tr></table>"
+        df = spark.createDataFrame([("1", "returns", DAY, _body(page))], "subject_id string, kind string, captured_on date, body string")
+        r = extract.extract_returns(df).first()
+        assert r.reason is None and [r[GROWTH.subject_col(h)] for h in GROWTH.columns] == [1.5, 2.5, 3.5, 4.5, 0.0, 6.5, 7.5]
