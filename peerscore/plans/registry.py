@@ -535,9 +535,8 @@ def _portfolio_captures(m) -> DataFrame:
 
 def extract_portfolio(spark, sf_dir):
     out = extract.extract_portfolio(_portfolio_captures(_model(spark, sf_dir)))
-    return _family_result(out, PORTFOLIO).join(
-        out.select(F.col(SUBJECT_ID).cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT),
-                   F.array_join("top_holdings", "|").alias("holdings")), [SUBJECT_ID, SNAPSHOT])
+    return out.select(F.col(SUBJECT_ID).cast("long").alias(SUBJECT_ID), F.col("captured_on").alias(SNAPSHOT),
+                      *PORTFOLIO.subject_cols, *PORTFOLIO.group_cols, F.array_join("top_holdings", "|").alias("holdings"))
 
 
 def _basic_captures(m) -> DataFrame:
