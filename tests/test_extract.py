@@ -235,3 +235,24 @@ def test_nested_tables_of_any_depth_and_length(spark):
         df = spark.createDataFrame([("1", "returns", DAY, _body(page))], "subject_id string, kind string, captured_on date, body string")
         r = extract.extract_returns(df).first()
         assert r.reason is None and [r[GROWTH.subject_col(h)] for h in GROWTH.columns] == [1.5, 2.5, 3.5, 4.5, 0.0, 6.5, 7.5]
+
+
+def test_rejects_and_records_do_not_repeat_the_extraction(spark):
+    from peerscore.plans.capture import capture_partials
+
+    for df in capture_partials(captures(spark)):
+        assert "regexp" not in _optimized(df) and "rlike" not in _optimized(df).lower()
+
+
+def test_outer_merge_equals_full_joins_and_shuffles_a_frame_once(spark):
+    from peerscore.operators.reshape import merge_partials
+
+    base = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (2, 1, "c"), (None, 1, "d")], "k int, d int, x string")
+    parts = {0: spark.createDataFrame([(1, 1, "p"), (3, 1, "q"), (None, 1, "r")], "k int, d int, y string"),
+             1: spark.createDataFrame([(3, 1, "s"), (3, 1, "t"), (2, None, "u")], "k int, d int, z string")}
+    want = base
+    for part in parts.values():
+        want = want.join(part, ["k", "d"], "outer")
+    got = merge_partials(base, parts, ["k", "d"], how="outer")
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "FullOuter" not in _optimized(got)
