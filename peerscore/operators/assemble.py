@@ -23,6 +23,7 @@ from peerscore.schemas import (
     SUBJECT_KEYS,
     FeatureFamily,
 )
+from peerscore.session import stored_table
 
 BASE_COLUMNS = ["name", "rating", "asset_value", GROUP_ID, "expense_ratio", "risk"]
 
@@ -83,11 +84,15 @@ def group_side(model: dict[str, DataFrame], start=None, end=None, with_dimension
     return side
 
 
-def assemble_wide(model: dict[str, DataFrame], start=None, end=None, with_dimension: bool = True) -> DataFrame:
+def assemble_wide(model: dict[str, DataFrame], start=None, end=None, with_dimension: bool = True, store_groups: bool = False) -> DataFrame:
     """The ten-way assembly (J4): one row per subject and snapshot that has all eight
     dated feature rows; a subject without a dimension row is kept.
+
+    With ``store_groups`` the group side is computed once and stored.  Its size is then known when the large frame is planned
+    (that of a join is guessed as a product), so that few groups are broadcast and the frame is not shuffled for them.
     """
-    return assemble_subject(model, start, end).join(group_side(model, start, end, with_dimension), GROUP_KEYS, "inner")
+    groups = group_side(model, start, end, with_dimension)
+    return assemble_subject(model, start, end).join(stored_table(groups) if store_groups else groups, GROUP_KEYS, "inner")
 
 
 def _key_counts(df: DataFrame, keys: list[str], out: str, rename: dict[str, str] | None = None) -> DataFrame:

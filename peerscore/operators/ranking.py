@@ -25,11 +25,12 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from peerscore.session import stored
+from peerscore.session import stored, stored_table
 
 ROW_ID = "__rk_row"
-_NAME, _AT, _PART = "__rk_name", "__rk_at", "__rk_part"
+_NAME, _AT, _PART, _HASH = "__rk_name", "__rk_at", "__rk_part", "__rk_hash"
 
 
 @dataclass(frozen=True)
@@ -42,15 +43,30 @@ class RankSpec:
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    never_null = (_NAME, _PART)  # plain equality joins on one expression a key instead of two
+    never_null = (_NAME, _PART, _HASH)  # plain equality joins on one expression a key instead of two
     pairs = [(k, left[k], right[f"__rt_{k}"]) for k in keys]
     return reduce(and_, [a == b if k in never_null else a.eqNullSafe(b) for k, a, b in pairs])
 
 
+def _hashed_alike(kind: T.DataType) -> bool:
+    """True if equal values of the type have equal hashes (0.0 and -0.0, and all NaN, do; collated text may not)."""
+    if isinstance(kind, T.StructType):
+        return all(_hashed_alike(f.dataType) for f in kind.fields)
+    return kind == T.StringType() or isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys`` where NULL equals NULL; the keys of ``left`` stay."""
+    """Join on ``keys`` where NULL equals NULL; the keys of ``left`` stay.
+
+    A hash of the keys is the first join key: rows then sort by one number that nearly always decides, where
+    the keys themselves (a rank's number, the group) mostly tie.  The keys are still compared.
+    """
+    names = [k for k in keys if _hashed_alike(left.schema[k].dataType) and left.schema[k].dataType == right.schema[k].dataType]
+    if names:
+        left, right = (df.withColumn(_HASH, F.xxhash64(*names)) for df in (left, right))
+        keys = [_HASH, *keys]
     r = right.select([F.col(c).alias(f"__rt_{c}") if c in keys else F.col(c) for c in right.columns])
-    return left.join(r, _same(left, r, keys), how).drop(*[f"__rt_{k}" for k in keys])
+    return left.join(r, _same(left, r, keys), how).drop(_HASH, *[f"__rt_{k}" for k in keys])
 
 
 def dense_rank_table(long: DataFrame, keys: Sequence[str], values: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -66,7 +82,8 @@ def dense_rank_table(long: DataFrame, keys: Sequence[str], values: Sequence[str]
     placed = distinct.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # consecutive numbers inside a partition, with the partition's number in the upper bits
     placed = stored(placed.withColumn(_AT, F.monotonically_increasing_id()).withColumn(_PART, F.spark_partition_id()))
-    parts = placed.groupBy(*keys, _PART).agg(F.min(_AT).alias("__rk_first"), F.count(F.lit(1)).alias("__rk_n"))
+    # stored, so that its size is known: few groups are broadcast and the values stay where they are, many are shuffled
+    parts = stored_table(placed.groupBy(*keys, _PART).agg(F.min(_AT).alias("__rk_first"), F.count(F.lit(1)).alias("__rk_n")))
     group = Window.partitionBy(*keys)
     before = F.sum("__rk_n").over(group.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.withColumns({"__rk_before": F.coalesce(before, F.lit(0)), "__rk_total": F.sum("__rk_n").over(group)})
@@ -90,8 +107,11 @@ def ranks_by_row(rows: DataFrame, row_id: str, specs: Sequence[RankSpec], group_
     long = rows.select(row_id, *[F.col(g).alias(a) for g, a in group.items()], F.inline(F.array(*[entry(i, s) for i, s in enumerate(specs)])))
     keys, values = [_NAME, *group.values()], list(value_of.values())
     ranked = _join_null_safe(long, dense_rank_table(long, keys, values, partitions), [*keys, *values])
-    picks = [F.max(F.when(F.col(_NAME) == i, F.col("__rk_down" if s.descending else "__rk_up"))).alias(s.out) for i, s in enumerate(specs)]
-    return ranked.groupBy(row_id).agg(*picks)
+    down = [i for i, s in enumerate(specs) if s.descending]
+    rank = F.when(F.col(_NAME).isin(down), F.col("__rk_down")).otherwise(F.col("__rk_up")) if down else F.col("__rk_up")
+    # a row's ranks lie in as many partitions: nothing combines before the shuffle, so narrow rows are shuffled as they are
+    ranked = ranked.select(row_id, _NAME, rank.alias("__rk_rank")).repartition(row_id)
+    return ranked.groupBy(row_id).agg(*[F.max(F.when(F.col(_NAME) == i, F.col("__rk_rank"))).alias(s.out) for i, s in enumerate(specs)])
 
 
 def with_row_id(df: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ def rank_keys(model: dict[str, DataFrame], keys: DataFrame) -> DataFrame:
     part = {n: partitions_of(df, days) if SNAPSHOT in df.columns else df for n, df in model.items()}
     for name in ["subject", *GROUP_FEATURE_TABLES]:
         part[name] = part[name].join(keys, GROUP_KEYS, "left_semi")
-    return rank_terms(score_terms(assemble_wide(part)))
+    return rank_terms(score_terms(assemble_wide(part, store_groups=True)))
 
 
 def rank_changes_and_store(spark, model: dict[str, DataFrame], path: str, changes: dict[str, DataFrame] | None = None,

@@ -130,7 +130,7 @@ def rank_nulls(spark, sf_dir):
 
 
 def composite_score(spark, sf_dir):
-    scored = scorecard.score_terms(_wide(spark, sf_dir))
+    scored = scorecard.score_terms(assemble.assemble_wide(_model(spark, sf_dir), store_groups=True))
     return scored.select(SUBJECT_ID, GROUP_ID, SNAPSHOT, *scorecard.SCORE_TERMS, "total_rank").withColumn(
         "f_total", F.round("f_total", 6)
     )

@@ -16,8 +16,8 @@ from peerscore.functions.scoring import composite_score, growth_trend, horizonta
 from peerscore.operators.assemble import assemble_wide
 from peerscore.operators.project import nan_to_zero, snapshot_lit
 from peerscore.operators.ranking import ROW_ID, RankSpec, add_dense_ranks, ranks_by_row, with_row_id
-from peerscore.operators.scaling import tiered_scale
-from peerscore.session import stored
+from peerscore.operators.scaling import group_min_max, tiered_scale
+from peerscore.session import stored, stored_table
 from peerscore.schemas import (
     CREDIT,
     CREDIT_TIERS,
@@ -67,10 +67,11 @@ def score_terms(wide: DataFrame, group_cols=GROUP_KEYS) -> DataFrame:
         "portfolio_agg_trend": pct_change_sum(PORTFOLIO.pairs),
         "risk_rank": ordinal_encode("risk", RISK_ORDINALS, RISK_ORDINAL_DEFAULT),
     }
-    peer = [s.value for s in RANK_SPECS] + [c for cols, _ in SCALED_TIERS for c in cols]
+    scaled = [c for cols, _ in SCALED_TIERS for c in cols]
+    peer = [s.value for s in RANK_SPECS] + scaled
     keep = dict.fromkeys([SUBJECT_ID, "name", GROUP_ID, "rating", SNAPSHOT, *group_cols, *peer])
     rows = with_row_id(nan_to_zero(wide).select(*keep, *[c.alias(n) for n, c in own.items()]))
-    df = tiered_scale(rows, SCALED_TIERS, group_cols)
+    df = tiered_scale(rows, SCALED_TIERS, group_cols, extremes=stored_table(group_min_max(rows, scaled, group_cols)) if group_cols else None)
     df = df.join(ranks_by_row(rows, ROW_ID, RANK_SPECS, group_cols), ROW_ID).drop(ROW_ID)
     df = df.withColumn("f_total", horizontal_sum(SCALED_COLS))
     return df.withColumn("total_rank", F.round(composite_score(SCORE_TERMS), SCORE_DIGITS))
@@ -88,7 +89,7 @@ def rank_terms(scored: DataFrame, group_cols=GROUP_KEYS, descending: bool = True
 
 def rank_range(model: dict[str, DataFrame], start=None, end=None) -> DataFrame:
     """Rank every subject inside its group for every snapshot in [start, end]."""
-    return rank_terms(score_terms(assemble_wide(model, start, end)))
+    return rank_terms(score_terms(assemble_wide(model, start, end, store_groups=True)))
 
 
 def rank_snapshot(model: dict[str, DataFrame], snapshot=None) -> DataFrame:

@@ -42,7 +42,10 @@ def read_tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]
 
 
 def cents(c: Column) -> Column:
-    return F.round(c * 100).cast("long")
+    """Whole cents, halves away from zero: ``round`` of a double, which goes by decimals, without its price."""
+    x = c * 100
+    near = F.rint(x)  # halves to even
+    return F.when(F.abs(x - near) == 0.5, F.signum(x) * F.floor(F.abs(x) + 0.5)).otherwise(near).cast("long")
 
 
 def _avg(sum_col: str, n_col: str) -> Column:
@@ -183,9 +186,9 @@ def subject_stats(tables: dict[str, DataFrame]) -> DataFrame:
 def build_model(tables: dict[str, DataFrame], checkpoint_stats: bool = False) -> dict[str, DataFrame]:
     """The eleven model tables (see FIXTURES.md §3) as lazily evaluated DataFrames.
 
-    With ``checkpoint_stats`` the subject-level partial statistics are written once
+    With ``checkpoint_stats`` the subject-level partial statistics and those of the groups are written once
     to the shared checkpoint folder, so storing all ten tables aggregates
-    ``lineitem`` once instead of once per table.
+    ``lineitem`` once instead of once per table, and joins know how small the group tables are.
     """
     s = subject_stats(tables)
     if checkpoint_stats:
@@ -195,6 +198,10 @@ def build_model(tables: dict[str, DataFrame], checkpoint_stats: bool = False) ->
         s = s.checkpoint(eager=True)
     subj = s.withColumnRenamed("part", SUBJECT_ID)
     grp = combine_stats(s, [GROUP_ID, SNAPSHOT])
+    if checkpoint_stats:
+        from peerscore.session import stored_table
+
+        grp = stored_table(grp)  # one row a group and snapshot, of which five tables are made
 
     subject = s.select(
         F.col("part").alias("id"),

@@ -80,3 +80,10 @@ def test_group_extremes_are_combined_before_the_shuffle(spark):
 def test_base_rows_are_distinct_before_the_anti_join(spark):
     plan = _plan(registry.QUERIES["groups_without_data"](spark, SF))
     assert "LeftAnti" in plan and plan.count("HashAggregate") >= 2
+
+
+def test_small_group_tables_do_not_shuffle_the_subjects(spark, stored):
+    """The stored group side and the stored group extremes are joined where the rows lie: one exchange of rows, by row id."""
+    wide = assemble.assemble_wide(stored, store_groups=True)
+    assert "hashpartitioning(group_id" not in _plan(wide)
+    assert "hashpartitioning(group_id" not in _plan(scorecard.score_terms(wide))

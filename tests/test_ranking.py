@@ -143,3 +143,28 @@ def test_top_k_values_shuffle_only_the_best_of_a_hot_group(spark):
 
     walk(metrics)
     assert written and max(written) <= (5 + 1) * 8 * 4  # a group limit passes the row that opens rank k + 1
+
+
+def test_ranks_are_joined_by_one_number_first(spark):
+    """Rows sort by a hash of rank number, group and value, not by the rank number, which nearly always ties."""
+    import re
+
+    df = spark.createDataFrame([(i, i % 2, float(i % 9), i % 4) for i in range(60)], "id long, g int, v double, w int")
+    had = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = add_dense_ranks(df, [RankSpec("v", "a", True), RankSpec("w", "b", False)], ["g"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", had)
+    first = re.findall(r"Sort \[(?:__rt_)?(__rk_\w+)#", plan)
+    assert first.count("__rk_hash") >= 4  # both sides of both joins; windows over the counts sort by the rank number
+    # a row's ranks are not combined before their shuffle, where they cannot meet
+    assert "partial_max" not in plan[plan.index("REPARTITION_BY_COL"):]
+
+
+def test_zeros_of_both_signs_and_nan_share_a_rank(spark):
+    rows = [(1, 0.0), (1, -0.0), (1, float("nan")), (1, -float("nan")), (None, -0.0), (None, 0.0), (None, None), (1, 2.0)]
+    check(spark, rows, "id long, g int, v double", 3)
+    df = spark.createDataFrame([(0.0, 0.0, 1), (-0.0, -0.0, 2)], "g double, v double, n int")
+    got = add_dense_ranks(df, [RankSpec("v", "a", True), RankSpec("n", "b", True)], ["g"]).collect()
+    assert sorted((r.n, r.a, r.b) for r in got) == [(1, 1, 2), (2, 1, 1)]

@@ -111,3 +111,37 @@ def test_pct_change_beyond_int_is_kept(spark):
     df = spark.createDataFrame([(1.0e9, 0.01), (1.0e300, 1.0)], "s double, g double")
     got = [r.p for r in df.select(pct_change_sum([("s", "g")]).alias("p")).collect()]
     assert got == [9_999_999_999_900, None]  # only what no bigint holds is NULL, without failing the job
+
+
+def test_pct_change_sum_equals_the_rounded_sum_beside_integers(spark):
+    from pyspark.sql import functions as F
+
+    from peerscore.functions.scoring import pct_change_sum
+
+    near = [k + d for k in (-3, -1, 0, 1, 2, 10**6) for d in (-2e-6, -1e-6, -6e-7, -5e-7, -4e-7, 0.0, 4e-7, 5e-7, 6e-7, 1e-6, 0.25)]
+    rows = [(1.0 + x / 100.0, 1.0) for x in near] + [(float("nan"), 1.0), (float("inf"), 1.0), (1e300, 1.0), (None, 1.0), (5.0, 0.0)]
+    df = spark.createDataFrame(rows, "s double, g double")
+    plain = F.round(F.when(F.col("g") == 0, F.lit(0.0)).otherwise((F.col("s") - F.col("g")) / F.col("g") * 100.0), 6).try_cast("bigint")
+    got = df.select(pct_change_sum([("s", "g")]).alias("a"), plain.alias("b"))
+    assert [r.a for r in got.collect()] == [r.b for r in got.collect()]
+
+
+def test_growth_trend_sums_an_array(spark):
+    """Unrolled, its comparisons made the generated method of the assembly too long to be compiled."""
+    from peerscore.functions.scoring import growth_trend
+
+    df = spark.createDataFrame([(1.0, 3.0, 2.0, 2.0), (None, 1.0, 1.0, 1.0)], "a double, b double, c double, d double")
+    got = df.select(growth_trend(["a", "b"], ["c", "d"]).alias("t"))
+    assert dict(got.dtypes)["t"] == "int" and [r.t for r in got.collect()] == [4, None]
+    assert "aggregate(array(" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cents_are_rounded_half_up(spark):
+    from pyspark.sql import functions as F
+
+    from peerscore.sources.demo import cents
+
+    xs = [0.0, -0.0, 0.005, -0.005, 0.015, 0.025, -0.025, 1.005, 0.49999999999999994 / 100, 901.13, 104949.5, -7.125, 7.125, 1e12 + 0.125]
+    df = spark.createDataFrame([(x,) for x in [*xs, None]], "x double")
+    rows = df.select(cents(F.col("x")).alias("a"), F.round(F.col("x") * 100).cast("long").alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
