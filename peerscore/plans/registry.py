@@ -205,9 +205,7 @@ def coverage_fanout(spark, sf_dir):
 
 
 def horizon_comparison(spark, sf_dir):
-    long = dashboards.horizon_comparison(_model(spark, sf_dir), ordered=False)
-    position = reshape.domain_position("horizon", GROWTH.columns)
-    return _positioned(long, F.col(SUBJECT_ID), F.col(SNAPSHOT), position).orderBy("position")
+    return dashboards.horizon_comparison(_model(spark, sf_dir), ordered=False, position="position").orderBy("position")
 
 
 def horizon_snapshot(spark, sf_dir):

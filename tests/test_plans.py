@@ -4,8 +4,12 @@ import re
 
 import pytest
 
-from peerscore.operators import assemble
-from peerscore.plans import registry, scorecard
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from peerscore.operators import assemble, reshape
+from peerscore.plans import dashboards, registry, scorecard
+from peerscore.schemas import HORIZONS
 from peerscore.sources.tables import read_model, write_model
 
 SF = "/root/testdata/sf0.001"
@@ -87,3 +91,43 @@ def test_small_group_tables_do_not_shuffle_the_subjects(spark, stored):
     wide = assemble.assemble_wide(stored, store_groups=True)
     assert "hashpartitioning(group_id" not in _plan(wide)
     assert "hashpartitioning(group_id" not in _plan(scorecard.score_terms(wide))
+
+
+def test_horizon_positions_rank_pairs_not_their_rows(spark, monkeypatch):
+    """What is stored on the way to the positions has a row a pair, not one for each of its horizons."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    sizes, checkpoint = [], Classic.checkpoint
+
+    def counted(self, eager=True):
+        out = checkpoint(self, eager)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(Classic, "checkpoint", counted)
+    n = registry.QUERIES["horizon_comparison"](spark, SF).count()
+    assert n > 0 and max(sizes) * len(HORIZONS) == n
+
+
+@pytest.mark.parametrize("snapshot", [None, "1998-12-31"])
+@pytest.mark.parametrize("as_union", [False, True])
+def test_horizon_positions_are_dense_ranks(spark, snapshot, as_union):
+    """As ranked over the rows themselves: a repeated (subject, date) ties, other dates do not count, unmatched rows neither."""
+    days = ["1997-12-31", "1998-12-31", "1999-12-31"]
+    date = F.col("snapshot").cast("date")
+    subject = [(i, i % 2, d) for i in (30, 4, 100, 7) for d in days if (i, d) != (4, days[1])] + [(7, 1, days[1]), (5, None, days[0])]
+    growth = [(i, *[float(i * k) for k in range(7)], d) for i in (30, 4, 100, 7, 8) for d in days]
+    groups = [(g, *[float(g + k) for k in range(7)], d) for g in (0, 1) for d in days if (g, d) != (0, days[2])]
+    model = {
+        "subject": spark.createDataFrame(subject, "id long, group_id int, snapshot string"),
+        "subject_growth": spark.createDataFrame(growth, ["subject_id", *HORIZONS, "snapshot"]),
+        "group_growth": spark.createDataFrame(groups, ["group_id", *HORIZONS, "snapshot"]).withColumn("group_id", F.col("group_id").cast("int")),
+    }
+    model = {n: df.withColumn("snapshot", date) for n, df in model.items()}
+    plain = dashboards.horizon_comparison(model, snapshot=snapshot, ordered=False, as_union=as_union)
+    order = Window.orderBy("subject_id", "snapshot", reshape.domain_position("horizon", HORIZONS))
+    want = plain.withColumn("at", F.dense_rank().over(order).cast("bigint"))
+    got = dashboards.horizon_comparison(model, snapshot=snapshot, ordered=False, as_union=as_union, position="at")
+    assert got.columns == want.columns and got.schema["at"].dataType == want.schema["at"].dataType
+    rows = sorted(map(tuple, got.collect()), key=repr)
+    assert rows == sorted(map(tuple, want.collect()), key=repr) and len({r[-1] for r in rows}) < len(rows)
