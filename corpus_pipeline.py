@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscore.llm import bpe, chunkdedup, jaccard, langid, packing, toxicity
-from peerscore.llm.common import remainder, stage_path, table
+from peerscore.llm.common import passes, remainder, saved, sieve, stage_path, table
 from peerscore.llm.queries import WORD_BPE
 
 
@@ -42,21 +42,19 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of linked documents, that of the smallest id (rows with a NULL id all stay).
 
-    Documents link at a Jaccard similarity of 0.8 or more of their five-word shingles. Rows that repeat an id with the
-    same text are one document; an id with several texts is several documents, named by id and text.
+    Documents link at a Jaccard similarity of 0.8 or more of their five-word shingles. A document is named by its id and
+    text: rows that repeat an id with the same text are one, an id with several texts is several documents. Only rows
+    that may be dropped (a sieve of fixed size) are shuffled with their texts, the others stay where they are.
     """
-    digest = F.md5(F.coalesce("text", F.lit("")))
-    several = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(digest).alias("least"), F.max(digest).alias("most"))
-    several = several.where("least <> most").select(F.col("doc_id").alias("shared"))
-    rows = carried(docs.where("doc_id is not null"), "doc_id", "text")
-    rows = rows.join(several, rows["doc_id"] == several["shared"], "left")
-    number = F.when(F.col("doc_id") < 0, F.col("doc_id").cast("string")).otherwise(F.lpad(F.col("doc_id").cast("string"), 19, "0"))  # sorts as the ids do
-    name = F.when(F.col("shared").isNull(), number).otherwise(F.concat_ws(":", number, digest))
-    rows = rows.select("row", name.alias("name"), "text")
+    number = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")  # sorts as the ids do
+    name = F.concat_ws(":", number, F.md5(F.coalesce("text", F.lit(""))))
+    rows = carried(docs.where("doc_id is not null"), "doc_id", "text").select("row", name.alias("name"), "text")
     linked = jaccard.link_documents(rows, id_col="name", words=5, percent=80)
-    kept = linked.where("node = component").select(F.col("node").alias("name")).distinct()
-    once = rows.join(kept, "name", "left_semi").dropDuplicates(["name"])
-    return restored(once, docs).unionByName(docs.where("doc_id is null"))
+    found = linked.groupBy(F.col("node").alias("name")).agg(F.count("*").alias("times"), F.min("component").alias("component"))
+    doubtful = saved(found.where("times > 1 or component <> name").select("name", (F.col("component") == F.col("name")).alias("first")))
+    rows = passes(rows.select("row", "name"), "name", sieve(doubtful, "name"), "some")
+    once = rows.where("some").join(doubtful, "name", "left").where("coalesce(first, true)").dropDuplicates(["name"])
+    return restored(rows.where("not some").unionByName(once.select(*rows.columns)), docs).unionByName(docs.where("doc_id is null"))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,27 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SIEVE_BITS = 1 << 24
+
+
+def sieve(keys: DataFrame, key: str) -> DataFrame:
+    """A filter of the values ``keys`` holds: one bit a hash, 64 of them a row, so 2^18 rows at most however many values.
+
+    Past some millions of values it lets more and more others pass; :func:`passes` never refuses one that is there.
+    """
+    bits = keys.select(F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS)).alias("bit"))
+    found = F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))"))
+    return saved(bits.groupBy(F.shiftright("bit", 6).cast("int").alias("sieve_word")).agg(found.alias("sieve_bits")))
+
+
+def passes(df: DataFrame, key: str, words: DataFrame, column: str) -> DataFrame:
+    """``df`` with a boolean ``column``: false only where ``key`` is certainly not among the values of a :func:`sieve`."""
+    bit = F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS))
+    there = F.coalesce(F.getbit("sieve_bits", (bit % 64).cast("int")) == 1, F.lit(False))
+    found = df.join(F.broadcast(words), F.shiftright(bit, 6).cast("int") == F.col("sieve_word"), "left")
+    return found.select(*(df[f"`{c}`"] for c in df.columns), there.alias(column))
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that an operator adds under these names (in any case)."""
     return df.select(*(df[f"`{c}`"] for c in df.columns if c.lower() not in names))

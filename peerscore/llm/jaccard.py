@@ -9,7 +9,9 @@ set into one segment per fragment:
   segment are tied to the segment's smallest document; connected ties form candidate groups. Sets
   under ``TINY`` shingles use the first shingles of the order (prefix filter) instead of segments,
   and sets under 32 fragments use them too if they have no more segments than can differ.
-* *Counts.* In a group, the overlap of each pair is counted fragment by fragment and the partial
+  In this step a set goes by a 64-bit hash of its digest, whatever the type of the ids: two sets of one hash would
+  only be compared more.
+* *Counts.* Only texts that may be in a group (a sieve of fixed size) are shuffled. In a group, the overlap of each pair is counted fragment by fragment and the partial
   counts are summed per pair. A group beyond ``BLOCK_DOCS`` documents or ``BLOCK_SHINGLES`` shingles
   is cut into blocks and every pair of blocks is a task of its own. Only a spanning forest of the
   links leaves a task, with each document's number of links.
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscore.llm.common import arrow_rows, mix64, range_hashes, saved
+from peerscore.llm.common import arrow_rows, mix64, passes, range_hashes, saved, sieve
 from peerscore.llm.components import components
 
 BLOCK_DOCS = 1024
@@ -186,13 +188,13 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = saved(docs.mapInArrow(describe, f"node {id_type}, n long, digest binary, sigs array<long>"))
     keyed = base.where("digest is not null and node is not null")
     classes = saved(keyed.groupBy("digest").agg(F.min("node").alias("node"), F.count_distinct("node").alias("weight")))
-    reps = saved(keyed.join(classes, ["digest", "node"]).dropDuplicates(["digest", "node"]).select("node", "n", "weight", "sigs"))
+    reps = saved(keyed.join(classes, ["digest", "node"]).dropDuplicates(["digest", "node"]).select("digest", "node", "n", "weight", "sigs"))
 
-    ties = reps.select("node", F.explode("sigs").alias("sig"))
-    hubs = saved(ties.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("sig", "hub"))
-    groups = components(ties.join(hubs, "sig").select(F.col("node").alias("u"), F.col("hub").alias("v")))
-    members = groups.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(groups.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
-    members = saved(members.join(reps.select("node", "n", "weight"), "node"))
+    ties = reps.select(F.xxhash64("digest").alias("set"), F.explode("sigs").alias("sig"))
+    hubs = saved(ties.groupBy("sig").agg(F.min("set").alias("hub"), F.max("set").alias("other")).where("hub <> other").select("sig", "hub"))
+    groups = components(ties.join(hubs, "sig").select(F.col("set").alias("u"), F.col("hub").alias("v")))
+    grouped = groups.select(F.col("u").alias("set"), F.col("v").alias("comp")).unionByName(groups.select(F.col("v").alias("set"), F.col("v").alias("comp")).distinct())
+    members = saved(reps.select(F.xxhash64("digest").alias("set"), "node", "n", "weight").join(grouped, "set").drop("set"))
     sizes = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     sizes = saved(sizes.select("comp", blocks.alias("blocks"), "total"))
@@ -207,8 +209,9 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             arrays += [pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["node", "comp", "weight", "blocks", "n", "tokens"])
 
-    sets = docs.join(members.dropDuplicates(["node"]), "node").select("node", "comp", "weight", "blocks", "text")
-    sets = sets.mapInArrow(set_rows, f"node {id_type}, comp {id_type}, weight long, blocks int, n long, tokens binary").where("n > 0")
+    some = passes(docs, "node", sieve(members, "node"), "some").where("some")
+    sets = some.join(members.dropDuplicates(["node"]), "node").select("node", "comp", "weight", "blocks", "text")
+    sets = sets.mapInArrow(set_rows, f"node {id_type}, comp long, weight long, blocks int, n long, tokens binary").where("n > 0")
     side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     spread = sets.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other"))

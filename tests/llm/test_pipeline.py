@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline as P
-from peerscore.llm import chunkdedup, jaccard, queries, toxicity
+from peerscore.llm import chunkdedup, common, jaccard, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,6 +91,49 @@ def test_a_repeated_id_loses_no_unlinked_text(spark, odd_docs, prose):
     assert (9001, prose(1, 150)) in texts and len(texts) == 2  # of the other text and its near copy one stays
 
 
+def test_near_duplicates_shuffle_only_texts_that_may_go(tmp_path):
+    """Of 3,000 texts ten have a near copy: all shuffles of the stage together are smaller than the texts."""
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import json, pathlib, random, sys
+sys.path.insert(0, {repo!r})
+import corpus_pipeline as P
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", "{tmp_path}/ckpt").config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://{tmp_path}").config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false").getOrCreate()
+r = random.Random(1)
+texts = [" ".join("%x" % r.getrandbits(120) for _ in range(300)) for _ in range(3000)]
+texts += [t + " more" for t in texts[:10]]
+spark.createDataFrame([(k - 5, t) for k, t in enumerate(texts)], "doc_id long, text string").write.parquet("{tmp_path}/docs")
+ids = [r["doc_id"] for r in P.near_duplicate_stage(spark, spark.read.parquet("{tmp_path}/docs"), "").select("doc_id").collect()]
+assert sorted(ids) == list(range(-5, 2995)), len(ids)
+name = spark.sparkContext.applicationId
+spark.stop()
+events = [json.loads(x) for x in pathlib.Path("{tmp_path}", name).open()]
+shuffled = sum((e.get("Task Metrics") or {{}}).get("Shuffle Write Metrics", {{}}).get("Shuffle Bytes Written", 0) for e in events)
+assert shuffled < sum(map(len, texts)), (shuffled, sum(map(len, texts)))
+print("small")
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "small" in done.stdout, done.stderr[-3000:]
+
+
+def test_the_least_of_negative_ids_stays(spark, make_docs, prose):
+    text = prose(1, 200)
+    docs = make_docs([(-1, text), (-20, f"{text} more"), (3, text)])
+    assert [r["doc_id"] for r in P.near_duplicate_stage(spark, docs, SF).collect()] == [-20]
+
+
+def test_sieve_refuses_no_value_that_is_there(spark, monkeypatch):
+    monkeypatch.setattr(common, "SIEVE_BITS", 1 << 10)
+    odd = spark.createDataFrame([(f"k{k}" if k else None,) for k in range(0, 300, 3)], "key string")
+    rows = spark.createDataFrame([(f"k{k}" if k else None, k) for k in range(3000)], "key string, v int")
+    got = common.passes(rows, "key", common.sieve(odd, "key"), "some")
+    assert got.count() == 3000 and got.columns == ["key", "v", "some"]
+    assert got.where("some").join(odd, "key").count() == 99
+    assert 200 < got.where("not some").count() < 2901
+    assert common.passes(rows, "key", common.sieve(odd.limit(0), "key"), "some").where("some").count() == 0
+
+
 def test_every_stage_takes_an_empty_table(spark, odd_docs):
     none = odd_docs.where("doc_id = -1")
     for _, stage in P.STAGES:
