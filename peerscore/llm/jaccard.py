@@ -13,8 +13,8 @@ set into one segment per fragment:
   only be compared more.
 * *Counts.* Only texts that may be in a group (a sieve of fixed size) are shuffled. In a group, the overlap of each pair is counted fragment by fragment and the partial
   counts are summed per pair. A group beyond ``BLOCK_DOCS`` documents or ``BLOCK_SHINGLES`` shingles
-  is cut into blocks and every pair of blocks is a task of its own. Only a spanning forest of the
-  links leaves a task, with each document's number of links.
+  is cut into blocks and every pair of blocks is a task of its own, which holds the documents of either that share a
+  segment with one of the other. Only a spanning forest of the links leaves a task, with each document's number of links.
 
 Equal sets are one node from the start. No pair of sets under 32 fragments (96 shingles at 85 percent,
 68 at 80) is missed. Sets over 64 fragments are tied by 64 of them: a pair just at the threshold agrees
@@ -169,6 +169,25 @@ def _link(part: pd.DataFrame, sides: tuple[int, int], percent: int) -> list[tupl
     return out if at_a is at_b else [*out, (names[node[at_b]], names[root_b], weight[at_a] @ linked)]
 
 
+def _blocks(tied: DataFrame, large: DataFrame) -> DataFrame:
+    """Rows (set, side, others) of the sets of ``large`` groups: a set's block and the blocks that it has to be compared with.
+
+    Sets that share the most common of their segments lie together. A set is compared with the blocks that hold one of its
+    segments, its own among them: so a link's two sets meet, once, and a group held together by few segments a set
+    costs in proportion to its sets instead of to their pairs.
+    """
+    near = saved(tied.select("set", "sig").join(large, "set"))
+    common = near.join(near.groupBy("sig").agg(F.count("*").alias("sets")), "sig")
+    family = common.groupBy("set", "blocks").agg(F.max(F.struct("sets", "sig")).alias("top"))
+    sizes = family.groupBy("top.sig").agg(F.ceil(F.count("*") / BLOCK_DOCS).alias("parts"))
+    family = family.select("set", "blocks", F.col("top.sig").alias("sig")).join(sizes, "sig")
+    part = F.pmod(F.xxhash64("set"), F.col("parts"))
+    home = saved(family.select("set", F.pmod(F.xxhash64("sig", part), F.col("blocks")).cast("int").alias("side")))
+    held = near.join(home, "set").select("sig", F.col("side").alias("other")).distinct()
+    visits = near.select("set", "sig").join(held, "sig").groupBy("set").agg(F.collect_set("other").alias("others"))
+    return saved(home.join(visits, "set"))
+
+
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85) -> DataFrame:
     """One row per row of ``docs``: ``node`` (the id), ``n_shingles``, ``component`` and ``n_links``.
 
@@ -192,28 +211,32 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ties = reps.select(F.xxhash64("digest").alias("set"), F.explode("sigs").alias("sig"))
     hubs = saved(ties.groupBy("sig").agg(F.min("set").alias("hub"), F.max("set").alias("other")).where("hub <> other").select("sig", "hub"))
-    groups = components(ties.join(hubs, "sig").select(F.col("set").alias("u"), F.col("hub").alias("v")))
+    tied = saved(ties.join(hubs, "sig").select("set", "sig", "hub"))
+    groups = components(tied.select(F.col("set").alias("u"), F.col("hub").alias("v")))
     grouped = groups.select(F.col("u").alias("set"), F.col("v").alias("comp")).unionByName(groups.select(F.col("v").alias("set"), F.col("v").alias("comp")).distinct())
-    members = saved(reps.select(F.xxhash64("digest").alias("set"), "node", "n", "weight").join(grouped, "set").drop("set"))
+    members = saved(reps.select(F.xxhash64("digest").alias("set"), "node", "n", "weight").join(grouped, "set"))
     sizes = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     sizes = saved(sizes.select("comp", blocks.alias("blocks"), "total"))
     small = sizes.where("blocks = 1").agg(F.sum("total")).first()[0] or 0
     bins = 1 + small // BIN_SHINGLES
     members = members.drop("n").join(sizes.drop("total"), "comp")
+    members = members.join(_blocks(tied, members.where("blocks > 1").select("set", "blocks").distinct()), "set", "left")
+    members = members.withColumns({"side": F.coalesce("side", F.lit(0)), "others": F.coalesce("others", F.array(F.lit(0)))})
+
+    kept = ["node", "comp", "weight", "blocks", "side", "others"]
 
     def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in arrow_rows(batches, 64):
             sets = shingle_sets(b.column("text").to_pylist(), words)
-            arrays = [b.column(c) for c in ("node", "comp", "weight", "blocks")]
+            arrays = [b.column(c) for c in kept]
             arrays += [pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["node", "comp", "weight", "blocks", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "n", "tokens"])
 
     some = passes(docs, "node", sieve(members, "node"), "some").where("some")
-    sets = some.join(members.dropDuplicates(["node"]), "node").select("node", "comp", "weight", "blocks", "text")
-    sets = sets.mapInArrow(set_rows, f"node {id_type}, comp long, weight long, blocks int, n long, tokens binary").where("n > 0")
-    side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    spread = sets.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sets = some.join(members.dropDuplicates(["node"]), "node").select(*kept, "text")
+    sets = sets.mapInArrow(set_rows, f"node {id_type}, comp long, weight long, blocks int, side int, others array<int>, n long, tokens binary").where("n > 0")
+    spread = sets.withColumn("other", F.explode("others"))
     spread = spread.withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other"))
     key = F.when(F.col("blocks") > 1, F.xxhash64("comp")).otherwise(F.pmod(F.xxhash64("comp", F.lit("bin")), F.lit(bins)))
 

@@ -133,3 +133,13 @@ def test_components(spark):
     got = {(x["u"], x["v"]) for x in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {(n, find(n)) for n in parent if find(n) != n}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_large_groups_compare_only_blocks_that_share_a_segment(spark, monkeypatch):
+    """A chain of 1,000 sets in 100 blocks: neighbours meet, and a set goes to a few blocks instead of all."""
+    monkeypatch.setattr(J, "BLOCK_DOCS", 10)
+    tied = spark.range(1000).selectExpr("id as set", "explode(array(id, id + 1)) as sig", "0L as hub").where("sig between 1 and 999")
+    at = {r["set"]: r for r in J._blocks(tied, spark.range(1000).selectExpr("id as set", "100 as blocks")).collect()}
+    assert len(at) == 1000 and all(r["side"] in r["others"] and 0 <= r["side"] < 100 for r in at.values())
+    assert all(at[k]["side"] in at[k + 1]["others"] and at[k + 1]["side"] in at[k]["others"] for k in range(999))
+    assert sum(len(r["others"]) for r in at.values()) <= 4000
